@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,50 +114,52 @@ class Reader:
         return np.concatenate(got)[start - low * BLOCK : stop - low * BLOCK]
 
 
-class Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct chunk between white space encoded once.
+def byte_alphabet() -> dict[int, str]:
+    """Byte-level vocabularies write byte b as this character: itself if it prints, else the next one from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)).difference(prints)))}
+
+
+class Encoder(dict):
+    """Ids of chunks of text, as bytes of 32-bit integers, each distinct chunk encoded by the tokenizers library once.
 
     For vocabularies whose pre-tokenizer drops white space, so that no token spans two chunks. A chunk of
     letters, or of letters and then full stops and commas, is one or two pre-tokens: these go to the model
-    directly, by the file's own normalizer and byte alphabet. All other chunks go through encode().
+    directly, in lower case and the byte alphabet. All other chunks go through encode().
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.normal, self.model = self.tokenizer.normalizer.normalize_str, self.tokenizer.model
-        self.alphabet = alphabet
-        self.chunks: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.normal, self.split = self.tokenizer.normalizer.normalize_str, self.tokenizer.model.tokenize
+        self.alphabet, self.stems = byte_alphabet(), {}
 
     def _stem(self, text: str) -> bytes:
         got = self.stems.get(text)
         if got is None:
-            mapped = text if text.isascii() else self.alphabet.pre_tokenize_str(text)[0][0]
-            got = self.stems[text] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            mapped = text if text.isascii() else text.encode().decode("latin1").translate(self.alphabet)
+            got = self.stems[text] = array("I", [t.id for t in self.split(mapped)]).tobytes()
         return got
 
-    def _chunk(self, chunk: bytes) -> bytes:
+    def __missing__(self, chunk: bytes) -> bytes:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+            self.stems.clear()
         text = chunk.decode()
-        text = text.lower() if text.isascii() else self.normal(text)
+        # below U+0250 no character combines with another, and lower case is one to one but for a dotted I
+        text = text.lower() if text.isascii() or max(text) < "\u0250" and "\u0130" not in text else self.normal(text)
         stem = text.rstrip(".,")
         if stem.isalpha():
-            return self._stem(stem) + (self._stem(text[len(stem) :]) if len(stem) < len(text) else b"")
-        return np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            ids = self._stem(stem) + (self._stem(text[len(stem) :]) if len(stem) < len(text) else b"")
+        else:
+            ids = array("I", self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
+        self[chunk] = ids
+        return ids
 
     def encode(self, text: str) -> np.ndarray:
-        words, known = text.encode().split(), self.chunks
-        for w in set(words).difference(known):
-            if len(known) >= KEPT_WORDS:
-                known.clear()
-                self.stems.clear()
-                known.update((x, self._chunk(x)) for x in set(words))
-                break
-            known[w] = self._chunk(w)
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
+        return np.frombuffer(b"".join(map(self.__getitem__, text.encode().split())), np.uint32)
 
 
 def _file(uri: str) -> tuple[pafs.FileSystem, str]:
