@@ -16,7 +16,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 #: One <invstOrSec> of a fund's filing; attributes carry an underscore.
 HOLDING_XML = _struct(
     name=_S, lei=_S, title=_S, cusip=_S,
-    identifiers=_struct(isin=_struct(_value=_S, _VALUE=_S), other=T.ArrayType(_struct(_otherDesc=_S, _value=_S, _VALUE=_S))),
+    identifiers=_struct(isin=_struct(_value=_S), other=T.ArrayType(_struct(_otherDesc=_S, _value=_S))),
     balance=T.DoubleType(), units=_S, curCd=_S, valUSD=T.DoubleType(), pctVal=T.DoubleType(), assetCat=_S, issuerCat=_S, invCountry=_S,
     debtSec=_struct(maturityDt=T.DateType(), couponKind=_S, annualizedRt=T.DoubleType(), isDefault=_S),
 )
