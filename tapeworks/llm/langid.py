@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .words import mix
 
 ORDER = 4
-#: Documents of each language to fit on, and further ones to calibrate on; languages that a corpus may have.
-FIT_DOCS, CALIBRATION_DOCS, MAX_LANGUAGES = 400, 100, 500
+#: Documents of each language that are learned from, of which one in CALIBRATE_EVERY is for calibration; languages that a corpus may have.
+SAMPLE_DOCS, CALIBRATE_EVERY, MAX_LANGUAGES = 500, 5, 500
 #: A text is rejected if its cross-entropy is over so many times the 99th percentile of its language's own.
 REJECT_AT = 1.5
 #: Distinct words that a task keeps; words read at once.
@@ -42,10 +42,10 @@ def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray],
     size = np.array([len(w) + 2 for w in words])
     word = np.repeat(np.arange(len(words)), size)
     place = np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)
-    hashes, total, power = [], np.zeros(len(codes), np.uint64), np.uint64(1)
+    hashes, total, power = [], np.zeros(len(codes), np.uint64), 1
     for n in range(ORDER):
-        total[n:] += (codes[: len(codes) - n] + np.uint64(1)) * power
-        power *= _MUL
+        total[n:] += (codes[: len(codes) - n] + np.uint64(1)) * np.uint64(power)
+        power = power * int(_MUL) & (1 << 64) - 1
         hashes.append(mix(total + np.uint64(n + 1)))
     return word, place, hashes, codes
 
@@ -169,11 +169,11 @@ class Scorer:
                     total = self.values[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].sum(0)
                     out.append(total[:-1] / total[-1] if total[-1] else np.full(len(total) - 1, np.nan))
                 run, size = [], 0
-        return np.array(out).reshape(len(texts), -1)
+        return np.array(out).reshape(len(texts), len(self.model.languages))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model of every language of ``docs``, fitted on FIT_DOCS documents of each and calibrated on CALIBRATION_DOCS others.
+    """A model of every language of ``docs``, learned from SAMPLE_DOCS documents of each, of which some only calibrate it.
 
     These are the first by the hash of their id, whole texts, so what reaches the driver, their distinct
     words with counts, is bounded by these parameters and MAX_LANGUAGES and not by the corpus. Rows without
@@ -182,9 +182,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     docs = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l"))
     docs = docs.where("l is not null and t is not null")
     rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i"))
-    picked = docs.select("i", "l").withColumn("rank", rank).where(F.col("rank") <= FIT_DOCS + CALIBRATION_DOCS)
+    picked = docs.select("i", "l").withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
     sample = docs.join(F.broadcast(picked), ["i", "l"])
-    words = sample.where(F.col("rank") <= FIT_DOCS).select("l", F.explode(F.split("t", r"[\x20\x09-\x0D]+")).alias("w")).groupBy("l", "w").count()
+    words = sample.where(F.col("rank") % CALIBRATE_EVERY != 0).select("l", F.explode(F.split("t", r"[\x20\x09-\x0D]+")).alias("w")).groupBy("l", "w").count()
     rows = words.toPandas()
     rows = pd.DataFrame({"lang": rows["l"], "word": [letters(w.encode()) for w in rows["w"]], "n": rows["count"]})
     rows = rows[rows["word"] != ""].groupby(["lang", "word"], as_index=False)["n"].sum()
@@ -192,7 +192,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"{len(languages)} languages; models of more than {MAX_LANGUAGES} are not broadcast")
     model = fit(rows, languages)
-    own = sample.where(F.col("rank") > FIT_DOCS).select("l", "t").toPandas()
+    own = sample.where(F.col("rank") % CALIBRATE_EVERY == 0).select("l", "t").toPandas()
     return _calibrated(model, own) if languages else model
 
 

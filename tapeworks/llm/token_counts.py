@@ -78,6 +78,8 @@ def trie_counts(words: list[str], pieces: Pieces) -> list[int]:
     The trie is laid out level by level: sorted pre-tokens that agree on d characters share a node at
     depth d. A node's forward score is the best of its ancestors' scores plus the piece between.
     """
+    if not words:
+        return []
     order = sorted(range(len(words)), key=words.__getitem__)
     texts = [words[i] for i in order]
     sizes = np.array([len(t) for t in texts])
