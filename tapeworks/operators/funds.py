@@ -129,3 +129,17 @@ def country_sector_performance(holdings: DataFrame, funds: DataFrame, securities
         "country_iso2", "sector_id", "period", round4(ratio(F.col("wc"), F.col("w"))).alias("change_pct"), round4(ratio(F.col("wt"), F.col("tw"))).alias("total_return_pct"),
         "constituents", "total_return_constituents", round4(ratio(F.col("w"), F.col("bucket_weight"))).alias("weight_covered"), "fund_symbol", "as_of",
     )
+
+
+def fund_ingest(filed: DataFrame, known: DataFrame, stored: DataFrame) -> DataFrame:
+    """Holdings of filings resolved to securities, lots of one security added up, and written over what is stored.
+
+    filed: holding_id, fund_symbol, as_of, weight, market_value, isin, cusip, figi. A (fund, date) that is filed
+    again replaces its stored rows; holdings without a valid identifier are left out.
+    """
+    from tapeworks.operators.identity import resolve_securities
+
+    ids = resolve_securities(filed, known).select("holding_id", "security_id")
+    new = merge_lots(filed.join(ids, "holding_id").select("fund_symbol", "security_id", "as_of", "weight", "market_value"))
+    kept = stored.join(filed.select("fund_symbol", "as_of").distinct(), ["fund_symbol", "as_of"], "left_anti")
+    return kept.select(new.columns).unionByName(new)

@@ -158,3 +158,28 @@ def rekey(rows: DataFrame, renames: DataFrame) -> DataFrame:
     moved = rows.join(renames, rows["symbol"] == renames["old"]).select(F.col("new").alias("symbol"), "period", "value")
     kept = rows.join(renames.select(F.col("old").alias("symbol")), "symbol", "left_anti").select("symbol", "period", "value")
     return kept.unionByName(moved.join(kept, ["symbol", "period"], "left_anti"))
+
+
+def shared_identifier_groups(holdings: DataFrame, rounds: int = 50) -> DataFrame:
+    """(holding_id, group_id): holdings that share any valid identifier, directly or through others, and their least id.
+
+    Each round a holding takes the least label among those that share an identifier with it, and rounds end
+    when no label changes; labels are written to the shared folder between rounds. An identifier's least label
+    is an aggregate, so one that many holdings share costs each task one row.
+    """
+    from tapeworks.functions.scratch import stored
+
+    rows = holdings.select("holding_id", F.inline(_ids([("isin", "isin"), ("cusip", "cusip"), ("figi", "figi")])))
+    rows = stored(rows.where(rules.valid_identifier(F.col("kind"), F.col("value"))).select("holding_id", "kind", "value").distinct(), "identifiers")
+    labels = stored(rows.select("holding_id", F.col("holding_id").alias("group_id")).distinct(), "labels")
+    for _ in range(rounds):
+        least = rows.join(labels, "holding_id").groupBy("kind", "value").agg(F.min("group_id").alias("least"))
+        new = rows.join(least, ["kind", "value"]).groupBy("holding_id").agg(F.min("least").alias("group_id"))
+        # a label's own holding has a label too, which may be less: following it halves the way
+        jump = new.select(F.col("holding_id").alias("group_id"), F.col("group_id").alias("further"))
+        new = stored(new.join(jump, "group_id", "left").select("holding_id", F.coalesce("further", "group_id").alias("group_id")), "labels")
+        changed = not new.join(labels, ["holding_id", "group_id"], "left_anti").isEmpty()
+        labels = new
+        if not changed:
+            return labels
+    raise RuntimeError(f"groups still change after {rounds} rounds")

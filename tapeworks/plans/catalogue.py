@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import common, rules
 from tapeworks.operators import currencies, events, facets, funds, identity, macro, metrics, pending, returns, writes
+from tapeworks.functions.scratch import new_path
 from tapeworks.plans.market import ASOF, EVENT_ASOF, Market, with_inputs
+from tapeworks.sources import filings
+from tapeworks.streaming import streams
 
 QUERIES: dict[str, Callable] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -397,3 +400,47 @@ _CHG = "select p_partkey as security_id, date '2001-10-20' as changed_at from {p
 query("clear_marks", "select k.* from mark k where not (what in ('prices', 'fundamentals') and security_id % 10 = 0 and marked_at < date '2001-10-20')", lambda m: pending.clear_marks(m.mark, m.sql(_CHG), ["prices", "fundamentals"]))
 _CNT = "select exch_code, cast(preference * 100 as bigint) as stored from venue"
 query("listing_counts", f"with e as ({_EXCH}), n as (select exch_code, count(*) as n from e group by 1) select c.exch_code, stored, coalesce(n.n, 0) as actual from ({_CNT}) c left join n on n.exch_code = c.exch_code where stored is distinct from coalesce(n.n, 0)", lambda m: pending.listing_counts(m.sql(_CNT), m.sql(_EXCH)))
+
+# Payload scans, ingest, set operations
+
+_FUND_RAW = """select p_partkey as security_id, concat('{"peRatio":"', cast(p_size as string), '.5","beta":', case when p_partkey % 3 = 0 then '"n/a"' else cast(p_partkey % 4 as string) end, '}') as payload from {part}"""
+query("fundamentals_load", """select p_partkey as security_id, p_size + 0.5 as "peRatio", case when p_partkey % 3 <> 0 then cast(p_partkey % 4 as double) end as beta from {part}""".replace("p_size + 0.5", "cast(p_size as double) + 0.5"),
+      lambda m: filings.fundamentals_load(m.sql(_FUND_RAW), ["peRatio", "beta"]).drop("payload"))
+query("statement_load", "select security_id, 'income' as statement, as_of as period_ending, case when security_id % 2 = 0 then 'quarter' else 'annual' end as period_type from metric_base",
+      lambda m: filings.statement_load(m.metric_base.groupBy("security_id").agg(F.to_json(F.collect_list(F.struct(F.col("as_of").cast("string").alias("period_ending"), F.when(F.col("security_id") % 2 == 0, F.lit("quarter")).alias("period_type"), F.col("s").cast("string").alias("value")))).alias("body"))
+                                     .select("security_id", F.lit("income").alias("statement"), "body")).drop("payload"))
+query("xbrl_facts", "select security_id as cik, 'us-gaap' as taxonomy, 'Revenues' as concept, case when security_id % 5 = 0 then 'EUR' else 'USD' end as unit, as_of as \"end\", cast(s as double) as val, 'Q1' as fp from metric_base",
+      lambda m: filings.facts_of(m.metric_base.groupBy("security_id").agg(F.collect_list(F.struct(F.col("as_of").alias("end"), F.col("s").cast("double").alias("val"), F.lit("Q1").alias("fp"))).alias("f"))
+                                 .select(F.to_json(F.struct(F.col("security_id").alias("cik"), F.create_map(F.lit("us-gaap"), F.create_map(F.lit("Revenues"), F.struct(F.create_map(F.when(F.col("security_id") % 5 == 0, "EUR").otherwise("USD"), F.col("f")).alias("units")))).alias("facts"))).alias("value")))
+                          .select("cik", "taxonomy", "concept", "unit", "end", "val", "fp"))
+_UNIT_FACTS = "select o_custkey as cik, 'us-gaap' as taxonomy, case o_orderkey % 2 when 0 then 'Revenues' else 'Shares' end as concept, case when o_orderkey % 2 = 1 and o_orderkey % 3 = 0 then 'shares' when o_orderkey % 5 = 0 then 'EUR' when o_orderkey % 7 = 0 then 'pure' else 'USD' end as unit, o_orderkey as fact from {orders}"
+query("choose_units", f"""with f as ({_UNIT_FACTS}), u as (select * from f where unit = 'shares' or regexp_matches(unit, '^[A-Z]{{3}}(/shares)?$')), n as (select cik, concept, unit, row_number() over (partition by cik, concept order by unit = 'shares' desc, count(*) desc, unit) as r from u group by 1, 2, 3)
+  select u.* from u join n on n.cik = u.cik and n.concept = u.concept and n.unit = u.unit and r = 1""", lambda m: filings.choose_units(m.sql(_UNIT_FACTS)))
+_FILED = "select l_orderkey * 10000000 + l_partkey * 10 + l_linenumber as holding_id, concat('F', cast(l_suppkey as string)) as fund_symbol, cast(date_trunc('quarter', l_shipdate) as date) as as_of, cast(sum(cast(l_quantity as decimal(18,2))) as decimal(28,2)) as weight, cast(max(cast(l_extendedprice as decimal(18,2))) as decimal(28,2)) as market_value, case when l_partkey % 3 = 0 then concat('US', lpad(cast(l_partkey as string), 9, '0'), cast(l_partkey % 10 as string)) end as isin, case when l_partkey % 3 = 1 then lpad(cast(l_partkey as string), 9, '7') end as cusip, cast(null as string) as figi from {lineitem} where l_shipdate >= timestamp '2001-01-01 00:00:00' group by 1, 2, 3, l_partkey"
+query("fund_ingest", f"""with h as ({_FILED}), u as (select holding_id, 'isin' as kind, isin as value from h where isin is not null union all select holding_id, 'cusip', cusip from h where cusip <> '777777777'),
+  i as (select holding_id, coalesce(cast(min(security_id) as varchar), sha256(any_value(u.kind) || ':' || any_value(u.value))) as sid from u left join identifier x on x.kind = u.kind and x.value = u.value group by 1),
+  n as (select fund_symbol, sid as security_id, as_of, sum(weight) as weight, sum(market_value) as market_value from h join i on i.holding_id = h.holding_id group by 1, 2, 3)
+  select fund_symbol, security_id, as_of, {d('weight')} as weight, {d('market_value')} as market_value from n
+  union all select fund_symbol, cast(security_id as varchar), as_of, {d('weight')}, {d('market_value')} from holding o where not exists (select 1 from h where h.fund_symbol = o.fund_symbol and h.as_of = o.as_of)""",
+      lambda m: funds.fund_ingest(m.sql(_FILED), m.identifier, funds.merge_lots(m.holding).withColumn("security_id", F.col("security_id").cast("string"))).withColumn("weight", F.col("weight").cast("double")).withColumn("market_value", F.col("market_value").cast("double")))
+_SHARED = "select c_custkey as holding_id, case when c_custkey % 3 = 0 then concat('US', lpad(cast(c_custkey % 200 as string), 9, '0'), '7') end as isin, lpad(cast(c_custkey % 310 as string), 9, '7') as cusip, cast(null as string) as figi from {customer}"
+query("shared_identifier_groups", f"""with recursive h as ({_SHARED}), n as (select holding_id, coalesce(isin, '') as a, cusip as b from h), e as (select distinct x.holding_id as p, y.holding_id as q from n x join n y on (x.a <> '' and x.a = y.a) or (x.b <> '777777777' and x.b = y.b)),
+  c as (select holding_id as p, holding_id as g from n where a <> '' or b <> '777777777' union select e.q, c.g from c join e on e.p = c.p) select p as holding_id, min(g) as group_id from c group by 1""", lambda m: identity.shared_identifier_groups(m.sql(_SHARED)))
+query("dedupe_last", "select user_id, event_type, max(event_id) as event_id from {events} group by 1, 2", lambda m: common.top1(m.sql("select user_id, event_type, event_id from {events}"), ["user_id", "event_type"], F.desc("event_id")))
+query("dedupe_first", "select user_id, event_type, min(event_id) as event_id from {events} group by 1, 2", lambda m: common.top1(m.sql("select user_id, event_type, event_id from {events}"), ["user_id", "event_type"], F.asc("event_id")))
+query("month_series", "select currency_code, cast(unnest(generate_series(min(as_of), max(as_of), interval 1 month)) as date) as month from fx_double group by 1",
+      lambda m: m.fx_double.groupBy("currency_code").agg(F.explode(F.sequence(F.min("as_of"), F.max("as_of"), F.expr("interval 1 month"))).alias("month")))
+query("largest_caps", "select security_id, market_cap from security order by market_cap desc nulls last, security_id limit 100", lambda m: m.security.select("security_id", "market_cap").orderBy(F.desc_nulls_last("market_cap"), "security_id").limit(100))
+
+
+def _streamed(m: Market) -> DataFrame:
+    """The events of one file through the stream of bars, and the table that it leaves."""
+    spark, schema = m._spark, "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    bars = spark.readStream.schema(schema).parquet(f"{m._dir}/events.parquet*").select(F.col("user_id").alias("series_id"), "ts", F.col("value").alias("close"))
+    path = new_path(spark, "prices")
+    streams.stream_prices(bars, f"{path}/table", f"{path}/state").awaitTermination()
+    return streams.read_prices(spark, f"{path}/table")
+
+
+query("stream_prices", """with d as (select user_id, ts, min(value) as value from {events} group by 1, 2), r as (select *, row_number() over (partition by user_id, cast(ts as date) order by ts desc) as r from d) select user_id as series_id, cast(ts as date) as date, ts from r where r = 1""",
+      lambda m: _streamed(m).select("series_id", "date", "ts"))

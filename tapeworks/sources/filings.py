@@ -47,7 +47,12 @@ _FACTS = _struct(cik=T.LongType(), facts=T.MapType(_S, T.MapType(_S, _struct(uni
 
 def xbrl_facts(spark: SparkSession, path: str) -> DataFrame:
     """Company facts files, one JSON object each, as a row for each fact."""
-    rows = spark.read.text(path, wholetext=True).select(F.from_json("value", _FACTS).alias("j"))
+    return facts_of(spark.read.text(path, wholetext=True))
+
+
+def facts_of(bodies: DataFrame) -> DataFrame:
+    """A row for each fact of the JSON objects in column value."""
+    rows = bodies.select(F.from_json("value", _FACTS).alias("j"))
     rows = rows.select("j.cik", F.explode("j.facts").alias("taxonomy", "concepts")).select("cik", "taxonomy", F.explode("concepts").alias("concept", "c"))
     rows = rows.select("cik", "taxonomy", "concept", F.explode("c.units").alias("unit", "facts"))
     return rows.select("cik", "taxonomy", "concept", "unit", F.inline("facts")).where("val is not null and end is not null")
