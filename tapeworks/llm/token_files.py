@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import new_path, stored
+from tapeworks.functions.scratch import new_path, stored
 
 MAGIC = b"BITPACK1"
 BLOCK = 1 << 16
