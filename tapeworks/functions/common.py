@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,6 +46,15 @@ def asof(points: DataFrame, steps: DataFrame, keys: Sequence[str], at: str, sinc
     return both.select(*points.columns, *[F.col(f"_step.{v}").alias(v) for v in values])
 
 
+def daily(steps: DataFrame, key: str, since: str, until: dt.date | None) -> DataFrame:
+    """Each step of a small table repeated for every day until the next of its key, in column date: for few keys with
+    many points, of which an as-of window would put all points of a key into one task. Up to ``until``; null: none."""
+    following = F.lead(since).over(Window.partitionBy(key).orderBy(since))
+    rows = steps.withColumn("_last", F.least(F.coalesce(F.date_sub(following, 1), F.lit(until)), F.lit(until)))
+    rows = rows.where(F.col("_last") >= F.col(since)).withColumn("date", F.explode(F.sequence(since, "_last")))
+    return rows.drop("_last", since)
+
+
 def optional_filters(df: DataFrame, lists: dict[str, Sequence | None], ranges: dict[str, tuple] | None = None) -> DataFrame:
     """Rows whose columns are in the given lists and ranges; None is no filter."""
     for name, values in lists.items():

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions import rules
-from tapeworks.functions.common import asof, ratio, round4, top1
+from tapeworks.functions.common import asof, daily, ratio, round4, top1
 
 #: Metrics that are sums over a period.
 FLOW_METRICS = ("revenue", "net_income", "free_cash_flow", "operating_cash_flow", "capital_expenditure", "eps_diluted")
@@ -105,9 +105,11 @@ def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rat
     running = Window.partitionBy("security_id").orderBy("date", "_bar").rowsBetween(Window.unboundedPreceding, 0)
     rows = both.select(*bars.columns, "_bar", *[F.last(c, ignorenulls=True).over(running).alias(c) for c in flows + stocks]).where("_bar = 1").drop("_bar")
     rows = rows.join(securities.select("security_id", F.col("currency_code").alias("quote_currency")), "security_id", "left").join(reporting, "security_id", "left")
+    # few currencies have all bars, so rates are laid out by day and joined on both
+    until = bars.agg(F.max("date").alias("d")).first()["d"]
     for side in ("report", "quote"):
         fx = rates.select(F.col("currency_code").alias(f"{side}_currency"), F.col("as_of").alias("_since"), F.col("usd_per_unit").alias(f"{side}_rate"))
-        rows = asof(rows, fx, [f"{side}_currency"], "date", "_since", [f"{side}_rate"])
+        rows = rows.join(daily(fx, f"{side}_currency", "_since", until), [f"{side}_currency", "date"], "left")
         rows = rows.withColumn(f"{side}_rate", F.when(F.col(f"{side}_currency") == "USD", F.lit(1.0)).otherwise(F.col(f"{side}_rate")))
     same = F.coalesce(F.col("report_currency") == F.col("quote_currency"), F.lit(False))
     factor = F.when(same, F.lit(1.0)).otherwise(F.col("report_rate") / F.col("quote_rate"))
