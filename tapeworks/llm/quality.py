@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 #: Words so common in a language that running text has some of them.
 STOP_WORDS = [
-    "the", "of", "and", "to", "in", "is", "that", "for", "a", "was",
-    "der", "die", "und", "das", "in", "zu", "den", "von", "nicht", "mit",
-    "de", "la", "le", "et", "les", "des", "que", "un", "une", "est",
-    "el", "los", "y", "en", "se", "del", "las", "por", "con", "para",
+    "the", "of", "and", "to", "in", "is", "that", "for", "a", "was", "it", "as", "with", "on", "this", "by", "from", "or", "be", "are", "at", "an", "not",
+    "der", "die", "und", "das", "zu", "den", "von", "nicht", "mit", "ist", "sich", "auf", "ein", "eine", "dem", "des", "im", "auch", "als", "für",
+    "de", "la", "le", "et", "les", "que", "un", "une", "est", "du", "en", "dans", "pas", "au", "pour", "qui", "sur", "il", "ce",
+    "el", "los", "y", "se", "del", "las", "por", "con", "para", "no", "su", "al", "lo", "como", "una",
 ]
 #: Rule: metric, least value, greatest value; null: no bound. A document is kept if it meets all.
 RULES = [
     ("mean_word_chars", 1.5, 20.0),
-    ("symbol_ratio", None, 0.5),
+    ("symbol_ratio", None, 0.25),
     ("stop_word_ratio", 0.01, 0.8),
     ("dup_line_ratio", None, 0.5),
 ]

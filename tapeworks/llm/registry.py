@@ -93,7 +93,7 @@ m as (select l.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
   not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and word_chars / n_words between 1.5 and 20.0
-  and n_symbols / n_words <= 0.5 and n_stop / n_words between 0.01 and 0.8 and (n_lines = 0 or n_dup_lines / n_lines <= 0.5) as kept
+  and n_symbols / n_words <= 0.25 and n_stop / n_words between 0.01 and 0.8 and (n_lines = 0 or n_dup_lines / n_lines <= 0.5) as kept
 from m""",
     "op4_decontaminate": rf"""
 with sets as (
