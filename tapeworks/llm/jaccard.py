@@ -225,7 +225,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         links = links.unionByName(_large_groups(rows.join(sizes.where(large), "comp"), percent))
     found = components(links).select(F.col("node").alias("rep"), F.col("component").alias("found"))
     classes = sets.select("key", "rep", "n_shingles").join(found, "rep", "left")
-    classes = classes.groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.min(F.coalesce("found", "rep")).alias("found"))
+    # stored, so that what joins is two plain shuffles, of which a class with a third of all rows can be split
+    classes = stored(classes.groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.min(F.coalesce("found", "rep")).alias("found")), "classes")
     return ids.join(classes, "key", "left").select(
         "doc_id",
         "n_shingles",
