@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text in a chunk, and bytes of text for which there is one bucket.
-CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
+CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 12 << 20
 
 ASKED = "chunk long, bucket int, vals binary, weights binary, flags binary"
 ANSWER = "chunk long, tag int, bucket int, reply binary"

@@ -15,15 +15,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .words import mix
+from .words import give_back, mix, small_batches
 
 ORDER = 4
 #: Documents of each language that are learned from, of which one in CALIBRATE_EVERY is for calibration; languages that a corpus may have.
 SAMPLE_DOCS, CALIBRATE_EVERY, MAX_LANGUAGES = 500, 5, 500
 #: A text is rejected if its cross-entropy is over so many times the 99th percentile of its language's own.
 REJECT_AT = 1.5
-#: Distinct words that a task keeps; words read at once.
-KEPT_WORDS, AT_ONCE = 400_000, 1_000_000
+#: Distinct words that a task keeps; words read at once; words scored at once.
+KEPT_WORDS, AT_ONCE, SCORED_AT_ONCE = 250_000, 200_000, 5_000
 
 _BEGIN, _END = "\x02", "\x03"
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -32,7 +32,10 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 def letters(word: bytes) -> str:
     """A word's letters, lower-cased."""
     text = word.decode().lower()
-    return text if text.isalpha() else "".join(c for c in text if c.isalpha())
+    if text.isalpha():
+        return text
+    inner = text.strip(".,;:!?%&$#*|()'\"-0123456789")
+    return inner if inner.isalpha() else "".join(filter(str.isalpha, text))
 
 
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
@@ -62,20 +65,40 @@ class Model:
     limits: np.ndarray
     sharpness: float = 10.0
 
+    def __post_init__(self) -> None:
+        """For each sorted array where the hashes of each leading-bits value begin, and the most that share one."""
+        self.starts = []
+        # the row at -1 is of n-grams that no language has: no share, and all weight to the order below
+        width = len(self.languages)
+        self.padded = [(np.vstack([x, np.zeros((1, width), np.float32)]), np.vstack([y, np.ones((1, width), np.float32)])) for x, y in zip(self.shares, self.leaves, strict=True)]
+        for h in self.hashes:
+            bits = int(4 * len(h)).bit_length()
+            begins = np.searchsorted(h >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+            self.starts.append((np.uint64(64 - bits), begins, int(np.diff(begins).max())))
+
+    def find(self, n: int, grams: np.ndarray) -> np.ndarray:
+        """Where n-grams are in their sorted array, or -1."""
+        (shift, begins, most), h = self.starts[n - 1], self.hashes[n - 1]
+        at, last = begins[grams >> shift], len(h) - 1
+        for _ in range(most):
+            at = at + (h[np.minimum(at, last)] < grams)
+        at = np.minimum(at, last)
+        return np.where(h[at] == grams, at, -1)
+
     def words(self, words: list[str]) -> np.ndarray:
         """Log-probabilities of words under each language."""
         word, place, grams, _ = _grams(words)
         rows = np.flatnonzero(place > 0)
-        p = np.full((len(rows), len(self.languages)), self.base)
+        p = np.broadcast_to(self.base, (len(rows), len(self.languages)))
         left = None
         for n in range(1, ORDER + 1):
-            at = np.minimum(np.searchsorted(self.hashes[n - 1], grams[n - 1]), len(self.hashes[n - 1]) - 1)
-            found = (self.hashes[n - 1][at] == grams[n - 1]) & (place >= n - 1)
-            fits = (place[rows] >= n - 1)[:, None]
-            share = np.where(found[rows, None], self.shares[n - 1][at[rows]], 0)
-            weight = np.where(left[rows - 1, None] >= 0, self.leaves[n - 2][left[rows - 1]], 1) if n > 1 else self.leaves0()
-            p = np.where(fits, share + weight * p, p)
-            left = np.where(found, at, -1)
+            at = np.where(place >= n - 1, self.find(n, grams[n - 1]), -1)
+            own, before = at[rows], None if n == 1 else left[rows - 1]
+            weight = self.leaves0() if n == 1 else self.padded[n - 2][1][before]
+            fits = place[rows] >= n - 1
+            higher = self.padded[n - 1][0][own] + weight * p
+            p = higher if fits.all() else np.where(fits[:, None], higher, p)
+            left = at
         logs = np.log(p)
         out = np.zeros((len(words), len(self.languages)))
         starts = np.flatnonzero(place[rows] == 1)
@@ -136,26 +159,28 @@ def fit(words: pd.DataFrame, languages: list[str]) -> Model:
 
 
 class Scorer:
-    """Cross-entropies of texts, with the scores of words kept up to KEPT_WORDS."""
+    """Cross-entropies of texts, with the scores of words kept up to KEPT_WORDS; row 0 of values is of words without letters."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model, self.known, self.stems = model, {}, {"": 0}
         self.values = np.zeros((1, len(model.languages) + 1))
 
     def _learn(self, words: list[bytes]) -> None:
         new = list(set(words).difference(self.known))
         if len(self.known) + len(new) > KEPT_WORDS:
             self.known.clear()
+            self.stems = {"": 0}
             self.values = self.values[:1]
             new = list(set(words))
-        texts = [letters(w) for w in new]
-        full = [i for i, t in enumerate(texts) if t]
-        self.known.update((w, 0) for w in new)
-        self.known.update((new[i], len(self.values) + k) for k, i in enumerate(full))
-        for k in range(0, len(full), 50_000):
-            some = [texts[i] for i in full[k : k + 50_000]]
-            sizes = np.array([[len(t) + 1] for t in some], float)
-            self.values = np.concatenate([self.values, np.hstack([-self.model.words(some), sizes])])
+        stems = list(map(letters, new))
+        fresh = list(set(stems).difference(self.stems))
+        self.stems.update(zip(fresh, range(len(self.values), len(self.values) + len(fresh)), strict=True))
+        self.known.update(zip(new, map(self.stems.__getitem__, stems), strict=True))
+        scored = [self.values]
+        for k in range(0, len(fresh), SCORED_AT_ONCE):
+            some = fresh[k : k + SCORED_AT_ONCE]
+            scored.append(np.hstack([-self.model.words(some), np.array([[len(t) + 1] for t in some], float)]))
+        self.values = np.concatenate(scored)
 
     def texts(self, texts: list[str | None]) -> np.ndarray:
         """Cross-entropy of each text under each language in nats a symbol; NaN without letters."""
@@ -181,16 +206,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     docs = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l"))
     docs = docs.where("l is not null and t is not null")
-    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i"))
-    picked = docs.select("i", "l").withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
+    counts = docs.groupBy("l").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: models of so many are not broadcast")
+    # about two samples of each language by hash, so that ranking them is as small on any corpus
+    share = F.lit(1.0)
+    for row in counts:
+        share = F.when(F.col("l") == row["l"], 2 * SAMPLE_DOCS / row["count"]).otherwise(share)
+    place = F.xxhash64("i")
+    rank = F.row_number().over(Window.partitionBy("l").orderBy(place, "i"))
+    drawn = docs.where((place / 2.0**64 + 0.5) < share).select("i", "l")
+    picked = drawn.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
     sample = docs.join(F.broadcast(picked), ["i", "l"])
     words = sample.where(F.col("rank") % CALIBRATE_EVERY != 0).select("l", F.explode(F.split("t", r"[\x20\x09-\x0D]+")).alias("w")).groupBy("l", "w").count()
     rows = words.toPandas()
     rows = pd.DataFrame({"lang": rows["l"], "word": [letters(w.encode()) for w in rows["w"]], "n": rows["count"]})
     rows = rows[rows["word"] != ""].groupby(["lang", "word"], as_index=False)["n"].sum()
     languages = sorted(rows["lang"].unique().tolist())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; models of more than {MAX_LANGUAGES} are not broadcast")
     model = fit(rows, languages)
     own = sample.where(F.col("rank") % CALIBRATE_EVERY == 0).select("l", "t").toPandas()
     return _calibrated(model, own) if languages else model
@@ -222,6 +254,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", into: str = "
     'und', with score 0 and rejected, if the text is null or has no letter or no language is known. rejected
     says that even the best model is too surprised by the text to claim it; lang_pred still names it.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -237,5 +270,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", into: str = "
             score = 1 / np.exp(-model.sharpness * (ce - least[:, None])).sum(1)
             limits = np.append(model.limits, np.inf)
             yield pd.DataFrame({"lang_pred": names[np.where(none, len(names) - 1, best)], "score": np.where(none, 0.0, score), "rejected": none | (least > limits[best])})
+        del scorer
+        give_back()
 
     return docs.withColumn(into, F.pandas_udf(run, "lang_pred string, score double, rejected boolean")(F.col(text_col).cast("string")))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import mix
+from .words import mix, small_batches
 
 MARK = "▁"
 #: Longest pre-token that gets into a trie; distinct pre-tokens that a task keeps; pre-tokens read at once.
@@ -161,5 +161,6 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     null or empty text has none. There is no shuffle: each task builds the trie of the pre-tokens it meets
     and starts afresh when it holds KEPT_WORDS, so memory is bounded whatever the vocabulary of the corpus.
     """
+    small_batches(docs.sparkSession)
     counted = docs.select(F.col(id_col).alias("doc_id"), _counter(model_path)(F.col(text_col).cast("string")).alias("c"))
     return counted.select("doc_id", F.col("c.n_words").alias("n_pretokens"), F.col("c.n_tokens").alias("n_tokens"))

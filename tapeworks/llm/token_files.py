@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions.scratch import new_path, stored
 
+from .words import small_batches
+
 MAGIC = b"BITPACK1"
 BLOCK = 1 << 16
 #: Distinct pre-tokens and chunks whose ids a task keeps.
@@ -176,6 +178,7 @@ def write_token_files(docs: DataFrame, out_uri: str, tokenizer_path: str, end_id
     its own name and then moves it into place, so half-written files are never read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     fs, path = _file(out_uri)
     fs.create_dir(path, recursive=True)
 

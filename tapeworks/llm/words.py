@@ -6,6 +6,9 @@ return. All of these are single bytes in UTF-8, so a text can be cut on its byte
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +16,9 @@ import pyarrow.compute as pc
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = b" \t\n\x0b\x0c\r"
 
+#: Rows that Spark hands to a Python worker at once: whole texts may be long, and 10,000 of them need not fit.
+BATCH_ROWS = 500
+
 _SLICE = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -23,6 +29,22 @@ _FOLDED[65:91] = _BYTE[97:123]
 _powers: list[np.ndarray] = []
 
 
+def small_batches(spark) -> None:
+    """Lowers the session's limit of rows in an Arrow batch to BATCH_ROWS, unless it is lower."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def give_back() -> None:
+    """Returns what a task has freed to the system: Spark keeps Python workers, which would hold it through later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads each bit over all of them."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
