@@ -24,8 +24,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are boilerplate of their source go; n_chars follows the text."""
-    out = lines.drop_boilerplate(docs)
+    """Lines that are boilerplate of their source go; n_chars follows the text. The copies of a document, which the
+    next stage reduces to one, count as one page here: else they would lose all their lines and none be left."""
+    out = lines.drop_boilerplate(docs, copies=False)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(*docs.columns)
 

@@ -21,29 +21,34 @@ def _key(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
-def boilerplate(docs: DataFrame, host: str, text: str, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str, text: str, ratio: float, min_pages: int, copies: bool = True) -> DataFrame:
     """(host, drops): of each site the hashes of its boilerplate lines, sites that have none left out.
 
     A page counts once for a line, and white space around a line doesn't count. A site's list is short: its
-    lines that over ``ratio`` of pages have are fewer than its mean lines a page divided by ``ratio``.
+    lines that over ``ratio`` of pages have are fewer than its mean lines a page divided by ``ratio``. Without
+    ``copies``, pages of a site with the same set of lines are one page; a task sends each set once.
     """
     pages = docs.where(F.col(host).isNotNull()).select(F.col(host).alias("host"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     solid = F.filter(_lines(F.col("t")), lambda s: F.trim(s) != "")
-    seen = pages.select("host", F.explode(F.array_distinct(F.transform(solid, _key))).alias("line"))
+    pages = pages.select("host", F.array_distinct(F.transform(solid, _key)).alias("lines"))
+    if not copies:
+        pages = pages.select("host", F.array_sort("lines").alias("lines")).distinct()
+    seen = pages.select("host", F.explode("lines").alias("line"))
     counts = seen.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
     common = counts.join(totals, "host").where(F.col("n") > ratio * F.col("pages"))
     return common.groupBy("host").agg(F.collect_set("line").alias("drops"))
 
 
-def drop_boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source", text_col: str = "text") -> DataFrame:
+def drop_boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source", text_col: str = "text", copies: bool = True) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text_col``, and the columns n_lines and n_dropped.
 
     Lines are what stands between line feeds; those that stay keep their order and white space. Blank lines
     always stay. A row with a null site or text stays as it is (0 lines for a null text). Every row counts as
-    a page, repeated ones too. A line of a third of all rows costs one row for each task that meets it.
+    a page, repeated ones too, unless ``copies`` is false: then the copies of a document don't make its lines
+    boilerplate. A line of a third of all rows costs one row for each task that meets it.
     """
-    drops = stored(boilerplate(docs, host_col, text_col, ratio, min_pages), "boilerplate")
+    drops = stored(boilerplate(docs, host_col, text_col, ratio, min_pages, copies), "boilerplate")
     size = drops.agg(F.sum(16 + F.octet_length("host") + 8 * F.size("drops"))).first()[0] or 0
     drops = drops.withColumnRenamed("host", "_host").withColumnRenamed("drops", "_drops")
     joined = docs.join(F.broadcast(drops) if size <= BROADCAST_BYTES else drops, docs[host_col] == drops["_host"], "left")

@@ -387,6 +387,21 @@ def test_drop_boilerplate(spark, monkeypatch):
     assert lines.drop_boilerplate(table.where("false")).count() == 0
 
 
+def test_copies_of_a_document_do_not_drop_its_lines(spark):
+    import corpus_pipeline
+
+    words = lambda k, j: " ".join(f"w{k}x{j}x{i}" for i in range(9))
+    rows = [(k, f"{words(k, 0)}\nfooter\n{words(k, 1)}", "a") for k in range(30)]
+    rows += [(100 + k, f"{words(99, 0)}\nfooter\n{words(99, 1)}" + " \n" * (k % 2), "a") for k in range(20)]
+    rows += [(200 + k, f"{words(98, 0)}\n{words(98, 1)}", "b") for k in range(6)] + [(300, None, "a"), (301, "footer", "a")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    after = corpus_pipeline.line_dedup(spark, table, "")
+    got = {r.doc_id: r.text for r in after.collect()}
+    assert got == {i: t if t is None else "\n".join(x for x in t.split("\n") if x != "footer") for i, t, _ in rows}
+    kept = corpus_pipeline.near_duplicates(spark, after, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(30), 100, 200, 300, 301]
+
+
 # 9 Jaccard join
 
 
