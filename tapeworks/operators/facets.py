@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.common import optional_filters, ratio, round4, top1
 from tapeworks.functions.rules import cap_band
+from tapeworks.functions.scratch import stored
 from tapeworks.operators.currencies import market_cap_usd
 from tapeworks.operators.funds import best_node, holdings_current
 
@@ -84,18 +85,54 @@ def aggregate_performance(spine: DataFrame, performance: DataFrame, period: str,
     )
 
 
+def _nearest(level: Column, k: Column | int) -> Column:
+    """The first k of an array of peers in the order of rounded distance and id."""
+    return F.slice(F.array_sort(level), 1, k)
+
+
+def _sized(members: Column, peer_cap: Column, cap: Column) -> Column:
+    """Members of a level as peers of a level of ``cap``: rounded distance and id come first, to sort by."""
+    d = F.abs(F.log10(peer_cap / cap))
+    return F.transform(
+        members,
+        lambda m: F.struct(F.round(d, 9).alias("rounded"), m["security_id"].alias("peer_id"), m["name"].alias("peer_name"), m["symbol"].alias("peer_symbol"), peer_cap.alias("peer_market_cap_usd"), d.alias("d")),
+    )
+
+
 def peers(spine: DataFrame, k: int = 5) -> DataFrame:
-    """Each security's k nearest in its sector by the size of the log ratio of caps.
+    """Each security's k nearest in its sector by the size of the log ratio of caps; ties in distance, rounded to 9
+    decimals, go to the lesser id.
 
-    Sorted by cap, the k nearest of a security are among the k below and the k above it; ties in distance go
-    to the lesser id. Two windows over the sector's order find them, and no pair beyond is formed.
+    A level is a cap of a sector with its k + 1 least ids, the most that can be asked of it. The k + 1 levels below
+    and above hold the k nearest of a level's members, other than itself, unless the last of them ties with the
+    last that is taken: only such levels meet all levels of that distance.
     """
     rows = spine.where("sector_id is not null and market_cap_usd > 0").select("security_id", "symbol", "name", "sector_id", "market_cap_usd")
-    order = Window.partitionBy("sector_id").orderBy("market_cap_usd", "security_id")
-    one = F.struct(F.col("security_id").alias("peer_id"), F.col("name").alias("peer_name"), F.col("symbol").alias("peer_symbol"), F.col("market_cap_usd").alias("peer_market_cap_usd"))
-    near = [f(one, i).over(order) for f in (F.lag, F.lead) for i in range(1, k + 1)]
-    rows = rows.withColumn("near", F.array_compact(F.array(*near)))
-    rows = rows.select("security_id", "market_cap_usd", "sector_id", F.inline("near"))
-    rows = rows.withColumn("d", F.abs(F.log10(F.col("peer_market_cap_usd") / F.col("market_cap_usd"))))
-    rank = F.row_number().over(Window.partitionBy("security_id").orderBy(F.round("d", 9), "peer_id"))
-    return rows.withColumn("r", rank).where(F.col("r") <= k).select("security_id", "peer_id", "peer_name", "peer_symbol", "peer_market_cap_usd", "market_cap_usd", "sector_id", round4(F.col("d")).alias("size_distance"))
+    rows = stored(rows, "peers")
+    key = ["sector_id", "market_cap_usd"]
+    least = rows.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy("security_id"))).where(F.col("r") <= k + 1)
+    levels = stored(least.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("security_id", "name", "symbol"))).alias("members")), "peer_levels")
+    order = Window.partitionBy("sector_id").orderBy("market_cap_usd")
+    level, cap = F.struct("members", "market_cap_usd"), F.col("market_cap_usd")
+    around = [f(level, i).over(order) for f in (F.lag, F.lead) for i in range(1, k + 2)]
+    near = levels.withColumn("around", F.array(level, *around))
+    near = near.withColumn("near", _nearest(F.flatten(F.transform(F.array_compact("around"), lambda x: _sized(x["members"], x["market_cap_usd"], cap))), k + 1))
+    last, full = F.element_at("near", -1)["rounded"], F.size("near") > k
+    far = [F.round(F.abs(F.log10(F.col("around")[i]["market_cap_usd"] / cap)), 9) for i in (k + 1, 2 * k + 2)]
+    open_ = F.coalesce(full & (far[0] <= last), F.lit(False)) | F.coalesce(full & (far[1] <= last), F.lit(False))
+    near = stored(near.select(*key, "near", F.when(open_, last).alias("last")), "peer_near")
+    tied = near.where("last is not null")
+    if not tied.isEmpty():
+        # all levels at distances up to the last, of which those nearer than it are few
+        scale, edge = 10**8, 1e-8
+        at = F.log10("market_cap_usd")
+        sides = F.array(*[F.sequence(F.floor((at + s * F.col("last") - edge) * scale), F.floor((at + s * F.col("last") + edge) * scale)) for s in (-1, 1)])
+        probes = tied.select("sector_id", F.col("market_cap_usd").alias("own"), "near", "last", F.explode(F.array_distinct(F.flatten(sides))).alias("bin"))
+        others = levels.select("sector_id", F.floor(at * scale).alias("bin"), "market_cap_usd", "members")
+        met = probes.join(others, ["sector_id", "bin"]).withColumn("peer", F.explode(_sized(F.col("members"), cap, F.col("own")))).where(F.col("peer.rounded") == F.col("last"))
+        rank = F.row_number().over(Window.partitionBy("sector_id", "own").orderBy("peer.peer_id"))
+        met = met.withColumn("r", rank).where(F.col("r") <= k + 1).groupBy("sector_id", F.col("own").alias("market_cap_usd")).agg(F.collect_list("peer").alias("met"))
+        near = near.join(met, key, "left").withColumn("near", F.when(F.col("met").isNull(), F.col("near")).otherwise(_nearest(F.array_union(F.filter("near", lambda x: x["rounded"] < F.col("last")), F.col("met")), k + 1)))
+    own = rows.join(near.select(*key, "near"), key)
+    own = own.select("security_id", *key, F.inline(F.slice(F.filter("near", lambda x: x["peer_id"] != F.col("security_id")), 1, k)))
+    return own.select("security_id", "peer_id", "peer_name", "peer_symbol", "peer_market_cap_usd", "market_cap_usd", "sector_id", round4(F.col("d")).alias("size_distance"))

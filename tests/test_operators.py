@@ -1,6 +1,7 @@
 """Small literal cases, each chosen so that a tempting wrong formula gives another answer."""
 
 import datetime as dt
+import math
 from decimal import Decimal as D
 
 import pytest
@@ -125,6 +126,22 @@ def test_peers_are_comparable_in_one_currency(spark):
     assert abs([r for r in got if r.peer_id == 4][0].size_distance - 1.9542) < 1e-3
 
 
+def test_peers_of_equal_caps_are_the_least_ids(spark):
+    caps = [1e9] * 12 + [2e9, 3e9] + [5e9 + i / 8 for i in (7, 3, 11, 0, 5, 9, 1, 10, 2, 8, 4, 6, 12, 13)] + [7e9] * 13
+    caps += [5e9 * 1.5 + 9 * i for i in (3, 1, 2, 0)]
+    rows = [(i + 1, c, s, f"n{i}", f"S{i}") for s, shift in (("s", 0), ("t", 100)) for i, c in ((j + shift, c) for j, c in enumerate(caps))]
+    spine = table(spark, "security_id long, market_cap_usd double, sector_id string, name string, symbol string", *rows)
+    for k in (5, 2):
+        got = {}
+        for r in facets.peers(spine, k).collect():
+            got.setdefault(r.security_id, set()).add(r.peer_id)
+        for i, c, s, *_ in rows:
+            others = sorted((round(abs(math.log10(d / c)), 9), j) for j, d, t, *_ in rows if t == s and j != i)
+            assert got[i] == {j for _, j in others[:k]}, (k, i)
+    few = table(spark, "security_id long, market_cap_usd double, sector_id string, name string, symbol string", (1, 5.0, "s", None, None), (2, 5.0, "s", "b", "B"), (3, 9.0, "t", "c", "C"))
+    assert sorted((r.security_id, r.peer_id, r.size_distance) for r in facets.peers(few).collect()) == [(1, 2, 0.0), (2, 1, 0.0)]
+
+
 def test_style_ranks_within_a_cohort(spark):
     rows = [(i, "developed", 1 / i) for i in range(1, 41)] + [(100 + i, "emerging", 1 / (100 + i)) for i in range(1, 41)] + [(900 + i, "frontier", 1.0) for i in range(5)]
     spine = table(spark, "security_id long, security_type_code string, msci_tier string, market_cap_usd double", *[(i, "equity", t, 25e9) for i, t, _ in rows])
