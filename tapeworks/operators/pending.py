@@ -22,6 +22,7 @@ def pending(entities: DataFrame, done: DataFrame, marks: DataFrame, weights: Dat
 
 
 #: Instance: days after which what was done is stale (null: never), days before a failed try is repeated, and which entities count.
+#: home_symbol, corporate_actions and eps_history are coarser here than in the survey; their *_backlog functions have its whole conditions.
 INSTANCES: dict[str, tuple[int | None, int, str | None]] = {
     "ticker": (None, 30, "isin is not null"),
     "local_symbol": (None, 30, "country_iso2 <> 'US'"),
@@ -80,11 +81,56 @@ def pending_fx_history(currencies: DataFrame, rates: DataFrame, asof: dt.date, d
 
 
 def pending_quarters(statements: DataFrame) -> DataFrame:
-    """Securities that have annual statements and no quarterly ones."""
+    """Securities that have annual statements and no quarterly ones; quarters_backlog() has the other conditions."""
     have = lambda p: statements.where(F.col("period_type") == p).select("security_id")
     return statements.select("security_id").distinct().join(have("annual"), "security_id", "left_semi").join(have("quarter"), "security_id", "left_anti")
 
 
+def _nothing_done(marks: DataFrame) -> DataFrame:
+    return marks.where(F.lit(False)).select("security_id", F.col("marked_at").alias("done_at"))
+
+
+#: Failed fetches that put a symbol in doubt.
+DOUBT = ("industry", "profile", "performance")
+
+
+def home_symbol_backlog(entities: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
+    """Equities with an ISIN and a country whose symbol is missing, or in doubt since a fetch by it ever failed.
+
+    entities: security_id, security_type_code, isin, country_iso2, cik, symbol (the priced one), ticker (the US one).
+    """
+    failed = marks.where(F.col("what").isin(*DOUBT)).select("security_id").distinct().withColumn("failed", F.lit(True))
+    rows = entities.withColumn("current_symbol", F.coalesce("symbol", "ticker")).join(failed, "security_id", "left")
+    where = F.expr("security_type_code = 'equity' and isin is not null and country_iso2 is not null and (failed or current_symbol is null)")
+    return pending(rows, _nothing_done(marks), marks, weights, "home_symbol", asof, where=where).select("security_id", "isin", "country_iso2", "current_symbol", "best_weight")
+
+
+def corporate_actions_backlog(entities: DataFrame, done: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
+    """Equities whose priced symbol is their US ticker, so that actions and prices are of one listing, without an action in 30 days."""
+    where = F.expr("security_type_code = 'equity' and upper(ticker) = upper(symbol)")
+    out = pending(entities, done.where("what = 'corporate_actions'"), marks, weights, "corporate_actions", asof, 30, where=where)
+    return out.select("security_id", F.col("ticker").alias("symbol"), "best_weight")
+
+
+def eps_history_backlog(entities: DataFrame, listings: DataFrame, done: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
+    """Equities with a US listing and a ticker without suffix, 1 % of some fund or more, not asked for in 90 days.
+
+    listings: security_id, exch_code. What was asked for in vain is in ``done`` too: there are no marks.
+    """
+    listed = listings.where("exch_code = 'US'").select("security_id")
+    rows = entities.where("security_type_code = 'equity' and ticker not like '%.%'").join(listed, "security_id", "left_semi")
+    fresh = done.where((F.col("what") == "eps_history") & (F.col("done_at") >= F.date_sub(F.lit(asof), 90))).select("security_id")
+    rows = rows.join(fresh, "security_id", "left_anti").join(weights, "security_id").where(F.col("best_weight") >= LEAST_WEIGHT["eps_history"])
+    return rows.select("security_id", F.col("ticker").alias("symbol"), "best_weight")
+
+
+def quarters_backlog(entities: DataFrame, statements: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
+    """Equities outside the SEC's files, with a symbol to ask by, that have annual statements and no quarterly ones."""
+    rows = entities.withColumn("fetch_symbol", F.coalesce("symbol", "ticker")).join(pending_quarters(statements), "security_id", "left_semi")
+    where = F.expr("security_type_code = 'equity' and cik is null and fetch_symbol is not null")
+    return pending(rows, _nothing_done(marks), marks, weights, "quarters", asof, where=where).select("security_id", "fetch_symbol", "best_weight")
+
+
 def clear_marks(marks: DataFrame, changed: DataFrame, symbol_keyed: list[str]) -> DataFrame:
     """Marks without those that were keyed by a symbol which has changed since."""
     gone = changed.select("security_id", "changed_at")

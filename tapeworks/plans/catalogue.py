@@ -396,6 +396,26 @@ query("pending_fx_history", f"select distinct currency_code from venue where cur
       lambda m: pending.pending_fx_history(m.venue.select("currency_code").distinct(), m.sql(_SHORT), ASOF))
 _PT = "select security_id, case when period_type = 'FY' then 'annual' when security_id % 8 = 1 then 'annual' else 'quarter' end as period_type from statement"
 query("pending_quarters", f"with p as ({_PT}) select security_id from p group by 1 having bool_or(period_type = 'annual') and not bool_or(period_type = 'quarter')", lambda m: pending.pending_quarters(m.sql(_PT)))
+# The whole conditions of survey 119, 130, 131e and 128; their SQL shares nothing with pending.py.
+_TICKERS = "select s.security_id, security_type_code, isin, country_iso2, cik, symbol, i.value as ticker from security s left join provider_symbol p on p.security_id = s.security_id left join identifier i on i.security_id = s.security_id and i.kind = 'ticker'"
+_NOT_TRIED = f"not exists (select 1 from mark x where x.security_id = e.security_id and x.what = '{{}}' and x.marked_at > {_A} - interval 30 day)"
+_DONE_B = "select security_id, what, done_at from done where security_id % 3 <> 0"
+query("home_symbol_backlog", f"""with {_MAXW}, e as ({_TICKERS}) select e.security_id, isin, country_iso2, coalesce(symbol, ticker) as current_symbol, coalesce(best_weight, 0.0) as best_weight from e left join mw on mw.security_id = e.security_id
+  where security_type_code = 'equity' and isin is not null and country_iso2 is not null and {_NOT_TRIED.format('home_symbol')}
+  and (coalesce(symbol, ticker) is null or e.security_id in (select security_id from mark where what in ('industry', 'profile', 'performance')))""",
+      lambda m: pending.home_symbol_backlog(m.sql(_TICKERS), m.mark, funds.max_weight(m.holding), ASOF))
+query("corporate_actions_backlog", f"""with {_MAXW}, e as ({_TICKERS}) select e.security_id, ticker as symbol, coalesce(best_weight, 0.0) as best_weight from e left join mw on mw.security_id = e.security_id
+  where security_type_code = 'equity' and upper(ticker) = upper(symbol) and {_NOT_TRIED.format('corporate_actions')}
+  and not exists (select 1 from ({_DONE_B}) x where x.security_id = e.security_id and x.what = 'corporate_actions' and x.done_at >= {_A} - interval 30 day)""",
+      lambda m: pending.corporate_actions_backlog(m.sql(_TICKERS), m.sql(_DONE_B), m.mark, funds.max_weight(m.holding), ASOF))
+query("eps_history_backlog", f"""with {_MAXW}, {_LIST}, e as ({_TICKERS}) select e.security_id, ticker as symbol, best_weight from e join mw on mw.security_id = e.security_id
+  where security_type_code = 'equity' and ticker not like '%.%' and best_weight >= 1 and e.security_id in (select security_id from ls where exch_code = 'US')
+  and not exists (select 1 from ({_DONE_B}) x where x.security_id = e.security_id and x.what = 'eps_history' and x.done_at >= {_A} - interval 90 day)""",
+      lambda m: pending.eps_history_backlog(m.sql(_TICKERS), _listings(m), m.sql(_DONE_B), funds.max_weight(m.holding), ASOF))
+query("quarters_backlog", f"""with {_MAXW}, st as ({_PT}), e as ({_TICKERS}) select e.security_id, coalesce(symbol, ticker) as fetch_symbol, coalesce(best_weight, 0.0) as best_weight from e left join mw on mw.security_id = e.security_id
+  where security_type_code = 'equity' and cik is null and coalesce(symbol, ticker) is not null and {_NOT_TRIED.format('quarters')}
+  and e.security_id in (select security_id from st where period_type = 'annual') and e.security_id not in (select security_id from st where period_type = 'quarter')""",
+      lambda m: pending.quarters_backlog(m.sql(_TICKERS), m.sql(_PT), m.mark, funds.max_weight(m.holding), ASOF))
 _CHG = "select p_partkey as security_id, date '2001-10-20' as changed_at from {part} where p_partkey % 10 = 0"
 query("clear_marks", "select k.* from mark k where not (what in ('prices', 'fundamentals') and security_id % 10 = 0 and marked_at < date '2001-10-20')", lambda m: pending.clear_marks(m.mark, m.sql(_CHG), ["prices", "fundamentals"]))
 _CNT = "select exch_code, cast(preference * 100 as bigint) as stored from venue"

@@ -244,6 +244,28 @@ def test_doing_the_work_empties_the_backlog(spark):
     assert pending.pending_instance("prices", ents, more, marks, weights, DAY).isEmpty()
 
 
+def test_backlogs_have_the_conditions_of_the_survey(spark):
+    schema = "security_id long, security_type_code string, isin string, country_iso2 string, cik long, symbol string, ticker string"
+    ents = table(
+        spark, schema,
+        (1, "equity", "I1", "DE", None, "WRONG.DE", None), (2, "equity", "I2", "DE", None, None, None), (3, "equity", "I3", "DE", None, "FINE.DE", None), (4, "equity", None, "DE", None, None, None),
+        (5, "equity", "I5", None, None, None, None), (6, "bond", "I6", "DE", None, None, None), (7, "equity", "I7", "DE", None, None, "T7"), (8, "equity", "I8", "NL", None, "asml", "ASML"),
+        (9, "equity", "I9", "US", 90, "NINE.L", "NINE"), (10, "equity", "I10", "US", 100, "TEN", "TEN"), (11, "equity", "I11", "US", None, None, None), (12, "equity", "I12", "FR", None, "TW.PA", "TW.PA"),
+    )
+    long_ago, lately = DAY - dt.timedelta(400), DAY - dt.timedelta(3)
+    marks = table(spark, "security_id long, what string, marked_at date", (1, "profile", long_ago), (1, "industry", lately), (3, "prices", lately), (11, "home_symbol", lately), (9, "performance", long_ago), (3, "quarters", lately), (7, "quarters", long_ago))
+    done = table(spark, "security_id long, what string, done_at date", (10, "corporate_actions", lately), (10, "eps_history", long_ago), (2, "home_symbol", lately))
+    weights = table(spark, "security_id long, best_weight double", *[(i, 2.0) for i in (1, 8, 9, 10, 12)])
+    home = by(pending.home_symbol_backlog(ents, marks, weights, DAY), "security_id")
+    assert {k: (r.current_symbol, r.best_weight) for k, r in home.items()} == {1: ("WRONG.DE", 2.0), 2: (None, 0.0), 9: ("NINE.L", 2.0)}
+    actions = by(pending.corporate_actions_backlog(ents, done, marks, weights, DAY), "security_id")
+    assert {k: r.symbol for k, r in actions.items()} == {8: "ASML", 12: "TW.PA"}
+    listings = table(spark, "security_id long, exch_code string", (8, "NA"), (9, "US"), (10, "US"), (10, "US"), (12, "US"), (7, "US"))
+    assert sorted(r.symbol for r in pending.eps_history_backlog(ents, listings, done, weights, DAY).collect()) == ["NINE", "TEN"]
+    statements = table(spark, "security_id long, period_type string", *[(i, "annual") for i in (1, 1, 2, 3, 6, 7, 8, 9)], (8, "quarter"), (12, "quarter"))
+    assert {r.security_id: r.fetch_symbol for r in pending.quarters_backlog(ents, statements, marks, weights, DAY).collect()} == {1: "WRONG.DE", 7: "T7"}
+
+
 def test_fund_weights(spark):
     holdings = table(spark, "fund_symbol string, security_id long, as_of date, weight decimal(28,2), market_value decimal(28,2)", ("F", 1, DAY, D(30), D(1)), ("F", 2, DAY, D(10), D(1)), ("F", 3, DAY, D(60), D(1)), ("F", 9, DAY, D(99), D(1)), ("F", 1, DAY - dt.timedelta(90), D(5), D(1)))
     f = table(spark, "fund_symbol string, security_id long, name string, kind string, represents_code string", ("F", 9, "fund", "broad", None))
