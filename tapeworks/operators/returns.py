@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.common import top1
+from tapeworks.functions.scratch import stored
 
 #: Periods and the days back to their anchors.
 PERIOD_DAYS = {"1w": 7, "1m": 30, "3m": 91, "6m": 182, "1y": 365, "3y": 1095, "5y": 1826}
@@ -130,11 +131,18 @@ def prune_prices(bars: DataFrame, asof: dt.date, days: int = 400) -> DataFrame:
 def price_plan(series: DataFrame, asof: dt.date, batch: int, window_days: int) -> DataFrame:
     """series: symbol, last_date. (symbol, batch, start): what to fetch from when.
 
-    Series never fetched, or not within the window, start at its begin; others go in batches of like dates.
+    Series never fetched, or not within the window, start at its begin; others go in batches of like dates. A
+    series' rank is its rank in its range of the order plus the sizes of the ranges before, so no task has them all.
     """
     begin = F.date_sub(F.lit(asof), window_days)
     full = F.col("last_date").isNull() | (F.col("last_date") < begin)
-    rank = F.row_number().over(Window.partitionBy("full").orderBy(F.asc_nulls_first("last_date"), "symbol"))
-    rows = series.withColumn("full", full).withColumn("batch", F.ceil(rank / batch).cast("long"))
+    order = [F.asc_nulls_first("last_date"), F.asc_nulls_first("symbol")]
+    # stored, as ranges are drawn by a sample and must be the same for the sizes and the ranks
+    rows = stored(series.withColumn("full", full).repartitionByRange("full", *order).withColumn("range", F.spark_partition_id()), "price_ranges")
+    sizes = rows.groupBy("full", "range").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("full").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("full", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
+    rank = F.row_number().over(Window.partitionBy("full", "range").orderBy(*order))
+    rows = rows.withColumn("rank", rank).join(sizes, ["full", "range"]).withColumn("batch", F.ceil((F.col("rank") + F.col("earlier")) / batch).cast("long"))
     start = F.when(F.col("full"), begin).otherwise(F.min("last_date").over(Window.partitionBy("full", "batch")))
     return rows.select("symbol", "full", "batch", start.alias("start"))

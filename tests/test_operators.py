@@ -94,6 +94,23 @@ def test_bars_are_checked(spark):
     assert acts == {(6, "dividend", 2.0), (6, "split", 4.0)}
 
 
+def test_price_plan_numbers_series_in_many_tasks(spark):
+    rows = [(f"S{i * 37 % 400:03}", None if i % 9 == 0 else DAY - dt.timedelta(i * i % 130)) for i in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = returns.price_plan(table(spark, "symbol string, last_date date", *rows), DAY, 20, 100)
+        got = out.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    begin, want = DAY - dt.timedelta(100), {}
+    for full in (True, False):
+        group = sorted((d or dt.date.min, s) for s, d in rows if (d is None or d < begin) == full)
+        for k, (_, s) in enumerate(group):
+            want[s] = (full, k // 20 + 1, begin if full else group[k // 20 * 20][0])
+    assert {r.symbol: (r.full, r.batch, r.start) for r in got} == want and len(got) == 400
+    assert len({r.task for r in got}) > 2
+
+
 def test_surprise_matches_the_right_quarter(spark):
     cal = table(spark, "symbol string, report_date date, security_id string, period_ending string, eps_consensus decimal(28,4)", ("A", DAY, "a", "2026-06", D("2.00")), ("B", DAY, "b", "2026-06", D("-0.10")), ("C", DAY, "c", "2026-06", D("1")), ("Z", DAY, "z", "2026-06", D("0")))
     m = table(spark, METRIC, *[(i, "eps_diluted", "quarter", day(x), D(v), "USD", "sec") for i, x, v in (("a", "2026-07-04", "2.50"), ("a", "2026-03-31", "9"), ("b", "2026-06-30", "-0.05"), ("z", "2026-06-30", "1"))])
