@@ -15,14 +15,15 @@ def stream_prices(bars: DataFrame, path: str, checkpoint: str, delay: str = "10
     """Bars (series_id, ts, close) once each, stored by batch; read_prices() gives the last of each day.
 
     A batch writes a folder of its own number and reads nothing that is stored, so its work doesn't grow with
-    the table, and a batch that is run again replaces its own folder.
+    the table, and a batch that is run again replaces its own folder. Of bars of one time with other closes the
+    greatest of a batch stays, whichever comes first.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         rows = top1(batch.withColumn("date", F.to_date("ts")), ["series_id", "date"], F.desc("ts"), F.desc("close"))
         rows.write.mode("overwrite").parquet(f"{path}/batch={epoch}")
 
-    unique = bars.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["series_id", "ts"])
+    unique = bars.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["series_id", "ts", "close"])
     return unique.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

@@ -75,3 +75,12 @@ def test_streams(spark, tmp_path):
     assert {r.url for r in spark.read.parquet(str(tmp_path / "n")).collect()} == {"u", "w"} and spark.read.parquet(str(tmp_path / "n")).count() == 2
     streams.stream_derive(spark.readStream.schema(schema).parquet(str(tmp_path / "news")), lambda b: b.groupBy("url").agg(F.count("*").alias("n")), str(tmp_path / "d"), str(tmp_path / "dcp")).awaitTermination()
     assert {(r.url, r.n) for r in spark.read.parquet(str(tmp_path / "d")).collect()} == {("u", 2), ("w", 1)}
+
+
+def test_bars_of_one_time_do_not_depend_on_their_order(spark, tmp_path):
+    schema, noon = "series_id long, ts timestamp, close double", dt.datetime(2026, 8, 1, 12)
+    for name, closes in (("up", (5.0, 6.0, 7.0, 7.0)), ("down", (7.0, 6.0, 5.0, 7.0))):
+        src, out = str(tmp_path / name), str(tmp_path / f"{name}-out")
+        spark.createDataFrame([(1, noon, c) for c in closes], schema).coalesce(1).write.parquet(src)
+        streams.stream_prices(spark.readStream.schema(schema).parquet(src), out, str(tmp_path / f"{name}-cp")).awaitTermination()
+        assert [r.close for r in streams.read_prices(spark, out).collect()] == [7.0]
