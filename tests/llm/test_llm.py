@@ -306,6 +306,34 @@ def test_token_files(spark, tmp_path, monkeypatch):
     assert token_files.read_token_files(empty).count() == 0
 
 
+def test_other_tokenizers_get_whole_texts(spark, tmp_path, monkeypatch):
+    """A vocabulary whose tokens hold white space isn't cut; long texts of one that may be cut give the same ids in runs."""
+    from tokenizers import Tokenizer
+
+    for name, cuts in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        path = tokenizer_file(name)
+        tokenizer = Tokenizer.from_file(path)
+        assert token_files.Encoder(path).by_chunk is cuts
+        monkeypatch.setattr(token_files, "RUN_CHARS", 500)
+        rows = corpus(11, 30)[:30] + [(800, "a  b\n c"), (801, " x" * 2000), (802, None)]
+        written = list(token_files.runs(iter(rows), cuts))
+        assert any(goes_on for _, _, goes_on in written) is cuts and sorted({i for own, _, _ in written for i in own}) == sorted(i for i, _ in rows)
+        manifest = token_files.write_token_files(docs(spark, rows), f"file://{tmp_path}/{name}", path)
+        got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_files.read_token_files(manifest).collect()}
+        want = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in rows}
+        assert got == {i: (len(w), zlib.crc32(w.tobytes())) for i, w in want.items()}
+
+
+def test_an_encoder_that_forgets_still_encodes(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file("word_bpe_49k.json")
+    monkeypatch.setattr(token_files, "KEPT_CHUNKS", 20)
+    encoder, tokenizer = token_files.Encoder(path), Tokenizer.from_file(path)
+    for i, t in corpus(12, 40):
+        assert encoder.encode(t or "").tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, i
+
+
 def test_reader_crosses_blocks(tmp_path):
     from pyarrow import fs
 
