@@ -4,7 +4,9 @@ Documents are dealt to chunks of a bounded number of bytes. A chunk sends the so
 to range buckets, one packed row for each bucket: a hash costs about two bytes, however often the chunk
 holds it, so that no passage, however common, is hot. A bucket answers each chunk in the order in which
 it asked, and the chunk, which recomputes its sorted hashes from the same documents, puts the answers in
-place. Chunks and buckets are many as the bytes are many; each is one bounded group of a task.
+place. Chunks and buckets are many as the bytes are many; each is one bounded group of a task. A chunk has
+no row for a bucket in which it has no hash, so rows are at most one for each distinct hash of a chunk:
+on a large corpus rows become short, and never more than a plain shuffle of hashes would have.
 """
 
 from __future__ import annotations
@@ -12,8 +14,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from .words import trimmed
+
 #: Bytes of text in a chunk, and bytes of text for which there is one bucket.
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 12 << 20
+#: Parts of its range that a bucket goes through one by one.
+_PARTS = 8
 
 ASKED = "chunk long, bucket int, vals binary, weights binary, flags binary"
 ANSWER = "chunk long, tag int, bucket int, reply binary"
@@ -21,14 +27,16 @@ ANSWER = "chunk long, tag int, bucket int, reply binary"
 
 def plan(n_bytes: int) -> tuple[int, int]:
     """How many chunks and buckets texts of so many bytes get."""
-    return max(1, -(-n_bytes // CHUNK_BYTES)), min(1 << 15, max(1, -(-n_bytes // BUCKET_BYTES)))
+    return max(1, -(-n_bytes // CHUNK_BYTES)), max(1, -(-n_bytes // BUCKET_BYTES))
 
 
-def bucket_bounds(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """For sorted hashes: where each bucket's begin, and the 32 bits that tell them apart within it."""
-    wide = (h >> np.uint64(16)) * np.uint64(buckets)
-    bounds = np.searchsorted(wide >> np.uint64(48), np.arange(buckets + 1, dtype=np.uint64))
-    return bounds, ((wide >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def bucket_bounds(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sorted hashes: the buckets that have some, where these begin and the last one ends, and the 32 bits that tell hashes apart within a bucket."""
+    n, low = np.uint64(buckets), np.uint64(0xFFFFFFFF)
+    wide = (h >> np.uint64(32)) * n + ((h & low) * n >> np.uint64(32))
+    bucket = (wide >> np.uint64(32)).astype(np.int32)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(h) else np.zeros(0, np.int64)
+    return bucket[starts], np.r_[starts, len(h)], (wide & low).astype(np.uint32)
 
 
 def packed(sorted_vals: np.ndarray) -> bytes:
@@ -37,19 +45,18 @@ def packed(sorted_vals: np.ndarray) -> bytes:
     return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def unpacked(data: bytes) -> np.ndarray:
+def unpacked(data: bytes | pa.Buffer) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(4, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
 def asked(chunk: int, h: np.ndarray, weights: np.ndarray, flags: np.ndarray, buckets: int) -> pa.Table:
     """The rows that a chunk sends. h: sorted set of hashes; weights: documents with it, up to 255; flags: 0 or 1."""
-    bounds, vals = bucket_bounds(h, buckets)
-    full = np.flatnonzero(bounds[1:] > bounds[:-1])
-    cut = [slice(bounds[b], bounds[b + 1]) for b in full]
+    full, bounds, vals = bucket_bounds(h, buckets)
+    cut = [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     return pa.table({
         "chunk": pa.array([chunk] * len(full), pa.int64()),
-        "bucket": pa.array(full.astype(np.int32), pa.int32()),
+        "bucket": pa.array(full, pa.int32()),
         "vals": pa.array([packed(vals[c]) for c in cut], pa.binary()),
         "weights": pa.array([weights[c].astype(np.uint8).tobytes() for c in cut], pa.binary()),
         "flags": pa.array([np.packbits(flags[c]).tobytes() for c in cut], pa.binary()),
@@ -60,32 +67,44 @@ def answered(tag: int, as_bits: bool):
     """For a bucket's rows: of each hash the sum of weights, up to 255, or 0 if no chunk flagged it; as_bits: whether that is 2 or more."""
 
     def run(table: pa.Table) -> pa.Table:
-        vals = [unpacked(x.as_py()) for x in table["vals"]]
-        weights = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table["weights"]])
-        flags = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(v)) for x, v in zip(table["flags"], vals, strict=True)])
-        every = np.concatenate(vals)
-        order = np.argsort(every, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(every[order]) != 0])
-        total = np.minimum(np.add.reduceat(weights[order].astype(np.int64), starts), 255)
-        total *= np.maximum.reduceat(flags[order], starts)
-        reply = np.empty(len(every), np.uint8)
-        reply[order] = np.repeat(total, np.diff(np.r_[starts, len(every)])).astype(np.uint8)
-        parts = np.split(reply, np.cumsum([len(v) for v in vals])[:-1])
+        vals = [unpacked(x.as_buffer()) for x in table["vals"]]
+        weights = [np.frombuffer(x.as_buffer(), np.uint8) for x in table["weights"]]
+        flags = [np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=len(v)) for x, v in zip(table["flags"], vals, strict=True)]
+        reply = [np.empty(len(v), np.uint8) for v in vals]
+        # a part of the range at a time, as each row is sorted
+        edges = np.linspace(0, 1 << 32, _PARTS + 1).astype(np.uint64)[1:-1].astype(np.uint32)
+        cuts = [[0, *np.searchsorted(v, edges).tolist(), len(v)] for v in vals]
+        for k in range(_PARTS):
+            own = [(i, c[k], c[k + 1]) for i, c in enumerate(cuts) if c[k] < c[k + 1]]
+            if not own:
+                continue
+            every, weight, flag = (np.concatenate([x[i][a:b] for i, a, b in own]) for x in (vals, weights, flags))
+            order = np.argsort(every, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(every[order]) != 0])
+            total = np.minimum(np.add.reduceat(weight[order], starts, dtype=np.int64), 255).astype(np.uint8)
+            total *= np.maximum.reduceat(flag[order], starts)
+            back = np.empty(len(every), np.uint8)
+            back[order] = np.repeat(total, np.diff(np.r_[starts, len(every)]))
+            at = 0
+            for i, a, b in own:
+                reply[i][a:b] = back[at : at + b - a]
+                at += b - a
         return pa.table({
             "chunk": table["chunk"],
-            "tag": pa.array([tag] * len(parts), pa.int32()),
+            "tag": pa.array([tag] * len(reply), pa.int32()),
             "bucket": table["bucket"],
-            "reply": pa.array([(np.packbits(p >= 2) if as_bits else p).tobytes() for p in parts], pa.binary()),
+            "reply": pa.array([(np.packbits(p >= 2) if as_bits else p).tobytes() for p in reply], pa.binary()),
         })
 
-    return run
+    return trimmed(run)
 
 
-def replies(table: pa.Table, tag: int, bounds: np.ndarray, as_bits: bool) -> np.ndarray:
-    """The answers to a chunk's sorted hashes, in their order. bounds: where each bucket's hashes begin."""
-    out = np.zeros(int(bounds[-1]), np.uint8)
+def replies(table: pa.Table, tag: int, full: np.ndarray, bounds: np.ndarray, as_bits: bool) -> np.ndarray:
+    """The answers to a chunk's sorted hashes, in their order. full, bounds: as bucket_bounds has them."""
+    out, place = np.zeros(int(bounds[-1]), np.uint8), {b: k for k, b in enumerate(full.tolist())}
     for t, b, reply in zip(table["tag"].to_pylist(), table["bucket"].to_pylist(), table["reply"], strict=True):
         if t == tag:
-            size, raw = bounds[b + 1] - bounds[b], np.frombuffer(reply.as_py(), np.uint8)
-            out[bounds[b] : bounds[b + 1]] = np.unpackbits(raw, count=size) if as_bits else raw
+            k = place[b]
+            size, raw = bounds[k + 1] - bounds[k], np.frombuffer(reply.as_buffer(), np.uint8)
+            out[bounds[k] : bounds[k + 1]] = np.unpackbits(raw, count=size) if as_bits else raw
     return out

@@ -10,8 +10,10 @@
    are at most the shingles in which they differ, which bounds the overlap from above. What passes is
    settled by the intersection of sorted arrays. Documents known to be of one component aren't compared
    again, so a tile returns a spanning forest and not all its pairs.
-5. A group too large for a task is first compared with a few leaders of its own; only documents that are
-   not of the component of most others are then compared with all blocks of neighbouring size bands.
+5. A group too large for a task is first compared with a few leaders of its own. Documents that are not of
+   the component of most others are then compared with those that share a key with them: each set of
+   documents that has a key in common is a tile, once, however many keys it shares. Keys of too many
+   documents for a tile make blocks, of which those of neighbouring size bands are compared.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from pyspark.sql import functions as F
 from . import exchange as X
 from .components import components
 from tapeworks.functions.scratch import stored
-from .words import gram_hashes, mix, word_hashes
+from .words import gram_hashes, mix, trimmed, word_hashes
 
-#: Documents, and bytes of sorted shingle arrays, that one tile may hold.
-TILE_DOCS, TILE_BYTES = 2000, 32 << 20
+#: Documents, and bytes of sorted shingle arrays, that one tile may hold; bytes for which there is a task's group of tiles.
+TILE_DOCS, TILE_BYTES, SLOT_BYTES = 1000, 16 << 20, 8 << 20
 _LEADERS = 8
 
 _SET = "key binary, rep long, n_shingles long, alive boolean, arr binary, keys array<long>"
@@ -71,13 +73,13 @@ def _ask(n: int, buckets: int):
         _, _, every, count = _sets(docs, known, n)
         return X.asked(chunk, every, np.minimum(count, 255), np.ones(len(every), bool), buckets)
 
-    return run
+    return trimmed(run)
 
 
 def _keyed(n: int, buckets: int, percent: int):
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         docs, sets, every, _ = _sets(docs, known, n)
-        df = X.replies(known, 1, X.bucket_bounds(every, buckets)[0], False) if len(every) else np.zeros(0, np.uint8)
+        df = X.replies(known, 1, *X.bucket_bounds(every, buckets)[:2], False)
         alive, arrays, keys = [], [], []
         for s in sets:
             held, least = df[np.searchsorted(every, s)], -(-percent * len(s) // 100)
@@ -98,7 +100,7 @@ def _keyed(n: int, buckets: int, percent: int):
             "keys": pa.array(keys, pa.list_(pa.int64())),
         })
 
-    return run
+    return trimmed(run)
 
 
 def signatures(sets: list[np.ndarray], width: int) -> np.ndarray:
@@ -145,45 +147,64 @@ def _compare(percent: int):
                 links += _forest(ids[rows], sizes[rows], sets, labels[rows], sides[rows], percent)
         return pa.table({c: pa.array([x[k] for x in links], pa.int64()) for k, c in enumerate("ab")})
 
-    return run
+    return trimmed(run)
 
 
-def _links(rows: DataFrame, percent: int) -> DataFrame:
-    """rows: tile, side, rep, n_shingles, arr, label. Small tiles are dealt to tasks together."""
-    spark = rows.sparkSession
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.withColumn("slot", F.pmod(F.xxhash64("tile"), F.lit(4 * slots)))
-    return rows.groupBy("slot").applyInArrow(_compare(percent), _LINK)
+def _links(tiles: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links of tiles (tile, side, rep), of which small ones are dealt to tasks together. rows: rep, n_shingles, arr, label."""
+    tiles = stored(tiles, "tiles")
+    size = tiles.join(rows.select("rep", "n_shingles"), "rep").agg(F.sum(8 * F.col("n_shingles")).alias("b")).first()["b"] or 0
+    slots = max(int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLOT_BYTES))
+    full = tiles.join(rows.select("rep", "n_shingles", "arr", "label"), "rep").withColumn("slot", F.pmod(F.xxhash64("tile"), F.lit(slots)))
+    return full.groupBy("slot").applyInArrow(_compare(percent), _LINK)
 
 
-def _large_groups(rows: DataFrame, percent: int) -> DataFrame:
-    """Links inside groups too large for one tile."""
-    block = F.pmod(F.xxhash64("rep", F.lit(7)), F.greatest(F.lit(1), F.ceil(F.col("docs") / 500)))
+def _blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """(tile, side, rep) that bring each of the rest of a group together with all that are of a near size. rows: comp, rep, n_shingles, rest."""
+    sizes = rows.groupBy("comp").agg(F.count("*").alias("docs"), F.sum(8 * F.col("n_shingles")).alias("bytes"))
+    parts = F.greatest(F.ceil(2 * F.col("docs") / TILE_DOCS), F.ceil(2 * F.col("bytes") / TILE_BYTES))
+    block = F.pmod(F.xxhash64("rep", F.lit(7)), F.greatest(F.lit(1), parts))
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / percent))).cast("long")
-    rows = stored(rows.withColumn("block", block).withColumn("band", band), "large")
+    rows = stored(rows.join(sizes, "comp").select("comp", "rep", "rest", band.alias("band"), block.alias("block")), "blocks")
+    heads = rows.where("rest").select("comp", F.col("band").alias("own"), F.col("block").alias("head")).distinct()
+    near = heads.withColumn("band", F.explode(F.array(*[F.col("own") + k for k in (-1, 0, 1)])))
+    pairs = near.join(rows.select("comp", "band", "block").distinct(), ["comp", "band"])
+    tile = F.xxhash64("comp", "own", "head", "band", "block").alias("tile")
+    others = pairs.join(rows, ["comp", "band", "block"]).select(tile, F.lit(0).alias("side"), "rep")
+    ahead = rows.where("rest").select("comp", F.col("band").alias("own"), F.col("block").alias("head"), "rep")
+    both = pairs.join(ahead, ["comp", "own", "head"]).select(tile, F.lit(1).alias("side"), "rep").unionByName(others)
+    return both.groupBy("tile", "rep").agg(F.max("side").alias("side"))
+
+
+def _shared(rows: DataFrame, percent: int) -> DataFrame:
+    """(tile, side, rep) that bring each of the rest of a group together with all that share a key with it. rows: comp, rep, n_shingles, keys, rest, label."""
+    keys = stored(rows.select("comp", "rep", "n_shingles", "rest", "label", F.explode("keys").alias("h")), "keys")
+    lists = keys.groupBy("h").agg(F.count("*").alias("docs"), F.sum(8 * F.col("n_shingles")).alias("bytes"), F.max("rest").alias("any"), (F.min("label") < F.max("label")).alias("mixed"))
+    lists = stored(lists.where("any and mixed"), "lists")
+    fits = (F.col("docs") <= TILE_DOCS) & (F.col("bytes") <= TILE_BYTES)
+    few = keys.join(lists.where(fits).select("h"), "h").groupBy("h").agg(F.array_sort(F.collect_set("rep")).alias("reps")).select("reps").distinct()
+    few = few.select(F.xxhash64("reps").alias("tile"), F.explode("reps").alias("rep")).join(rows.select("rep", "rest"), "rep")
+    few = few.select("tile", F.col("rest").cast("int").alias("side"), "rep")
+    many = keys.join(lists.where(~fits).select("h"), "h").select("comp", "rep", "n_shingles", "rest").distinct()
+    return few.unionByName(_blocks(many, percent))
+
+
+def _large_groups(rows: DataFrame, percent: int) -> DataFrame:
+    """Links inside groups too large for one tile. rows: comp, docs, bytes, rep, n_shingles, arr, keys, label."""
+    rows = stored(rows, "large")
+    parts = F.greatest(F.ceil(2 * F.col("docs") / TILE_DOCS), F.ceil(2 * F.col("bytes") / TILE_BYTES))
+    block = F.pmod(F.xxhash64("rep", F.lit(7)), parts)
     leaders = rows.groupBy("comp", F.pmod(F.xxhash64("rep"), F.lit(_LEADERS)).alias("_")).agg(F.max_by("rep", F.struct(-F.size("keys"), -F.col("rep"))).alias("rep")).select("comp", "rep")
-    lead = rows.join(leaders, ["comp", "rep"], "left_semi")
-    blocks = rows.select("comp", "block").distinct()
-    cols = ("rep", "n_shingles", "arr", "label")
-    tile = F.xxhash64("comp", "block")
-    star = lead.drop("block").join(blocks, "comp").select(tile.alias("tile"), F.lit(1).alias("side"), *cols)
-    star = star.unionByName(rows.join(leaders, ["comp", "rep"], "left_anti").select(tile.alias("tile"), F.lit(0).alias("side"), *cols))
-    first = stored(_links(star, percent), "links")
+    tile = F.xxhash64("comp", "block").alias("tile")
+    blocks = rows.select("comp", block.alias("block")).distinct()
+    star = leaders.join(blocks, "comp").select(tile, F.lit(1).alias("side"), "rep")
+    rest = rows.select("comp", "rep", block.alias("block")).join(leaders, ["comp", "rep"], "left_anti").select(tile, F.lit(0).alias("side"), "rep")
+    first = stored(_links(star.unionByName(rest), rows, percent), "links")
     label = components(first).select(F.col("node").alias("rep"), F.col("component").alias("found"))
     rows = stored(rows.join(label, "rep", "left").withColumn("label", F.coalesce("found", "rep")).drop("found"), "labelled")
     main = rows.groupBy("comp", "label").count().groupBy("comp").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    rest = rows.join(main, "comp").where("label <> main").drop("main")
-    heads = rest.select("comp", F.col("band").alias("rest_band"), F.col("block").alias("rest_block")).distinct()
-    tiles = heads.withColumn("near", F.explode(F.array(*[F.col("rest_band") + k for k in (-1, 0, 1)]))).join(
-        rows.select("comp", F.col("band").alias("near"), "block").distinct(), ["comp", "near"]
-    )
-    name = F.xxhash64("comp", "rest_band", "rest_block", "near", "block").alias("tile")
-    others = tiles.join(rows.withColumnRenamed("band", "near"), ["comp", "near", "block"]).select(name, F.lit(0).alias("side"), *cols)
-    own = tiles.withColumnRenamed("block", "other").join(
-        rest.withColumnRenamed("band", "rest_band").withColumnRenamed("block", "rest_block"), ["comp", "rest_band", "rest_block"]
-    ).select(F.xxhash64("comp", "rest_band", "rest_block", "near", "other").alias("tile"), F.lit(1).alias("side"), *cols)
-    both = own.unionByName(others).groupBy("tile", "rep").agg(F.max("side").alias("side"), *[F.first(c).alias(c) for c in cols[1:]])
-    return first.unionByName(_links(both, percent))
+    rest = rows.select("comp", "rep", "n_shingles", "keys", "label").join(main, "comp").withColumn("rest", F.col("label") != F.col("main"))
+    return first.unionByName(_links(_shared(rest, percent), rows, percent))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,7 +220,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     docs = docs.withColumn("key", F.unhex(F.md5("text")))
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     chunks, buckets = X.plan(size)
-    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks))
+    # a row without an id is in no class of its own and goes anywhere
+    chunk = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("key"))), F.lit(chunks))
     ids = stored(docs.select("doc_id", "key"), "ids")
     reps = stored(ids.groupBy("key").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "reps")
     blank = [F.lit(None).cast(t).alias(c) for c, t in (("tag", "int"), ("bucket", "int"), ("reply", "binary"))]
@@ -219,8 +241,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     sizes = rows.groupBy("comp").agg(F.count("*").alias("docs"), F.sum(8 * F.col("n_shingles")).alias("bytes"))
     sizes = stored(sizes.where("docs > 1"), "sizes")
     small, large = f"docs <= {TILE_DOCS} and bytes <= {TILE_BYTES}", f"docs > {TILE_DOCS} or bytes > {TILE_BYTES}"
-    cols = (F.lit(1).alias("side"), "rep", "n_shingles", "arr", "label")
-    links = _links(rows.join(sizes.where(small), "comp").select(F.col("comp").alias("tile"), *cols), percent)
+    tiles = rows.join(sizes.where(small), "comp").select(F.col("comp").alias("tile"), F.lit(1).alias("side"), "rep")
+    links = _links(tiles, rows, percent)
     if not sizes.where(large).isEmpty():
         links = links.unionByName(_large_groups(rows.join(sizes.where(large), "comp"), percent))
     found = components(links).select(F.col("node").alias("rep"), F.col("component").alias("found"))

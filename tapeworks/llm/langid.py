@@ -15,11 +15,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeworks.functions.scratch import stored
+
 from .words import give_back, mix, small_batches
 
 ORDER = 4
-#: Documents of each language that are learned from, of which one in CALIBRATE_EVERY is for calibration; languages that a corpus may have.
-SAMPLE_DOCS, CALIBRATE_EVERY, MAX_LANGUAGES = 500, 5, 500
+#: Documents of each language that are learned from, of which one in CALIBRATE_EVERY is for calibration; languages that share a table of n-grams.
+SAMPLE_DOCS, CALIBRATE_EVERY, LANGUAGES_AT_ONCE = 500, 5, 8
 #: A text is rejected if its cross-entropy is over so many times the 99th percentile of its language's own.
 REJECT_AT = 1.5
 #: Distinct words that a task keeps; words read at once; words scored at once.
@@ -62,8 +64,6 @@ class Model:
     shares: list[np.ndarray]
     leaves: list[np.ndarray]
     base: np.ndarray
-    limits: np.ndarray
-    sharpness: float = 10.0
 
     def __post_init__(self) -> None:
         """For each sorted array where the hashes of each leading-bits value begin, and the most that share one."""
@@ -155,13 +155,29 @@ def fit(words: pd.DataFrame, languages: list[str]) -> Model:
         shares.append(share)
         leaves.append(leave)
     leaves[ORDER - 1] = np.minimum(leaves[ORDER - 1], 1)
-    return Model(languages, hashes, shares, leaves, np.full(len(languages), 1 / symbols), np.full(len(languages), np.inf))
+    return Model(languages, hashes, shares, leaves, np.full(len(languages), 1 / symbols))
+
+
+@dataclass
+class Models:
+    """Models of all languages, in tables of LANGUAGES_AT_ONCE, with what calibration found."""
+
+    tables: list[Model]
+    limits: np.ndarray
+    sharpness: float = 10.0
+
+    @property
+    def languages(self) -> list[str]:
+        return [x for t in self.tables for x in t.languages]
+
+    def words(self, words: list[str]) -> np.ndarray:
+        return np.hstack([t.words(words) for t in self.tables])
 
 
 class Scorer:
     """Cross-entropies of texts, with the scores of words kept up to KEPT_WORDS; row 0 of values is of words without letters."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Models):
         self.model, self.known, self.stems = model, {}, {"": 0}
         self.values = np.zeros((1, len(model.languages) + 1))
 
@@ -197,80 +213,96 @@ class Scorer:
         return np.array(out).reshape(len(texts), len(self.model.languages))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Models:
     """A model of every language of ``docs``, learned from SAMPLE_DOCS documents of each, of which some only calibrate it.
 
-    These are the first by the hash of their id, whole texts, so what reaches the driver, their distinct
-    words with counts, is bounded by these parameters and MAX_LANGUAGES and not by the corpus. Rows without
-    a language or a text take no part.
+    These are the first by the hash of their id and text, whole texts. Only the distinct words of
+    LANGUAGES_AT_ONCE languages with counts, and the scores of calibrating documents, reach the driver at a
+    time, so what it holds follows the number of languages and not the corpus. Rows without a language or a
+    text take no part; rows that repeat an id are drawn one by one. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l"))
-    docs = docs.where("l is not null and t is not null")
-    counts = docs.groupBy("l").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: models of so many are not broadcast")
+    docs = docs.where("l is not null and t is not null").withColumn("place", F.xxhash64("i", "t"))
     # about two samples of each language by hash, so that ranking them is as small on any corpus
-    share = F.lit(1.0)
-    for row in counts:
-        share = F.when(F.col("l") == row["l"], 2 * SAMPLE_DOCS / row["count"]).otherwise(share)
-    place = F.xxhash64("i")
-    rank = F.row_number().over(Window.partitionBy("l").orderBy(place, "i"))
-    drawn = docs.where((place / 2.0**64 + 0.5) < share).select("i", "l")
-    picked = drawn.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
-    sample = docs.join(F.broadcast(picked), ["i", "l"])
+    share = docs.groupBy("l").agg((2 * SAMPLE_DOCS / F.count("*")).alias("share"))
+    drawn = docs.join(share, "l").where(F.col("place") / 2.0**64 + 0.5 < F.col("share"))
+    rank = F.row_number().over(Window.partitionBy("l").orderBy("place", "i", "t"))
+    sample = stored(drawn.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("l", "t", "rank"), "sample")
     words = sample.where(F.col("rank") % CALIBRATE_EVERY != 0).select("l", F.explode(F.split("t", r"[\x20\x09-\x0D]+")).alias("w")).groupBy("l", "w").count()
-    rows = words.toPandas()
-    rows = pd.DataFrame({"lang": rows["l"], "word": [letters(w.encode()) for w in rows["w"]], "n": rows["count"]})
-    rows = rows[rows["word"] != ""].groupby(["lang", "word"], as_index=False)["n"].sum()
-    languages = sorted(rows["lang"].unique().tolist())
-    model = fit(rows, languages)
-    own = sample.where(F.col("rank") % CALIBRATE_EVERY == 0).select("l", "t").toPandas()
-    return _calibrated(model, own) if languages else model
-
-
-def _calibrated(model: Model, own: pd.DataFrame) -> Model:
-    """Sets each language's limit and the sharpness of scores by documents the model wasn't fitted on."""
-    scores = Scorer(model).texts(own["t"].tolist())
-    known = own["l"].isin(model.languages).to_numpy() & ~np.isnan(scores).any(1)
-    scores, truth = scores[known], own["l"][known].map(model.languages.index).to_numpy(int)
+    words = stored(words, "sample_words")
+    known = sorted(r["l"] for r in words.where(F.col("w").rlike(r"\p{L}")).select("l").distinct().collect())
+    tables = []
+    for k in range(0, len(known), LANGUAGES_AT_ONCE):
+        some = known[k : k + LANGUAGES_AT_ONCE]
+        rows = words.where(F.col("l").isin(some)).toPandas()
+        rows = pd.DataFrame({"lang": rows["l"], "word": [letters(w.encode()) for w in rows["w"]], "n": rows["count"]})
+        rows = rows[rows["word"] != ""].groupby(["lang", "word"], as_index=False)["n"].sum()
+        tables.append(fit(rows, some))
+    models = Models(tables, np.full(len(known), np.inf))
+    return _calibrated(models, sample.where(F.col("rank") % CALIBRATE_EVERY == 0)) if known else models
+
+
+def _scores(spark, models: Models):
+    """A function of text columns: cross-entropies under each language, null without letters."""
+    shared = spark.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            yield pd.Series([None if np.isnan(x).any() else x.tolist() for x in scorer.texts(batch.tolist())], dtype=object)
+        del scorer
+        give_back()
+
+    return F.pandas_udf(run, "array<double>")
+
+
+def _calibrated(models: Models, own: DataFrame) -> Models:
+    """Sets each language's limit and the sharpness of scores by documents (l, t) the models weren't fitted on."""
+    small_batches(own.sparkSession)
+    rows = own.select("l", _scores(own.sparkSession, models)("t").alias("x")).collect()
+    place = {x: k for k, x in enumerate(models.languages)}
+    rows = sorted((place[r["l"]], r["x"]) for r in rows if r["l"] in place and r["x"] is not None)
+    truth, scores = np.array([k for k, _ in rows], int), np.array([x for _, x in rows]).reshape(len(rows), len(place))
     every = scores[np.arange(len(truth)), truth]
-    for k in range(len(model.languages)):
+    for k in range(len(place)):
         mine = every[truth == k] if (truth == k).any() else every
-        model.limits[k] = REJECT_AT * np.quantile(mine, 0.99) if len(mine) else np.inf
+        models.limits[k] = REJECT_AT * np.quantile(mine, 0.99) if len(mine) else np.inf
 
     def loss(sharpness: float) -> float:
         z = -sharpness * scores
         return float((np.log(np.exp(z - z.max(1, keepdims=True)).sum(1)) + z.max(1) - z[np.arange(len(truth)), truth]).sum())
 
     if len(truth):
-        model.sharpness = min((0.5, 1, 2, 4, 8, 16, 32), key=loss)
-    return model
+        models.sharpness = min((0.5, 1, 2, 4, 8, 16, 32), key=loss)
+    return models
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", into: str = "language") -> DataFrame:
-    """``docs`` with a struct column ``into``: lang_pred, score (0 to 1) and rejected.
+def predict(docs: DataFrame, models: Models, text_col: str = "text", into: str = "language") -> DataFrame:
+    """``docs`` with a struct column ``into``: lang_pred, score (0 to 1) and rejected; a column of that name is replaced.
 
     The language is that of the least cross-entropy over the whole text, the first by name of equals. It is
     'und', with score 0 and rejected, if the text is null or has no letter or no language is known. rejected
-    says that even the best model is too surprised by the text to claim it; lang_pred still names it.
+    says that even the best model is too surprised by the text to claim it; lang_pred still names it. Each row
+    is scored by itself, so null or repeated ids make no difference, and once, however often ``into`` is used.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        scorer = Scorer(model)
-        names = np.array([*model.languages, "und"], object)
+        models = shared.value
+        scorer, languages = Scorer(models), models.languages
+        names, limits = np.array([*languages, "und"], object), np.append(models.limits, np.inf)
         for batch in batches:
-            ce = scorer.texts(batch.tolist()) if model.languages else np.full((len(batch), 1), np.nan)
+            ce = scorer.texts(batch.tolist()) if languages else np.full((len(batch), 1), np.nan)
             none = np.isnan(ce).any(1)
             ce = np.where(none[:, None], 0, ce)
             best = ce.argmin(1)
             least = ce[np.arange(len(ce)), best]
-            score = 1 / np.exp(-model.sharpness * (ce - least[:, None])).sum(1)
-            limits = np.append(model.limits, np.inf)
+            score = 1 / np.exp(-models.sharpness * (ce - least[:, None])).sum(1)
             yield pd.DataFrame({"lang_pred": names[np.where(none, len(names) - 1, best)], "score": np.where(none, 0.0, score), "rejected": none | (least > limits[best])})
         del scorer
         give_back()
 
-    return docs.withColumn(into, F.pandas_udf(run, "lang_pred string, score double, rejected boolean")(F.col(text_col).cast("string")))
+    # else a filter on its fields would score each text a second time
+    once = F.pandas_udf(run, "lang_pred string, score double, rejected boolean").asNondeterministic()
+    return docs.withColumn(into, once(F.col(text_col).cast("string")))

@@ -41,22 +41,24 @@ def boilerplate(docs: DataFrame, host: str, text: str, ratio: float, min_pages:
 
 
 def drop_boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source", text_col: str = "text", copies: bool = True) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text_col``, and the columns n_lines and n_dropped.
+    """``docs`` with boilerplate lines taken out of ``text_col``, and the columns n_lines and n_dropped, which replace such columns of ``docs``.
 
     Lines are what stands between line feeds; those that stay keep their order and white space. Blank lines
-    always stay. A row with a null site or text stays as it is (0 lines for a null text). Every row counts as
+    always stay. A row with a null site or text stays as it is (0 lines for a null text); an empty text is one
+    blank line, an empty table stays empty. Null and repeated ids make no difference, as every row counts as
     a page, repeated ones too, unless ``copies`` is false: then the copies of a document don't make its lines
-    boilerplate. A line of a third of all rows costs one row for each task that meets it.
+    boilerplate. A line of a third of all rows costs one row for each task that meets it. No name of another
+    column can clash: rows are carried whole.
     """
     drops = stored(boilerplate(docs, host_col, text_col, ratio, min_pages, copies), "boilerplate")
     size = drops.agg(F.sum(16 + F.octet_length("host") + 8 * F.size("drops"))).first()[0] or 0
-    drops = drops.withColumnRenamed("host", "_host").withColumnRenamed("drops", "_drops")
-    joined = docs.join(F.broadcast(drops) if size <= BROADCAST_BYTES else drops, docs[host_col] == drops["_host"], "left")
-    lines = _lines(F.col(text_col))
-    stay = F.filter(lines, lambda s: (F.trim(s) == "") | ~F.array_contains("_drops", _key(s)))
-    names = [c for c in docs.columns if c != text_col]
-    joined = joined.select(*names, F.col(text_col).alias("_text"), lines.alias("_lines"), F.when(F.col("_drops").isNotNull(), stay).alias("_stay"))
-    n_lines, n_stay = F.coalesce(F.size("_lines"), F.lit(0)), F.coalesce(F.size("_stay"), F.size("_lines"), F.lit(0))
-    text = F.when(F.col("_stay").isNull(), F.col("_text")).otherwise(F.array_join("_stay", "\n"))
-    out = joined.select(*names, text.alias("_text"), n_lines.cast("long").alias("n_lines"), (n_lines - n_stay).cast("long").alias("n_dropped"))
-    return out.select(*[F.col("_text").alias(c) if c == text_col else F.col(c) for c in docs.columns], "n_lines", "n_dropped")
+    columns = [f"`{c.replace('`', '``')}`" for c in docs.columns]
+    rows = docs.select(F.struct(*[F.col(c).alias(f"c{k}") for k, c in enumerate(columns)]).alias("row"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
+    rows = rows.join(F.broadcast(drops) if size <= BROADCAST_BYTES else drops, "host", "left")
+    stay = F.filter("lines", lambda s: (F.trim(s) == "") | ~F.array_contains("drops", _key(s)))
+    rows = rows.select("row", "text", "drops", _lines(F.col("text")).alias("lines"))
+    rows = rows.select("row", "text", F.coalesce(F.size("lines"), F.lit(0)).alias("n"), F.when(F.col("drops").isNotNull(), stay).alias("stay"))
+    text = F.when(F.col("stay").isNull(), F.col("text")).otherwise(F.array_join("stay", "\n"))
+    out = [(text if c == text_col else F.col(f"row.c{k}")).alias(c) for k, c in enumerate(docs.columns) if c not in ("n_lines", "n_dropped")]
+    dropped = F.col("n") - F.coalesce(F.size("stay"), F.col("n"))
+    return rows.select(*out, F.col("n").cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"))

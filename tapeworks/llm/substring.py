@@ -2,8 +2,10 @@
 
 A window is 13 words. Wherever it lies in a document, it covers one of that document's blocks of 7 words
 that begin at words 0, 7, 14 ... So these blocks are the index, and every rolling run of 7 words probes
-it. Windows around a hit are compared whole, by a hash of 96 bits and more, between all chunks that hold
-them; equal windows that overlap or adjoin make up the maximal repeat, of which every word goes.
+it. Hits are extended: all windows around a hit are compared whole, by a hash of 96 bits and more, between
+all chunks that hold them. Equal windows that overlap or adjoin make up the maximal repeat, of which every
+word goes. A chunk says of each of its windows the least id that has it, so chunks need no order, and what
+belongs to one id may lie in several.
 """
 
 from __future__ import annotations
@@ -12,16 +14,17 @@ import hashlib
 from itertools import compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange as X
-from .words import gram_hashes, word_hashes
+from .words import gram_hashes, trimmed, word_hashes
 
-_WINDOW_ASKED = "chunk long, bucket int, vals binary"
+_WINDOW_ASKED = "chunk long, bucket int, vals binary, ids binary"
 _ANCHORS, _WINDOWS = 0, 1
+#: Parts of its range that a bucket of windows goes through one by one.
+_PARTS = 8
 
 
 def _probe(table: pa.Table, block: int):
@@ -58,7 +61,7 @@ def _ask_anchors(block: int, buckets: int):
         several = np.maximum.reduceat(own, starts) != np.minimum.reduceat(own, starts)
         return X.asked(table["chunk"][0].as_py(), h[order][starts], 1 + several, np.logical_or.reduceat(aligned[order], starts), buckets)
 
-    return run
+    return trimmed(run)
 
 
 def _candidates(table: pa.Table, rank: np.ndarray, missing: np.ndarray, answers: pa.Table, block: int, window: int, buckets: int):
@@ -66,7 +69,7 @@ def _candidates(table: pa.Table, rank: np.ndarray, missing: np.ndarray, answers:
     docs, hashes, at, h, order, starts = _probe(table, block)
     near = np.zeros(len(hashes) + window + 1, np.int32)
     if len(h):
-        bit = X.replies(answers, _ANCHORS, X.bucket_bounds(h[order][starts], buckets)[0], True)
+        bit = X.replies(answers, _ANCHORS, *X.bucket_bounds(h[order][starts], buckets)[:2], True)
         hit = np.empty(len(h), np.uint8)
         hit[order] = np.repeat(bit, np.diff(np.r_[starts, len(h)]))
         near[at[hit > 0] + 1] = 1
@@ -81,48 +84,63 @@ def _candidates(table: pa.Table, rank: np.ndarray, missing: np.ndarray, answers:
     return docs, w_at, w_h, w_more, fresh
 
 
-def _window_bounds(h: np.ndarray, buckets: int) -> np.ndarray:
-    return X.bucket_bounds(h, buckets)[0]
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit values by byte plane: those that are nearly all zero compress away."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
 def _ask_windows(block: int, window: int, buckets: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         table, rank, missing = _by_id(table)
-        _, _, h, more, fresh = _candidates(table, rank, missing, answers, block, window, buckets)
+        docs, at, h, more, fresh = _candidates(table, rank, missing, answers, block, window, buckets)
+        ids = np.asarray(table["doc_id"].fill_null(0))[docs[at[fresh]]]
         h, more = h[fresh], more[fresh]
-        bounds = _window_bounds(h, buckets)
-        full = np.flatnonzero(bounds[1:] > bounds[:-1])
-        cut = [slice(bounds[b], bounds[b + 1]) for b in full]
+        full, bounds, _ = X.bucket_bounds(h, buckets)
+        cut = [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         return pa.table({
             "chunk": pa.array([table["chunk"][0].as_py()] * len(full) if table.num_rows else [], pa.int64()),
-            "bucket": pa.array(full.astype(np.int32), pa.int32()),
+            "bucket": pa.array(full, pa.int32()),
             "vals": pa.array([h[c].astype("<u8").tobytes() + more[c].astype("<u4").tobytes() for c in cut], pa.binary()),
+            "ids": pa.array([_planes(ids[c]) for c in cut], pa.binary()),
         })
 
-    return run
+    return trimmed(run)
 
 
 def _earlier(table: pa.Table) -> pa.Table:
-    """Of each window of a bucket: whether a chunk of smaller ids has it too."""
-    raw = [x.as_py() for x in table["vals"]]
-    sizes = np.array([len(x) // 12 for x in raw])
-    h = np.concatenate([np.frombuffer(x, "<u8", n) for x, n in zip(raw, sizes, strict=True)])
-    more = np.concatenate([np.frombuffer(x, "<u4", n, 8 * n) for x, n in zip(raw, sizes, strict=True)])
-    chunk = np.repeat(np.asarray(table["chunk"]), sizes)
-    order = np.lexsort((chunk, more, h))
-    starts = np.flatnonzero(np.r_[True, (np.diff(h[order]) != 0) | (np.diff(more[order]) != 0)])
-    least = np.repeat(chunk[order][starts], np.diff(np.r_[starts, len(h)]))
-    bit = np.empty(len(h), np.uint8)
-    bit[order] = least < chunk[order]
+    """Of each window of a bucket: whether a smaller id than the least one of its chunk has it."""
+    raw = [x.as_buffer() for x in table["vals"]]
+    sizes = [len(x) // 12 for x in raw]
+    h = [np.frombuffer(x, "<u8", n) for x, n in zip(raw, sizes, strict=True)]
+    more = [np.frombuffer(x, "<u4", n, 8 * n) for x, n in zip(raw, sizes, strict=True)]
+    planes = [np.frombuffer(x.as_buffer(), np.uint8).reshape(8, -1) for x in table["ids"]]
+    bits = [np.empty(n, bool) for n in sizes]
+    low, high = (int(f(x[k] for x in h)) for f, k in ((min, 0), (max, -1)))
+    edges = np.array([low + (high - low) * k // _PARTS for k in range(1, _PARTS)], np.uint64)
+    cuts = [[0, *np.searchsorted(x, edges).tolist(), len(x)] for x in h]
+    for k in range(_PARTS):
+        own = [(i, c[k], c[k + 1]) for i, c in enumerate(cuts) if c[k] < c[k + 1]]
+        if not own:
+            continue
+        some, rest = (np.concatenate([x[i][a:b] for i, a, b in own]) for x in (h, more))
+        ids = np.concatenate([np.ascontiguousarray(planes[i][:, a:b].T).view("<i8").ravel() for i, a, b in own])
+        order = np.lexsort((ids, rest, some))
+        starts = np.flatnonzero(np.r_[True, (np.diff(some[order]) != 0) | (np.diff(rest[order]) != 0)])
+        back = np.empty(len(some), bool)
+        back[order] = np.repeat(ids[order][starts], np.diff(np.r_[starts, len(some)])) < ids[order]
+        at = 0
+        for i, a, b in own:
+            bits[i][a:b] = back[at : at + b - a]
+            at += b - a
     return pa.table({
         "chunk": table["chunk"],
         "tag": pa.array([_WINDOWS] * len(raw), pa.int32()),
         "bucket": table["bucket"],
-        "reply": pa.array([np.packbits(x).tobytes() for x in np.split(bit, np.cumsum(sizes)[:-1])], pa.binary()),
+        "reply": pa.array([np.packbits(x).tobytes() for x in bits], pa.binary()),
     })
 
 
-def _remove(block: int, window: int, buckets: int):
+def _remove(block: int, window: int, buckets: int, with_text: bool):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         table, rank, missing = _by_id(table)
         docs, at, h, _, fresh = _candidates(table, rank, missing, answers, block, window, buckets)
@@ -130,7 +148,7 @@ def _remove(block: int, window: int, buckets: int):
         if len(at):
             sizes = np.diff(np.r_[fresh, len(at)])
             own = rank[docs[at]]
-            bit = X.replies(answers, _WINDOWS, _window_bounds(h[fresh], buckets), True)
+            bit = X.replies(answers, _WINDOWS, *X.bucket_bounds(h[fresh], buckets)[:2], True)
             drop = at[(np.repeat(bit, sizes) > 0) | (own > np.repeat(own[fresh], sizes))]
             np.add.at(gone, drop, 1)
             np.add.at(gone, drop + window, -1)
@@ -142,25 +160,27 @@ def _remove(block: int, window: int, buckets: int):
             n_gone.append(int(mask.sum()))
             kept = b" ".join(compress(words, ~mask) if n_gone[-1] else words)
             digests.append(hashlib.sha256(kept).hexdigest())
-            texts.append(kept)
-        return pa.table({
+            if with_text:
+                texts.append(kept)
+        columns = {
             "doc_id": table["doc_id"],
             "n_words": pa.array(n_words, pa.int64()),
             "n_removed": pa.array(n_gone, pa.int64()),
-            "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
             "kept_sha256": pa.array(digests, pa.string()),
-        })
+        }
+        return pa.table(columns | ({"kept_text": pa.array(texts, pa.binary()).cast(pa.string())} if with_text else {}))
 
-    return run
+    return trimmed(run)
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """Every word of a window that also starts in a document of a smaller id is removed.
 
-    Returns doc_id, n_words, n_removed, kept_text (kept words joined by one space) and kept_sha256, a row
-    for each row of ``docs``; other columns are not read. A null or empty text has no words. Rows that
-    repeat an id count as one document and don't shorten each other; a row with a null id keeps its words
-    and shortens nothing. ``window`` must be odd and 3 or more: blocks have (window + 1) / 2 words.
+    Returns doc_id, n_words, n_removed, kept_sha256 and, with_text, kept_text (kept words joined by one space),
+    a row for each row of ``docs``; other columns are not read. A null or empty text has no words, an empty
+    table gives no rows. Rows that repeat an id count as one document and don't shorten each other; a row with
+    a null id keeps its words and shortens nothing. A very long text is a chunk by itself, or part of one.
+    ``window`` must be odd and 3 or more: blocks have (window + 1) / 2 words.
     """
     if window < 3 or window % 2 == 0:
         raise ValueError("window must be odd, and 3 or more")
@@ -168,25 +188,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     chunks, buckets = X.plan(size)
-    cuts = np.zeros(0, np.int64)
-    if chunks > 1:
-        shares = [i / chunks for i in range(1, chunks)]
-        found = docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * chunks)).alias("c")).first()["c"]
-        cuts = np.unique(np.array(found or [], np.int64))
-
-    @F.pandas_udf("long")
-    def chunk_of(ids: pd.Series) -> pd.Series:
-        """The range that holds an id: chunks ascend as ids do."""
-        return pd.Series(np.searchsorted(cuts, ids.to_numpy(), "left").astype("int64"))
-
-    any_chunk = F.pmod(F.xxhash64("text"), F.lit(chunks))
-    chunk = F.when(F.col("doc_id").isNull(), any_chunk).otherwise(chunk_of(F.coalesce("doc_id", F.lit(0))))
-    dealt = docs.withColumn("chunk", chunk).groupBy("chunk")
+    # by text too, so that neither null nor repeated ids gather in one chunk
+    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))).groupBy("chunk")
     anchors = dealt.applyInArrow(_ask_anchors(block, buckets), X.ASKED)
     shared = anchors.groupBy("bucket").applyInArrow(X.answered(_ANCHORS, True), X.ANSWER)
     windows = dealt.cogroup(shared.groupBy("chunk")).applyInArrow(_ask_windows(block, window, buckets), _WINDOW_ASKED)
-    earlier = windows.groupBy("bucket").applyInArrow(_earlier, X.ANSWER)
-    out = dealt.cogroup(shared.unionByName(earlier).groupBy("chunk")).applyInArrow(
-        _remove(block, window, buckets), "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
-    )
-    return out if with_text else out.drop("kept_text")
+    earlier = windows.groupBy("bucket").applyInArrow(trimmed(_earlier), X.ANSWER)
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    return dealt.cogroup(shared.unionByName(earlier).groupBy("chunk")).applyInArrow(_remove(block, window, buckets, with_text), schema)

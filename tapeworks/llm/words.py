@@ -7,7 +7,6 @@ return. All of these are single bytes in UTF-8, so a text can be cut on its byte
 from __future__ import annotations
 
 import ctypes
-import gc
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ SPACES = b" \t\n\x0b\x0c\r"
 #: Rows that Spark hands to a Python worker at once: whole texts may be long, and 10,000 of them need not fit.
 BATCH_ROWS = 500
 
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _IS_SPACE = np.isin(np.arange(256, dtype=np.uint8), np.frombuffer(SPACES, np.uint8))
@@ -29,6 +28,13 @@ _FOLDED[65:91] = _BYTE[97:123]
 _powers: list[np.ndarray] = []
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores behind it as it takes to be none of ``columns``."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def small_batches(spark) -> None:
     """Lowers the session's limit of rows in an Arrow batch to BATCH_ROWS, unless it is lower."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -36,13 +42,32 @@ def small_batches(spark) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def give_back() -> None:
-    """Returns what a task has freed to the system: Spark keeps Python workers, which would hold it through later stages."""
-    gc.collect()
+    """Returns what a group or task has freed to the system: Spark keeps Python workers, which would hold it through later stages."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    if _trim is not None:
+        _trim(0)
+
+
+def trimmed(f):
+    """``f`` of one or two tables, after which freed memory goes back."""
+
+    def one(table):
+        return two(table)
+
+    def two(table, *other):
+        try:
+            return f(table, *other)
+        finally:
+            give_back()
+
+    def both(table, other):
+        return two(table, other)
+
+    return one if f.__code__.co_argcount == 1 else both
 
 
 def mix(x: np.ndarray) -> np.ndarray:

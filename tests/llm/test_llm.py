@@ -77,11 +77,13 @@ def test_word_hashes_across_slices():
 
 def test_exchange_packs_exactly():
     h = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64) * 2)
-    bounds, vals = exchange.bucket_bounds(h, 7)
-    assert bounds[0] == 0 and bounds[-1] == len(h)
-    for b in range(7):
-        part = vals[bounds[b] : bounds[b + 1]]
-        assert (exchange.unpacked(exchange.packed(part)) == part).all()
+    for buckets in (1, 7, 1 << 20):
+        full, bounds, vals = exchange.bucket_bounds(h, buckets)
+        assert bounds[0] == 0 and bounds[-1] == len(h) and full.tolist() == sorted(set(full.tolist()))
+        assert [int(x) * buckets >> 64 for x in h] == np.repeat(full, np.diff(bounds)).tolist()
+        assert [(int(x) * buckets >> 32) & 0xFFFFFFFF for x in h] == vals.tolist()
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            assert (exchange.unpacked(exchange.packed(vals[a:b])) == vals[a:b]).all()
 
 
 # 1 token counts
@@ -212,6 +214,24 @@ def test_language_of_held_out_texts(spark):
     assert {r.language.lang_pred for r in langid.predict(table, empty).collect()} == {"und"}
 
 
+def test_languages_in_several_tables_and_repeated_rows(spark, monkeypatch):
+    """More languages than a table holds score as one table does; rows of one id are drawn as rows, and an id doesn't matter."""
+    rng = random.Random(6)
+    speak = {f"l{k}": [f"{a}{b}{a}" for a in "aeiou" for b in "bcdfg"[k : k + 2] or "xyz"[k % 3]] for k in range(5)}
+    rows = [(None if i % 9 == 0 else i % 40, " ".join(rng.choice(speak[f"l{i % 5}"]) for _ in range(30)), f"l{i % 5}", "x", "y") for i in range(150)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, language string, place string")
+    one = langid.train(table)
+    monkeypatch.setattr(langid, "LANGUAGES_AT_ONCE", 2)
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 1000)
+    several = langid.train(table)
+    assert len(one.tables) == 1 and len(several.tables) == 3 and one.languages == several.languages == sorted(speak)
+    words = ["aba", "ede", "zzz", "ufu"]
+    assert np.allclose(one.words(words)[:, :2], several.words(words)[:, :2], rtol=0.2)
+    out = langid.predict(table, several)
+    assert out.columns == table.columns and out.where("not language.rejected").count() > 100
+    assert all(r.language.lang_pred == r.lang for r in out.collect())
+
+
 # 4 decontamination
 
 
@@ -415,6 +435,16 @@ def test_drop_boilerplate(spark, monkeypatch):
     assert lines.drop_boilerplate(table.where("false")).count() == 0
 
 
+def test_no_column_name_clashes_with_line_dedup(spark):
+    names = "_text _lines _stay _host _drops drops host lines row stay n line pages c0 c1 n_lines n_dropped".split()
+    rows = [(k, f"own {k}\nfooter", "s", *["kept"] * len(names), "dot") for k in range(20)]
+    table = spark.createDataFrame(rows, ["doc_id", "text", "source", *names, "a.b`c"])
+    for limit in (1 << 26, -1):
+        out = lines.drop_boilerplate(table)
+        assert out.columns == [*[c for c in table.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped"]
+        assert {tuple(r) for r in out.collect()} == {(k, f"own {k}", "s", *["kept"] * (len(names) - 2), "dot", 2, 1) for k in range(20)}
+
+
 def test_copies_of_a_document_do_not_drop_its_lines(spark):
     import corpus_pipeline
 
@@ -486,6 +516,37 @@ def test_a_large_group_in_many_tiles(spark, monkeypatch):
     assert got == want
 
 
+def test_a_large_group_in_which_nothing_links(spark, monkeypatch):
+    """A chain of 3,000 texts of which each shares a third with the next: one group by keys, and no links but of a few copies."""
+    say = lambda k: [f"p{k}x{i}" for i in range(24)]
+    rows = [(k + 1, " ".join(say(k) + say(k + 1) + say(k + 2))) for k in range(3000)]
+    rows += [(10_000 + k, rows[k][1] + f" more{k}") for k in range(0, 3000, 500)]
+    monkeypatch.setattr(jaccard, "TILE_DOCS", 100)
+    tiles = []
+    monkeypatch.setattr(jaccard, "_blocks", lambda rows, percent, f=jaccard._blocks: tiles.append(rows.count()) or f(rows, percent))
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {i: i if i < 10_000 else i - 9_999 for i, _ in rows}
+    assert tiles == [0]
+
+
+def test_keys_of_too_many_documents_make_blocks(spark, monkeypatch):
+    """Two families of copies and texts between them, with keys that more documents share than a tile holds."""
+    rng = random.Random(10)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for k in range(90):
+        text = list(base[: 40 + (k % 3) * 10])
+        for p in rng.sample(range(20), k % 5):
+            text[p] = f"n{k % 7}x{p}"
+        rows.append((k + 1, " ".join(text)))
+    want = slow_components(rows)
+    assert len({c for _, c in want.values()}) > 5
+    for docs_in_tile in (6, 20):
+        monkeypatch.setattr(jaccard, "TILE_DOCS", docs_in_tile)
+        got = {r.doc_id: ([r.n_shingles], r.component_id) for r in jaccard.near_duplicates(docs(spark, rows)).collect()}
+        assert got == want
+
+
 def test_signatures_bound_the_difference():
     rng = np.random.default_rng(3)
     for _ in range(30):
