@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages over ``documents``: each stage's rows are the next one's input.
 
-Every function takes (spark, docs, sf_dir). All but the last return the columns of documents; the last
-returns the packing of what is left.
+Every function takes (spark, docs, sf_dir). All but the last return the columns of documents, others that the
+table has too, under any name; the last returns the packing of what is left.
 """
 
 from __future__ import annotations
@@ -9,43 +9,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import decontaminate, jaccard, langid, lines, packing
 from tapeworks.functions.scratch import stored
+from tapeworks.llm import decontaminate, jaccard, langid, lines, packing
+from tapeworks.llm.words import unused
 
 #: SQL can't express the language models of the first stage.
 ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no language model claims go; lang becomes the predicted language."""
-    model = langid.train(docs)
-    known = langid.predict(docs, model, into="_language").where("not _language.rejected")
-    return known.select(*[F.col("_language.lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
+    """Documents that no language model claims go, so those with a null text or one without letters; lang becomes the predicted language.
+
+    Null and repeated ids make no difference: each row is judged by itself. An empty table stays empty.
+    """
+    into = unused("language", docs.columns)
+    known = langid.predict(docs, langid.train(docs), into=into).where(~F.col(f"{into}.rejected"))
+    return known.select(*[F.col(f"{into}.lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are boilerplate of their source go; n_chars follows the text. The copies of a document, which the
-    next stage reduces to one, count as one page here: else they would lose all their lines and none be left."""
-    out = lines.drop_boilerplate(docs, copies=False)
+    next stage reduces to one, count as one page here: else they would lose all their lines and none be left.
+
+    Rows with a null source or text, or an empty text, stay as they are, whatever their id. Columns n_lines and
+    n_dropped of the input stay.
+    """
+    kept = docs.select("*", *[F.col(c).alias(unused(c, docs.columns)) for c in ("n_lines", "n_dropped") if c in docs.columns])
+    out = lines.drop_boilerplate(kept, copies=False)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+    names = {c: unused(c, docs.columns) if c in ("n_lines", "n_dropped") else c for c in docs.columns}
+    return out.select(*[(n_chars if c == "n_chars" else F.col(f"`{n}`")).alias(c) for c, n in names.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document of least id stays."""
+    """Of each component of near-duplicates the document of least id stays.
+
+    Rows with a null id stay, as they have none to be removed by, and so do documents without words, which are
+    near to none. Rows that repeat an id are one document and stay or go together.
+    """
     classes = jaccard.near_duplicates(docs)
     losers = classes.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; of repeated ids all rows, if one of them holds one. Rows with a null id or text, and empty texts, stay."""
     leaks = decontaminate.contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into batches of optimal length buckets."""
+    """What is left, packed into batches of optimal length buckets: a row for each row, null ids and texts (no tokens) too."""
     return packing.pack(docs)
 
 
