@@ -62,12 +62,12 @@ def contained_items(
     hits = probes.join(F.broadcast(sketches) if few else sketches, "h").select("doc_id", "item_id").distinct()
     hits = stored(hits, "candidates")
 
-    held = hits.join(item_sets, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n_item", "hashes")).alias("items"))
     wanted = hits.select(F.col("doc_id").alias(id_col)).distinct()
     small = wanted.count() * 32 <= BROADCAST_BYTES
     again = docs.join(F.broadcast(wanted) if small else wanted, id_col, "left_semi")
-    again = _with_hashes(again, id_col, text_col, "doc_id", n)
-    shared = F.transform("items", lambda x: F.struct(x["item_id"].alias("item_id"), F.size(F.array_intersect("hashes", x["hashes"])).alias("n_shared"), x["n_item"].alias("n_item")))
-    pairs = again.join(held, "doc_id").select("doc_id", F.inline_outer(shared))
+    again = _with_hashes(again, id_col, text_col, "doc_id", n).withColumnRenamed("hashes", "own")
+    # a row for each candidate, however many a document or an item has
+    pairs = again.join(hits.join(item_sets, "item_id"), "doc_id")
+    pairs = pairs.select("doc_id", "item_id", F.size(F.array_intersect("own", "hashes")).alias("n_shared"), "n_item")
     kept = pairs.where(100 * F.col("n_shared") >= percent * F.col("n_item"))
     return kept.groupBy("doc_id", "item_id").agg(F.max("n_shared").cast("long").alias("n_shared"), F.first("n_item").cast("long").alias("n_item"))

@@ -59,7 +59,8 @@ def word_count(text):
 def pack(docs: DataFrame, buckets: int = 16, budget: int = 65_536, id_col: str = "doc_id", length=None) -> DataFrame:
     """doc_id, n_tokens, bucket, bucket_len, batch, place, padding: a row for each row of ``docs``.
 
-    ``length`` is a column of token counts, words of column text by default; a null length counts as 0. A
+    ``length`` is a column of token counts, such as token_counts.counts(), and words of column text by default;
+    a null length counts as 0, and so do a null or empty text. Null and repeated ids are rows as any other. A
     batch holds floor(budget / bucket_len) documents, one at least, so a document longer than the budget is a
     batch of its own, whole. Within a bucket rows go in the order of a hash of their id and length, and
     batches are numbered from 0. A row's rank is its rank among its block plus the sizes of earlier blocks,

@@ -55,12 +55,14 @@ def verdict(rules: list[tuple[str, float | None, float | None]]) -> Column:
     return kept
 
 
-def quality(docs: DataFrame, rules: list | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def quality(docs: DataFrame, rules: list | None = None, id_col: str = "doc_id", text_col: str = "text", stop_words: list[str] | None = None) -> DataFrame:
     """Counts, ratios and verdict of each row's whole text; other columns are not read.
 
     A null or empty text has no words, fails the base and is not kept. Repeated windows are found by 64-bit
     hashes of five words within one text, which for a text of a million words confuses two with a
-    probability under 1e-7. All is one pass without shuffle or user functions.
+    probability under 1e-7; a very long text is one row as any other. Rows are judged one by one, whatever
+    their ids, and an empty table gives no rows. ``rules`` and ``stop_words`` (RULES and STOP_WORDS by default,
+    which know four languages) are those of the corpus. All is one pass without shuffle or user functions.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
@@ -78,7 +80,7 @@ def quality(docs: DataFrame, rules: list | None = None, id_col: str = "doc_id",
         F.size("words").cast("long").alias("n_words"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.size(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS if stop_words is None else stop_words))).cast("long").alias("n_stop_words"),
         _windows(F.col("words"), 5).alias("windows"),
     )
     docs = docs.withColumn("windows", _repeated(F.col("windows")))

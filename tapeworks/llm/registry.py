@@ -40,8 +40,8 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _table(spark, sf_dir, "conversations")
-    return chat.preference_segments(turns, chat.adjacent_pairs(turns))
+    turns = chat.answer_swaps(_table(spark, sf_dir, "conversations"))
+    return chat.preference_rows(turns, chat.adjacent_pairs(turns))
 
 
 def op6_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,16 +105,26 @@ n as (select id, count(*) as n_item from g where kind = 'i' group by id),
 p as (select d.id as doc_id, i.id as item_id, count(*) as n_shared from g d join g i on d.g = i.g and d.kind = 'd' and i.kind = 'i' group by all)
 select doc_id, item_id, n_shared, n_item from p join n on item_id = n.id where 100 * n_shared >= 80 * n_item""",
     "op5_preference_format": r"""
-with t as (select conv_id // 2 as pair_id, case when conv_id % 2 = 0 then 'chosen' else 'rejected' end as side, turn, coalesce(role, '') as role, coalesce(text, '') as text
-  from conversations where conv_id is not null and turn is not null),
-s as (select pair_id, turn, side, list_sort(list(role || chr(0) || text)) as sign from t group by all),
+with t as (select conv_id as c, turn, role, text from conversations where conv_id is not null and turn is not null),
+l as (select c, max(turn) as last from t where role = 'assistant' group by c),
+e as (select t.*, last from t join l using (c) where turn <= last),
+u as (select c as pair_id, 'chosen' as side, turn, coalesce(role, '') as role, coalesce(text, '') as text from e
+  union all select c, 'rejected', turn, coalesce(role, ''), coalesce(text, '') from e where turn < last
+  union all select l.c, 'rejected', l.last, coalesce(role, ''), coalesce(text, '') from e join l on xor(e.c, 1) = l.c where e.turn = e.last and role = 'assistant'),
+s as (select pair_id, turn, side, list_sort(list(role || chr(0) || text)) as sign from u group by all),
 d as (select coalesce(a.pair_id, b.pair_id) as pair_id, coalesce(a.turn, b.turn) as turn, a.sign is distinct from b.sign as differs
   from (select * from s where side = 'chosen') a full join (select * from s where side = 'rejected') b on a.pair_id = b.pair_id and a.turn = b.turn),
 f as (select pair_id, min(turn) filter (where differs) as first from d group by pair_id),
-x as (select t.*, coalesce(turn < first, true) as shared from t join f using (pair_id))
-select pair_id, case when shared then 'prompt' else side end as part, turn, role,
-  '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as segment, not shared and role = 'assistant' as trained
-from x where not shared or side = 'chosen'""",
+x as (select u.*, coalesce(turn < first, true) as shared from u join f using (pair_id)),
+g as (select pair_id, case when shared then 'prompt' else side end as part, turn, role, text, not shared and role = 'assistant' as trained,
+  '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as segment, length(role) + 13 as head from x where not shared or side = 'chosen'),
+o as (select *, coalesce(sum(length(segment)) over (partition by pair_id, part order by turn, role, text rows between unbounded preceding and 1 preceding), 0) as ahead,
+  row_number() over (partition by pair_id, part order by turn, role, text) as place from g),
+m as (select pair_id, part, string_agg(segment, '' order by place) as whole,
+  coalesce(string_agg(cast(ahead + head as bigint) || '-' || cast(ahead + length(segment) - 1 as bigint), ' ' order by place) filter (where trained), '') as mask from o group by all)
+select pair_id, coalesce(max(whole) filter (where part = 'prompt'), '') as prompt, coalesce(max(whole) filter (where part = 'chosen'), '') as chosen,
+  coalesce(max(whole) filter (where part = 'rejected'), '') as rejected, coalesce(max(mask) filter (where part = 'chosen'), '') as chosen_mask,
+  coalesce(max(mask) filter (where part = 'rejected'), '') as rejected_mask from m group by pair_id""",
     "op7_substring_dedup": rf"""
 with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_W}') as w from documents),
 p as (select doc_id, unnest(range(1, len(w) - 11)) as p, w from w where len(w) >= 13),

@@ -13,14 +13,14 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .words import mix, small_batches
 
 MARK = "▁"
-#: Longest pre-token that gets into a trie; distinct pre-tokens that a task keeps; pre-tokens read at once.
-TRIE_CHARS, KEPT_WORDS, AT_ONCE = 64, 400_000, 1_000_000
+#: Longest pre-token that gets into a trie; characters of the levels of one trie; distinct pre-tokens that a task keeps; pre-tokens read at once.
+TRIE_CHARS, TRIE_CELLS, KEPT_WORDS, AT_ONCE = 4096, 8_000_000, 400_000, 1_000_000
 #: A score is an integer: nats times SCALE. One is taken off for each token, so that of equal scores fewer tokens win.
 SCALE = 1 << 32
 
@@ -120,6 +120,18 @@ def trie_counts(words: list[str], pieces: Pieces) -> list[int]:
     return out.tolist()
 
 
+def tries(words: list[str]) -> Iterator[list[int]]:
+    """Places of pre-tokens in groups, by length, of which each makes one trie of bounded size."""
+    group, order = [], sorted((i for i, w in enumerate(words) if len(w) <= TRIE_CHARS), key=lambda i: len(words[i]))
+    for i in order:
+        if group and (len(group) + 1) * len(words[i]) > TRIE_CELLS:
+            yield group
+            group = []
+        group.append(i)
+    if group:
+        yield group
+
+
 def _slices(texts: list[list[bytes]]) -> Iterator[list[list[bytes]]]:
     """Texts in runs of about AT_ONCE words, so that memory doesn't follow the length of a batch."""
     run, size = [], 0
@@ -144,8 +156,8 @@ def _counter(path: str):
                     known.clear()
                     new = list(set(chain.from_iterable(run_)))
                 texts = [MARK + w.decode() for w in new]
-                short = [i for i, t in enumerate(texts) if len(t) <= TRIE_CHARS]
-                known.update(zip([new[i] for i in short], trie_counts([texts[i] for i in short], pieces), strict=True))
+                for group in tries(texts):
+                    known.update(zip([new[i] for i in group], trie_counts([texts[i] for i in group], pieces), strict=True))
                 known.update((new[i], best_count(t, pieces)) for i, t in enumerate(texts) if len(t) > TRIE_CHARS)
                 n_words += map(len, run_)
                 n_tokens += [sum(map(known.__getitem__, words)) for words in run_]
@@ -154,13 +166,20 @@ def _counter(path: str):
     return F.pandas_udf(run, "n_words long, n_tokens long")
 
 
+def counts(text: Column, model_path: str) -> Column:
+    """A struct (n_words, n_tokens) of a text column, for use in a projection."""
+    return _counter(model_path)(text.cast("string"))
+
+
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_pretokens and n_tokens of each row's whole text; ``model_path`` is a file on every worker.
 
     A pre-token is a run of characters other than ASCII white space, with a mark for the space before it. A
-    null or empty text has none. There is no shuffle: each task builds the trie of the pre-tokens it meets
+    null or empty text has none. There is no shuffle: each task builds the tries of the pre-tokens it meets
     and starts afresh when it holds KEPT_WORDS, so memory is bounded whatever the vocabulary of the corpus.
+    Pre-tokens of more than TRIE_CHARS are scored one by one. Rows are counted one by one, whatever their ids;
+    other columns are not read, and an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    counted = docs.select(F.col(id_col).alias("doc_id"), _counter(model_path)(F.col(text_col).cast("string")).alias("c"))
+    counted = docs.select(F.col(id_col).alias("doc_id"), counts(F.col(text_col), model_path).alias("c"))
     return counted.select("doc_id", F.col("c.n_words").alias("n_pretokens"), F.col("c.n_tokens").alias("n_tokens"))

@@ -119,6 +119,17 @@ def test_token_counts(spark, pieces, monkeypatch):
     assert token_counts.token_counts(docs(spark, []), tokenizer_file("piece_bpe_32k.model")).count() == 0
 
 
+def test_long_pretokens_share_tries(pieces, monkeypatch):
+    rng = random.Random(2)
+    some = sorted({"".join(rng.choice("ab日本語é") for _ in range(rng.choice([3, 70, 300]))) for _ in range(60)})
+    monkeypatch.setattr(token_counts, "TRIE_CELLS", 500)
+    monkeypatch.setattr(token_counts, "TRIE_CHARS", 200)
+    groups = list(token_counts.tries(some))
+    assert sorted(i for g in groups for i in g) == [i for i, w in enumerate(some) if len(w) <= 200] and len(groups) > 3
+    for g in groups:
+        assert token_counts.trie_counts([some[i] for i in g], pieces) == [token_counts.best_count(some[i], pieces) for i in g]
+
+
 # 2 quality
 
 
@@ -137,6 +148,7 @@ def test_quality(spark):
     assert (got[1].n_symbols, got[1].n_dup_lines) == (2, 1)
     assert got[2].base_failed and not got[2].kept and got[4].base_failed and got[5].kept
     assert quality.quality(docs(spark, [(5, text[5])]), rules=[("n_words", 99, None)]).first().kept is False
+    assert quality.quality(docs(spark, [(5, text[5])]), stop_words=["und"]).first().kept is False
     rows = corpus()
     got = {r.doc_id: r.n_repeat_words for r in quality.quality(docs(spark, rows)).collect()}
     assert got == {i: repeated(split(t)) for i, t in rows}
@@ -279,6 +291,23 @@ def test_preference_segments(spark):
     want = [(0, "prompt", 0, "user", "hi", False), (0, "chosen", 1, "assistant", "a", True), (0, "chosen", 2, "user", "more", False), (0, "rejected", 1, "assistant", "b", True), (1, "prompt", 0, "user", "same", False), (1, "prompt", 1, "assistant", "x", False), (1, "rejected", 2, "user", "on", False), (2, "chosen", 0, "user", "", False), (4, "prompt", 0, "system", "s", False), (4, "prompt", 0, "user", "u", False), (4, "rejected", 1, "", "t", False)]
     assert got == sorted((p, part, k, r, seg(r, t), m) for p, part, k, r, t, m in want)
     assert chat.preference_segments(table.where("false"), chat.adjacent_pairs(table.where("false"))).count() == 0
+    whole = {r.pair_id: r for r in chat.preference_rows(table, chat.adjacent_pairs(table)).collect()}
+    assert set(whole) == {0, 1, 2, 4}
+    for k, r in whole.items():
+        for part in ("prompt", "chosen", "rejected"):
+            assert getattr(r, part) == "".join(seg(role, t) for p, x, _, role, t, _ in want if p == k and x == part)
+        for part in ("chosen", "rejected"):
+            spans = [tuple(map(int, s.split("-"))) for s in getattr(r, f"{part}_mask").split()]
+            assert [getattr(r, part)[a:b] for a, b in spans] == [f"{t}<|im_end|>" for p, x, _, _, t, m in want if p == k and x == part and m]
+    assert chat.preference_rows(table.where("false"), chat.adjacent_pairs(table)).count() == 0
+
+
+def test_answer_swaps(spark):
+    turns = [(4, 0, "user", "hi"), (4, 1, "assistant", "a"), (4, 2, "user", "on"), (5, 0, "system", None), (5, 1, "user", "hi"), (5, 2, "assistant", "b"), (6, 0, "user", "x"), (6, 1, "assistant", "y"), (7, 0, "user", "no answer"), (None, 0, "assistant", "x"), (4, None, "assistant", "x")]
+    table = spark.createDataFrame([(*t, 1) for t in turns], "conv_id long, turn long, role string, text string, last int")
+    got = chat.answer_swaps(table).collect()
+    want = [(8, 0, "user", "hi"), (8, 1, "assistant", "a"), (9, 0, "user", "hi"), (9, 1, "assistant", "b"), (10, 0, "system", None), (10, 1, "user", "hi"), (10, 2, "assistant", "b"), (11, 0, "system", None), (11, 1, "user", "hi"), (11, 2, "assistant", "a"), (12, 0, "user", "x"), (12, 1, "assistant", "y"), (13, 0, "user", "x")]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
 # 6 token files
