@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeworks.functions.scratch import stored
+
 
 def round4(x: Column) -> Column:
     """A double rounded half away from zero to four decimals, as a decimal would be."""
@@ -26,6 +28,23 @@ def top1(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def ranked(df: DataFrame, group: str, by: str) -> DataFrame:
+    """``df`` with rank (least place of equals, from 1) of ``by`` within ``group``, and group_size.
+
+    A rank is that within a range of the order plus the sizes of the ranges before, so that no group, however
+    few there are, is sorted in one task. Equal values lie in one range.
+    """
+    # stored, as ranges are drawn by a sample and must be the same for the sizes and the ranks
+    rows = stored(df.repartitionByRange(group, by).withColumn("range", F.spark_partition_id()), "ranges")
+    sizes = rows.groupBy(group, "range").agg(F.count("*").alias("n"))
+    ranges = Window.partitionBy(group)
+    earlier = F.sum("n").over(ranges.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(F.col(group).alias("_group"), F.col("range").alias("_range"), F.coalesce(earlier, F.lit(0)).alias("_earlier"), F.sum("n").over(ranges).alias("group_size"))
+    rows = rows.withColumn("rank", F.rank().over(Window.partitionBy(group, "range").orderBy(by)))
+    rows = rows.join(sizes, rows[group].eqNullSafe(sizes["_group"]) & (rows["range"] == sizes["_range"]))
+    return rows.withColumn("rank", F.col("rank") + F.col("_earlier")).drop("range", "_group", "_range", "_earlier")
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """Both tables with one row for each key: the first in ``order``, which may use the column _new (1: incoming)."""
     both = existing.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))

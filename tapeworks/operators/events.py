@@ -11,10 +11,18 @@ from tapeworks.functions import rules
 from tapeworks.functions.common import ratio, round4, top1
 
 
+#: Columns that make up the key of a trade: the same owner may trade twice a day, at two prices or in two kinds of security.
+TRADE_KEY = ("security_id", "transaction_date", "owner_name", "direction", "security_type", "shares", "price")
+
+
 def insider_keyed(trades: DataFrame) -> DataFrame:
-    """Trades with a date, keyed by a hash of what they say; repeats are one."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("security_id", "transaction_date", "owner_name", "direction", "shares")]
-    return trades.where("transaction_date is not null").withColumn("trade_key", F.sha2(F.concat_ws("|", *parts), 256)).dropDuplicates(["trade_key"])
+    """Trades with a date, keyed by a hash of what tells two trades apart; of repeats the row of least other columns stays.
+
+    A column of the key that ``trades`` lacks counts as empty.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) if c in trades.columns else F.lit("") for c in TRADE_KEY]
+    rows = trades.where("transaction_date is not null").withColumn("trade_key", F.sha2(F.concat_ws("|", *parts), 256))
+    return top1(rows, ["trade_key"], *[F.asc_nulls_last(c) for c in trades.columns])
 
 
 def insider_summary(trades: DataFrame, asof: dt.date, days: int = 90) -> DataFrame:
@@ -52,6 +60,11 @@ def next_earnings(calendar: DataFrame, asof: dt.date) -> DataFrame:
     return rows.select("security_id", "symbol", "report_date", F.col("eps_consensus").cast("double").alias("eps_consensus"), "period_ending", "upcoming")
 
 
+def prune_earnings(calendar: DataFrame, asof: dt.date, days: int = 90) -> DataFrame:
+    """A calendar and no archive: reports of the last ``days`` and to come."""
+    return calendar.where(F.col("report_date") >= F.date_sub(F.lit(asof), days))
+
+
 def filings(rows: DataFrame, symbols: DataFrame) -> DataFrame:
     return rows.where("accession is not null").join(symbols, "security_id", "left").select("security_id", "symbol", "accession", "form", "filed", rules.filing_kind(F.col("form")).alias("kind"))
 

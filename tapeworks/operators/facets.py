@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks.functions.common import optional_filters, ratio, round4, top1
+from tapeworks.functions.common import optional_filters, ranked, ratio, round4, top1
 from tapeworks.functions.rules import cap_band
 from tapeworks.functions.scratch import stored
 from tapeworks.operators.currencies import market_cap_usd
 from tapeworks.operators.funds import best_node, holdings_current
+from tapeworks.operators.writes import snapshot
 
+#: Columns of the spine that group countries, and the scheme and lens of each.
+LENSES = {
+    "msci_tier": ("msci", "tier"), "msci_region": ("msci", "region"), "ftse_tier": ("ftse", "tier"), "ftse_region": ("ftse", "region"),
+    "income_group": ("world-bank", "tier"), "wb_region": ("world-bank", "region"), "un_region": ("un", "region"),
+}
 VALUE_FROM, GROWTH_TO, LEAST_COHORT = 0.29, 0.10, 30
 
 
 def country_lens(members: DataFrame) -> DataFrame:
     """Countries with a column for each (scheme, lens). members: scheme, lens, iso2, group_id."""
-    lenses = (("msci", "tier"), ("un", "region"))
-    return members.groupBy(F.col("iso2").alias("country_iso2")).agg(*[F.max(F.when((F.col("scheme") == s) & (F.col("lens") == v), F.col("group_id"))).alias(f"{s}_{v}") for s, v in lenses])
+    return members.groupBy(F.col("iso2").alias("country_iso2")).agg(*[F.max(F.when((F.col("scheme") == s) & (F.col("lens") == v), F.col("group_id"))).alias(name) for name, (s, v) in LENSES.items()])
 
 
 def index_label(holdings: DataFrame, funds: DataFrame) -> DataFrame:
@@ -35,8 +40,8 @@ def style(spine: DataFrame, fundamentals: DataFrame, labels: DataFrame) -> DataF
     rows = spine.join(fundamentals.select("security_id", "price_to_book"), "security_id")
     rows = rows.where("security_type_code = 'equity' and price_to_book > 0 and market_cap_usd > 0 and msci_tier is not null")
     rows = rows.withColumn("book_to_price", 1 / F.col("price_to_book")).withColumn("cohort", F.concat_ws(":", "msci_tier", cap_band(F.col("market_cap_usd"))))
-    rows = rows.withColumn("value_score", F.percent_rank().over(Window.partitionBy("cohort").orderBy("book_to_price"))).withColumn("cohort_size", F.count("*").over(Window.partitionBy("cohort")))
-    rows = rows.where(F.col("cohort_size") >= LEAST_COHORT).join(labels, "security_id", "left")
+    rows = ranked(rows, "cohort", "book_to_price").withColumnRenamed("group_size", "cohort_size").where(F.col("cohort_size") >= LEAST_COHORT)
+    rows = rows.withColumn("value_score", (F.col("rank") - 1) / (F.col("cohort_size") - 1)).join(labels, "security_id", "left")
     scored = F.when(F.col("value_score") >= VALUE_FROM, "value").when(F.col("value_score") <= GROWTH_TO, "growth").otherwise("blend")
     return rows.select(
         "security_id", round4(F.col("value_score")).alias("value_score"), round4(F.col("book_to_price")).alias("book_to_price"), "cohort", "cohort_size", F.coalesce("index_style", scored).alias("style"),
@@ -45,23 +50,41 @@ def style(spine: DataFrame, fundamentals: DataFrame, labels: DataFrame) -> DataF
     )
 
 
-def facets(securities: DataFrame, nodes: DataFrame, sources: DataFrame, symbols: DataFrame, lenses: DataFrame, rates: DataFrame, fundamentals: DataFrame, holdings: DataFrame, funds: DataFrame) -> DataFrame:
-    """The read model: one row for each security with all that it can be grouped and filtered by."""
+def facets(
+    securities: DataFrame, nodes: DataFrame, sources: DataFrame, symbols: DataFrame, lenses: DataFrame, rates: DataFrame, fundamentals: DataFrame, holdings: DataFrame, funds: DataFrame,
+    countries: DataFrame, labels: DataFrame, terms: DataFrame,
+) -> DataFrame:
+    """The read model: one row for each security with all that it can be grouped and filtered by.
+
+    countries: country_iso2, country_name, app_region_id, country_market. labels: industry_id, industry. terms:
+    security_id, maturity_date, coupon_rate, coupon_kind, in_default.
+    """
     sector = best_node(nodes, sources, 1).withColumnRenamed("node_id", "sector_id")
     industry = best_node(nodes, sources, 2).withColumnRenamed("node_id", "industry_id")
     caps = market_cap_usd(securities, rates).select("security_id", "market_cap_usd")
     rows = securities.withColumn("country_iso2", F.coalesce("operating_country_iso2", "country_iso2")).join(caps, "security_id")
-    for other, key in ((sector, "security_id"), (industry, "security_id"), (symbols, "security_id"), (lenses, "country_iso2")):
+    joined = ((sector, "security_id"), (industry, "security_id"), (symbols, "security_id"), (lenses, "country_iso2"), (countries, "country_iso2"), (labels, "industry_id"), (terms, "security_id"))
+    for other, key in joined:
         rows = rows.join(other, key, "left")
     spine = rows.select(
-        "security_id", "symbol", "name", "security_type_code", "sector_id", "industry_id", "country_iso2", "msci_tier", "un_region", "currency_code",
+        "security_id", "symbol", "name", "security_type_code", "sector_id", "industry_id", "industry", "country_iso2", "country_name", "app_region_id", "country_market", *LENSES, "currency_code",
         F.col("market_cap").alias("market_cap_native"), "market_cap_usd", cap_band(F.col("market_cap_usd")).alias("cap_band"),
+        "maturity_date", "coupon_rate", "coupon_kind", "in_default", (F.col("symbol").isNotNull()).alias("is_tradeable"),
     )
-    styles = style(spine, fundamentals, index_label(holdings, funds)).select("security_id", "style", "style_source")
-    return spine.join(styles, "security_id", "left")
+    styles = style(spine, fundamentals, index_label(holdings, funds)).withColumnRenamed("cohort", "style_cohort")
+    return spine.join(styles.select("security_id", "style", "style_source", "style_confidence", "value_score", "style_cohort"), "security_id", "left")
+
+
+def refreshed(spine: DataFrame, path: str) -> DataFrame:
+    """The read model written and read back with refreshed_at: what aggregates, peers and filters read instead of the joins."""
+    return snapshot(spine, path)
 
 
-FACETS = ("sector_id", "industry_id", "country_iso2", "msci_tier", "un_region", "currency_code", "cap_band", "security_type_code", "style")
+#: Columns that securities can be grouped by; industry_id is an industry's code and industry its label.
+FACETS = (
+    "sector_id", "industry", "industry_id", "country_iso2", "msci_tier", "msci_region", "ftse_tier", "ftse_region", "income_group", "wb_region", "app_region_id",
+    "cap_band", "style", "security_type_code", "un_region", "currency_code",
+)
 
 
 def aggregate_performance(spine: DataFrame, performance: DataFrame, period: str, group_by: str, lists: dict | None = None, ranges: dict | None = None) -> DataFrame:

@@ -56,6 +56,11 @@ def security_current(securities: DataFrame, nodes: DataFrame, sources: DataFrame
     return rows.select("security_id", "name", "symbol", "security_type_code", F.coalesce("operating_country_iso2", "country_iso2").alias("country_iso2"), "sector_id", "industry_id", "market_cap", "currency_code")
 
 
+def symbol_security(securities: DataFrame, listings: DataFrame, provider: DataFrame, identifiers: DataFrame) -> DataFrame:
+    """(symbol, security_id) of every security that has a symbol: the map that charts are looked up by, to be kept by facets.refreshed()."""
+    return security_symbol(securities, listings, provider, identifiers).where("symbol is not null").select("symbol", "security_id")
+
+
 def listing_venue(symbols: DataFrame, exchanges: DataFrame) -> DataFrame:
     """Each symbol's venue by the longest suffix, then preference; one listing for a (security, venue), one primary for a security."""
     rows = symbols.withColumn("suffix", rules.suffix(F.col("symbol"))).join(exchanges, "suffix")
@@ -118,7 +123,7 @@ def instrument_current(instruments: DataFrame, links: DataFrame, current: DataFr
     """Curated rows keep what an editor wrote; the linked security wins for what it knows."""
     sec = current.select("security_id", *[F.col(c).alias(f"s_{c}") for c in ("sector_id", "industry_id", "country_iso2", "market_cap", "currency_code")])
     rows = instruments.join(links, "symbol", "left").join(sec, "security_id", "left")
-    return rows.select("symbol", "title", "security_id", *[F.coalesce(f"s_{c}", c).alias(c) for c in ("sector_id", "country_iso2", "currency_code")], F.col("s_market_cap").alias("market_cap"))
+    return rows.select("symbol", "title", "security_id", *[F.coalesce(f"s_{c}", c).alias(c) for c in ("sector_id", "industry_id", "country_iso2", "currency_code")], F.col("s_market_cap").alias("market_cap"))
 
 
 def valid_identifiers(identifiers: DataFrame) -> DataFrame:

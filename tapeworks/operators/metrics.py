@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,11 +93,12 @@ def metric_asof(bars: DataFrame, metrics: DataFrame, codes: list[str], prefix: s
     return bars
 
 
-def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rates: DataFrame, reporting: DataFrame) -> DataFrame:
+def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rates: DataFrame, reporting: DataFrame, asof: dt.date | None = None) -> DataFrame:
     """Valuation ratios of each bar: flows by trailing sums, stocks by the last quarter, both currencies at the bar's date.
 
     bars: security_id, symbol, grain, date, close. A ratio is null on a missing rate or a denominator that
-    isn't positive where it must be. All codes carry forward in one pass over a security's history.
+    isn't positive where it must be. All codes carry forward in one pass over a security's history. Rates hold
+    until ``asof``, today by default; later bars aren't converted.
     """
     flows = ["eps_diluted", "revenue", "net_income", "free_cash_flow"]
     stocks = ["total_equity", "total_assets", "shares"]
@@ -106,10 +109,9 @@ def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rat
     rows = both.select(*bars.columns, "_bar", *[F.last(c, ignorenulls=True).over(running).alias(c) for c in flows + stocks]).where("_bar = 1").drop("_bar")
     rows = rows.join(securities.select("security_id", F.col("currency_code").alias("quote_currency")), "security_id", "left").join(reporting, "security_id", "left")
     # few currencies have all bars, so rates are laid out by day and joined on both
-    until = bars.agg(F.max("date").alias("d")).first()["d"]
     for side in ("report", "quote"):
         fx = rates.select(F.col("currency_code").alias(f"{side}_currency"), F.col("as_of").alias("_since"), F.col("usd_per_unit").alias(f"{side}_rate"))
-        rows = rows.join(daily(fx, f"{side}_currency", "_since", until), [f"{side}_currency", "date"], "left")
+        rows = rows.join(daily(fx, f"{side}_currency", "_since", asof or dt.date.today()), [f"{side}_currency", "date"], "left")
         rows = rows.withColumn(f"{side}_rate", F.when(F.col(f"{side}_currency") == "USD", F.lit(1.0)).otherwise(F.col(f"{side}_rate")))
     same = F.coalesce(F.col("report_currency") == F.col("quote_currency"), F.lit(False))
     factor = F.when(same, F.lit(1.0)).otherwise(F.col("report_rate") / F.col("quote_rate"))
@@ -146,13 +148,28 @@ def pending_ttm(metrics: DataFrame, derived: DataFrame) -> DataFrame:
     return quarters.where("n >= 4").join(done, key, "left").where("d is null or q > d").select(*key)
 
 
-def promote_from_raw(securities: DataFrame, fundamentals: DataFrame) -> DataFrame:
-    """Market cap where there is none and the payload has a positive number; quote currency likewise if it is three capitals."""
+def promote_from_raw(securities: DataFrame, fundamentals: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Market cap where there is none and the payload has a positive number; quote currency likewise if it is three capitals.
+
+    The reporting currency is the payload's text in capitals if that makes three letters, else it stays as it was,
+    null where ``securities`` has no such column. With ``known`` (currency_code), a quote currency must be one of these.
+    """
     v = F.parse_json("raw")
-    raw = fundamentals.select("security_id", F.try_variant_get(v, "$.marketCap", "double").alias("cap"), F.try_variant_get(v, "$.currency", "string").alias("cur"))
+    raw = fundamentals.select("security_id", F.try_variant_get(v, "$.marketCap", "double").alias("cap"), F.try_variant_get(v, "$.currency", "string").alias("cur"), F.schema_of_variant(F.try_variant_get(v, "$.currency", "variant")).alias("kind"))
     rows = securities.join(raw, "security_id", "left")
+    quoted = F.when(F.col("cur").rlike("^[A-Z]{3}$"), F.col("cur"))
+    if known is not None:
+        rows = rows.join(known.select(F.col("currency_code").alias("cur"), F.lit(True).alias("listed")).distinct(), "cur", "left")
+        quoted = F.when(F.col("listed"), quoted)
+    told = F.when((F.col("kind") == "STRING") & F.upper("cur").rlike("^[A-Z]{3}$"), F.upper("cur"))
+    reporting = F.coalesce(told, F.col("reporting_currency")) if "reporting_currency" in securities.columns else told
     cap = F.coalesce(F.col("market_cap").cast("double"), F.when(F.col("cap") > 0, F.col("cap")))
-    return rows.select("security_id", cap.alias("market_cap"), F.coalesce("currency_code", F.when(F.col("cur").rlike("^[A-Z]{3}$"), F.col("cur"))).alias("currency_code"))
+    return rows.select("security_id", cap.alias("market_cap"), F.coalesce("currency_code", quoted).alias("currency_code"), reporting.alias("reporting_currency"))
+
+
+def fundamentals_current(fundamentals: DataFrame, securities: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Ratios with symbol and quote currency; a security without a symbol has a null one."""
+    return fundamentals.join(securities.select("security_id", "currency_code"), "security_id").join(symbols.select("security_id", "symbol"), "security_id", "left")
 
 
 def statement_current(statements: DataFrame, securities: DataFrame, symbols: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def pending(entities: DataFrame, done: DataFrame, marks: DataFrame, weights: DataFrame, what: str, asof: dt.date, fresh_days: int | None = None, again_days: int = 30, where: Column | None = None) -> DataFrame:
-    """Entities without a fresh ``done`` row and without a recent mark of a failed try, by greatest fund weight.
+    """Entities without a fresh ``done`` row and without a recent mark of a failed try, in the order of greatest fund weight, then id.
 
     done: security_id, done_at; a row older than fresh_days doesn't count, and with None any row does. marks:
     security_id, what, marked_at. weights: security_id, best_weight.
@@ -18,7 +18,8 @@ def pending(entities: DataFrame, done: DataFrame, marks: DataFrame, weights: Dat
     fresh = done if fresh_days is None else done.where(F.col("done_at") >= F.date_sub(F.lit(asof), fresh_days))
     tried = marks.where((F.col("what") == what) & (F.col("marked_at") > F.date_sub(F.lit(asof), again_days)))
     rows = rows.join(fresh.select("security_id"), "security_id", "left_anti").join(tried.select("security_id"), "security_id", "left_anti")
-    return rows.join(weights, "security_id", "left").withColumn("best_weight", F.coalesce("best_weight", F.lit(0.0)))
+    rows = rows.join(weights, "security_id", "left").withColumn("best_weight", F.coalesce("best_weight", F.lit(0.0)))
+    return rows.orderBy(F.desc("best_weight"), "security_id")
 
 
 #: Instance: days after which what was done is stale (null: never), days before a failed try is repeated, and which entities count.
@@ -59,12 +60,12 @@ def pending_instance(name: str, entities: DataFrame, done: DataFrame, marks: Dat
 
 
 def pending_statements(entities: DataFrame, statements: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
-    """Securities without statements, or of whose statements none has a currency; column want says which."""
+    """Securities without statements, or of whose statements none has a currency, greatest weight first; column want says which."""
     n = statements.groupBy("security_id").agg(F.count("*").alias("n"), F.count("currency_code").alias("known"))
     tried = marks.where((F.col("what") == "statements") & (F.col("marked_at") > F.date_sub(F.lit(asof), 30)))
     rows = entities.join(n, "security_id", "left").join(tried.select("security_id"), "security_id", "left_anti")
     rows = rows.withColumn("want", F.when(F.col("n").isNull(), "missing").when(F.col("known") == 0, "no_currency")).where("want is not null")
-    return rows.join(weights, "security_id", "left").select("security_id", "want", F.coalesce("best_weight", F.lit(0.0)).alias("best_weight"))
+    return rows.join(weights, "security_id", "left").select("security_id", "want", F.coalesce("best_weight", F.lit(0.0)).alias("best_weight")).orderBy(F.desc("best_weight"), "security_id")
 
 
 def pending_profile(current: DataFrame, marks: DataFrame, asof: dt.date) -> DataFrame:
@@ -95,14 +96,16 @@ DOUBT = ("industry", "profile", "performance")
 
 
 def home_symbol_backlog(entities: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
-    """Equities with an ISIN and a country whose symbol is missing, or in doubt since a fetch by it ever failed.
+    """Equities with an ISIN and a country whose symbol is missing, or in doubt since a fetch by it ever failed; those without one first.
 
     entities: security_id, security_type_code, isin, country_iso2, cik, symbol (the priced one), ticker (the US one).
     """
     failed = marks.where(F.col("what").isin(*DOUBT)).select("security_id").distinct().withColumn("failed", F.lit(True))
     rows = entities.withColumn("current_symbol", F.coalesce("symbol", "ticker")).join(failed, "security_id", "left")
     where = F.expr("security_type_code = 'equity' and isin is not null and country_iso2 is not null and (failed or current_symbol is null)")
-    return pending(rows, _nothing_done(marks), marks, weights, "home_symbol", asof, where=where).select("security_id", "isin", "country_iso2", "current_symbol", "best_weight")
+    return pending(rows, _nothing_done(marks), marks, weights, "home_symbol", asof, where=where).select("security_id", "isin", "country_iso2", "current_symbol", "best_weight").orderBy(
+        F.col("current_symbol").isNull().desc(), F.desc("best_weight"), "security_id"
+    )
 
 
 def corporate_actions_backlog(entities: DataFrame, done: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
@@ -121,7 +124,7 @@ def eps_history_backlog(entities: DataFrame, listings: DataFrame, done: DataFram
     rows = entities.where("security_type_code = 'equity' and ticker not like '%.%'").join(listed, "security_id", "left_semi")
     fresh = done.where((F.col("what") == "eps_history") & (F.col("done_at") >= F.date_sub(F.lit(asof), 90))).select("security_id")
     rows = rows.join(fresh, "security_id", "left_anti").join(weights, "security_id").where(F.col("best_weight") >= LEAST_WEIGHT["eps_history"])
-    return rows.select("security_id", F.col("ticker").alias("symbol"), "best_weight")
+    return rows.select("security_id", F.col("ticker").alias("symbol"), "best_weight").orderBy(F.desc("best_weight"), "security_id")
 
 
 def quarters_backlog(entities: DataFrame, statements: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -9,11 +10,13 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import common, rules
 from tapeworks.operators import currencies, events, facets, funds, identity, macro, metrics, pending, returns, writes
-from tapeworks.functions.scratch import new_path
+from tapeworks.functions.scratch import new_path, shared_dir
 from tapeworks.plans.market import ASOF, EVENT_ASOF, Market, with_inputs
 from tapeworks.sources import filings
 from tapeworks.streaming import streams
 
+#: No bar of the inputs is later.
+LAST_BAR = dt.date(2003, 12, 31)
 QUERIES: dict[str, Callable] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -92,13 +95,14 @@ query("corporate_actions", """select series_id, date as ex_date, 'split' as kind
 query("macro_points", """with v as (select indicator_code, date as as_of, coalesce(json_extract_string(body, '$.maturity'), '') as dimension, seq,
   coalesce(try_cast(json_extract_string(body, '$.value') as double), try_cast(json_extract_string(body, '$.rate') as double), try_cast(json_extract_string(body, '$.close') as double), try_cast(json_extract_string(body, '$.k') as double)) as value from macro_row),
   r as (select *, row_number() over (partition by indicator_code, as_of, dimension order by seq) as r from v where value is not null) select indicator_code, as_of, dimension, value from r where r = 1""", lambda m: macro.macro_points(m.macro_row))
-query("insider_keyed", """select distinct sha256(concat_ws('|', cast(security_id as varchar), cast(transaction_date as varchar), owner_name, direction, cast(shares as varchar))) as trade_key, security_id, transaction_date, owner_name, direction, shares from insider where transaction_date is not null""",
+query("insider_keyed", """select distinct sha256(concat_ws('|', cast(security_id as varchar), cast(transaction_date as varchar), owner_name, coalesce(direction, ''), security_type, cast(shares as varchar), coalesce(cast(price as varchar), ''))) as trade_key, security_id, transaction_date, owner_name, direction, shares, security_type, price from insider where transaction_date is not null""",
       lambda m: events.insider_keyed(m.insider))
 query("news_split", """with g as (select * from article where title is not null), r as (select *, row_number() over (partition by url order by published_at, title) as r from g)
   select url, 'article' as kind, title, cast(null as bigint) as security_id from r where r = 1 union all select distinct url, 'link', null, security_id from g""",
       lambda m: (lambda a, k: a.select("url", F.lit("article").alias("kind"), "title", F.lit(None).cast("long").alias("security_id")).unionByName(k.select("url", F.lit("link").alias("kind"), F.lit(None).cast("string").alias("title"), "security_id")))(*events.news_split(m.article)))
 query("prune_news", f"""with g as (select * from article where title is not null), r as (select *, row_number() over (partition by url order by published_at, title) as r from g), a as (select url from r where r = 1 and published_at >= {_E} - interval 90 day)
   select distinct url, security_id from g where url in (select url from a)""", lambda m: events.prune_news(*events.news_split(m.article), EVENT_ASOF)[1])
+query("prune_earnings", f"select symbol, report_date, period_ending from earnings where report_date >= {_A} - interval 90 day", lambda m: events.prune_earnings(m.earnings, ASOF).select("symbol", "report_date", "period_ending"))
 query("earnings_load", f"select e.symbol, report_date, p.security_id, period_ending, {d('eps_consensus')} as eps_consensus from earnings e left join provider_symbol p on e.symbol = p.symbol",
       lambda m: events.earnings_load(m.earnings.drop("security_id"), m.provider_symbol).withColumn("eps_consensus", F.col("eps_consensus").cast("double")))
 query("officer_clean", f"""select security_id, name, title, case when pay > 0 then pay end as pay, case when born > 1900 then cast(born as bigint) end as born, case when born > 1900 then cast({EVENT_ASOF.year} - born as bigint) end as age from officer""",
@@ -109,12 +113,12 @@ query("sector_unpivot", """with w as (select p_type as label, cast(count(*) as d
                                      m.sql("select distinct p_type as label, concat('id-', p_type) as sector_id from {part} where p_type <> 'SMALL'"), ["1m", "1y"]))
 query("profile_resolve", """select s.security_id, s.market_cap, case when length(currency_code) = 3 then currency_code end as currency_code, c.iso2 as country_iso2, l.node_id
   from (select security_id, market_cap, currency_code, (select name from country where iso2 = security.country_iso2) as cn, kind from security) s left join country c on c.name = s.cn left join (select distinct p_type as sl, concat('n-', p_type) as node_id from {part}) l on l.sl = s.kind""",
-      lambda m: identity.profile_resolve(m.security.join(m.country.select(F.col("iso2").alias("country_iso2"), F.lower("name").alias("country_name")), "country_iso2", "left").select("security_id", "market_cap", F.col("currency_code").alias("currency"), "country_name", F.col("kind").alias("sector_label")),
-                                         m.country, m.sql("select 'nowhere' as provider_name, '00' as iso2 from {region} limit 1"), m.sql("select distinct p_type as sector_label, concat('n-', p_type) as node_id from {part}")))
-_OLD = "select security_id, metric_code, as_of, source_code, value, fetched_at from metric where metric_code = 'revenue'"
-_NEW = "select security_id, metric_code, as_of, case when security_id % 3 = 0 then 'derived' else 'sec-nport' end as source_code, value + 1 as value, fetched_at + interval 1 day as fetched_at from metric where metric_code = 'revenue' and security_id % 2 = 0"
+      lambda m: identity.profile_resolve(m.security.join(m.country.select(F.col("iso2").alias("country_iso2"), F.when(F.col("iso2").cast("int") % 2 == 0, F.lower("name")).otherwise(F.concat(F.lit("land OF "), "name")).alias("country_name")), "country_iso2", "left").select("security_id", "market_cap", F.col("currency_code").alias("currency"), "country_name", F.col("kind").alias("sector_label")),
+                                         m.country, m.sql("select concat('Land of ', name) as provider_name, iso2 from country"), m.sql("select distinct p_type as sector_label, concat('n-', p_type) as node_id from {part}")))
+_OLD = "select security_id, metric_code, as_of, source_code, value, fetched_at from metric"
+_NEW = "select security_id, metric_code, as_of, case when security_id % 3 = 0 then 'derived' else 'sec-nport' end as source_code, value + 1 as value, fetched_at + interval 1 day as fetched_at from metric where security_id % 2 = 0"
 _KEY = "security_id, metric_code, as_of"
-query("upsert_latest", f"""with o as ({_OLD}), n as ({_NEW}) select {_KEY}, {d('value')} as value from n union all select {_KEY}, {d('value')} from o where not exists (select 1 from n where n.security_id = o.security_id and n.as_of = o.as_of)""",
+query("upsert_latest", f"""with o as ({_OLD}), n as ({_NEW}) select {_KEY}, {d('value')} as value from n union all select {_KEY}, {d('value')} from o where not exists (select 1 from n where n.security_id = o.security_id and n.metric_code = o.metric_code and n.as_of = o.as_of)""",
       lambda m: writes.upsert_latest(m.sql(_OLD).withColumn("seq", F.lit(0)), m.sql(_NEW).withColumn("seq", F.lit(0)), ["security_id", "metric_code", "as_of"]).select("security_id", "metric_code", "as_of", F.col("value").cast("double").alias("value")))
 query("upsert_priority", f"""with u as (select *, 0 as new from ({_OLD}) union all select *, 1 from ({_NEW})), r as (select u.*, row_number() over (partition by {_KEY} order by coalesce(priority, 100) desc, new desc, fetched_at desc) as r from u left join source_rank s on u.source_code = s.source_code)
   select {_KEY}, source_code, {d('value')} as value from r where r = 1""",
@@ -141,8 +145,8 @@ query("reporting_currency", """select security_id, coalesce(case when security_i
       lambda m: m.security.select("security_id", rules.reporting_currency(F.when(F.col("security_id") % 4 == 0, F.col("filed_currency")), F.col("currency_code"), F.col("country_iso2")).alias("reporting_currency")))
 query("valid_identifiers", """select security_id, kind, value from identifier where ((kind = 'isin' and regexp_matches(value, '^[A-Z]{2}[A-Z0-9]{9}[0-9]$')) or (kind = 'cusip' and regexp_matches(value, '^[A-Z0-9]{9}$')) or (kind = 'figi' and regexp_matches(value, '^BBG[A-Z0-9]{9}$')))
   and upper(value) not in ('N/A', 'NONE', 'UNKNOWN') and replace(value, left(value, 1), '') <> ''""", lambda m: identity.valid_identifiers(m.identifier))
-query("asset_type", """select fund_symbol, security_id, as_of, case when asset_category in ('EC','EP') then 'equity' when asset_category in ('DBT','LON') or asset_category like 'ABS-%' then 'bond' else 'other' end as security_type_code from holding""",
-      lambda m: m.holding.select("fund_symbol", "security_id", "as_of", rules.asset_type(F.col("asset_category"), F.lit(None).cast("string")).alias("security_type_code")))
+query("asset_type", """select fund_symbol, security_id, as_of, case when asset_category in ('EC','EP') and security_id % 3 <> 0 then 'equity' when asset_category in ('DBT','LON') or asset_category like 'ABS-%' then 'bond' when security_id % 5 = 0 then 'equity' else 'other' end as security_type_code from holding""",
+      lambda m: m.holding.select("fund_symbol", "security_id", "as_of", rules.asset_type(F.expr("case when asset_category = 'EC' and security_id % 3 = 0 then 'OTHER' else asset_category end"), F.expr("case when security_id % 5 = 0 then 'NS' else 'PA' end")).alias("security_type_code")))
 query("cap_band", "select security_id, case when market_cap >= 10e9 then 'large' when market_cap >= 2e9 then 'mid' when market_cap > 0 then 'small' end as cap_band from security", lambda m: m.security.select("security_id", rules.cap_band(F.col("market_cap")).alias("cap_band")))
 query("fx_plausible", "select * from fx_double where usd_per_unit > 1e-7 and usd_per_unit < 10", lambda m: m.fx_double.where(rules.plausible_rate(F.col("usd_per_unit"))))
 query("period_types", "select security_id, period_ending, case when lower(period_type) in ('fy', 'annual') then 'annual' when lower(period_type) like 'q%' then 'quarter' else lower(period_type) end as period_type from statement",
@@ -237,11 +241,11 @@ _KNOWN = "select distinct concat(p_type, '--', lower(replace(p_brand, '#', '-'))
 query("industry_nodes", f"""with l as (select sector_id, left(sector_id || '--' || regexp_replace(regexp_replace(lower(label), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g'), 60) as code, label from ({_LABELS})), r as (select *, row_number() over (partition by code order by label) as r from l)
   select code, sector_id, label from r where r = 1 and code not in (select code from ({_KNOWN}))""", lambda m: identity.industry_nodes(m.sql(_LABELS), m.sql(_KNOWN)))
 _ALIAS = "select security_id, symbol as alias from provider_symbol union all select security_id, value from identifier where kind = 'ticker'"
-_INSTR = "select case when s_suppkey % 2 = 0 then lower(concat('t', cast(s_suppkey as string))) else concat('T', cast(s_suppkey as string), '.HK') end as symbol, s_name as title, 'curated' as sector_id, case when s_suppkey % 3 = 0 then 'ZZ' end as country_iso2, 'CHF' as currency_code from {supplier}"
+_INSTR = "select case when s_suppkey % 2 = 0 then lower(concat('t', cast(s_suppkey as string))) else concat('T', cast(s_suppkey as string), '.HK') end as symbol, s_name as title, 'curated' as sector_id, case when s_suppkey % 2 = 1 then 'own' end as industry_id, case when s_suppkey % 3 = 0 then 'ZZ' end as country_iso2, 'CHF' as currency_code from {supplier}"
 _LINKS = f"a as (select alias, min(security_id) as security_id from ({_ALIAS}) group by 1), k as (select symbol, min(security_id) as security_id from ({_INSTR}) i join a on upper(symbol) = upper(alias) group by 1)"
 query("alias_link", f"with {_LINKS} select * from k", lambda m: identity.alias_link(m.sql(_ALIAS), m.sql(_INSTR)))
-query("instrument_current", f"""with {_LINKS}, {_BEST} select i.symbol, title, k.security_id, coalesce(sector.sector_id, i.sector_id) as sector_id, coalesce(s.operating_country_iso2, s.country_iso2, i.country_iso2) as country_iso2, coalesce(s.currency_code, i.currency_code) as currency_code, s.market_cap
-  from ({_INSTR}) i left join k on k.symbol = i.symbol left join security s on s.security_id = k.security_id left join sector on sector.security_id = k.security_id""",
+query("instrument_current", f"""with {_LINKS}, {_BEST} select i.symbol, title, k.security_id, coalesce(sector.sector_id, i.sector_id) as sector_id, coalesce(industry.industry_id, i.industry_id) as industry_id, coalesce(s.operating_country_iso2, s.country_iso2, i.country_iso2) as country_iso2, coalesce(s.currency_code, i.currency_code) as currency_code, s.market_cap
+  from ({_INSTR}) i left join k on k.symbol = i.symbol left join security s on s.security_id = k.security_id left join sector on sector.security_id = k.security_id left join industry on industry.security_id = k.security_id""",
       lambda m: identity.instrument_current(m.sql(_INSTR), identity.alias_link(m.sql(_ALIAS), m.sql(_INSTR)), identity.security_current(m.security, m.node, m.source_rank, m.provider_symbol)))
 _CIK = "select concat('{\"0\":{\"ticker\":\"t', cast(p_partkey as string), '\",\"cik\":', cast(p_partkey * 10 + p_partkey % 3 as string), '}}') as body from {part} where p_partkey % 4 <> 1"
 query("cik_map", f"with j as (select upper(json_extract_string(body, '$.0.ticker')) as ticker, cast(json_extract_string(body, '$.0.cik') as bigint) as cik from ({_CIK})) select s.security_id, j.cik from security s join j on j.ticker = upper(s.ticker) where s.cik is distinct from j.cik",
@@ -304,7 +308,7 @@ def _ratio_sql() -> str:
 
 
 query("ratio_series", _ratio_sql(), lambda m: metrics.ratio_series(m.sec_bar, m.metric.drop("currency_code", "source_code").unionByName(metrics.ttm(m.metric).select("security_id", "metric_code", "period_type", "as_of", "value"), allowMissingColumns=True),
-                                                                   m.security, m.fx_double, m.security.select("security_id", F.col("filed_currency").alias("report_currency"))))
+                                                                   m.security, m.fx_double, m.security.select("security_id", F.col("filed_currency").alias("report_currency")), LAST_BAR))
 _DONE_M = "select security_id, statement, period_ending, period_type, sha2({0}, 256) as payload_hash from statement where security_id % 3 <> 1"
 query("pending_metrics", "select security_id, statement, period_ending, period_type from statement where security_id % 3 = 1 or security_id % 15 = 0",
       lambda m: metrics.pending_metrics(m.statement, m.sql(_DONE_M.format("case when security_id % 15 = 0 then concat(payload, ' ') else payload end"))))
@@ -313,20 +317,24 @@ query("pending_ttm", f"""with q as (select security_id, metric_code, max(fetched
       lambda m: metrics.pending_ttm(m.metric, m.sql(_DONE_T)))
 _RAW = "select p_partkey as security_id, case p_partkey % 3 when 0 then concat('{\"marketCap\":', cast(p_partkey * 1000 as string), ',\"currency\":\"GBP\"}') when 1 then '{\"marketCap\":-5,\"currency\":\"GBp\"}' else '{\"currency\":\"CHF\"}' end as raw from {part}"
 _PART_SEC = "select security_id, case when security_id % 2 = 0 then cast(market_cap as double) end as market_cap, currency_code from security"
-query("promote_from_raw", f"""select s.security_id, coalesce(s.market_cap, case when s.security_id % 3 = 0 then cast(s.security_id * 1000 as double) end) as market_cap, coalesce(s.currency_code, case s.security_id % 3 when 0 then 'GBP' when 2 then 'CHF' end) as currency_code from ({_PART_SEC}) s""",
-      lambda m: metrics.promote_from_raw(m.sql(_PART_SEC), m.sql(_RAW)))
+query("promote_from_raw", f"""select s.security_id, coalesce(s.market_cap, case when s.security_id % 3 = 0 then cast(s.security_id * 1000 as double) end) as market_cap, coalesce(s.currency_code, case s.security_id % 3 when 0 then 'GBP' end) as currency_code,
+  case s.security_id % 3 when 0 then 'GBP' when 1 then 'GBP' else 'CHF' end as reporting_currency from ({_PART_SEC}) s""",
+      lambda m: metrics.promote_from_raw(m.sql(_PART_SEC), m.sql(_RAW), m.fx_double))
 query("statement_current", """select t.security_id, symbol, statement, period_ending, period_type, coalesce(operating_country_iso2, country_iso2) as country, s.currency_code as quote_currency,
   coalesce(t.currency_code, case when s.currency_code <> 'USD' then s.currency_code when s.currency_code = 'USD' and coalesce(operating_country_iso2, country_iso2) = 'US' then 'USD' end) as reporting_currency
   from statement t join security s on s.security_id = t.security_id left join provider_symbol p on p.security_id = t.security_id""", lambda m: metrics.statement_current(m.statement, m.security, m.provider_symbol))
 query("fundamentals_current", "select v.security_id, symbol, price_to_book, currency_code from valuation v join security s on s.security_id = v.security_id left join provider_symbol p on p.security_id = v.security_id",
-      lambda m: m.valuation.join(m.security.select("security_id", "currency_code"), "security_id").join(m.provider_symbol, "security_id", "left").select("security_id", "symbol", "price_to_book", "currency_code"))
+      lambda m: metrics.fundamentals_current(m.valuation, m.security, m.provider_symbol).select("security_id", "symbol", "price_to_book", "currency_code"))
 
 # Facets, style, peers
 
-_SPINE = f"""{_BEST}, {_FX_NOW}, lens_wide as (select iso2, max(group_id) filter (where scheme = 'msci') as msci_tier, max(group_id) filter (where scheme = 'un') as un_region from lens group by 1),
-  spine as (select s.security_id, symbol, name, security_type_code, sector_id, industry_id, coalesce(operating_country_iso2, country_iso2) as country_iso2, msci_tier, un_region, s.currency_code, market_cap as market_cap_native,
+_LENS = "select iso2 as country_iso2, " + ", ".join(f"max(group_id) filter (where scheme = '{s}' and lens = '{v}') as {c}" for c, (s, v) in facets.LENSES.items()) + " from lens group by 1"
+_SPINE = f"""{_BEST}, {_FX_NOW}, lens_wide as ({_LENS}),
+  spine as (select s.security_id, symbol, s.name, security_type_code, sector_id, industry.industry_id, industry_label.industry, coalesce(operating_country_iso2, s.country_iso2) as country_iso2, country_name, app_region_id, country_market, msci_tier, msci_region, ftse_tier, ftse_region, income_group, wb_region, un_region, s.currency_code, market_cap as market_cap_native,
+  maturity_date, coupon_rate, coupon_kind, in_default, symbol is not null as is_tradeable,
   {r4("cast(market_cap as double) * case when s.currency_code = 'USD' then 1.0 else usd_per_unit end")} as market_cap_usd from security s left join fx_now f on f.currency_code = s.currency_code left join provider_symbol p on p.security_id = s.security_id
-  left join sector on sector.security_id = s.security_id left join industry on industry.security_id = s.security_id left join lens_wide l on l.iso2 = coalesce(operating_country_iso2, country_iso2)),
+  left join sector on sector.security_id = s.security_id left join industry on industry.security_id = s.security_id left join lens_wide l on l.country_iso2 = coalesce(operating_country_iso2, s.country_iso2)
+  left join country_label on country_label.country_iso2 = coalesce(operating_country_iso2, s.country_iso2) left join industry_label on industry_label.industry_id = industry.industry_id left join bond_terms on bond_terms.security_id = s.security_id),
   banded as (select *, case when market_cap_usd >= 10e9 then 'large' when market_cap_usd >= 2e9 then 'mid' when market_cap_usd > 0 then 'small' end as cap_band from spine)"""
 _STYLE = f"""{_CURRENT}, idx as (select security_id, case when bool_or(style = 'growth') and bool_or(style = 'value') then 'blend' when bool_or(style = 'growth') then 'growth' else 'value' end as index_style from held where style is not null group by 1), {_SPINE},
   sc as (select b.security_id, 1 / price_to_book as btp, concat_ws(':', msci_tier, cap_band) as cohort from banded b join valuation v on v.security_id = b.security_id where security_type_code = 'equity' and price_to_book > 0 and market_cap_usd > 0 and msci_tier is not null),
@@ -334,13 +342,28 @@ _STYLE = f"""{_CURRENT}, idx as (select security_id, case when bool_or(style = '
   styled as (select security_id, {r4('score')} as value_score, {r4('btp')} as book_to_price, cohort, n as cohort_size, coalesce(index_style, scored) as style, case when index_style is not null then 'index' else 'score' end as style_source, case when index_style is null then 'low' when index_style = scored then 'high' else 'medium' end as style_confidence from st)"""
 
 
-def _spine(m: Market) -> DataFrame:
-    return facets.facets(m.security, m.node, m.source_rank, m.provider_symbol, facets.country_lens(m.lens), m.fx_double, m.valuation, m.holding, m.fund)
+def _built(m: Market) -> DataFrame:
+    return facets.facets(m.security, m.node, m.source_rank, m.provider_symbol, facets.country_lens(m.lens), m.fx_double, m.valuation, m.holding, m.fund, m.country_label, m.industry_label, m.bond_terms)
 
 
-query("country_lens", "select iso2 as country_iso2, max(group_id) filter (where scheme = 'msci') as msci_tier, max(group_id) filter (where scheme = 'un') as un_region from lens group by 1", lambda m: facets.country_lens(m.lens))
-query("style", f"with {_STYLE} select * from styled", lambda m: facets.style(_spine(m).drop("style", "style_source"), m.valuation, facets.index_label(m.holding, m.fund)))
-query("facets", f"with {_STYLE} select banded.*, styled.style, style_source from banded left join styled on styled.security_id = banded.security_id", _spine)
+_paths: dict[tuple[str, ...], str] = {}
+
+
+def _spine(m: Market, again: bool = False) -> DataFrame:
+    """The stored spine of these tables: written where this session has none of them, or again."""
+    key = (m._spark.sparkContext.applicationId, shared_dir(m._spark), m._dir)
+    if again or key not in _paths:
+        path = new_path(m._spark, "spine")
+        facets.refreshed(_built(m), path)
+        _paths[key] = path
+    return m._spark.read.parquet(_paths[key]).drop("refreshed_at")
+
+
+query("country_lens", _LENS, lambda m: facets.country_lens(m.lens))
+query("symbol_security", f"with {_LIST} select s.security_id, coalesce(l.symbol, p.symbol, t.value) as symbol from security s left join ls l on l.security_id = s.security_id and is_primary left join provider_symbol p on p.security_id = s.security_id left join (select security_id, min(value) as value from identifier where kind = 'ticker' group by 1) t on t.security_id = s.security_id where coalesce(l.symbol, p.symbol, t.value) is not null",
+      lambda m: facets.refreshed(identity.symbol_security(m.security, _listings(m), m.provider_symbol, m.identifier), new_path(m._spark, "symbols")).drop("refreshed_at"))
+query("style", f"with {_STYLE} select * from styled", lambda m: facets.style(_spine(m).drop("style", "style_source", "style_confidence", "value_score", "style_cohort"), m.valuation, facets.index_label(m.holding, m.fund)))
+query("facets", f"with {_STYLE} select banded.*, styled.style, style_source, style_confidence, value_score, cohort as style_cohort from banded left join styled on styled.security_id = banded.security_id", lambda m: _spine(m, again=True))
 for _facet in facets.FACETS:
     query(f"aggregate_performance_{_facet}", f"""with {_STYLE}, fc as (select banded.*, styled.style, case when market_cap_usd > 0 then cast(market_cap_usd as decimal(28,0)) end as cap from banded left join styled on styled.security_id = banded.security_id where {_facet} is not null),
   jp as (select fc.*, change_pct as c, total_return_pct as t, p.as_of as dated from fc left join security_perf p on p.security_id = fc.security_id and p.period = '1y')
@@ -365,7 +388,7 @@ query("earnings_surprise", f"""with e as (select e.*, strptime(period_ending ||
 query("next_earnings", f"""with r as (select *, report_date >= date '2001-03-01' as upcoming, row_number() over (partition by security_id order by report_date >= date '2001-03-01' desc, abs(report_date - date '2001-03-01'), symbol, report_date) as r from earnings where security_id is not null)
   select security_id, symbol, report_date, {d('eps_consensus')} as eps_consensus, period_ending, upcoming from r where r = 1""", lambda m: events.next_earnings(m.earnings, __import__("datetime").date(2001, 3, 1)))
 query("insider_summary", f"""select security_id, count(*) filter (where direction = 'Acquisition') as buys, count(*) filter (where direction = 'Disposition') as sells, count(distinct owner_name) filter (where direction = 'Acquisition') as buyers, count(distinct owner_name) filter (where direction = 'Disposition') as sellers,
-  {d("sum(case direction when 'Acquisition' then shares else -shares end)")} as net_shares, max(transaction_date) as latest, count(*) as trades from insider where transaction_date >= {_E} - interval 90 day group by 1""", lambda m: events.insider_summary(m.insider, EVENT_ASOF))
+  {d("sum(case direction when 'Acquisition' then shares when 'Disposition' then -shares end)")} as net_shares, max(transaction_date) as latest, count(*) as trades from insider where transaction_date >= {_E} - interval 90 day group by 1""", lambda m: events.insider_summary(m.insider, EVENT_ASOF))
 query("security_news", """with g as (select * from article where title is not null), r as (select *, row_number() over (partition by url order by published_at, title) as r from g), k as (select distinct url, security_id from g)
   select k.security_id, symbol, k.url, title, source, published_at from k join r on r.url = k.url and r = 1 left join provider_symbol p on p.security_id = k.security_id""", lambda m: events.security_news(*events.news_split(m.article), m.provider_symbol))
 
@@ -426,9 +449,21 @@ query("listing_counts", f"with e as ({_EXCH}), n as (select exch_code, count(*)
 _FUND_RAW = """select p_partkey as security_id, concat('{"peRatio":"', cast(p_size as string), '.5","beta":', case when p_partkey % 3 = 0 then '"n/a"' else cast(p_partkey % 4 as string) end, '}') as payload from {part}"""
 query("fundamentals_load", """select p_partkey as security_id, p_size + 0.5 as "peRatio", case when p_partkey % 3 <> 0 then cast(p_partkey % 4 as double) end as beta from {part}""".replace("p_size + 0.5", "cast(p_size as double) + 0.5"),
       lambda m: filings.fundamentals_load(m.sql(_FUND_RAW), ["peRatio", "beta"]).drop("payload"))
-query("statement_load", "select security_id, 'income' as statement, as_of as period_ending, case when security_id % 2 = 0 then 'quarter' else 'annual' end as period_type from metric_base",
-      lambda m: filings.statement_load(m.metric_base.groupBy("security_id").agg(F.to_json(F.collect_list(F.struct(F.col("as_of").cast("string").alias("period_ending"), F.when(F.col("security_id") % 2 == 0, F.lit("quarter")).alias("period_type"), F.col("s").cast("string").alias("value")))).alias("body"))
-                                     .select("security_id", F.lit("income").alias("statement"), "body")).drop("payload"))
+_PERIODS = "select security_id, to_json(array_sort(collect_list(struct(place, as_of as period_ending, case when security_id % 2 = 0 then 'quarter' end as period_type, cast(cast(s + place as decimal(28,2)) as string) as value)))) as body from (select security_id, as_of, s, explode(array(0, 1)) as place from metric_base) group by 1"
+query("statement_load", "select security_id, 'income' as statement, as_of as period_ending, case when security_id % 2 = 0 then 'quarter' else 'annual' end as period_type, cast(cast(s + 1 as decimal(28,2)) as double) as value from metric_base",
+      lambda m: filings.statement_load(m.sql(_PERIODS).select("security_id", F.lit("income").alias("statement"), "body")).withColumn("value", F.get_json_object("payload", "$.value").cast("double")).drop("payload"))
+_FEED = """select concat('[', array_join(collect_list(to_json(struct(concat('t', cast(p_partkey as string), case when p_partkey % 4 = 0 then '' else '.hk' end) as symbol, case when p_partkey % 3 <> 0 then concat('2001-10-', cast(10 + p_partkey % 15 as string), 'T00:00') end as date,
+  cast(p_size as double) as float_shares, cast(p_retailprice as double) as short_interest, p_partkey as institutions_count, case when p_partkey % 5 = 0 then 'usd' when p_partkey % 5 = 1 then 'US$' else 'GBP' end as currency, case when p_partkey % 2 = 0 then 'buy' end as recommendation,
+  cast(p_size as double) / 4 as target_high))), ','), case when part % 2 = 0 then ',{"symbol":"T4","date":"2001-10-14","float_shares":"12","target_high":1.5,"currency":7}]' else ']' end) as body from (select *, p_partkey % 7 as part from {part}) group by part"""
+_FED = "select p_partkey, security_id, p_size, p_retailprice from {part} join provider_symbol on security_id = p_partkey where p_partkey % 4 in (0, 1) and p_partkey <> 4"
+query("share_stats_load", f"""select security_id, case when p_partkey % 3 <> 0 then date '2001-10-10' + cast(p_partkey % 15 as integer) else {_A} end as as_of, cast(p_size as double) as float_shares, p_retailprice as short_interest, cast(p_partkey as double) as institutions_count from ({_FED})
+  union all select 4, date '2001-10-14', null, null, null""", lambda m: filings.share_stats_load(m.sql(_FEED), m.provider_symbol, ASOF).select("security_id", "as_of", "float_shares", "short_interest", "institutions_count"))
+query("estimates_load", f"""select security_id, {_A} as as_of, cast(p_size as double) / 4 as target_high, case when p_partkey % 2 = 0 then 'buy' end as recommendation, case when p_partkey % 5 = 0 then 'USD' when p_partkey % 5 <> 1 then 'GBP' end as currency_code from ({_FED})
+  union all select 4, {_A}, 1.5, null, null""", lambda m: filings.estimates_load(m.sql(_FEED), m.provider_symbol, ASOF).select("security_id", "as_of", "target_high", "recommendation", "currency_code"))
+_EPS = """select security_id, concat('{"quarterlyEarnings":[', array_join(collect_list(to_json(struct(cast(as_of as string) as fiscalDateEnding, case when security_id % 4 <> 0 then cast(report_date as string) end as reportedDate, case when security_id % 5 = 0 then 'None' else cast(value as string) end as reportedEPS,
+  case when security_id % 7 = 0 then '-' else '0' end as estimatedEPS, '12.5' as surprisePercentage))), ','), ']}') as body from (select security_id, as_of, as_of + interval 30 day as report_date, value from metric where metric_code = 'eps_diluted') group by 1"""
+query("eps_history_load", """select security_id, as_of as period_ending, case when security_id % 4 <> 0 then cast(as_of + interval 30 day as date) end as reported_date, case when security_id % 5 <> 0 then cast(value as double) end as eps_actual, case when security_id % 7 <> 0 then 0.0 end as eps_estimated,
+  cast(null as double) as surprise, 12.5 as surprise_pct from metric where metric_code = 'eps_diluted'""", lambda m: filings.eps_history_load(m.sql(_EPS)))
 query("xbrl_facts", "select security_id as cik, 'us-gaap' as taxonomy, 'Revenues' as concept, case when security_id % 5 = 0 then 'EUR' else 'USD' end as unit, as_of as \"end\", cast(s as double) as val, 'Q1' as fp from metric_base",
       lambda m: filings.facts_of(m.metric_base.groupBy("security_id").agg(F.collect_list(F.struct(F.col("as_of").alias("end"), F.col("s").cast("double").alias("val"), F.lit("Q1").alias("fp"))).alias("f"))
                                  .select(F.to_json(F.struct(F.col("security_id").alias("cik"), F.create_map(F.lit("us-gaap"), F.create_map(F.lit("Revenues"), F.struct(F.create_map(F.when(F.col("security_id") % 5 == 0, "EUR").otherwise("USD"), F.col("f")).alias("units")))).alias("facts"))).alias("value")))
@@ -462,5 +497,49 @@ def _streamed(m: Market) -> DataFrame:
     return streams.read_prices(spark, f"{path}/table")
 
 
-query("stream_prices", """with d as (select user_id, ts, min(value) as value from {events} group by 1, 2), r as (select *, row_number() over (partition by user_id, cast(ts as date) order by ts desc) as r from d) select user_id as series_id, cast(ts as date) as date, ts from r where r = 1""",
-      lambda m: _streamed(m).select("series_id", "date", "ts"))
+query("stream_prices", """with d as (select user_id, ts, max(value) as value from {events} group by 1, 2), r as (select *, row_number() over (partition by user_id, cast(ts as date) order by ts desc) as r from d) select user_id as series_id, cast(ts as date) as date, ts, value as close from r where r = 1""",
+      lambda m: _streamed(m).select("series_id", "date", "ts", "close"))
+
+
+# Filings in XML, and the other streams
+
+_NPORT = """select case when p_partkey % 31 <> 0 then p_name end as name, case when p_partkey % 3 = 0 then 'N/A' else concat('LEI', cast(p_partkey as string)) end as lei, case when p_partkey % 4 = 0 then lpad(cast(p_partkey as string), 9, '7') end as cusip,
+  case when p_partkey % 8 <> 0 then concat('US', lpad(cast(p_partkey as string), 9, '0'), cast(p_partkey % 10 as string)) end as isin, case when p_partkey % 6 = 0 then concat('BBG', cast(p_partkey as string)) end as figi,
+  cast(p_size as double) as balance, case when p_partkey % 2 = 0 then 'NS' else 'PA' end as units, case when p_partkey % 5 = 0 then 'n/a' else 'EUR' end as currency_code, cast(p_retailprice as double) as value_usd, cast(p_size as double) / 16 as weight,
+  case when p_type = 'PROMO' then 'DBT' else 'EC' end as asset_category, 'CORP' as issuer_category, case when p_partkey % 10 <> 9 then 'US' end as country_iso2, maturity_date, coupon_kind, coupon_rate, in_default
+  from {part} left join bond_terms on security_id = p_partkey"""
+
+
+def _filed(m: Market) -> DataFrame:
+    """The holdings written as a folder of fund filings, and read from it."""
+    rows, path = m.sql(_NPORT), new_path(m._spark, "nport")
+    value = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("_value")))
+    other = F.when(F.col("figi").isNotNull(), F.array(F.struct(F.lit("FIGI").alias("_otherDesc"), F.col("figi").alias("_value"))))
+    debt = F.struct(F.col("maturity_date").alias("maturityDt"), F.col("coupon_kind").alias("couponKind"), F.col("coupon_rate").alias("annualizedRt"), F.when(F.col("in_default"), "Y").otherwise("N").alias("isDefault"))
+    xml = rows.select(
+        "name", "lei", F.col("name").alias("title"), "cusip", F.struct(value("isin").alias("isin"), other.alias("other")).alias("identifiers"), "balance", "units", F.col("currency_code").alias("curCd"), F.col("value_usd").alias("valUSD"),
+        F.col("weight").alias("pctVal"), F.col("asset_category").alias("assetCat"), F.col("issuer_category").alias("issuerCat"), F.col("country_iso2").alias("invCountry"), F.when(F.col("maturity_date").isNotNull(), debt).alias("debtSec"),
+    )
+    xml.write.format("xml").option("rootTag", "invstOrSecs").option("rowTag", "invstOrSec").save(path)
+    return filings.nport_holdings(m._spark, path)
+
+
+query("nport_holdings", f"""select name, nullif(lei, 'N/A') as lei, cusip, isin, figi, balance, units, nullif(currency_code, 'n/a') as currency_code, value_usd, weight, asset_category, issuer_category, country_iso2 from ({_NPORT}) where name is not null""",
+      lambda m: _filed(m).withColumn("figi", F.get("other", F.lit(0))["value"]).drop("other", "maturity_date", "coupon_kind", "coupon_rate", "in_default"))
+query("debt_terms_scan", f"select isin, cusip, maturity_date, coupon_kind, coupon_rate, in_default from ({_NPORT}) where name is not null and maturity_date is not null",
+      lambda m: _filed(m).where("maturity_date is not null").select("isin", "cusip", "maturity_date", "coupon_kind", "coupon_rate", "in_default"))
+
+
+def _through_stream(m: Market, rows: DataFrame, start: Callable) -> DataFrame:
+    """Rows written as files, which a stream reads, and what it leaves. start(stream, path, checkpoint) begins it."""
+    path = new_path(m._spark, "stream")
+    rows.repartition(4).write.parquet(f"{path}/in")
+    stream = m._spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    start(stream, f"{path}/out", f"{path}/state").awaitTermination()
+    return m._spark.read.parquet(f"{path}/out")
+
+
+_TITLED = "select url, published_at, title from article where title is not null"
+query("stream_news", f"select distinct url from ({_TITLED})", lambda m: _through_stream(m, m.sql(_TITLED), streams.stream_news).select("url"))
+query("stream_derive", None, lambda m: _through_stream(m, m.statement, lambda s, path, state: streams.stream_derive(s, lambda batch: metrics.statement_metrics(batch, m.field), path, state)).drop("batch").withColumn("value", F.col("value").cast("double")))
+ORACLE_SQL["stream_derive"] = ORACLE_SQL["statement_metrics"]

@@ -46,7 +46,13 @@ INPUTS: dict[str, str] = {
   case when l_linenumber > 1 then cast(l_quantity as decimal(18,2)) end as weight, case when l_returnflag <> 'R' then cast(l_extendedprice as decimal(18,2)) end as market_value from {lineitem}""",
     "country": """select lpad(cast(n_nationkey as string), 2, '0') as iso2, n_name as name, n_regionkey as regionkey from {nation}""",
     "lens": """select 'msci' as scheme, 'tier' as lens, iso2, case regionkey % 3 when 0 then 'developed' when 1 then 'emerging' else 'frontier' end as group_id from country
-  union all select 'un', 'region', lpad(cast(n_nationkey as string), 2, '0'), r_name from {nation} join {region} on n_regionkey = r_regionkey""",
+  union all select 'un', 'region', lpad(cast(n_nationkey as string), 2, '0'), r_name from {nation} join {region} on n_regionkey = r_regionkey
+  union all select s.scheme, s.lens, iso2, concat(s.scheme, ' ', s.lens, ' ', cast((regionkey + cast(iso2 as int) * s.k) % s.n as string)) from country
+  cross join (values ('msci', 'region', 1, 5), ('ftse', 'tier', 2, 3), ('ftse', 'region', 3, 4), ('world-bank', 'tier', 1, 4), ('world-bank', 'region', 2, 7)) as s(scheme, lens, k, n) where (cast(iso2 as int) + s.k) % 8 <> 5""",
+    "country_label": """select iso2 as country_iso2, name as country_name, concat('region-', cast(regionkey as string)) as app_region_id, case cast(iso2 as int) % 3 when 0 then 'developed' when 1 then 'emerging' end as country_market from country""",
+    "industry_label": """select distinct node_id as industry_id, concat('Industry ', node_id) as industry from node where level = 2""",
+    "bond_terms": """select p_partkey as security_id, cast(date '2005-01-15' + interval 1 month * cast(p_partkey % 200 as int) as date) as maturity_date, cast(p_size as double) / 8 as coupon_rate,
+  case when p_partkey % 3 = 0 then 'Floating' else 'Fixed' end as coupon_kind, p_partkey % 17 = 0 as in_default from {part} where p_type = 'PROMO'""",
     "day_bar": """select l_suppkey as series_id, cast(l_shipdate as date) as date,
   (100 + cast(sum(cast(l_extendedprice as decimal(18,2))) as double) / cast(sum(cast(l_quantity as decimal(18,2))) as double) / 1000) as raw from {lineitem} group by 1, 2""",
     "bar": """select series_id, date, case when series_id % 13 = 0 and date >= date '2001-06-01' then raw * 10 else raw end as close from day_bar""",
@@ -65,10 +71,11 @@ INPUTS: dict[str, str] = {
   from metric_base cross join (values ('revenue', cast(1 as decimal(6,4))), ('net_income', cast(0.1 as decimal(6,4))), ('free_cash_flow', cast(0.08 as decimal(6,4))), ('total_equity', cast(2 as decimal(6,4))), ('total_assets', cast(5 as decimal(6,4)))) as m(code, factor)
   union all select security_id, 'eps_diluted', 'quarter', as_of, cast(cast(floor(s / 100000) as bigint) % 500 as decimal(28,4)) / 100 - 1, case security_id % 3 when 0 then 'USD' when 1 then 'EUR' else 'JPY' end, 'sec-xbrl', cast(as_of as timestamp) from metric_base
   union all select security_id, 'shares', 'quarter', as_of, cast(1000 + security_id as decimal(28,4)), null, 'sec-xbrl', cast(as_of as timestamp) from metric_base""",
-    "metric_mixed": """select security_id, metric_code, period_type, as_of, value, currency_code, source_code from metric where metric_code = 'revenue'
-  union all select security_id, metric_code, period_type, cast(as_of - interval 3 day as date), value + 1, currency_code, 'sec-nport' from metric where metric_code = 'revenue' and security_id % 3 = 0
-  union all select security_id, metric_code, period_type, cast(as_of + interval 20 day as date), value + 2, currency_code, 'openfigi' from metric where metric_code = 'revenue' and security_id % 5 = 0""",
-    "metric_name": """select * from (values ('revenue', 'Revenue', 'income', 'currency', false), ('net_income', 'Net income', 'income', 'currency', false)) as t(metric_code, metric_name, category, unit, is_derived)""",
+    "metric_mixed": """select security_id, metric_code, period_type, as_of, value, currency_code, source_code from metric
+  union all select security_id, metric_code, period_type, cast(as_of - interval 3 day as date), value + 1, currency_code, 'sec-nport' from metric where security_id % 3 = 0
+  union all select security_id, metric_code, period_type, cast(as_of + interval 20 day as date), value + 2, currency_code, 'openfigi' from metric where security_id % 5 = 0""",
+    "metric_name": """select * from (values ('revenue', 'Revenue', 'income', 'currency', false), ('net_income', 'Net income', 'income', 'currency', false), ('free_cash_flow', 'Free cash flow', 'cash', 'currency', true),
+  ('total_equity', 'Equity', 'balance', 'currency', false), ('total_assets', 'Assets', 'balance', 'currency', false), ('eps_diluted', 'Diluted EPS', 'income', 'per share', false), ('shares', 'Shares', 'balance', 'count', false)) as t(metric_code, metric_name, category, unit, is_derived)""",
     "cash_metric": """select security_id, 'quarter' as period_type, as_of, 'USD' as currency_code, m.code as metric_code, cast(s * m.factor as decimal(28,4)) as value from metric_base
   cross join (values ('operating_cash_flow', cast(0.3 as decimal(6,4)), 1), ('capital_expenditure', cast(-0.1 as decimal(6,4)), 2), ('free_cash_flow', cast(0.25 as decimal(6,4)), 5), ('long_term_debt', cast(1 as decimal(6,4)), 1), ('short_term_debt', cast(0.2 as decimal(6,4)), 3), ('total_debt', cast(1.1 as decimal(6,4)), 4)) as m(code, factor, every) where security_id % m.every = 0""",
     "fx": """select c.code as currency_code, cast(d.m as date) as as_of, c.base * (1 + cast(month(d.m) % 7 as double) / 100) as usd_per_unit
@@ -80,7 +87,8 @@ INPUTS: dict[str, str] = {
     "earnings": """select concat('T', cast(security_id as string)) as symbol, cast(as_of + interval 30 day as date) as report_date, case when security_id % 10 <> 3 then security_id end as security_id,
   substring(cast(as_of as string), 1, 7) as period_ending, case when security_id % 7 <> 2 then value + cast(security_id % 5 - 2 as decimal(28,4)) / 10 end as eps_consensus from metric where metric_code = 'eps_diluted'""",
     "insider": """select user_id % 100 as security_id, case when event_id % 50 <> 0 then cast(ts as date) end as transaction_date, concat('owner ', cast(user_id % 40 as string)) as owner_name,
-  case event_type when 'purchase' then 'Acquisition' else 'Disposition' end as direction, cast(event_id % 7 as bigint) * 100 as shares from {events} where event_type in ('purchase', 'error')""",
+  case event_type when 'purchase' then 'Acquisition' when 'signup' then 'Acquisition' when 'view' then null else 'Disposition' end as direction, cast(event_id % 7 as bigint) * 100 as shares,
+  case when event_id % 3 = 0 then 'Option' else 'Common Stock' end as security_type, case when event_id % 5 <> 0 then 10 + event_id % 2 end as price from {events}""",
     "filing": """select o_custkey % 2000 as security_id, case when o_orderkey % 9 <> 0 then concat('acc-', cast(o_orderkey as string)) end as accession,
   case o_orderkey % 7 when 0 then '10-K' when 1 then '20-F/A' when 2 then '10-Q' when 3 then '6-K' when 4 then '8-K' else 'DEF 14A' end as form, cast(o_orderdate as date) as filed from {orders}""",
     "officer": """select c_custkey % 2000 + 1 as security_id, c_name as name, case c_custkey % 5 when 0 then 'Chief Executive Officer' when 1 then 'CEO & Director' when 2 then 'Oceanographer' when 3 then 'CFO' end as title,
@@ -98,7 +106,7 @@ INPUTS: dict[str, str] = {
   concat('{"total_revenue":', cast(cast(floor(s) as bigint) as string), ',"netIncome":"', cast(security_id as string), '","eps":', cast(security_id % 10 as string), '.5}') as payload from metric_base""",
     "field": """select * from (values ('revenue', 'yfinance', 'income', 'total_revenue'), ('net_income', 'yfinance', 'income', 'netIncome'), ('eps_diluted', 'yfinance', 'income', 'eps')) as t(metric_code, source_code, statement, field)""",
     "mark": """select p_partkey as security_id, t.what, date '2001-11-04' - interval 1 day * cast(p_partkey % 61 as int) as marked_at from {part} cross join (values ('prices'), ('profile'), ('statements'), ('xbrl'), ('ticker'), ('industry'), ('fundamentals'), ('share_stats')) as t(what) where p_partkey % 5 = 0""",
-    "done": """select p_partkey as security_id, t.what, date '2001-11-04' - interval 1 day * cast(p_partkey % 23 as int) as done_at from {part} cross join (values ('prices'), ('performance'), ('xbrl'), ('share_stats'), ('dividends'), ('corporate_actions'), ('news'), ('insider'), ('filings'), ('management'), ('eps_history'), ('fundamentals'), ('industry'), ('price_history')) as t(what) where p_partkey % 2 = 0""",
+    "done": """select p_partkey as security_id, t.what, date '2001-11-04' - interval 1 day * cast(p_partkey % 23 as int) as done_at from {part} cross join (values ('prices'), ('performance'), ('xbrl'), ('share_stats'), ('dividends'), ('corporate_actions'), ('news'), ('insider'), ('filings'), ('management'), ('eps_history'), ('fundamentals'), ('industry'), ('price_history')) as t(what) where p_partkey % 8 in (0, 2, 6)""",
 }
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeworks.functions.common import top1
+
 _S = T.StringType()
 
 
@@ -60,26 +64,62 @@ def facts_of(bodies: DataFrame) -> DataFrame:
 
 def choose_units(facts: DataFrame) -> DataFrame:
     """Facts of one unit for each concept: shares, else the ISO-3 unit (or per share) with most points, the first by name of equals."""
-    from tapeworks.functions.common import top1
-
     usable = facts.where((F.col("unit") == "shares") | F.col("unit").rlike("^[A-Z]{3}(/shares)?$"))
     n = usable.groupBy("cik", "taxonomy", "concept", "unit").agg(F.count("*").alias("points"))
     best = top1(n, ["cik", "taxonomy", "concept"], (F.col("unit") == "shares").desc(), F.desc("points"), F.asc("unit"))
     return usable.join(best.drop("points"), ["cik", "taxonomy", "concept", "unit"], "left_semi")
 
 
-def json_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Line-delimited JSON by an explicit schema; what doesn't fit is null."""
-    return spark.read.schema(schema).json(path)
-
-
 def fundamentals_load(raw: DataFrame, fields: list[str]) -> DataFrame:
     """raw: security_id, payload. Named numbers or null, and the payload as it came."""
     return raw.select("security_id", *[F.get_json_object("payload", f"$.{f}").try_cast("double").alias(f) for f in fields], "payload")
 
 
 def statement_load(raw: DataFrame) -> DataFrame:
-    """raw: security_id, statement, body (a JSON array of periods). One row for each period with a date, its payload kept."""
-    rows = raw.select("security_id", "statement", F.explode(F.from_json("body", "array<map<string,string>>")).alias("m"))
-    rows = rows.select("security_id", "statement", F.col("m")["period_ending"].try_cast("date").alias("period_ending"), F.coalesce(F.col("m")["period_type"], F.lit("annual")).alias("period_type"), F.to_json("m").alias("payload"))
-    return rows.where("period_ending is not null").dropDuplicates(["security_id", "statement", "period_ending", "period_type"])
+    """raw: security_id, statement, body (a JSON array of periods). One row for each period with a date, the last of repeats, its payload kept."""
+    rows = raw.select("security_id", "statement", F.posexplode(F.from_json("body", "array<map<string,string>>")).alias("place", "m"))
+    rows = rows.select("security_id", "statement", F.col("m")["period_ending"].try_cast("date").alias("period_ending"), F.coalesce(F.col("m")["period_type"], F.lit("annual")).alias("period_type"), F.to_json("m").alias("payload"), "place")
+    key = ["security_id", "statement", "period_ending", "period_type"]
+    return top1(rows.where("period_ending is not null"), key, F.desc("place"), F.desc("payload")).drop("place")
+
+
+#: Numbers that a provider states of a share, and of what analysts expect of it.
+SHARE_STATS = ["float_shares", "outstanding_shares", "short_interest", "short_percent_of_float", "days_to_cover", "insider_ownership", "institution_ownership", "institutions_count"]
+ESTIMATES = ["target_high", "target_low", "target_consensus", "target_median", "recommendation_mean", "number_of_analysts"]
+
+
+def _provider_rows(raw: DataFrame, symbols: DataFrame, numbers: list[str], texts: list[str]) -> DataFrame:
+    """Objects of the JSON arrays in column body, of symbols that are known whatever their case. What isn't a JSON number is null."""
+    fields = ", ".join([*[f"`{c}` double" for c in numbers], *[f"`{c}` string" for c in texts]])
+    rows = raw.select(F.posexplode(F.from_json("body", f"array<struct<{fields}>>")).alias("place", "r")).select("place", "r.*")
+    known = symbols.select(F.upper("symbol").alias("known"), "security_id")
+    return rows.join(known, F.upper("symbol") == F.col("known"))
+
+
+def share_stats_load(raw: DataFrame, symbols: DataFrame, asof: dt.date) -> DataFrame:
+    """raw: body. A row for each security and date of the provider, or ``asof`` where it gives none; the last of repeats stays."""
+    rows = _provider_rows(raw, symbols, SHARE_STATS, ["symbol", "date"])
+    rows = rows.withColumn("as_of", F.coalesce(F.substring("date", 1, 10).try_cast("date"), F.lit(asof)))
+    return top1(rows, ["security_id", "as_of"], F.desc("place"), *[F.desc(c) for c in SHARE_STATS]).select("security_id", "as_of", *SHARE_STATS)
+
+
+def estimates_load(raw: DataFrame, symbols: DataFrame, asof: dt.date) -> DataFrame:
+    """raw: body. What analysts expect as of ``asof``; the currency in capitals if it is three letters, else null."""
+    rows = _provider_rows(raw, symbols, ESTIMATES, ["symbol", "currency", "recommendation"])
+    code = F.when(F.col("currency").rlike("^[A-Za-z]{3}$"), F.upper("currency"))
+    rows = rows.select("place", "security_id", F.lit(asof).alias("as_of"), *ESTIMATES, "recommendation", code.alias("currency_code"))
+    return top1(rows, ["security_id"], F.desc("place"), *[F.desc(c) for c in ESTIMATES]).drop("place")
+
+
+def eps_history_load(raw: DataFrame) -> DataFrame:
+    """raw: security_id, body (a JSON object with quarterlyEarnings). Figures come as text, and "None" or any other word is null; 0 is a figure."""
+    fields = ("fiscalDateEnding", "reportedDate", "reportedEPS", "estimatedEPS", "surprise", "surprisePercentage")
+    body = F.from_json("body", f"quarterlyEarnings array<struct<{', '.join(f'{c} string' for c in fields)}>>")
+    rows = raw.select("security_id", F.posexplode(body["quarterlyEarnings"]).alias("place", "q"))
+    day = lambda c: F.substring(F.col(f"q.{c}"), 1, 10).try_cast("date")
+    number = lambda c: F.when(F.col(f"q.{c}").rlike(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"), F.col(f"q.{c}").try_cast("double"))
+    rows = rows.select(
+        "security_id", "place", day("fiscalDateEnding").alias("period_ending"), day("reportedDate").alias("reported_date"), number("reportedEPS").alias("eps_actual"),
+        number("estimatedEPS").alias("eps_estimated"), number("surprise").alias("surprise"), number("surprisePercentage").alias("surprise_pct"),
+    ).where("period_ending is not null")
+    return top1(rows, ["security_id", "period_ending"], F.desc("place"), F.desc("eps_actual")).drop("place")

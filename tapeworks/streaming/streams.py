@@ -16,7 +16,7 @@ def stream_prices(bars: DataFrame, path: str, checkpoint: str, delay: str = "10
 
     A batch writes a folder of its own number and reads nothing that is stored, so its work doesn't grow with
     the table, and a batch that is run again replaces its own folder. Of bars of one time with other closes the
-    greatest of a batch stays, whichever comes first.
+    greatest of a batch stays, whichever comes first. Bars that come more than ``delay`` after the latest are lost.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
