@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.functions.scratch import stored
-from tapeworks.llm import decontaminate, jaccard, langid, lines, packing
+from tapeworks.llm import decontaminate, jaccard, langid, lines, packing, token_counts
+from tapeworks.llm.registry import tokenizer_file
 from tapeworks.llm.words import unused
 
 #: SQL can't express the language models of the first stage.
@@ -59,8 +60,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into batches of optimal length buckets: a row for each row, null ids and texts (no tokens) too."""
-    return packing.pack(docs)
+    """What is left, packed by token counts into batches of optimal length buckets: a row for each row, null ids and texts (no tokens) too."""
+    return packing.pack(docs, length=token_counts.counts(F.col("text"), tokenizer_file("piece_bpe_32k.model"))["n_tokens"])
 
 
 STAGES = [
