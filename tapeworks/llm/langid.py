@@ -22,6 +22,8 @@ from .words import give_back, mix, small_batches
 ORDER = 4
 #: Documents of each language that are learned from, of which one in CALIBRATE_EVERY is for calibration; languages that share a table of n-grams.
 SAMPLE_DOCS, CALIBRATE_EVERY, LANGUAGES_AT_ONCE = 500, 5, 8
+#: Shares of languages of more bytes than this are joined by shuffle.
+BROADCAST_BYTES = 64 << 20
 #: A text is rejected if its cross-entropy is over so many times the 99th percentile of its language's own.
 REJECT_AT = 1.5
 #: Distinct words that a task keeps; words read at once; words scored at once.
@@ -224,8 +226,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     docs = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l"))
     docs = docs.where("l is not null and t is not null").withColumn("place", F.xxhash64("i", "t"))
     # about two samples of each language by hash, so that ranking them is as small on any corpus
-    share = docs.groupBy("l").agg((2 * SAMPLE_DOCS / F.count("*")).alias("share"))
-    drawn = docs.join(share, "l").where(F.col("place") / 2.0**64 + 0.5 < F.col("share"))
+    share = stored(docs.groupBy("l").agg((2 * SAMPLE_DOCS / F.count("*")).alias("share")), "shares")
+    few = (share.agg(F.sum(F.octet_length("l") + 16)).first()[0] or 0) <= BROADCAST_BYTES
+    drawn = docs.join(F.broadcast(share) if few else share, "l").where(F.col("place") / 2.0**64 + 0.5 < F.col("share"))
     rank = F.row_number().over(Window.partitionBy("l").orderBy("place", "i", "t"))
     sample = stored(drawn.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("l", "t", "rank"), "sample")
     words = sample.where(F.col("rank") % CALIBRATE_EVERY != 0).select("l", F.explode(F.split("t", r"[\x20\x09-\x0D]+")).alias("w")).groupBy("l", "w").count()

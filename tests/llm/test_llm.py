@@ -649,6 +649,43 @@ def test_word_count(spark):
 # the pipeline and the registry
 
 
+def test_pipeline_stages_at_their_edges(spark, tmp_path):
+    """Null, empty and repeated rows, columns of any name, and an empty table, through every stage."""
+    import corpus_pipeline
+
+    extra = "language language_ _language n_lines n_dropped component_id item_id hashes n_tokens text_ row host lines drops stay key chunk rep own label".split()
+    rng = random.Random(12)
+    say = lambda k: " ".join(rng.choice(["the", "house", "and", "with", "this", "thing"]) + rng.choice(["", "s", "ing"]) for _ in range(k))
+    rows = [(k, say(40), "en", f"s{k % 3}", None) for k in range(60)]
+    rows += [(100, rows[3][1], "en", "s0", 1), (3, rows[3][1], "en", "s1", 1), (None, rows[3][1], "en", None, 1), (None, None, None, None, None), (101, None, "en", "s0", 0), (102, "", "en", "s0", 0), (103, "1 2 3", None, "s0", 5)]
+    rows += [(104, say(30) + " alpha beta gamma delta epsilon zeta " + say(30), "en", "s1", 9), (105, say(4000), "en", "s2", None)]
+    table = spark.createDataFrame([(*r, *["kept"] * len(extra)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra))
+    sf = str(tmp_path)
+    spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (2, None), (None, "the house")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    current, gone = table, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, current, sf)
+        assert after.columns == table.columns and after.select(*extra).distinct().count() == 1
+        before, left = (sorted((r.doc_id is None, r.doc_id or 0) for r in d.collect()) for d in (current, after))
+        gone[name] = {i for i in before if i not in left}
+        assert stage(spark, table.where("false"), sf).count() == 0
+        current = after
+    assert gone == {"language_id": {(False, 101), (False, 102), (False, 103)}, "line_dedup": set(), "near_duplicates": {(False, 100)}, "decontamination": {(False, 104)}}
+    out = corpus_pipeline.length_buckets(spark, current, sf)
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(r.doc_id) for r in current.collect())
+    assert corpus_pipeline.length_buckets(spark, table.where("false"), sf).count() == 0
+
+
+def slow_line_dedup(rows):
+    """rows: (id, text, source). Texts without the lines that over 5 % of a source's distinct pages have, five or more of them."""
+    solid = lambda t: {x.strip(" ") for x in (t or "").split("\n")} - {""}
+    pages = {(s, frozenset(solid(t))) for _, t, s in rows if s is not None}
+    total = collections.Counter(s for s, _ in pages)
+    seen = collections.Counter((s, x) for s, p in pages for x in p)
+    bad = {k for k, n in seen.items() if n >= 5 and n > 0.05 * total[k[0]]}
+    return {i: t if t is None else "\n".join(x for x in t.split("\n") if (s, x.strip(" ")) not in bad) for i, t, s in rows}
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
 def test_pipeline(spark):
     import corpus_pipeline
@@ -662,6 +699,14 @@ def test_pipeline(spark):
         kept = {r.doc_id: r.text for r in after.select("doc_id", "text").collect()}
         before = {r.doc_id: r.text for r in current.select("doc_id", "text").collect()}
         assert set(kept) <= set(before)
+        if name == "language_id":
+            said = langid.predict(current, langid.train(current)).collect()
+            assert set(kept) == {r.doc_id for r in said if not r.language.rejected}
+            letterless = {i for i, t in before.items() if not any(c.isalpha() for c in t or "")}
+            assert not set(kept) & letterless and len(kept) >= 0.95 * (len(before) - len(letterless))
+            assert {r.doc_id: r.lang for r in after.collect()} == {r.doc_id: r.language.lang_pred for r in said if not r.language.rejected}
+        if name == "line_dedup":
+            assert kept == slow_line_dedup([(r.doc_id, r.text, r.source) for r in current.collect()])
         if name == "near_duplicates":
             slow = slow_components(list(before.items()))
             assert set(kept) == {c for _, c in slow.values()}
@@ -671,4 +716,11 @@ def test_pipeline(spark):
             holds = {i for i, t in before.items() for s in [{tuple(w[p : p + 5]) for w in [split(t.lower())] for p in range(len(w) - 4)}] if any(g and 100 * len(g & s) >= 80 * len(g) for g in grams)}
             assert set(kept) == set(before) - holds
         current = after
-    assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in current.select("doc_id").collect())
+    out = out.collect()
+    assert sorted(r.doc_id for r in out) == sorted(r.doc_id for r in current.select("doc_id").collect())
+    counted = {r.doc_id: r.n_tokens for r in token_counts.token_counts(current, tokenizer_file("piece_bpe_32k.model")).collect()}
+    assert {r.doc_id: r.n_tokens for r in out} == counted
+    tops = packing.boundaries(*np.unique(np.array(list(counted.values())), return_counts=True), 16)
+    if max(counted.values()) <= packing.EXACT:
+        assert sum(r.padding for r in out) == sum(min(t for t in tops if t >= n) - n for n in counted.values())
+    assert all(r.padding == r.bucket_len - r.n_tokens >= 0 for r in out)
