@@ -23,10 +23,14 @@ SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 
 
 def _windows(words: Column, n: int) -> Column:
-    """Of each position the hash of n words, with the position: sorted, so equal windows lie side by side."""
+    """Of each position the hash of n words."""
     at = F.sequence(F.lit(0), F.size(words) - n)
-    hashed = F.transform(at, lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(n)]).alias("h"), i.alias("i")))
-    return F.when(F.size(words) >= n, F.sort_array(hashed))
+    return F.when(F.size(words) >= n, F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)])))
+
+
+def _side_by_side(windows: Column) -> Column:
+    """Windows with their positions, sorted, so equal ones lie side by side."""
+    return F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
 
 def _repeated(sorted_windows: Column) -> Column:
@@ -83,7 +87,9 @@ def quality(docs: DataFrame, rules: list | None = None, id_col: str = "doc_id",
         F.size(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS if stop_words is None else stop_words))).cast("long").alias("n_stop_words"),
         _windows(F.col("words"), 5).alias("windows"),
     )
-    docs = docs.withColumn("windows", _repeated(F.col("windows")))
+    # most texts repeat nothing, and only the others are sorted
+    again = F.size(F.array_distinct("windows")) < F.size("windows")
+    docs = docs.withColumn("windows", F.when(again, _side_by_side(F.col("windows")))).withColumn("windows", _repeated(F.col("windows")))
     docs = docs.withColumn("n_repeat_words", F.coalesce(_covered(F.col("windows"), 5), F.lit(0)).cast("long")).drop("windows")
     whole = F.when(F.col("n_words") > 0, F.col("n_words"))
     docs = docs.select(
