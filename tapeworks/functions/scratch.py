@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset (tests)."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset, a folder of our own if driver and executors are one process, else an error."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", known)
     return known.rstrip("/")

@@ -78,8 +78,8 @@ INPUTS: dict[str, str] = {
   ('total_equity', 'Equity', 'balance', 'currency', false), ('total_assets', 'Assets', 'balance', 'currency', false), ('eps_diluted', 'Diluted EPS', 'income', 'per share', false), ('shares', 'Shares', 'balance', 'count', false)) as t(metric_code, metric_name, category, unit, is_derived)""",
     "cash_metric": """select security_id, 'quarter' as period_type, as_of, 'USD' as currency_code, m.code as metric_code, cast(s * m.factor as decimal(28,4)) as value from metric_base
   cross join (values ('operating_cash_flow', cast(0.3 as decimal(6,4)), 1), ('capital_expenditure', cast(-0.1 as decimal(6,4)), 2), ('free_cash_flow', cast(0.25 as decimal(6,4)), 5), ('long_term_debt', cast(1 as decimal(6,4)), 1), ('short_term_debt', cast(0.2 as decimal(6,4)), 3), ('total_debt', cast(1.1 as decimal(6,4)), 4)) as m(code, factor, every) where security_id % m.every = 0""",
-    "fx": """select c.code as currency_code, cast(d.m as date) as as_of, c.base * (1 + cast(month(d.m) % 7 as double) / 100) as usd_per_unit
-  from (select distinct date_trunc('month', o_orderdate) as m from {orders}) d cross join (values ('EUR', 1.1), ('JPY', 0.0067), ('GBP', 1.3), ('ILS', 0.27), ('KWD', 3.2), ('XXX', 11.5)) as c(code, base)""",
+    "fx": """select c.code as currency_code, cast(d.m as date) as as_of, c.base * (1 + cast(d.n % 7 as double) / 100) as usd_per_unit
+  from (select date_trunc('month', o_orderdate) as m, count(*) as n from {orders} group by 1) d cross join (values ('EUR', 1.1), ('JPY', 0.0067), ('GBP', 1.3), ('ILS', 0.27), ('KWD', 3.2), ('XXX', 11.5)) as c(code, base)""",
     "fx_double": """select currency_code, as_of, cast(usd_per_unit as double) as usd_per_unit from fx""",
     "valuation": """select p_partkey as security_id, cast(p_partkey % 97 - 3 as double) / 10 as price_to_book from {part}""",
     "security_perf": """select p_partkey as security_id, t.period, cast(p_partkey % 41 - 20 as decimal(18,4)) as change_pct, case when p_partkey % 3 <> 0 then cast(p_partkey % 37 - 15 as decimal(18,4)) end as total_return_pct, date '2001-11-04' as as_of

@@ -134,6 +134,63 @@ def test_insiders_are_counted_as_people(spark):
     assert events.insider_keyed(table(spark, "security_id string, transaction_date date, owner_name string, direction string, shares long", *rows, ("s", None, "x", "Acquisition", 1))).count() == 6
 
 
+def test_trades_at_two_prices_are_two(spark):
+    schema = "security_id string, transaction_date date, owner_name string, direction string, shares long, security_type string, price double, note string"
+    rows = [("s", DAY, "Ada", "Acquisition", 100, "Common", 10.0, "b"), ("s", DAY, "Ada", "Acquisition", 100, "Common", 11.0, None), ("s", DAY, "Ada", "Acquisition", 100, "Option", 10.0, None), ("s", DAY, "Ada", "Acquisition", 100, "Common", 10.0, "a"), ("s", DAY, "Ada", None, None, None, None, None)]
+    got = events.insider_keyed(table(spark, schema, *rows)).collect()
+    assert sorted((r.price or 0, r.security_type or "", r.note or "") for r in got) == [(0, "", ""), (10.0, "Common", "a"), (10.0, "Option", ""), (11.0, "Common", "")]
+
+
+def test_ranks_in_ranges_are_ranks(spark):
+    import random
+
+    from tapeworks.functions.common import ranked
+
+    rng = random.Random(4)
+    rows = [(k, rng.choice(["a", "b", None]), rng.choice([None, *range(40)]) if k % 3 else 7) for k in range(400)]
+    got = {r.i: (r.rank, r.group_size) for r in ranked(table(spark, "i int, g string, v int", *rows), "g", "v").collect()}
+    low = lambda v: (v is not None, v or 0)
+    assert got == {i: (1 + sum(low(w) < low(v) for _, h, w in rows if h == g), sum(h == g for _, h, _ in rows)) for i, g, v in rows}
+    assert ranked(table(spark, "i int, g string, v int", *rows).where("false"), "g", "v").count() == 0
+
+
+def test_old_reports_leave_the_calendar(spark):
+    rows = [("A", DAY - dt.timedelta(90)), ("B", DAY - dt.timedelta(91)), ("C", DAY + dt.timedelta(5)), ("D", None)]
+    assert sorted(r.symbol for r in events.prune_earnings(table(spark, "symbol string, report_date date", *rows), DAY).collect()) == ["A", "C"]
+
+
+def test_reporting_currency_is_promoted_apart_from_the_quote(spark):
+    sec = table(spark, "security_id int, market_cap double, currency_code string, reporting_currency string", (1, None, None, None), (2, 5.0, "GBP", "GBP"), (3, None, None, "EUR"), (4, None, None, None))
+    raw = table(spark, "security_id int, raw string", (1, '{"marketCap": 7, "currency": "USD"}'), (2, '{"currency": "usd"}'), (3, '{"currency": 840}'), (4, '{"currency": "QQQ"}'))
+    got = {r.security_id: (r.market_cap, r.currency_code, r.reporting_currency) for r in metrics.promote_from_raw(sec, raw, table(spark, "currency_code string", ("USD",), ("GBP",))).collect()}
+    assert got == {1: (7.0, "USD", "USD"), 2: (5.0, "GBP", "USD"), 3: (None, None, "EUR"), 4: (None, None, "QQQ")}
+
+
+def test_a_read_model_is_read_and_not_rebuilt(spark, tmp_path):
+    source = table(spark, "security_id int, sector_id string", (1, "a"), (2, "b"))
+    stored = facets.refreshed(source, str(tmp_path / "spine"))
+    assert stored.columns == ["security_id", "sector_id", "refreshed_at"] and stored.select("refreshed_at").distinct().count() == 1
+    assert len(stored.inputFiles()) > 0
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark):
+    from tapeworks.functions.scratch import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), type("Context", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+    Session.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+    assert shared_dir(spark).startswith("file:")
+
+
 def test_peers_are_comparable_in_one_currency(spark):
     sec = table(spark, "security_id long, market_cap double, currency_code string, sector_id string, name string, symbol string", (1, 10e9, "USD", "s", "a", "A"), (2, 12.5e9, "USD", "s", "b", "B"), (3, 1.5e12, "JPY", "s", "c", "C"), (4, 900e9, "USD", "s", "d", "D"), (5, 1.0, "GBP", "s", "e", "E"))
     fx = table(spark, "currency_code string, as_of date, usd_per_unit double", ("JPY", DAY, 0.0067), ("JPY", DAY - dt.timedelta(9), 1.0))

@@ -84,3 +84,30 @@ def test_bars_of_one_time_do_not_depend_on_their_order(spark, tmp_path):
         spark.createDataFrame([(1, noon, c) for c in closes], schema).coalesce(1).write.parquet(src)
         streams.stream_prices(spark.readStream.schema(schema).parquet(src), out, str(tmp_path / f"{name}-cp")).awaitTermination()
         assert [r.close for r in streams.read_prices(spark, out).collect()] == [7.0]
+
+
+def test_share_stats_and_estimates(spark):
+    import datetime as dt
+
+    day = dt.date(2026, 8, 9)
+    symbols = spark.createDataFrame([("AAA", 1), ("BBB.L", 2)], "symbol string, security_id int")
+    body = '[{"symbol":"aaa","date":"2026-08-01T00:00","float_shares":5,"short_interest":"9"},{"symbol":"AAA","date":"2026-08-01","float_shares":6.5},{"symbol":"bbb.l","float_shares":1},{"symbol":"ZZZ","float_shares":1}]'
+    got = sorted((r.security_id, r.as_of, r.float_shares, r.short_interest) for r in filings.share_stats_load(spark.createDataFrame([(body,), (None,), ("{",)], "body string"), symbols, day).collect())
+    assert got == [(1, dt.date(2026, 8, 1), 6.5, None), (2, day, 1.0, None)]
+    body = '[{"symbol":"AAA","target_high":"12","target_low":3,"currency":"usd","recommendation":"buy"},{"symbol":"BBB.L","target_high":0,"currency":"US$"}]'
+    got = sorted((r.security_id, r.as_of, r.target_high, r.target_low, r.currency_code, r.recommendation) for r in filings.estimates_load(spark.createDataFrame([(body,)], "body string"), symbols, day).collect())
+    assert got == [(1, day, None, 3.0, "USD", "buy"), (2, day, 0.0, None, None, None)]
+
+
+def test_eps_history(spark):
+    import datetime as dt
+
+    body = '{"symbol":"A","quarterlyEarnings":[{"fiscalDateEnding":"2026-06-30","reportedDate":"2026-07-29","reportedEPS":"4.74","estimatedEPS":"4.21","surprise":"0.53","surprisePercentage":"12.5891"},{"fiscalDateEnding":"2026-03-31","reportedEPS":"None","estimatedEPS":"0"},{"reportedEPS":"1"},{"fiscalDateEnding":"2026-06-30","reportedEPS":"4.75"}]}'
+    got = sorted(tuple(r) for r in filings.eps_history_load(spark.createDataFrame([(1, body), (2, "{}"), (3, None)], "security_id int, body string")).collect())
+    assert got == [(1, dt.date(2026, 3, 31), None, None, 0.0, None, None), (1, dt.date(2026, 6, 30), None, 4.75, None, None, None)]
+
+
+def test_the_last_statement_of_a_period_stays(spark):
+    body = '[{"period_ending":"2026-06-30","v":"1"},{"period_ending":"2026-06-30","v":"2"},{"period_ending":"none","v":"3"}]'
+    rows = filings.statement_load(spark.createDataFrame([(1, "income", body)], "security_id int, statement string, body string")).collect()
+    assert [(str(r.period_ending), r.period_type, '"v":"2"' in r.payload) for r in rows] == [("2026-06-30", "annual", True)]
