@@ -220,12 +220,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     docs = docs.withColumn("key", F.unhex(F.md5("text")))
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     chunks, buckets = X.plan(size)
-    # a row without an id is in no class of its own and goes anywhere
-    chunk = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("key"))), F.lit(chunks))
+    # by text too, so that neither null nor repeated ids gather in one chunk
+    chunk = F.pmod(F.xxhash64("doc_id", "key"), F.lit(chunks))
     ids = stored(docs.select("doc_id", "key"), "ids")
     reps = stored(ids.groupBy("key").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "reps")
     blank = [F.lit(None).cast(t).alias(c) for c, t in (("tag", "int"), ("bucket", "int"), ("reply", "binary"))]
-    known = reps.select(F.pmod(F.xxhash64("rep"), F.lit(chunks)).alias("chunk"), *blank, "rep", "key")
+    known = reps.select(F.pmod(F.xxhash64("rep", "key"), F.lit(chunks)).alias("chunk"), *blank, "rep", "key")
     dealt = docs.withColumn("chunk", chunk).groupBy("chunk")
     asked = dealt.cogroup(known.groupBy("chunk")).applyInArrow(_ask(n, buckets), X.ASKED)
     told = asked.groupBy("bucket").applyInArrow(X.answered(1, False), X.ANSWER)
