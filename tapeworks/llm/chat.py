@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks.functions.scratch import stored
+
 TEMPLATE = ("<|im_start|>", "\n", "<|im_end|>\n")
 
 
@@ -33,7 +35,8 @@ def answer_swaps(conversations: DataFrame) -> DataFrame:
     swapped = swapped.unionByName(final.join(last, "conv_id").select("conv_id", F.col("last").alias("turn"), "role", "text"))
     sides = ((ended, 0), (swapped, 1))
     first, second = (t.select((2 * F.col("conv_id") + k).alias("conv_id"), "turn", "role", "text") for t, k in sides)
-    return first.unionByName(second)
+    # stored, as what formats pairs reads the turns more than once
+    return stored(first.unionByName(second), "turns")
 
 
 def _split(turns: DataFrame, pairs: DataFrame) -> DataFrame:
