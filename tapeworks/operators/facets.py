@@ -71,6 +71,8 @@ def facets(
         F.col("market_cap").alias("market_cap_native"), "market_cap_usd", cap_band(F.col("market_cap_usd")).alias("cap_band"),
         "maturity_date", "coupon_rate", "coupon_kind", "in_default", (F.col("symbol").isNotNull()).alias("is_tradeable"),
     )
+    # stored, as its styles are ranked from it and then joined to it
+    spine = stored(spine, "spine_base")
     styles = style(spine, fundamentals, index_label(holdings, funds)).withColumnRenamed("cohort", "style_cohort")
     return spine.join(styles.select("security_id", "style", "style_source", "style_confidence", "value_score", "style_cohort"), "security_id", "left")
 
