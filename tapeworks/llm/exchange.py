@@ -11,17 +11,20 @@ on a large corpus rows become short, and never more than a plain shuffle of hash
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .words import trimmed
 
 #: Bytes of text in a chunk, and bytes of text for which there is one bucket.
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 12 << 20
 #: Parts of its range that a bucket goes through one by one.
-_PARTS = 8
+PARTS = 8
 
-ASKED = "chunk long, bucket int, vals binary, weights binary, flags binary"
+ASKED = "chunk long, bucket int, vals binary, marks binary"
 ANSWER = "chunk long, tag int, bucket int, reply binary"
 
 
@@ -39,72 +42,122 @@ def bucket_bounds(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray,
     return bucket[starts], np.r_[starts, len(h)], (wide & low).astype(np.uint32)
 
 
-def packed(sorted_vals: np.ndarray) -> bytes:
-    """Steps between sorted 32-bit values by byte plane: the high planes are nearly all zero and compress away."""
-    steps = np.diff(sorted_vals, prepend=np.uint32(0)).astype("<u4")
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+def cells(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A binary cell for each row, of the bytes of the values from one bound to the next."""
+    data = np.ascontiguousarray(values)
+    offsets = (bounds * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def contents(column: pa.ChunkedArray | pa.Array, item: str) -> tuple[np.ndarray, np.ndarray]:
+    """What cells() was given: the values of all rows, and the bounds of each row's."""
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    size = np.dtype(item).itemsize
+    if not len(column):
+        return np.zeros(0, item), np.zeros(1, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return np.frombuffer(data.tobytes(), item) if len(data) else np.zeros(0, item), (offsets - offsets[0]) // size
+
+
+def _places(bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each value the place of its lowest byte, and how far apart its bytes are, if each row is laid out by byte plane."""
+    sizes = np.diff(bounds)
+    return np.arange(bounds[-1]) + (width - 1) * np.repeat(bounds[:-1], sizes), np.repeat(sizes, sizes)
+
+
+def planes(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Cells of unsigned integers by byte plane: the high planes are nearly all zero and compress away."""
+    width = values.itemsize
+    place, apart = _places(bounds, width)
+    out = np.empty(len(values) * width, np.uint8)
+    for k in range(width):
+        out[place + k * apart] = (values >> values.dtype.type(8 * k)).astype(np.uint8)
+    return cells(out, bounds * width)
 
 
-def unpacked(data: bytes | pa.Buffer) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+def from_planes(column: pa.ChunkedArray | pa.Array, item: str) -> tuple[np.ndarray, np.ndarray]:
+    """What planes() was given."""
+    data, ends = contents(column, "u1")
+    width = np.dtype(item).itemsize
+    bounds = ends // width
+    place, apart = _places(bounds, width)
+    out = np.zeros(bounds[-1], item)
+    for k in range(width):
+        out |= data[place + k * apart].astype(item) << np.dtype(item).type(8 * k)
+    return out, bounds
+
+
+def packed(sorted_vals: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Cells of 32-bit values that are sorted in each row, as the steps between them."""
+    steps = np.diff(sorted_vals, prepend=np.uint32(0))
+    starts = bounds[:-1]
+    steps[starts] = sorted_vals[starts]
+    return planes(steps, bounds)
+
+
+def unpacked(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What packed() was given."""
+    steps, bounds = from_planes(column, "<u4")
+    sums = np.cumsum(steps, dtype=np.uint32)
+    before = np.r_[np.uint32(0), sums][bounds[:-1]]
+    return sums - np.repeat(before, np.diff(bounds)), bounds
 
 
 def asked(chunk: int, h: np.ndarray, weights: np.ndarray, flags: np.ndarray, buckets: int) -> pa.Table:
-    """The rows that a chunk sends. h: sorted set of hashes; weights: documents with it, up to 255; flags: 0 or 1."""
+    """The rows that a chunk sends. h: sorted set of hashes; weights: documents with it, up to 127 count; flags: 0 or 1."""
     full, bounds, vals = bucket_bounds(h, buckets)
-    cut = [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    marks = np.minimum(weights, 127).astype(np.uint8) | (flags.astype(np.uint8) << np.uint8(7))
     return pa.table({
-        "chunk": pa.array([chunk] * len(full), pa.int64()),
+        "chunk": pa.array(np.full(len(full), chunk, np.int64)),
         "bucket": pa.array(full, pa.int32()),
-        "vals": pa.array([packed(vals[c]) for c in cut], pa.binary()),
-        "weights": pa.array([weights[c].astype(np.uint8).tobytes() for c in cut], pa.binary()),
-        "flags": pa.array([np.packbits(flags[c]).tobytes() for c in cut], pa.binary()),
+        "vals": packed(vals, bounds),
+        "marks": cells(marks, bounds),
     })
 
 
+def parts(values: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of unsigned integers in PARTS ranges of values, so that a bucket is sorted a part at a time."""
+    if len(values):
+        low, high = int(values.min()), int(values.max())
+        part = ((values - values.dtype.type(low)) // values.dtype.type((high - low) // PARTS + 1)).astype(np.uint8)
+        for k in range(PARTS):
+            yield np.flatnonzero(part == k)
+
+
 def answered(tag: int, as_bits: bool):
     """For a bucket's rows: of each hash the sum of weights, up to 255, or 0 if no chunk flagged it; as_bits: whether that is 2 or more."""
 
     def run(table: pa.Table) -> pa.Table:
-        vals = [unpacked(x.as_buffer()) for x in table["vals"]]
-        weights = [np.frombuffer(x.as_buffer(), np.uint8) for x in table["weights"]]
-        flags = [np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=len(v)) for x, v in zip(table["flags"], vals, strict=True)]
-        reply = [np.empty(len(v), np.uint8) for v in vals]
-        # a part of the range at a time, as each row is sorted
-        edges = np.linspace(0, 1 << 32, _PARTS + 1).astype(np.uint64)[1:-1].astype(np.uint32)
-        cuts = [[0, *np.searchsorted(v, edges).tolist(), len(v)] for v in vals]
-        for k in range(_PARTS):
-            own = [(i, c[k], c[k + 1]) for i, c in enumerate(cuts) if c[k] < c[k + 1]]
-            if not own:
+        (vals, bounds), marks = unpacked(table["vals"]), contents(table["marks"], "u1")[0]
+        reply = np.zeros(len(vals), np.uint8)
+        for own in parts(vals):
+            order = own[np.argsort(vals[own], kind="stable")]
+            if not len(order):
                 continue
-            every, weight, flag = (np.concatenate([x[i][a:b] for i, a, b in own]) for x in (vals, weights, flags))
-            order = np.argsort(every, kind="stable")
-            starts = np.flatnonzero(np.r_[True, np.diff(every[order]) != 0])
-            total = np.minimum(np.add.reduceat(weight[order], starts, dtype=np.int64), 255).astype(np.uint8)
-            total *= np.maximum.reduceat(flag[order], starts)
-            back = np.empty(len(every), np.uint8)
-            back[order] = np.repeat(total, np.diff(np.r_[starts, len(every)]))
-            at = 0
-            for i, a, b in own:
-                reply[i][a:b] = back[at : at + b - a]
-                at += b - a
+            same = vals[order]
+            starts = np.flatnonzero(np.r_[True, same[1:] != same[:-1]])
+            total = np.minimum(np.add.reduceat(marks[order] & np.uint8(127), starts, dtype=np.int64), 255).astype(np.uint8)
+            total *= np.maximum.reduceat(marks[order] >> np.uint8(7), starts)
+            reply[order] = np.repeat(total, np.diff(np.r_[starts, len(order)]))
         return pa.table({
             "chunk": table["chunk"],
-            "tag": pa.array([tag] * len(reply), pa.int32()),
+            "tag": pa.array(np.full(table.num_rows, tag, np.int32)),
             "bucket": table["bucket"],
-            "reply": pa.array([(np.packbits(p >= 2) if as_bits else p).tobytes() for p in reply], pa.binary()),
+            "reply": cells((reply >= 2).astype(np.uint8) if as_bits else reply, bounds),
         })
 
     return trimmed(run)
 
 
-def replies(table: pa.Table, tag: int, full: np.ndarray, bounds: np.ndarray, as_bits: bool) -> np.ndarray:
+def replies(table: pa.Table, tag: int, full: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The answers to a chunk's sorted hashes, in their order. full, bounds: as bucket_bounds has them."""
-    out, place = np.zeros(int(bounds[-1]), np.uint8), {b: k for k, b in enumerate(full.tolist())}
-    for t, b, reply in zip(table["tag"].to_pylist(), table["bucket"].to_pylist(), table["reply"], strict=True):
-        if t == tag:
-            k = place[b]
-            size, raw = bounds[k + 1] - bounds[k], np.frombuffer(reply.as_buffer(), np.uint8)
-            out[bounds[k] : bounds[k + 1]] = np.unpackbits(raw, count=size) if as_bits else raw
+    out = np.zeros(int(bounds[-1]), np.uint8)
+    table = table.filter(pc.equal(table["tag"], tag))
+    if table.num_rows:
+        data, ends = contents(table["reply"], "u1")
+        sizes = np.diff(ends)
+        starts = bounds[np.searchsorted(full, np.asarray(table["bucket"]))]
+        out[np.arange(len(data)) + np.repeat(starts - ends[:-1], sizes)] = data
     return out

@@ -79,7 +79,7 @@ def _ask(n: int, buckets: int):
 def _keyed(n: int, buckets: int, percent: int):
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         docs, sets, every, _ = _sets(docs, known, n)
-        df = X.replies(known, 1, *X.bucket_bounds(every, buckets)[:2], False)
+        df = X.replies(known, 1, *X.bucket_bounds(every, buckets)[:2])
         alive, arrays, keys = [], [], []
         for s in sets:
             held, least = df[np.searchsorted(every, s)], -(-percent * len(s) // 100)

@@ -21,10 +21,8 @@ from pyspark.sql import functions as F
 from . import exchange as X
 from .words import gram_hashes, trimmed, word_hashes
 
-_WINDOW_ASKED = "chunk long, bucket int, vals binary, ids binary"
+_WINDOW_ASKED = "chunk long, bucket int, vals binary, more binary, ids binary"
 _ANCHORS, _WINDOWS = 0, 1
-#: Parts of its range that a bucket of windows goes through one by one.
-_PARTS = 8
 
 
 def _probe(table: pa.Table, block: int):
@@ -69,7 +67,7 @@ def _candidates(table: pa.Table, rank: np.ndarray, missing: np.ndarray, answers:
     docs, hashes, at, h, order, starts = _probe(table, block)
     near = np.zeros(len(hashes) + window + 1, np.int32)
     if len(h):
-        bit = X.replies(answers, _ANCHORS, *X.bucket_bounds(h[order][starts], buckets)[:2], True)
+        bit = X.replies(answers, _ANCHORS, *X.bucket_bounds(h[order][starts], buckets)[:2])
         hit = np.empty(len(h), np.uint8)
         hit[order] = np.repeat(bit, np.diff(np.r_[starts, len(h)]))
         near[at[hit > 0] + 1] = 1
@@ -84,11 +82,6 @@ def _candidates(table: pa.Table, rank: np.ndarray, missing: np.ndarray, answers:
     return docs, w_at, w_h, w_more, fresh
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """64-bit values by byte plane: those that are nearly all zero compress away."""
-    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
 def _ask_windows(block: int, window: int, buckets: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         table, rank, missing = _by_id(table)
@@ -96,12 +89,12 @@ def _ask_windows(block: int, window: int, buckets: int):
         ids = np.asarray(table["doc_id"].fill_null(0))[docs[at[fresh]]]
         h, more = h[fresh], more[fresh]
         full, bounds, _ = X.bucket_bounds(h, buckets)
-        cut = [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         return pa.table({
-            "chunk": pa.array([table["chunk"][0].as_py()] * len(full) if table.num_rows else [], pa.int64()),
+            "chunk": pa.array(np.full(len(full), table["chunk"][0].as_py() if table.num_rows else 0, np.int64)),
             "bucket": pa.array(full, pa.int32()),
-            "vals": pa.array([h[c].astype("<u8").tobytes() + more[c].astype("<u4").tobytes() for c in cut], pa.binary()),
-            "ids": pa.array([_planes(ids[c]) for c in cut], pa.binary()),
+            "vals": X.cells(h.astype("<u8"), bounds),
+            "more": X.cells(more.astype("<u4"), bounds),
+            "ids": X.planes(ids.astype("<i8").view("<u8"), bounds),
         })
 
     return trimmed(run)
@@ -109,35 +102,16 @@ def _ask_windows(block: int, window: int, buckets: int):
 
 def _earlier(table: pa.Table) -> pa.Table:
     """Of each window of a bucket: whether a smaller id than the least one of its chunk has it."""
-    raw = [x.as_buffer() for x in table["vals"]]
-    sizes = [len(x) // 12 for x in raw]
-    h = [np.frombuffer(x, "<u8", n) for x, n in zip(raw, sizes, strict=True)]
-    more = [np.frombuffer(x, "<u4", n, 8 * n) for x, n in zip(raw, sizes, strict=True)]
-    planes = [np.frombuffer(x.as_buffer(), np.uint8).reshape(8, -1) for x in table["ids"]]
-    bits = [np.empty(n, bool) for n in sizes]
-    low, high = (int(f(x[k] for x in h)) for f, k in ((min, 0), (max, -1)))
-    edges = np.array([low + (high - low) * k // _PARTS for k in range(1, _PARTS)], np.uint64)
-    cuts = [[0, *np.searchsorted(x, edges).tolist(), len(x)] for x in h]
-    for k in range(_PARTS):
-        own = [(i, c[k], c[k + 1]) for i, c in enumerate(cuts) if c[k] < c[k + 1]]
-        if not own:
-            continue
-        some, rest = (np.concatenate([x[i][a:b] for i, a, b in own]) for x in (h, more))
-        ids = np.concatenate([np.ascontiguousarray(planes[i][:, a:b].T).view("<i8").ravel() for i, a, b in own])
-        order = np.lexsort((ids, rest, some))
-        starts = np.flatnonzero(np.r_[True, (np.diff(some[order]) != 0) | (np.diff(rest[order]) != 0)])
-        back = np.empty(len(some), bool)
-        back[order] = np.repeat(ids[order][starts], np.diff(np.r_[starts, len(some)])) < ids[order]
-        at = 0
-        for i, a, b in own:
-            bits[i][a:b] = back[at : at + b - a]
-            at += b - a
-    return pa.table({
-        "chunk": table["chunk"],
-        "tag": pa.array([_WINDOWS] * len(raw), pa.int32()),
-        "bucket": table["bucket"],
-        "reply": pa.array([np.packbits(x).tobytes() for x in bits], pa.binary()),
-    })
+    (h, bounds), more = X.contents(table["vals"], "<u8"), X.contents(table["more"], "<u4")[0]
+    ids = X.from_planes(table["ids"], "<u8")[0].view("<i8")
+    bit = np.zeros(len(h), np.uint8)
+    for own in X.parts(h):
+        order = own[np.lexsort((ids[own], more[own], h[own]))]
+        if len(order):
+            some, rest = h[order], more[order]
+            starts = np.flatnonzero(np.r_[True, (some[1:] != some[:-1]) | (rest[1:] != rest[:-1])])
+            bit[order] = np.repeat(ids[order][starts], np.diff(np.r_[starts, len(order)])) < ids[order]
+    return pa.table({"chunk": table["chunk"], "tag": pa.array(np.full(table.num_rows, _WINDOWS, np.int32)), "bucket": table["bucket"], "reply": X.cells(bit, bounds)})
 
 
 def _remove(block: int, window: int, buckets: int, with_text: bool):
@@ -148,7 +122,7 @@ def _remove(block: int, window: int, buckets: int, with_text: bool):
         if len(at):
             sizes = np.diff(np.r_[fresh, len(at)])
             own = rank[docs[at]]
-            bit = X.replies(answers, _WINDOWS, *X.bucket_bounds(h[fresh], buckets)[:2], True)
+            bit = X.replies(answers, _WINDOWS, *X.bucket_bounds(h[fresh], buckets)[:2])
             drop = at[(np.repeat(bit, sizes) > 0) | (own > np.repeat(own[fresh], sizes))]
             np.add.at(gone, drop, 1)
             np.add.at(gone, drop + window, -1)

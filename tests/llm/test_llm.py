@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,8 +83,32 @@ def test_exchange_packs_exactly():
         assert bounds[0] == 0 and bounds[-1] == len(h) and full.tolist() == sorted(set(full.tolist()))
         assert [int(x) * buckets >> 64 for x in h] == np.repeat(full, np.diff(bounds)).tolist()
         assert [(int(x) * buckets >> 32) & 0xFFFFFFFF for x in h] == vals.tolist()
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            assert (exchange.unpacked(exchange.packed(vals[a:b])) == vals[a:b]).all()
+        cells = pa.chunked_array([exchange.packed(vals, bounds).slice(k, 3) for k in range(0, len(full), 3)])
+        got, ends = exchange.unpacked(cells)
+        assert (got == vals).all() and (ends == bounds).all()
+        wide = exchange.from_planes(exchange.planes(h, bounds), "<u8")
+        assert (wide[0] == h).all() and (wide[1] == bounds).all()
+    assert sorted(np.concatenate(list(exchange.parts(h))).tolist()) == list(range(len(h)))
+    empty = np.zeros(0, np.uint64)
+    assert exchange.asked(1, empty, empty, empty, 5).num_rows == 0 and list(exchange.parts(empty)) == []
+
+
+def test_buckets_answer_every_chunk():
+    rng = np.random.default_rng(2)
+    chunks = [np.unique(words.mix(rng.integers(0, 300, 200).astype(np.uint64))) for _ in range(5)]
+    weights, flags = [rng.integers(1, 4, len(h)) for h in chunks], [rng.integers(0, 2, len(h)).astype(bool) for h in chunks]
+    asked = pa.concat_tables([exchange.asked(k, h, w, f, 6) for k, (h, w, f) in enumerate(zip(chunks, weights, flags, strict=True))])
+    total, flagged = collections.Counter(), set()
+    for h, w, f in zip(chunks, weights, flags, strict=True):
+        total.update(dict(zip(h.tolist(), w.tolist(), strict=True)))
+        flagged |= set(h[f].tolist())
+    for as_bits in (False, True):
+        told = pa.concat_tables([exchange.answered(4, as_bits)(asked.filter(pa.compute.equal(asked["bucket"], b))) for b in range(6)])
+        other = told.set_column(1, "tag", pa.array([9] * told.num_rows, pa.int32()))
+        for k, h in enumerate(chunks):
+            own = pa.concat_tables([other, told]).filter(pa.compute.equal(pa.concat_tables([other, told])["chunk"], k))
+            want = [total[x] * (x in flagged) for x in h.tolist()]
+            assert exchange.replies(own, 4, *exchange.bucket_bounds(h, 6)[:2]).tolist() == [int(x >= 2) if as_bits else x for x in want]
 
 
 # 1 token counts
