@@ -14,10 +14,19 @@ from tapeworks.llm import decontaminate, jaccard, langid, lines, packing, token_
 from tapeworks.llm.registry import tokenizer_file
 from tapeworks.llm.words import unused
 
+#: Ids of more bytes than this are joined by shuffle; bytes that one takes.
+BROADCAST_BYTES, ID_BYTES = 64 << 20, 32
 #: SQL can't express the language models of the first stage.
 ORACLE_SQL = None
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the ids of ``gone``, which are broadcast below a checked size, so that texts aren't shuffled for a few ids."""
+    gone = stored(gone.select("doc_id").distinct(), "gone")
+    small = gone.count() * ID_BYTES <= BROADCAST_BYTES
+    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no language model claims go, so those with a null text or one without letters; lang becomes the predicted language.
 
@@ -49,14 +58,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     near to none. Rows that repeat an id are one document and stay or go together.
     """
     classes = jaccard.near_duplicates(docs)
-    losers = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, classes.where("doc_id <> component_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go; of repeated ids all rows, if one of them holds one. Rows with a null id or text, and empty texts, stay."""
     leaks = decontaminate.contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, leaks)
 
 
 def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
