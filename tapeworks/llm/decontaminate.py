@@ -4,7 +4,8 @@ A document holds an item if it has at least 80 % of the item's distinct five-wor
 sketch is the shingles of least hash, as many as its size class needs: of an item of n shingles a document
 that holds it lacks n - ceil(0.8 n) at most, so of any n - ceil(0.8 n) + 1 it has one or more. Items are
 partitioned by size, in classes of powers of two, and all of a class have the sketch size of its largest
-item, or all their shingles if they have fewer. The search misses nothing; candidates are verified exactly.
+item, or all their shingles if they have fewer. A document's sketch is its shingles of hash up to the greatest
+in any item's sketch, as it may hold any of them. The search misses nothing; candidates are verified exactly.
 """
 
 from __future__ import annotations
@@ -26,14 +27,14 @@ def _words(text: Column) -> Column:
 
 
 def _hashes(words: Column, n: int) -> Column:
-    """Distinct hashes of n words in a row; of all words if there are fewer; null without words."""
+    """Hashes of n words in a row, repeats too; of all words if there are fewer; null without words."""
     many = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)]))
     few = F.array(F.xxhash64(F.array_join(words, " "), F.size(words)))
-    return F.when(F.size(words) >= n, F.array_distinct(many)).when(F.size(words) > 0, few)
+    return F.when(F.size(words) >= n, many).when(F.size(words) > 0, few)
 
 
 def _with_hashes(rows: DataFrame, key: str, text: str, name: str, n: int) -> DataFrame:
-    """(name, hashes). Don't filter on hashes: the filter moves below ``words`` and splits the text anew for each word."""
+    """(name, hashes), with repeats. Don't filter rows on hashes: the filter moves below ``words`` and splits the text anew for each word."""
     words = rows.select(F.col(key).cast("long").alias(name), _words(F.col(text).cast("string")).alias("words"))
     return words.select(name, _hashes(F.col("words"), n).alias("hashes"))
 
@@ -48,7 +49,8 @@ def contained_items(
     words is its whole sequence, in a document only if that is the document's whole sequence too. Rows that
     repeat an id count together: a pair is returned once, with its best n_shared.
     """
-    item_sets = stored(_with_hashes(items.where(F.col(item_col).isNotNull()), item_col, item_text_col, "item_id", n), "items")
+    item_sets = _with_hashes(items.where(F.col(item_col).isNotNull()), item_col, item_text_col, "item_id", n)
+    item_sets = stored(item_sets.withColumn("hashes", F.array_distinct("hashes")), "items")
     item_sets = item_sets.where("hashes is not null").withColumn("n_item", F.size("hashes"))
     size_class = F.floor(F.log2("n_item"))
     need = F.ceil(F.col("n_item") * percent / 100).cast("int")
@@ -56,9 +58,10 @@ def contained_items(
     sized = sized.withColumn("k", F.max("k").over(Window.partitionBy("class")))
     sketches = sized.select("item_id", F.explode(F.slice(F.sort_array("hashes"), F.lit(1), F.col("k"))).alias("h"))
     sketches = stored(sketches, "sketches")
-    few = sketches.count() * 32 <= BROADCAST_BYTES
+    made = sketches.agg(F.count("*").alias("n"), F.max("h").alias("most")).first()
+    few = made["n"] * 32 <= BROADCAST_BYTES
     sets = _with_hashes(docs.where(F.col(id_col).isNotNull()), id_col, text_col, "doc_id", n)
-    probes = sets.select("doc_id", F.explode_outer("hashes").alias("h"))
+    probes = sets.select("doc_id", F.explode_outer(F.filter("hashes", lambda h: h <= F.lit(made["most"]))).alias("h"))
     hits = probes.join(F.broadcast(sketches) if few else sketches, "h").select("doc_id", "item_id").distinct()
     hits = stored(hits, "candidates")
 
