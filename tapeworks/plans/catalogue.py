@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -350,13 +352,13 @@ _paths: dict[tuple[str, ...], str] = {}
 
 
 def _spine(m: Market, again: bool = False) -> DataFrame:
-    """The stored spine of these tables: written where this session has none of them, or again."""
+    """The stored spine of these tables: written where this session has none of them, or it is gone, or again."""
     key = (m._spark.sparkContext.applicationId, shared_dir(m._spark), m._dir)
-    if again or key not in _paths:
-        path = new_path(m._spark, "spine")
-        facets.refreshed(_built(m), path)
-        _paths[key] = path
-    return m._spark.read.parquet(_paths[key]).drop("refreshed_at")
+    if not again and key in _paths:
+        with contextlib.suppress(AnalysisException):  # the shared folder has been cleaned
+            return m._spark.read.parquet(_paths[key]).drop("refreshed_at")
+    _paths[key] = new_path(m._spark, "spine")
+    return facets.refreshed(_built(m), _paths[key]).drop("refreshed_at")
 
 
 query("country_lens", _LENS, lambda m: facets.country_lens(m.lens))

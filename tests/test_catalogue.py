@@ -56,3 +56,17 @@ def test_every_query_has_sql():
 def test_inputs_come_after_what_they_need():
     order = needed(INPUTS["metric_mixed"])
     assert order.index("metric_base") < order.index("metric")
+
+
+@needs_tables
+def test_the_stored_spine_is_written_anew_when_it_is_gone(spark):
+    import shutil
+
+    first = catalogue._spine(catalogue.Market(spark, SF))
+    [path] = {p for k, p in catalogue._paths.items() if k[-1] == SF}
+    assert first.inputFiles()[0].split("/part-")[0].endswith(path.rsplit("/", 1)[1])
+    again = catalogue._spine(catalogue.Market(spark, SF))
+    assert again.inputFiles() == first.inputFiles()
+    shutil.rmtree(path.removeprefix("file://"))
+    assert catalogue._spine(catalogue.Market(spark, SF)).count() > 0
+    assert {p for k, p in catalogue._paths.items() if k[-1] == SF} != {path}
