@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tapeworks.functions.scratch import stored
 
 
+#: Edges of a round for which there is a task and a file.
+EDGES_A_FILE = 100_000
+
+
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
     return row["n"], row["x"] or 0
@@ -38,7 +42,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _state(edges)
     while before[0]:
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        # as many files as the edges need: a round of few edges in many files is all overhead
+        edges = stored(_small_star(_large_star(edges)).coalesce(before[0] // EDGES_A_FILE + 1), "edges")
         after = _state(edges)
         if after == before:
             break
