@@ -241,6 +241,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         rows = pd.DataFrame({"lang": rows["l"], "word": [letters(w.encode()) for w in rows["w"]], "n": rows["count"]})
         rows = rows[rows["word"] != ""].groupby(["lang", "word"], as_index=False)["n"].sum()
         tables.append(fit(rows, some))
+        del rows
+        give_back()
     models = Models(tables, np.full(len(known), np.inf))
     return _calibrated(models, sample.where(F.col("rank") % CALIBRATE_EVERY == 0)) if known else models
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import mix, small_batches
+from .words import give_back, mix, small_batches
 
 MARK = "▁"
 #: Longest pre-token that gets into a trie; characters of the levels of one trie; distinct pre-tokens that a task keeps; pre-tokens read at once.
@@ -162,6 +162,8 @@ def _counter(path: str):
                 n_words += map(len, run_)
                 n_tokens += [sum(map(known.__getitem__, words)) for words in run_]
             yield pd.DataFrame({"n_words": n_words, "n_tokens": n_tokens}, dtype="int64")
+        del pieces, known
+        give_back()
 
     return F.pandas_udf(run, "n_words long, n_tokens long")
 
