@@ -39,10 +39,14 @@ def answer_swaps(conversations: DataFrame) -> DataFrame:
     return stored(first.unionByName(second), "turns")
 
 
-def _split(turns: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pair_id, part, turn, role, text, trained: the rows of a pair's prompt, taken from the chosen one, and of its two completions."""
+def _split(turns: DataFrame, pairs: DataFrame, together: bool = False) -> DataFrame:
+    """pair_id, part, turn, role, text, trained: the rows of a pair's prompt, taken from the chosen one, and of its two completions.
+
+    together: for a caller that gathers pairs anyway, rows are dealt by pair at once and not again for each step.
+    """
     turns = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = turns.where("conv_id is not null and turn is not null").join(pairs.select("pair_id", "conv_id", "side"), "conv_id")
+    turns = turns.repartition("pair_id") if together else turns
     own = F.struct("role", "text")
     digest = F.sha2(F.to_json(own), 256)
     parts = [F.sum(F.conv(F.substring(digest, k, 12), 16, 10).cast("decimal(38,0)")) for k in (1, 13, 25)]
@@ -85,7 +89,7 @@ def preference_rows(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     what is trained on at once; only the turns of one pair meet in a task.
     """
     begin, middle, end = TEMPLATE
-    rows = _split(turns, pairs)
+    rows = _split(turns, pairs, together=True)
     turn = F.struct("part", "turn", "role", "text", "trained")
     every = rows.groupBy("pair_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
