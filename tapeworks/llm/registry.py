@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, lines, packing, quality, substring, token_counts, token_files
+from . import chat, decontaminate, jaccard, langid, lines, merkle, packing, quality, substring, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,11 +67,18 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document's leaf, and of a leaf with its text in lower case for a fifth of the ids."""
+    low = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return merkle.manifest(_table(spark, sf_dir, "documents"), altered={"text": low}, where=F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_quality_rules, op3_language_id, op4_decontaminate, op5_preference_format,
         op6_packed_ids, op7_substring_dedup, op8_line_dedup, op9_jaccard_join, op10_length_buckets,
+        op12_merkle_manifest,
     )
 }
 
@@ -77,6 +86,36 @@ _W = r"[^\x20\x09-\x0D]+"
 
 _LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _merkle_sql(source_levels: int = 6, root_levels: int = 3) -> str:
+    """The tree level by level: place and hash of what each document is in, for 16 ** source_levels documents of a source and 16 ** root_levels sources."""
+    enc = lambda x: f"coalesce(cast(strlen(cast({x} as varchar)) as varchar) || ':' || cast({x} as varchar), '-')"
+    h = lambda text: "sha256(" + " || ".join(enc(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    parts = [rf"""crc as (select list(v order by i) as t from (select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) r(i))),
+d as (select *, cast(doc_id as varchar) as k, {h('text')} as leaf, {h(_LOW)} as lower_leaf from documents),
+e as (select d.*, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), [cast(ascii(x) as bigint) for x in string_split(k, '')]), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as sum_ from d, crc),
+a0 as (select *, case when sum_ % 5 = 0 then lower_leaf else leaf end as folded, row_number() over (partition by source order by doc_id nulls first, leaf) as n, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as p,
+  count(*) over (partition by source) as m, leaf as h, '' as proof from e)"""]
+
+    def climb(k: int, of: str, group: str) -> None:
+        """Level k + 1 from level k: nodes are the distinct (group, p, h); one is left as it is."""
+        same = "x.source is not distinct from y.source" if group else "true"
+        parts.append(f"""b{k} as (select {group + ',' if group else ''} p // 16 as q, list(h order by p) as hs from (select distinct {group + ',' if group else ''} p, h from {of}) group by all),
+a{k + 1} as (select x.* replace (case when m > 1 then q else p end as p, case when m > 1 then (m + 15) // 16 else m end as m, case when m > 1 then sha256(array_to_string(hs, '')) else h end as h,
+  case when m > 1 then proof || array_to_string(hs[1:p % 16], '') || array_to_string(hs[p % 16 + 2:], '') else proof end as proof,
+  case when m > 1 then sha256(array_to_string(hs[1:p % 16], '') || folded || array_to_string(hs[p % 16 + 2:], '')) else folded end as folded) from {of} x join b{k} y on {same} and x.p // 16 = y.q)""")
+
+    for k in range(source_levels):
+        climb(k, f"a{k}", "source")
+    k = source_levels
+    parts.append(f"s as (select source, row_number() over (order by source nulls first) - 1 as g, count(*) over () as gs from (select distinct source from a0)), c{k} as (select x.* replace (g as p, gs as m), h as subroot from a{k} x join s on x.source is not distinct from s.source)")
+    climb(k, f"c{k}", "")
+    for j in range(k + 1, k + root_levels):
+        climb(j, f"a{j}", "")
+    return f"with {', '.join(parts)} select doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, folded as folded_root, folded = h as verified from a{k + root_levels}"
+
+
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 
 ORACLE_SQL = {
@@ -158,4 +197,5 @@ c as (select rep as a, rep as c from reps union select e.b, c.c from c join e on
 l as (select a as rep, min(c) as component from c group by a)
 select documents.doc_id, cast(coalesce(k.n, 0) as bigint) as n_shingles, coalesce(l.component, documents.doc_id) as component_id
 from documents left join k using (doc_id) left join reps on reps.k = k.k left join l on l.rep = reps.rep""",
+    "op12_merkle_manifest": _merkle_sql(),
 }
