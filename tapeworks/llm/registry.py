@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, lines, merkle, packing, quality, substring, token_counts, token_files
+from . import chat, decontaminate, fingerprint, jaccard, langid, lines, merkle, packing, quality, substring, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,12 +73,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"), altered={"text": low}, where=F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return fingerprint.edit_likeness(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_quality_rules, op3_language_id, op4_decontaminate, op5_preference_format,
         op6_packed_ids, op7_substring_dedup, op8_line_dedup, op9_jaccard_join, op10_length_buckets,
-        op12_merkle_manifest,
+        op12_merkle_manifest, op13_fingerprints,
     )
 }
 
