@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprint, jaccard, langid, lines, merkle, packing, quality, substring, token_counts, token_files
+from . import chat, decontaminate, fingerprint, jaccard, langid, lines, merkle, negatives, packing, quality, substring, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,12 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every hundredth vector; every seventh has the label after its own."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proof of every document's leaf, and of a leaf with its text in lower case for a fifth of the ids."""
     low = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
@@ -83,7 +89,7 @@ QUERIES = {
     for f in (
         op1_token_counts, op2_quality_rules, op3_language_id, op4_decontaminate, op5_preference_format,
         op6_packed_ids, op7_substring_dedup, op8_line_dedup, op9_jaccard_join, op10_length_buckets,
-        op12_merkle_manifest, op13_fingerprints,
+        op11_hard_negatives, op12_merkle_manifest, op13_fingerprints,
     )
 }
 
@@ -202,5 +208,12 @@ c as (select rep as a, rep as c from reps union select e.b, c.c from c join e on
 l as (select a as rep, min(c) as component from c group by a)
 select documents.doc_id, cast(coalesce(k.n, 0) as bigint) as n_shingles, coalesce(l.component, documents.doc_id) as component_id
 from documents left join k using (doc_id) left join reps on reps.k = k.k left join l on l.rep = reps.rep""",
+    "op11_hard_negatives": """
+with v as (select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label, [floor(256 * cast(x as double)) for x in embedding] as e from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, cast(list_dot_product(a.e, b.e) as bigint) as s from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select * from (select *, row_number() over (partition by a order by s desc, b) as r from s where same) where r <= 5),
+n as (select p.a, p.b, p.s, q.b as n, q.s as ns, row_number() over (partition by p.a, p.b order by q.s desc, q.b) as r from p join s q on q.a = p.a and not q.same and 100 * q.s between 30 * p.s and 90 * p.s)
+select a as anchor_id, b as positive_id, cast(r as integer) as rank, n as negative_id, s as positive_score, ns as negative_score from n where r <= 10""",
     "op12_merkle_manifest": _merkle_sql(),
 }
