@@ -1,137 +1,154 @@
-"""What has not been computed yet, or is stale: one operator and a table of its instances."""
+"""What has not been computed yet, or is stale: one operator over a standing row for each security, and a table of its instances."""
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Marks that a change of the symbol voids: what was asked by it and failed.
+SYMBOL_KEYED = (
+    "industry", "profile", "profile_detail", "performance", "fundamentals", "statements", "prices", "quarters", "provider_country",
+    "corporate_actions", "dividends", "price_history", "share_stats", "estimates",
+)
 
-def pending(entities: DataFrame, done: DataFrame, marks: DataFrame, weights: DataFrame, what: str, asof: dt.date, fresh_days: int | None = None, again_days: int = 30, where: Column | None = None) -> DataFrame:
-    """Entities without a fresh ``done`` row and without a recent mark of a failed try, in the order of greatest fund weight, then id.
 
-    done: security_id, done_at; a row older than fresh_days doesn't count, and with None any row does. marks:
-    security_id, what, marked_at. weights: security_id, best_weight.
+def _tried(what: str, days: int = 30) -> str:
+    """No try failed in the last ``days``: a mark that is older, or none."""
+    return f"(missing['{what}'] is null or missing['{what}'] < date_sub(asof, {days}))"
+
+
+def _asked(what: str, days: int) -> str:
+    return f"(asked['{what}'] is null or asked['{what}'] < date_sub(asof, {days}))"
+
+
+@dataclass(frozen=True)
+class Backlog:
+    """A condition on the standing row, the columns to ask by, and the facts that it reads.
+
+    held: the least fund weight, where securities that no fund holds are left out. first: what comes before weight in the order.
     """
-    rows = entities if where is None else entities.where(where)
-    fresh = done if fresh_days is None else done.where(F.col("done_at") >= F.date_sub(F.lit(asof), fresh_days))
-    tried = marks.where((F.col("what") == what) & (F.col("marked_at") > F.date_sub(F.lit(asof), again_days)))
-    rows = rows.join(fresh.select("security_id"), "security_id", "left_anti").join(tried.select("security_id"), "security_id", "left_anti")
-    rows = rows.join(weights, "security_id", "left").withColumn("best_weight", F.coalesce("best_weight", F.lit(0.0)))
-    return rows.orderBy(F.desc("best_weight"), "security_id")
-
-
-#: Instance: days after which what was done is stale (null: never), days before a failed try is repeated, and which entities count.
-#: home_symbol, corporate_actions and eps_history are coarser here than in the survey; their *_backlog functions have its whole conditions.
-INSTANCES: dict[str, tuple[int | None, int, str | None]] = {
-    "ticker": (None, 30, "isin is not null"),
-    "local_symbol": (None, 30, "country_iso2 <> 'US'"),
-    "home_symbol": (None, 30, "symbol is null"),
-    "profile": (None, 30, "symbol is not null"),
-    "profile_detail": (None, 30, "symbol is not null"),
-    "industry": (None, 30, "security_type_code = 'equity'"),
-    "performance": (1, 30, "symbol is not null"),
-    "prices": (2, 30, "symbol is not null"),
-    "price_history": (None, 30, "symbol is not null"),
-    "fundamentals": (None, 30, "security_type_code = 'equity' and symbol is not null"),
-    "statements": (None, 30, "security_type_code = 'equity' and symbol is not null"),
-    "quarters": (None, 30, "security_type_code = 'equity' and cik is null"),
-    "xbrl": (30, 30, "cik is not null"),
-    "corporate_actions": (30, 30, "symbol is not null and country_iso2 = 'US'"),
-    "dividends": (30, 30, "symbol is not null"),
-    "share_stats": (7, 30, "symbol is not null"),
-    "news": (7, 0, "symbol is not null"),
-    "insider": (7, 0, "cik is not null"),
-    "filings": (7, 0, "cik is not null"),
-    "management": (180, 0, "symbol is not null"),
-    "eps_history": (90, 0, "symbol is not null and symbol not like '%.%'"),
-    "symbol_repair": (30, 30, "price_failed"),
-}
-#: Least fund weight of instances that ask for it.
-LEAST_WEIGHT = {"management": 0.5, "eps_history": 1.0}
-
-
-def pending_instance(name: str, entities: DataFrame, done: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
-    """pending() by a row of INSTANCES. done has a column what, as marks do."""
-    fresh, again, where = INSTANCES[name]
-    out = pending(entities, done.where(F.col("what") == name), marks, weights, name, asof, fresh, again, None if where is None else F.expr(where))
-    return out.where(F.col("best_weight") >= LEAST_WEIGHT[name]) if name in LEAST_WEIGHT else out
-
-
-def pending_statements(entities: DataFrame, statements: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
-    """Securities without statements, or of whose statements none has a currency, greatest weight first; column want says which."""
-    n = statements.groupBy("security_id").agg(F.count("*").alias("n"), F.count("currency_code").alias("known"))
-    tried = marks.where((F.col("what") == "statements") & (F.col("marked_at") > F.date_sub(F.lit(asof), 30)))
-    rows = entities.join(n, "security_id", "left").join(tried.select("security_id"), "security_id", "left_anti")
-    rows = rows.withColumn("want", F.when(F.col("n").isNull(), "missing").when(F.col("known") == 0, "no_currency")).where("want is not null")
-    return rows.join(weights, "security_id", "left").select("security_id", "want", F.coalesce("best_weight", F.lit(0.0)).alias("best_weight")).orderBy(F.desc("best_weight"), "security_id")
-
-
-def pending_profile(current: DataFrame, marks: DataFrame, asof: dt.date) -> DataFrame:
-    """Equities without a sector, and securities without a country."""
-    tried = marks.where((F.col("what") == "profile") & (F.col("marked_at") > F.date_sub(F.lit(asof), 30)))
-    want = F.when(F.col("sector_id").isNull() & (F.col("security_type_code") == "equity"), "sector").when(F.col("country_iso2").isNull(), "country")
-    return current.join(tried.select("security_id"), "security_id", "left_anti").withColumn("want", want).where("want is not null").select("security_id", "want")
-
-
-def pending_fx_history(currencies: DataFrame, rates: DataFrame, asof: dt.date, days: int = 90) -> DataFrame:
-    """Currencies other than USD without a rate older than ``days``."""
-    old = rates.where(F.col("as_of") < F.date_sub(F.lit(asof), days)).select("currency_code")
-    return currencies.where("currency_code <> 'USD'").join(old, "currency_code", "left_anti").select("currency_code")
 
+    where: str
+    columns: tuple[str, ...]
+    facts: tuple[str, ...] = ()
+    held: float | None = None
+    first: str | None = None
+
+
+_EQUITY = "security_type_code = 'equity'"
+_PRICED = ("symbol", "coalesce(own, symbol) as fetch_symbol")
+_FETCH = ("fetch_symbol as symbol",)
+
+#: Days after which what was done is stale, and fund weights from which it is done at all.
+INSTANCES: dict[str, Backlog] = {
+    "ticker": Backlog(f"{_EQUITY} and isin is not null and ticker is null and {_tried('ticker')}", ("isin", "name")),
+    "local_symbol": Backlog(f"{_EQUITY} and isin is not null and own is null and country_iso2 <> 'US' and {_tried('local_symbol')}", ("country_iso2", "isin")),
+    "home_symbol": Backlog(
+        f"{_EQUITY} and isin is not null and country_iso2 is not null and {_tried('home_symbol')} and (fetch_symbol is null or missing['industry'] is not null or missing['profile'] is not null or missing['performance'] is not null)",
+        ("isin", "country_iso2", "fetch_symbol as current_symbol"), first="fetch_symbol is null",
+    ),
+    "profile": Backlog(
+        f"{_EQUITY} and fetch_symbol is not null and ((tagged is null and {_tried('profile')}) or (operating_country_iso2 is null and drillable is null and {_tried('provider_country')}))",
+        ("fetch_symbol as symbol", "name", "case when tagged is null then 'sector' else 'country' end as want"), ("tagged", "drillable"),
+    ),
+    "profile_detail": Backlog(f"{_EQUITY} and fetch_symbol is not null and has_profile is null and {_tried('profile_detail')}", _FETCH, ("has_profile",)),
+    "industry": Backlog(f"sector_id is not null and has_industry is null and fetch_symbol is not null and {_tried('industry')}", ("fetch_symbol as symbol", "sector_id"), ("sector", "has_industry")),
+    "performance": Backlog(f"fetch_symbol is not null and fresh is null and {_tried('performance')}", ("served as symbol", "fetch_symbol"), ("performance",)),
+    "prices": Backlog(f"{_EQUITY} and symbol is not null and (last_date is null or last_date < date_sub(asof, 2)) and {_tried('prices')}", (*_PRICED, "last_date"), ("bars",)),
+    "price_history": Backlog(f"{_EQUITY} and symbol is not null and coalesce(weekly, 0) = 0 and {_tried('price_history')}", _PRICED, ("bars",)),
+    "fundamentals": Backlog(f"{_EQUITY} and fetch_symbol is not null and has_fundamentals is null and {_tried('fundamentals')}", _FETCH, ("has_fundamentals",)),
+    "statements": Backlog(
+        f"{_EQUITY} and fetch_symbol is not null and {_tried('statements')} and (statements is null or (with_currency = 0 and ticker is not null and {_tried('statement_currency')}))",
+        ("fetch_symbol as symbol", "ticker as us_ticker", "case when statements is null then 'missing' else 'no_currency' end as want"), ("statements",),
+    ),
+    "quarters": Backlog(f"{_EQUITY} and cik is null and fetch_symbol is not null and annual > 0 and quarterly = 0 and {_tried('quarters')}", _FETCH, ("statements",)),
+    "xbrl": Backlog(f"{_EQUITY} and cik is not null and {_asked('xbrl', 30)} and {_tried('xbrl')}", ("cik",)),
+    "corporate_actions": Backlog(f"{_EQUITY} and upper(ticker) = upper(symbol) and (last_action is null or last_action <= date_sub(asof, 30)) and {_tried('corporate_actions')}", ("ticker as symbol",), ("actions",)),
+    "dividends": Backlog(f"{_EQUITY} and symbol is not null and (last_dividend is null or last_dividend <= date_sub(asof, 30)) and {_tried('dividends')}", _PRICED, ("actions",)),
+    "share_stats": Backlog(f"{_EQUITY} and symbol is not null and (stats_at is null or stats_at <= date_sub(asof, 7)) and {_tried('share_stats')}", _PRICED, ("stats",)),
+    "news": Backlog(f"{_EQUITY} and symbol is not null and {_asked('news', 7)}", _PRICED),
+    "insider": Backlog(f"{_EQUITY} and cik is not null and {_asked('insider', 7)}", ("cik",)),
+    "filings": Backlog(f"{_EQUITY} and cik is not null and {_asked('filings', 7)}", ("cik",)),
+    "management": Backlog(f"{_EQUITY} and fetch_symbol is not null and {_asked('management', 180)}", _FETCH, held=0.5),
+    "eps_history": Backlog(f"{_EQUITY} and ticker not like '%.%' and us_listed is not null and {_asked('eps_history', 90)}", ("ticker as symbol",), ("us_listed",), held=1.0),
+    "symbol_repair": Backlog(
+        f"{_EQUITY} and symbol is not null and (missing['prices'] is not null or missing['price_history'] is not null or missing['performance'] is not null) and {_tried('symbol_repair')}", _PRICED
+    ),
+}
+
+
+def entities(securities: DataFrame, identifiers: DataFrame, provider: DataFrame, symbols: DataFrame) -> DataFrame:
+    """A row for each security, and for each of its ISINs and tickers: what backlogs test and ask by.
+
+    own is the provider's symbol, symbol the one that the security is served under; fetch_symbol and served fall back from these to the ticker.
+    """
+    of = lambda kind: identifiers.where(F.col("kind") == kind).select("security_id", F.col("value").alias(kind))
+    rows = securities.select("security_id", "name", "security_type_code", "country_iso2", "operating_country_iso2", "cik")
+    for other in (of("isin"), of("ticker"), provider.select("security_id", F.col("symbol").alias("own")), symbols.select("security_id", "symbol")):
+        rows = rows.join(other, "security_id", "left")
+    return rows.withColumn("fetch_symbol", F.coalesce("own", "ticker")).withColumn("served", F.coalesce("symbol", "own", "ticker"))
 
-def pending_quarters(statements: DataFrame) -> DataFrame:
-    """Securities that have annual statements and no quarterly ones; quarters_backlog() has the other conditions."""
-    have = lambda p: statements.where(F.col("period_type") == p).select("security_id")
-    return statements.select("security_id").distinct().join(have("annual"), "security_id", "left_semi").join(have("quarter"), "security_id", "left_anti")
 
+def _latest(rows: DataFrame, at: str, name: str) -> DataFrame:
+    """(security_id, name): a map from what to its latest date. There are as many whats as backlogs."""
+    last = rows.groupBy("security_id", "what").agg(F.max(at).alias("at"))
+    return last.groupBy("security_id").agg(F.map_from_entries(F.collect_list(F.struct("what", "at"))).alias(name))
 
-def _nothing_done(marks: DataFrame) -> DataFrame:
-    return marks.where(F.lit(False)).select("security_id", F.col("marked_at").alias("done_at"))
 
+def bar_facts(bars: DataFrame) -> DataFrame:
+    return bars.groupBy("security_id").agg(F.max("date").alias("last_date"), F.count(F.when(F.col("grain") == "weekly", 1)).alias("weekly"))
 
-#: Failed fetches that put a symbol in doubt.
-DOUBT = ("industry", "profile", "performance")
 
+def statement_facts(statements: DataFrame) -> DataFrame:
+    of = lambda p: F.count(F.when(F.col("period_type") == p, 1))
+    return statements.groupBy("security_id").agg(F.count("*").alias("statements"), F.count("currency_code").alias("with_currency"), of("annual").alias("annual"), of("quarter").alias("quarterly"))
 
-def home_symbol_backlog(entities: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
-    """Equities with an ISIN and a country whose symbol is missing, or in doubt since a fetch by it ever failed; those without one first.
 
-    entities: security_id, security_type_code, isin, country_iso2, cik, symbol (the priced one), ticker (the US one).
-    """
-    failed = marks.where(F.col("what").isin(*DOUBT)).select("security_id").distinct().withColumn("failed", F.lit(True))
-    rows = entities.withColumn("current_symbol", F.coalesce("symbol", "ticker")).join(failed, "security_id", "left")
-    where = F.expr("security_type_code = 'equity' and isin is not null and country_iso2 is not null and (failed or current_symbol is null)")
-    return pending(rows, _nothing_done(marks), marks, weights, "home_symbol", asof, where=where).select("security_id", "isin", "country_iso2", "current_symbol", "best_weight").orderBy(
-        F.col("current_symbol").isNull().desc(), F.desc("best_weight"), "security_id"
-    )
+def action_facts(actions: DataFrame) -> DataFrame:
+    return actions.groupBy("security_id").agg(F.max("as_of").alias("last_action"), F.max(F.when(F.col("kind") == "dividend", F.col("as_of"))).alias("last_dividend"))
 
 
-def corporate_actions_backlog(entities: DataFrame, done: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
-    """Equities whose priced symbol is their US ticker, so that actions and prices are of one listing, without an action in 30 days."""
-    where = F.expr("security_type_code = 'equity' and upper(ticker) = upper(symbol)")
-    out = pending(entities, done.where("what = 'corporate_actions'"), marks, weights, "corporate_actions", asof, 30, where=where)
-    return out.select("security_id", F.col("ticker").alias("symbol"), "best_weight")
+def there(rows: DataFrame, name: str, key: str = "security_id") -> DataFrame:
+    """(key, name): true for each key that has a row."""
+    return rows.select(key).distinct().withColumn(name, F.lit(True))
 
 
-def eps_history_backlog(entities: DataFrame, listings: DataFrame, done: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
-    """Equities with a US listing and a ticker without suffix, 1 % of some fund or more, not asked for in 90 days.
+#: Facts that aren't joined by security.
+_FACT_KEYS = {"performance": "served", "drillable": "country_iso2"}
 
-    listings: security_id, exch_code. What was asked for in vain is in ``done`` too: there are no marks.
-    """
-    listed = listings.where("exch_code = 'US'").select("security_id")
-    rows = entities.where("security_type_code = 'equity' and ticker not like '%.%'").join(listed, "security_id", "left_semi")
-    fresh = done.where((F.col("what") == "eps_history") & (F.col("done_at") >= F.date_sub(F.lit(asof), 90))).select("security_id")
-    rows = rows.join(fresh, "security_id", "left_anti").join(weights, "security_id").where(F.col("best_weight") >= LEAST_WEIGHT["eps_history"])
-    return rows.select("security_id", F.col("ticker").alias("symbol"), "best_weight").orderBy(F.desc("best_weight"), "security_id")
 
+def pending(name: str, rows: DataFrame, marks: DataFrame, asked: DataFrame, weights: DataFrame, asof: dt.date, facts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The backlog ``name`` of INSTANCES: security_id, what to ask by, best_weight, the greatest fund weight first, then by id.
 
-def quarters_backlog(entities: DataFrame, statements: DataFrame, marks: DataFrame, weights: DataFrame, asof: dt.date) -> DataFrame:
-    """Equities outside the SEC's files, with a symbol to ask by, that have annual statements and no quarterly ones."""
-    rows = entities.withColumn("fetch_symbol", F.coalesce("symbol", "ticker")).join(pending_quarters(statements), "security_id", "left_semi")
-    where = F.expr("security_type_code = 'equity' and cik is null and fetch_symbol is not null")
-    return pending(rows, _nothing_done(marks), marks, weights, "quarters", asof, where=where).select("security_id", "fetch_symbol", "best_weight")
+    rows: entities(). marks: security_id, what, marked_at of failed tries. asked: security_id, what, asked_at. weights:
+    security_id, best_weight. facts: by name the tables that INSTANCES says it reads, with one row for each key;
+    no others are joined.
+    """
+    job = INSTANCES[name]
+    rows = rows.join(weights, "security_id", "left" if job.held is None else "inner")
+    if "missing[" in job.where:
+        rows = rows.join(_latest(marks, "marked_at", "missing"), "security_id", "left")
+    if "asked[" in job.where:
+        rows = rows.join(_latest(asked, "asked_at", "asked"), "security_id", "left")
+    for fact in job.facts:
+        rows = rows.join((facts or {})[fact], _FACT_KEYS.get(fact, "security_id"), "left")
+    rows = rows.withColumn("asof", F.lit(asof)).where(job.where).withColumn("best_weight", F.coalesce("best_weight", F.lit(0.0)))
+    if job.held is not None:
+        rows = rows.where(F.col("best_weight") >= job.held)
+    order = [F.desc("best_weight"), F.asc("security_id")]
+    if job.first:
+        order.insert(0, F.expr(job.first).desc())
+    return rows.orderBy(*order).selectExpr("security_id", *job.columns, "best_weight")
+
+
+def pending_fx_history(currencies: DataFrame, rates: DataFrame, marks: DataFrame, asof: dt.date, days: int = 90, again_days: int = 30) -> DataFrame:
+    """Currencies other than USD without a rate older than ``days``, unless a try failed in the last again_days. marks: currency_code, marked_at."""
+    old = rates.where(F.col("as_of") < F.date_sub(F.lit(asof), days)).select("currency_code")
+    tried = marks.where(F.col("marked_at") >= F.date_sub(F.lit(asof), again_days)).select("currency_code")
+    return currencies.where("currency_code <> 'USD'").join(old, "currency_code", "left_anti").join(tried, "currency_code", "left_anti").select("currency_code")
 
 
 def clear_marks(marks: DataFrame, changed: DataFrame, symbol_keyed: list[str]) -> DataFrame:
@@ -142,6 +159,12 @@ def clear_marks(marks: DataFrame, changed: DataFrame, symbol_keyed: list[str]) -
     return rows.where(~F.coalesce(stale, F.lit(False))).select(*marks.columns)
 
 
+def clear_contradicted(marks: DataFrame, bars: DataFrame, asof: dt.date, days: int = 5) -> DataFrame:
+    """Marks without failed performance of securities that have a bar of the last ``days``: a mark is no evidence against data."""
+    recent = bars.where(F.col("date") >= F.date_sub(F.lit(asof), days)).select("security_id", F.lit("performance").alias("what")).distinct()
+    return marks.join(recent, ["security_id", "what"], "left_anti").select(*marks.columns)
+
+
 def listing_counts(counters: DataFrame, listings: DataFrame) -> DataFrame:
     """Counters that disagree with the rows counted, with both numbers."""
     n = listings.groupBy("exch_code").agg(F.count("*").alias("actual"))
