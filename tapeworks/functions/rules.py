@@ -10,7 +10,7 @@ IDENTIFIER_PATTERNS = {
     "isin": "^[A-Z]{2}[A-Z0-9]{9}[0-9]$",
     "cusip": "^[A-Z0-9]{9}$",
     "figi": "^BBG[A-Z0-9]{9}$",
-    "lei": "^[A-Z0-9]{18}[0-9]{2}$",
+    "lei": "^[A-Z0-9]{20}$",
 }
 #: Texts that stand for no identifier.
 PLACEHOLDERS = ("N/A", "NONE", "UNKNOWN")
@@ -27,7 +27,8 @@ def filing_kind(form: Column) -> Column:
 
 
 def is_ceo(title: Column) -> Column:
-    return F.coalesce(title.ilike("%chief executive%") | title.contains("CEO"), F.lit(False))
+    """Null where the title is."""
+    return title.ilike("%chief executive%") | title.ilike("%ceo%")
 
 
 def reporting_currency(filed: Column, quote: Column, country: Column) -> Column:
@@ -44,12 +45,21 @@ def on_read(value: Column, is_fraction: Column) -> Column:
     return F.when(is_fraction, F.round(value.cast("decimal(28,10)") * 100, 4).cast("double")).otherwise(value)
 
 
+def identifier(value: Column) -> Column:
+    """An identifier as it is compared: without spaces around it, in capitals."""
+    return F.upper(F.trim(value))
+
+
 def valid_identifier(kind: Column, value: Column) -> Column:
-    """Whether the value fits its kind's pattern and is neither a placeholder nor one character repeated."""
-    fits = F.lit(False)
+    """Whether the value, trimmed and in capitals, fits its kind's pattern and is neither empty, a placeholder nor one character repeated.
+
+    A kind without a pattern takes any such value.
+    """
+    value = identifier(value)
+    fits = ~kind.isin(*IDENTIFIER_PATTERNS)
     for name, pattern in IDENTIFIER_PATTERNS.items():
         fits |= (kind == name) & value.rlike(pattern)
-    return F.coalesce(fits & ~F.upper(value).isin(*PLACEHOLDERS) & ~value.rlike(r"^(.)\1*$"), F.lit(False))
+    return F.coalesce(fits & (value != "") & ~value.isin(*PLACEHOLDERS) & ~value.rlike(r"^(.)\1*$"), F.lit(False))
 
 
 def asset_type(category: Column, units: Column) -> Column:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks.functions.common import optional_filters, ranked, ratio, round4, top1
+from tapeworks.functions.common import optional_filters, ratio, round4, top1
 from tapeworks.functions.rules import cap_band
 from tapeworks.functions.scratch import stored
-from tapeworks.operators.currencies import market_cap_usd
+from tapeworks.operators.currencies import market_cap_usd, security_currency
 from tapeworks.operators.funds import best_node, holdings_current
-from tapeworks.operators.writes import snapshot
 
 #: Columns of the spine that group countries, and the scheme and lens of each.
 LENSES = {
@@ -35,51 +34,53 @@ def index_label(holdings: DataFrame, funds: DataFrame) -> DataFrame:
 def style(spine: DataFrame, fundamentals: DataFrame, labels: DataFrame) -> DataFrame:
     """Rank of book-to-price within tier and cap band; membership of an index overrides it.
 
-    spine: security_id, security_type_code, msci_tier, market_cap_usd. Cohorts of fewer than 30 give no row.
+    spine: security_id, security_type_code, msci_tier, market_cap_usd. Cohorts of fewer than 30 give no row. Ranks are
+    running sums over a cohort's counts of equal values, not over its securities.
     """
-    rows = spine.join(fundamentals.select("security_id", "price_to_book"), "security_id")
+    rows = spine.select("security_id", "security_type_code", "msci_tier", "market_cap_usd").join(fundamentals.select("security_id", "price_to_book"), "security_id")
     rows = rows.where("security_type_code = 'equity' and price_to_book > 0 and market_cap_usd > 0 and msci_tier is not null")
-    rows = rows.withColumn("book_to_price", 1 / F.col("price_to_book")).withColumn("cohort", F.concat_ws(":", "msci_tier", cap_band(F.col("market_cap_usd"))))
-    rows = ranked(rows, "cohort", "book_to_price").withColumnRenamed("group_size", "cohort_size").where(F.col("cohort_size") >= LEAST_COHORT)
-    rows = rows.withColumn("value_score", (F.col("rank") - 1) / (F.col("cohort_size") - 1)).join(labels, "security_id", "left")
+    rows = rows.withColumn("book_to_price", 1 / F.col("price_to_book")).withColumn("cohort", F.concat_ws("/", "msci_tier", cap_band(F.col("market_cap_usd"))))
+    counts = rows.groupBy("cohort", "book_to_price").agg(F.count("*").alias("n"))
+    cohort = Window.partitionBy("cohort")
+    below = F.coalesce(F.sum("n").over(cohort.orderBy("book_to_price").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("cohort", "book_to_price", below.alias("below"), F.sum("n").over(cohort).alias("cohort_size")).where(F.col("cohort_size") >= LEAST_COHORT)
+    rows = rows.join(counts, ["cohort", "book_to_price"])
+    rows = rows.withColumn("value_score", F.col("below") / (F.col("cohort_size") - 1)).join(labels, "security_id", "left")
     scored = F.when(F.col("value_score") >= VALUE_FROM, "value").when(F.col("value_score") <= GROWTH_TO, "growth").otherwise("blend")
     return rows.select(
         "security_id", round4(F.col("value_score")).alias("value_score"), round4(F.col("book_to_price")).alias("book_to_price"), "cohort", "cohort_size", F.coalesce("index_style", scored).alias("style"),
-        F.when(F.col("index_style").isNotNull(), "index").otherwise("score").alias("style_source"),
-        F.when(F.col("index_style").isNull(), "low").when(F.col("index_style") == scored, "high").otherwise("medium").alias("style_confidence"),
+        F.when(F.col("index_style").isNotNull(), "index").otherwise("composite").alias("style_source"),
+        F.when(F.col("index_style").isNotNull(), "high").when(F.col("value_score") >= VALUE_FROM, "moderate").otherwise("low").alias("style_confidence"),
     )
 
 
-def facets(
-    securities: DataFrame, nodes: DataFrame, sources: DataFrame, symbols: DataFrame, lenses: DataFrame, rates: DataFrame, fundamentals: DataFrame, holdings: DataFrame, funds: DataFrame,
-    countries: DataFrame, labels: DataFrame, terms: DataFrame,
+def facet_base(
+    securities: DataFrame, nodes: DataFrame, sources: DataFrame, symbols: DataFrame, lenses: DataFrame, rates: DataFrame, listings: DataFrame, countries: DataFrame, labels: DataFrame, terms: DataFrame,
 ) -> DataFrame:
-    """The read model: one row for each security with all that it can be grouped and filtered by.
-
-    countries: country_iso2, country_name, app_region_id, country_market. labels: industry_id, industry. terms:
-    security_id, maturity_date, coupon_rate, coupon_kind, in_default.
-    """
+    """facets() without the columns of style, which are ranked from it."""
     sector = best_node(nodes, sources, 1).withColumnRenamed("node_id", "sector_id")
     industry = best_node(nodes, sources, 2).withColumnRenamed("node_id", "industry_id")
     caps = market_cap_usd(securities, rates).select("security_id", "market_cap_usd")
-    rows = securities.withColumn("country_iso2", F.coalesce("operating_country_iso2", "country_iso2")).join(caps, "security_id")
+    currency = security_currency(securities, listings).select("security_id", "currency_code", F.col("source").alias("currency_source"))
+    rows = securities.drop("currency_code").withColumn("country_iso2", F.coalesce("operating_country_iso2", "country_iso2")).join(caps, "security_id").join(currency, "security_id")
     joined = ((sector, "security_id"), (industry, "security_id"), (symbols, "security_id"), (lenses, "country_iso2"), (countries, "country_iso2"), (labels, "industry_id"), (terms, "security_id"))
     for other, key in joined:
         rows = rows.join(other, key, "left")
-    spine = rows.select(
-        "security_id", "symbol", "name", "security_type_code", "sector_id", "industry_id", "industry", "country_iso2", "country_name", "app_region_id", "country_market", *LENSES, "currency_code",
-        F.col("market_cap").alias("market_cap_native"), "market_cap_usd", cap_band(F.col("market_cap_usd")).alias("cap_band"),
-        "maturity_date", "coupon_rate", "coupon_kind", "in_default", (F.col("symbol").isNotNull()).alias("is_tradeable"),
+    return rows.select(
+        "security_id", "symbol", "name", "security_type_code", "sector_id", "industry_id", "industry", "country_iso2", "country_name", "app_region_id", "country_market", *LENSES, "currency_code", "currency_source",
+        F.col("market_cap").alias("market_cap_native"), "market_cap_usd", cap_band(F.col("market_cap_usd")).alias("cap_band"), "maturity_date", "coupon_rate", "coupon_kind", "in_default", "is_tradeable",
     )
-    # stored, as its styles are ranked from it and then joined to it
-    spine = stored(spine, "spine_base")
-    styles = style(spine, fundamentals, index_label(holdings, funds)).withColumnRenamed("cohort", "style_cohort")
-    return spine.join(styles.select("security_id", "style", "style_source", "style_confidence", "value_score", "style_cohort"), "security_id", "left")
 
 
-def refreshed(spine: DataFrame, path: str) -> DataFrame:
-    """The read model written and read back with refreshed_at: what aggregates, peers and filters read instead of the joins."""
-    return snapshot(spine, path)
+def facets(base: DataFrame, fundamentals: DataFrame, holdings: DataFrame, funds: DataFrame) -> DataFrame:
+    """The read model: one row for each security with all that it can be grouped and filtered by.
+
+    base: facet_base(), of countries: country_iso2, country_name, app_region_id, country_market; labels: industry_id,
+    industry; terms: security_id, maturity_date, coupon_rate, coupon_kind, in_default. The currency is that of the primary
+    listing, else the security's, and currency_source says which.
+    """
+    styles = style(base, fundamentals, index_label(holdings, funds)).withColumnRenamed("cohort", "style_cohort")
+    return base.join(styles.select("security_id", "style", "style_source", "style_confidence", "value_score", "style_cohort"), "security_id", "left")
 
 
 #: Columns that securities can be grouped by; industry_id is an industry's code and industry its label.
@@ -90,7 +91,10 @@ FACETS = (
 
 
 def aggregate_performance(spine: DataFrame, performance: DataFrame, period: str, group_by: str, lists: dict | None = None, ranges: dict | None = None) -> DataFrame:
-    """Cap-weighted and equal-weighted returns of each bucket of a facet, and how much of the bucket they cover."""
+    """Cap-weighted and equal-weighted returns of each bucket of a facet, and how much of the bucket they cover.
+
+    A bucket without any return stays, with its size and null returns.
+    """
     if group_by not in FACETS:
         raise ValueError(f"unknown facet {group_by}")
     rows = optional_filters(spine, lists or {}, ranges).where(F.col(group_by).isNotNull())
@@ -103,7 +107,7 @@ def aggregate_performance(spine: DataFrame, performance: DataFrame, period: str,
         F.sum(cap * c).alias("wc"), F.sum(F.when(c.isNotNull(), cap)).alias("w"), F.sum(cap * t).alias("wt"), F.sum(F.when(t.isNotNull(), cap)).alias("tw"),
         F.sum(c).alias("plain"), F.count(c).alias("constituents"), F.count(t).alias("total_return_constituents"), F.count("*").alias("bucket_securities"),
         F.sum(cap).alias("bucket_cap"), F.max_by("symbol", F.when(part.isNotNull(), top)).alias("top_contributor"), F.max(part).alias("most"), F.sum(part).alias("all"), F.max("at").alias("as_of"),
-    ).where("constituents > 0")
+    )
     return out.select(
         "bucket", round4(ratio(F.col("wc"), F.col("w"))).alias("change_pct"), round4(ratio(F.col("plain"), F.col("constituents"))).alias("change_pct_equal"), round4(ratio(F.col("wt"), F.col("tw"))).alias("total_return_pct"),
         "constituents", "total_return_constituents", "bucket_securities", round4(ratio(F.col("w"), F.col("bucket_cap"))).alias("weight_covered"), "top_contributor", round4(ratio(F.col("most"), F.col("all"))).alias("top_contributor_share"), "as_of",

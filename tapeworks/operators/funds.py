@@ -82,18 +82,18 @@ def type_from_filing(holdings: DataFrame, securities: DataFrame) -> DataFrame:
 
 
 def derive_classifications(holdings: DataFrame, funds: DataFrame, securities: DataFrame) -> DataFrame:
-    """Sector tags of equities from sector funds, and countries of securities that have none from country funds.
+    """(security_id, what, code, as_of): a sector tag of an equity for each sector whose fund holds it, and the country of a
+    country fund for a security without a filed one. A fund's holding of itself counts for nothing.
 
-    Of several funds the one of greatest weight decides, then the first by symbol.
+    Of several country funds the one of greatest weight decides, then the first by symbol.
     """
-    held = holdings_current(holdings).join(funds.select("fund_symbol", "kind", "represents_code"), "fund_symbol").join(
-        securities.select("security_id", "security_type_code", "operating_country_iso2"), "security_id"
+    held = _outside(holdings, funds).join(funds.where("represents_code is not null").select("fund_symbol", "kind", "represents_code"), "fund_symbol").join(
+        securities.select("security_id", "security_type_code", "country_iso2"), "security_id"
     )
-    best = (F.desc("weight"), F.asc("fund_symbol"))
-    sector = top1(held.where("kind = 'sector' and security_type_code = 'equity'"), ["security_id"], *best)
-    country = top1(held.where("kind = 'country' and operating_country_iso2 is null"), ["security_id"], *best)
-    return sector.select("security_id", F.lit("sector").alias("what"), F.col("represents_code").alias("code")).unionByName(
-        country.select("security_id", F.lit("country").alias("what"), F.col("represents_code").alias("code"))
+    sector = held.where("kind = 'sector' and security_type_code = 'equity'").groupBy("security_id", F.col("represents_code").alias("code")).agg(F.max("as_of").alias("as_of"))
+    country = top1(held.where("kind = 'country' and country_iso2 is null"), ["security_id"], F.desc("weight"), F.asc("fund_symbol"))
+    return sector.select("security_id", F.lit("sector").alias("what"), "code", "as_of").unionByName(
+        country.select("security_id", F.lit("country").alias("what"), F.col("represents_code").alias("code"), "as_of")
     )
 
 
@@ -112,34 +112,48 @@ def sector_constituents(holdings: DataFrame, funds: DataFrame, securities: DataF
     )
 
 
-def country_sector_performance(holdings: DataFrame, funds: DataFrame, securities: DataFrame, nodes: DataFrame, sources: DataFrame, performance: DataFrame) -> DataFrame:
-    """Fund-weighted returns of each country fund's sectors; a mean is over what has a return only."""
-    held = _outside(holdings, funds).join(funds.where("kind = 'country'").select("fund_symbol", F.col("represents_code").alias("country_iso2")), "fund_symbol")
-    held = held.join(securities.where("security_type_code = 'equity'").select("security_id"), "security_id")
-    held = held.join(best_node(nodes, sources, 1).withColumnRenamed("node_id", "sector_id"), "security_id")
-    all_weight = held.groupBy("country_iso2", "fund_symbol", "sector_id").agg(F.sum("weight").alias("bucket_weight"))
-    rows = held.join(performance.drop("as_of"), "security_id")
+def country_sector_performance(holdings: DataFrame, funds: DataFrame, securities: DataFrame, nodes: DataFrame, sources: DataFrame, symbols: DataFrame, performance: DataFrame) -> DataFrame:
+    """Fund-weighted returns of the sectors of each country: of equities with a symbol that a fund of their own country holds, once each.
+
+    A company's country is where it operates, else where it is filed. Of several funds of a country that of
+    greatest weight counts. weight_covered is the weight of what has a row of the period.
+    """
+    effective = F.coalesce("operating_country_iso2", "country_iso2").alias("country_iso2")
+    sec = securities.where("security_type_code = 'equity'").select("security_id", effective).join(symbols.where("symbol is not null").select("security_id"), "security_id")
+    sec = sec.join(best_node(nodes, sources, 1).withColumnRenamed("node_id", "sector_id"), "security_id")
+    own = funds.where("kind = 'country'").select("fund_symbol", F.col("represents_code").alias("country_iso2"))
+    held = holdings_current(holdings).where("weight > 0").select("fund_symbol", "security_id", "weight").join(own, "fund_symbol")
+    held = top1(sec.join(held, ["security_id", "country_iso2"]), ["security_id"], F.desc("weight"), F.asc("fund_symbol"))
     w, c, t = F.col("weight"), F.col("change_pct").cast("decimal(18,4)"), F.col("total_return_pct").cast("decimal(18,4)")
-    out = rows.groupBy("country_iso2", "fund_symbol", "sector_id", "period").agg(
-        F.sum(F.when(c.isNotNull(), w * c)).alias("wc"), F.sum(F.when(c.isNotNull(), w)).alias("w"),
-        F.sum(F.when(t.isNotNull(), w * t)).alias("wt"), F.sum(F.when(t.isNotNull(), w)).alias("tw"),
-        F.count(c).alias("constituents"), F.count(t).alias("total_return_constituents"), F.max("as_of").alias("as_of"),
+    out = held.join(performance, "security_id").groupBy("country_iso2", "sector_id", "period").agg(
+        F.sum(w * c).alias("wc"), F.sum(w).alias("w"), F.sum(F.when(t.isNotNull(), w * t)).alias("wt"), F.sum(F.when(t.isNotNull(), w)).alias("tw"),
+        F.count("*").alias("constituents"), F.count(t).alias("total_return_constituents"), F.min("fund_symbol").alias("fund_symbol"), F.max("as_of").alias("as_of"),
     )
-    return out.join(all_weight, ["country_iso2", "fund_symbol", "sector_id"]).select(
+    return out.select(
         "country_iso2", "sector_id", "period", round4(ratio(F.col("wc"), F.col("w"))).alias("change_pct"), round4(ratio(F.col("wt"), F.col("tw"))).alias("total_return_pct"),
-        "constituents", "total_return_constituents", round4(ratio(F.col("w"), F.col("bucket_weight"))).alias("weight_covered"), "fund_symbol", "as_of",
+        "constituents", "total_return_constituents", round4(F.col("w")).alias("weight_covered"), "fund_symbol", "as_of",
     )
 
 
 def fund_ingest(filed: DataFrame, known: DataFrame, stored: DataFrame) -> DataFrame:
     """Holdings of filings resolved to securities, lots of one security added up, and written over what is stored.
 
-    filed: holding_id, fund_symbol, as_of, weight, market_value, isin, cusip, figi. A (fund, date) that is filed
-    again replaces its stored rows; holdings without a valid identifier are left out.
+    filed: holding_id, fund_symbol, as_of, weight, market_value, isin, cusip, figi. A (fund, security, date) that is filed
+    again replaces its stored row, and other rows stay; holdings without a valid identifier are left out.
     """
     from tapeworks.operators.identity import resolve_securities
 
     ids = resolve_securities(filed, known).select("holding_id", "security_id")
     new = merge_lots(filed.join(ids, "holding_id").select("fund_symbol", "security_id", "as_of", "weight", "market_value"))
-    kept = stored.join(filed.select("fund_symbol", "as_of").distinct(), ["fund_symbol", "as_of"], "left_anti")
+    kept = stored.join(new, ["fund_symbol", "security_id", "as_of"], "left_anti")
     return kept.select(new.columns).unionByName(new)
+
+
+def ingest_report(filed: DataFrame, known: DataFrame) -> DataFrame:
+    """(fund_symbol, as_of, filed, holdings, securities_added, skipped) of fund_ingest(): what a filing held, what it became, and what was left out."""
+    from tapeworks.operators.identity import resolve_securities
+
+    rows = filed.join(resolve_securities(filed, known), "holding_id", "left")
+    return rows.groupBy("fund_symbol", "as_of").agg(
+        F.count("*").alias("filed"), F.countDistinct("security_id").alias("holdings"), F.countDistinct(F.when(~F.col("matched"), F.col("security_id"))).alias("securities_added"), F.count(F.when(F.col("security_id").isNull(), 1)).alias("skipped")
+    )

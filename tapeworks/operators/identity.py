@@ -7,23 +7,60 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import rules
 from tapeworks.functions.common import top1
+from tapeworks.functions.scratch import stored
 
 
 def _ids(kinds: list[tuple[str, str]]) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(kind).alias("kind"), F.col(c).alias("value")) for k, (kind, c) in enumerate(kinds)])
 
 
+def _identifiers(holdings: DataFrame) -> DataFrame:
+    """(holding_id, rank, kind, value) of the valid identifiers of each holding, cleaned, the most telling first."""
+    rows = holdings.select("holding_id", F.inline(_ids([("isin", "isin"), ("cusip", "cusip"), ("figi", "figi")])))
+    return rows.where(rules.valid_identifier(F.col("kind"), F.col("value"))).withColumn("value", rules.identifier(F.col("value")))
+
+
 def resolve_securities(holdings: DataFrame, known: DataFrame) -> DataFrame:
-    """(holding_id, security_id, matched): the first known of ISIN, CUSIP and FIGI, else an id made from the first valid one.
+    """(holding_id, security_id, matched): which security each holding is of.
+
+    A holding with a known identifier is of that security: the first known of ISIN, CUSIP and FIGI decides, so a
+    holding with identifiers of two known securities merges neither. The others are new, and those that share an
+    identifier, directly or through others, are one security, whatever their order; its id is a hash of
+    the component's best identifier, so a batch that is run again makes the same ids. Holdings without a valid identifier
+    are left out; skipped_holdings() counts them.
 
-    known: kind, value, security_id. Holdings without a valid identifier are left out.
+    known: kind, value, security_id. new_identifiers() has what later batches must know.
     """
-    rows = holdings.select("holding_id", F.inline(_ids([("isin", "isin"), ("cusip", "cusip"), ("figi", "figi")])))
-    rows = rows.where(rules.valid_identifier(F.col("kind"), F.col("value")))
-    rows = rows.join(known, ["kind", "value"], "left")
-    first = top1(rows, ["holding_id"], F.col("security_id").isNull().asc(), F.asc("rank"), F.asc("security_id"))
-    made = F.sha2(F.concat_ws(":", "kind", "value"), 256)
-    return first.select("holding_id", F.coalesce(F.col("security_id").cast("string"), made).alias("security_id"), F.col("security_id").isNotNull().alias("matched"))
+    rows = stored(_identifiers(holdings), "identifiers")
+    found = _known(rows, known)
+    first = top1(found, ["holding_id"], F.asc("rank"), F.asc("security_id")).select("holding_id", F.col("security_id").cast("string").alias("security_id"), F.lit(True).alias("matched"))
+    made = _new_securities(rows, found)
+    return first.unionByName(made.select("holding_id", "security_id", F.lit(False).alias("matched")).distinct())
+
+
+def _known(rows: DataFrame, known: DataFrame) -> DataFrame:
+    return rows.join(known.select("kind", rules.identifier(F.col("value")).alias("value"), "security_id"), ["kind", "value"])
+
+
+def _new_securities(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(holding_id, kind, value, security_id): identifiers of the holdings that have no known one, with the id of their component."""
+    new = stored(rows.join(found.select("holding_id").distinct(), "holding_id", "left_anti"), "new_holdings")
+    groups = _components(new.select("holding_id", "kind", "value").distinct())
+    both = new.join(groups, "holding_id")
+    ids = both.groupBy("group_id").agg(F.min(F.struct("rank", "kind", "value")).alias("best"))
+    ids = ids.select("group_id", F.sha2(F.concat_ws(":", "best.kind", "best.value"), 256).alias("security_id"))
+    return both.join(ids, "group_id").select("holding_id", "kind", "value", "security_id")
+
+
+def new_identifiers(holdings: DataFrame, known: DataFrame) -> DataFrame:
+    """(kind, value, security_id) of the securities that resolve_securities() makes: registered, they are found by later batches."""
+    rows = stored(_identifiers(holdings), "identifiers")
+    return _new_securities(rows, _known(rows, known)).select("kind", "value", "security_id").distinct()
+
+
+def skipped_holdings(holdings: DataFrame) -> DataFrame:
+    """Holdings without a valid identifier: what resolution leaves out."""
+    return holdings.join(_identifiers(holdings).select("holding_id").distinct(), "holding_id", "left_anti")
 
 
 def resolve_issuers(holdings: DataFrame, known: DataFrame) -> DataFrame:
@@ -36,28 +73,41 @@ def resolve_issuers(holdings: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def security_symbol(securities: DataFrame, listings: DataFrame, provider: DataFrame, identifiers: DataFrame) -> DataFrame:
-    """The primary listing's symbol, else the provider's, else the lowest ticker."""
+    """The primary listing's symbol, else the provider's, else the lowest ticker; securities without any are left out."""
     primary = listings.where("is_primary").groupBy("security_id").agg(F.min("symbol").alias("a"))
     own = provider.groupBy("security_id").agg(F.min("symbol").alias("b"))
     ticker = identifiers.where("kind = 'ticker'").groupBy("security_id").agg(F.min("value").alias("c"))
     rows = securities.select("security_id")
     for other in (primary, own, ticker):
         rows = rows.join(other, "security_id", "left")
-    return rows.select("security_id", F.coalesce("a", "b", "c").alias("symbol"))
+    return rows.select("security_id", F.coalesce("a", "b", "c").alias("symbol")).where("symbol is not null")
 
 
-def security_current(securities: DataFrame, nodes: DataFrame, sources: DataFrame, symbols: DataFrame) -> DataFrame:
-    """One row for each security: sector and industry by priority, operating country over filed."""
+def security_current(securities: DataFrame, nodes: DataFrame, sources: DataFrame, symbols: DataFrame, identifiers: DataFrame, issuers: DataFrame, countries: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row for each security: sector and industry by priority, operating country over filed, with names of what it refers to.
+
+    issuers: issuer_id, issuer_name. countries: country_iso2, country_name. labels: industry_id, industry. A
+    security with several ISINs has a row for each.
+    """
     from tapeworks.operators.funds import best_node
 
-    rows = securities.join(symbols, "security_id", "left")
-    rows = rows.join(best_node(nodes, sources, 1).withColumnRenamed("node_id", "sector_id"), "security_id", "left")
-    rows = rows.join(best_node(nodes, sources, 2).withColumnRenamed("node_id", "industry_id"), "security_id", "left")
-    return rows.select("security_id", "name", "symbol", "security_type_code", F.coalesce("operating_country_iso2", "country_iso2").alias("country_iso2"), "sector_id", "industry_id", "market_cap", "currency_code")
+    rows = securities.withColumn("filed_country_iso2", F.col("country_iso2")).withColumn("provider_country_iso2", F.col("operating_country_iso2")).withColumn("country_iso2", F.coalesce("operating_country_iso2", "country_iso2"))
+    rows = rows.drop("isin")
+    isin = identifiers.where("kind = 'isin'").select("security_id", F.col("value").alias("isin"))
+    joined = (
+        (symbols, "security_id"), (isin, "security_id"), (best_node(nodes, sources, 1).withColumnRenamed("node_id", "sector_id"), "security_id"), (best_node(nodes, sources, 2).withColumnRenamed("node_id", "industry_id"), "security_id"),
+        (issuers, "issuer_id"), (countries.select("country_iso2", "country_name"), "country_iso2"), (labels, "industry_id"),
+    )
+    for other, key in joined:
+        rows = rows.join(other, key, "left")
+    return rows.select(
+        "security_id", "name", "symbol", "isin", "issuer_name", "security_type_code", "country_iso2", "country_name", "filed_country_iso2", "provider_country_iso2",
+        "sector_id", "industry_id", "industry", "market_cap", "currency_code", "is_tradeable",
+    )
 
 
 def symbol_security(securities: DataFrame, listings: DataFrame, provider: DataFrame, identifiers: DataFrame) -> DataFrame:
-    """(symbol, security_id) of every security that has a symbol: the map that charts are looked up by, to be kept by facets.refreshed()."""
+    """(symbol, security_id) of every security that has a symbol: the map that charts are looked up by, to be kept by versions.read_model()."""
     return security_symbol(securities, listings, provider, identifiers).where("symbol is not null").select("symbol", "security_id")
 
 
@@ -127,7 +177,8 @@ def instrument_current(instruments: DataFrame, links: DataFrame, current: DataFr
 
 
 def valid_identifiers(identifiers: DataFrame) -> DataFrame:
-    return identifiers.where(rules.valid_identifier(F.col("kind"), F.col("value")))
+    """Identifiers that identify something, trimmed and in capitals."""
+    return identifiers.where(rules.valid_identifier(F.col("kind"), F.col("value"))).withColumn("value", rules.identifier(F.col("value")))
 
 
 def profile_resolve(profiles: DataFrame, countries: DataFrame, aliases: DataFrame, labels: DataFrame) -> DataFrame:
@@ -152,10 +203,25 @@ def untracked_listing(listings: DataFrame, identifiers: DataFrame, provider: Dat
 
 
 def pending_promotion(untracked: DataFrame, venues: DataFrame, held: DataFrame) -> DataFrame:
-    """Untracked listings at enabled venues whose name isn't held: one for each name, ranked by tier, preference, name."""
+    """The queue: untracked listings at enabled venues whose name isn't held, home markets first: by tier, preference and name, then FIGI."""
     rows = untracked.join(venues.where("enabled"), "exch_code").withColumn("_n", F.upper("name")).join(held.select(F.upper("name").alias("_n")), "_n", "left_anti")
-    rows = top1(rows, ["_n"], F.asc("tier"), F.asc("preference"), F.asc("figi"))
-    return rows.select("figi", "ticker", "name", "exch_code", "tier", "preference")
+    return rows.select("figi", "ticker", "name", "exch_code", "country_iso2", "provider_symbol", "tier", "preference").orderBy("tier", "preference", "name", "figi")
+
+
+def promotion_wave(queue: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(securities, identifiers, provider symbols) of the first ``limit`` listings of the queue, one for each name.
+
+    Names are compared trimmed and in capitals, and nameless listings are left out. The id of a new security is a
+    hash of its FIGI, so a wave that is run again makes the same rows.
+    """
+    order = ("tier", "preference", "name", "figi")
+    rows = queue if limit is None else queue.orderBy(*order).limit(limit)
+    rows = top1(rows.withColumn("_n", F.upper(F.trim("name"))).where("_n <> ''"), ["_n"], *[F.asc(c) for c in order])
+    rows = rows.withColumn("security_id", F.sha2(F.concat(F.lit("figi:"), "figi"), 256))
+    securities = rows.select("security_id", "name", F.lit("equity").alias("security_type_code"), "country_iso2", F.lit(True).alias("is_tradeable"))
+    of = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value"))
+    identifiers = rows.select("security_id", F.inline(F.array(of("figi", "figi"), of("ticker", "ticker"))), F.lit("openfigi").alias("source_code")).where("value is not null")
+    return securities, identifiers, rows.where("provider_symbol is not null").select("security_id", F.lit("yfinance").alias("provider_code"), F.col("provider_symbol").alias("symbol"))
 
 
 def rekey(rows: DataFrame, renames: DataFrame) -> DataFrame:
@@ -165,19 +231,20 @@ def rekey(rows: DataFrame, renames: DataFrame) -> DataFrame:
     return kept.unionByName(moved.join(kept, ["symbol", "period"], "left_anti"))
 
 
-def shared_identifier_groups(holdings: DataFrame, rounds: int = 50) -> DataFrame:
-    """(holding_id, group_id): holdings that share any valid identifier, directly or through others, and their least id.
+def shared_identifier_groups(holdings: DataFrame) -> DataFrame:
+    """(holding_id, group_id): holdings that share any valid identifier, directly or through others, and their least id."""
+    return _components(stored(_identifiers(holdings).select("holding_id", "kind", "value").distinct(), "identifiers"))
+
+
+def _components(rows: DataFrame) -> DataFrame:
+    """(holding_id, group_id) of stored rows (holding_id, kind, value).
 
     Each round a holding takes the least label among those that share an identifier with it, and rounds end
-    when no label changes; labels are written to the shared folder between rounds. An identifier's least label
-    is an aggregate, so one that many holdings share costs each task one row.
+    when no label changes, which halves the way each time; labels are written to the shared folder between rounds. An
+    identifier's least label is an aggregate, so one that many holdings share costs each task one row.
     """
-    from tapeworks.functions.scratch import stored
-
-    rows = holdings.select("holding_id", F.inline(_ids([("isin", "isin"), ("cusip", "cusip"), ("figi", "figi")])))
-    rows = stored(rows.where(rules.valid_identifier(F.col("kind"), F.col("value"))).select("holding_id", "kind", "value").distinct(), "identifiers")
     labels = stored(rows.select("holding_id", F.col("holding_id").alias("group_id")).distinct(), "labels")
-    for _ in range(rounds):
+    while True:
         least = rows.join(labels, "holding_id").groupBy("kind", "value").agg(F.min("group_id").alias("least"))
         new = rows.join(least, ["kind", "value"]).groupBy("holding_id").agg(F.min("least").alias("group_id"))
         # a label's own holding has a label too, which may be less: following it halves the way
@@ -187,4 +254,3 @@ def shared_identifier_groups(holdings: DataFrame, rounds: int = 50) -> DataFrame
         labels = new
         if not changed:
             return labels
-    raise RuntimeError(f"groups still change after {rounds} rounds")

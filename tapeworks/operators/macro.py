@@ -23,7 +23,7 @@ def macro_current(observations: DataFrame, indicators: DataFrame) -> DataFrame:
     """The latest of each enabled indicator and dimension, fractions as percentages."""
     rows = top1(observations, ["indicator_code", "dimension"], F.desc("as_of"))
     rows = rows.join(indicators.where("enabled").withColumnRenamed("code", "indicator_code"), "indicator_code")
-    return rows.select(F.col("indicator_code").alias("code"), "name", "category", "country_iso2", "dimension", rules.on_read(F.col("value"), F.col("value_is_fraction")).alias("value"), "as_of")
+    return rows.select(F.col("indicator_code").alias("code"), "name", "category", "country_iso2", "unit", "frequency", "dimension", rules.on_read(F.col("value"), F.col("value_is_fraction")).alias("value"), "as_of", "fetched_at")
 
 
 def macro_dedupe(indicators: DataFrame) -> DataFrame:
@@ -39,3 +39,9 @@ def sector_unpivot(wide: DataFrame, labels: DataFrame, periods: list[str]) -> Da
     """Wide sector returns in fractions to (sector_id, period, change_pct); unknown labels are left out."""
     long = wide.unpivot(["label"], periods, "period", "v").where("v is not null")
     return long.join(labels, "label").select("sector_id", "period", (F.floor(F.col("v") * 1e6 + 0.5) / 1e4).cast("double").alias("change_pct"))
+
+
+def unmapped_labels(wide: DataFrame, labels: DataFrame, periods: list[str]) -> DataFrame:
+    """(label, dropped): labels that sector_unpivot() leaves out, and how many values with them."""
+    long = wide.unpivot(["label"], periods, "period", "v").where("v is not null")
+    return long.join(labels, "label", "left_anti").groupBy("label").agg(F.count("*").alias("dropped"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,15 +11,13 @@ from pyspark.sql import functions as F
 from tapeworks.functions import rules
 from tapeworks.functions.common import asof, daily, ratio, round4, top1
 
-#: Metrics that are sums over a period.
-FLOW_METRICS = ("revenue", "net_income", "free_cash_flow", "operating_cash_flow", "capital_expenditure", "eps_diluted")
 DERIVED_PRIORITY = 50
 
 
-def ttm(metrics: DataFrame) -> DataFrame:
-    """Sums of four consecutive quarters of flow metrics: four rows that span 370 days at most."""
+def ttm(metrics: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Sums of four consecutive quarters of flow metrics: four rows that span 370 days at most. catalogue: metric_code, is_flow."""
     year = Window.partitionBy("security_id", "metric_code").orderBy("as_of").rowsBetween(-3, 0)
-    rows = metrics.where((F.col("period_type") == "quarter") & F.col("metric_code").isin(*FLOW_METRICS))
+    rows = metrics.where(F.col("period_type") == "quarter").join(F.broadcast(catalogue.where("is_flow").select("metric_code")), "metric_code", "left_semi")
     rows = rows.select("*", F.sum("value").over(year).alias("total"), F.count("*").over(year).alias("n"), F.min("as_of").over(year).alias("first"))
     full = rows.where((F.col("n") == 4) & (F.datediff("as_of", "first") <= 370))
     return full.select("security_id", "metric_code", F.lit("ttm").alias("period_type"), "as_of", F.col("total").alias("value"), "currency_code", F.lit("derived").alias("source_code"))
@@ -41,35 +40,41 @@ def metric_series(metrics: DataFrame, sources: DataFrame, catalogue: DataFrame,
     return rows.select("symbol", "security_id", "metric_code", "metric_name", "category", "unit", "is_derived", "period_type", "as_of", F.col("value").cast("double").alias("value"), "currency_code", "source_code")
 
 
-def statement_metrics(statements: DataFrame, fields: DataFrame) -> DataFrame:
+def statement_metrics(statements: DataFrame, fields: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Numbers of JSON payloads by the (source, statement, field) control table; texts and other types are no numbers.
 
-    ``payload`` is parsed once to a map, and the control table joins its keys.
+    A row for each source of a key: which source's stays is upsert_priority's business; with ``keep``, columns of statements, for each
+    value of these too. ``payload`` is parsed once to a map, and the control table joins its keys.
     """
-    rows = statements.select("security_id", "statement", "source_code", "period_ending", rules.period_type(F.col("period_type")).alias("period_type"), "currency_code", F.explode(F.from_json("payload", "map<string,variant>")).alias("field", "v"))
+    rows = statements.select("security_id", "statement", "source_code", "period_ending", rules.period_type(F.col("period_type")).alias("period_type"), "currency_code", *keep, F.explode(F.from_json("payload", "map<string,variant>")).alias("field", "v"))
     rows = rows.join(fields, ["source_code", "statement", "field"])
     kind = F.schema_of_variant("v")
     rows = rows.where((kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"))
     value = F.try_variant_get("v", "$", "decimal(28,4)")
-    rows = rows.select("security_id", "metric_code", "period_type", F.col("period_ending").alias("as_of"), value.alias("value"), "currency_code", "source_code", "field")
-    return top1(rows, ["security_id", "metric_code", "period_type", "as_of", "source_code"], F.asc("field")).drop("field")
+    rows = rows.select("security_id", "metric_code", "period_type", F.col("period_ending").alias("as_of"), value.alias("value"), "currency_code", "source_code", *keep, "field")
+    return top1(rows, ["security_id", "metric_code", "period_type", "as_of", "source_code", *keep], F.asc("field")).drop("field")
 
 
-def _codes(metrics: DataFrame, codes: list[str]) -> DataFrame:
-    key = ["security_id", "period_type", "as_of", "currency_code"]
-    return metrics.groupBy(*key).agg(*[F.max(F.when(F.col("metric_code") == c, F.col("value"))).alias(c) for c in codes])
+def _codes(metrics: DataFrame, codes: list[str], reported: str) -> DataFrame:
+    """Value and currency of each code by (security, period type, date), where no source has reported ``reported``; of several sources' values the greatest."""
+    key = ["security_id", "period_type", "as_of"]
+    own = F.max(F.when((F.col("metric_code") == reported) & (F.col("source_code") != "derived"), True))
+    parts = [F.max(F.when(F.col("metric_code") == c, F.struct("value", "currency_code"))).alias(c) for c in codes]
+    return metrics.where(F.col("metric_code").isin(*codes, reported)).groupBy(*key).agg(own.alias("_reported"), *parts).where("_reported is null")
 
 
 def free_cash_flow(metrics: DataFrame) -> DataFrame:
-    """Operating cash flow less capital expenditure, of either sign, where none is reported."""
-    rows = _codes(metrics, ["operating_cash_flow", "capital_expenditure", "free_cash_flow"]).where("free_cash_flow is null and operating_cash_flow is not null and capital_expenditure is not null")
-    return rows.select("security_id", "period_type", "as_of", "currency_code", (F.col("operating_cash_flow") - F.abs("capital_expenditure")).cast("double").alias("value"))
+    """Operating cash flow less capital expenditure, of either sign, in the former's currency, where none is reported."""
+    rows = _codes(metrics, ["operating_cash_flow", "capital_expenditure"], "free_cash_flow").where("operating_cash_flow is not null and capital_expenditure is not null")
+    flow, spent = F.col("operating_cash_flow"), F.col("capital_expenditure")
+    return rows.select("security_id", "period_type", "as_of", flow["currency_code"].alias("currency_code"), (flow["value"] - F.abs(spent["value"])).cast("double").alias("value"))
 
 
 def total_debt(metrics: DataFrame) -> DataFrame:
-    """Long-term debt plus short-term debt if any, where none is reported."""
-    rows = _codes(metrics, ["long_term_debt", "short_term_debt", "total_debt"]).where("total_debt is null and long_term_debt is not null")
-    return rows.select("security_id", "period_type", "as_of", "currency_code", (F.col("long_term_debt") + F.coalesce("short_term_debt", F.lit(0))).cast("double").alias("value"))
+    """Long-term debt plus short-term debt if any, in the former's currency, where none is reported."""
+    rows = _codes(metrics, ["long_term_debt", "short_term_debt"], "total_debt").where("long_term_debt is not null")
+    long, short = F.col("long_term_debt"), F.col("short_term_debt")
+    return rows.select("security_id", "period_type", "as_of", long["currency_code"].alias("currency_code"), (long["value"] + F.coalesce(short["value"], F.lit(0))).cast("double").alias("value"))
 
 
 def xbrl_resolve(facts: DataFrame, concepts: DataFrame) -> DataFrame:
@@ -96,27 +101,34 @@ def metric_asof(bars: DataFrame, metrics: DataFrame, codes: list[str], prefix: s
 def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rates: DataFrame, reporting: DataFrame, asof: dt.date | None = None) -> DataFrame:
     """Valuation ratios of each bar: flows by trailing sums, stocks by the last quarter, both currencies at the bar's date.
 
-    bars: security_id, symbol, grain, date, close. A ratio is null on a missing rate or a denominator that
-    isn't positive where it must be. All codes carry forward in one pass over a security's history. Rates hold
+    bars: security_id, symbol, grain, date, close. metrics may have currency_code: the report currency is the metrics' own
+    (the last by name, if they differ), else that of ``reporting``. A ratio is null on a missing rate, and so are
+    those by or of earnings and cash flow that aren't positive. Bars before any metric give no row. All codes carry forward in one pass over a security's history. Rates hold
     until ``asof``, today by default; later bars aren't converted.
     """
     flows = ["eps_diluted", "revenue", "net_income", "free_cash_flow"]
     stocks = ["total_equity", "total_assets", "shares"]
     steps = metrics.where((F.col("metric_code").isin(flows) & (F.col("period_type") == "ttm")) | (F.col("metric_code").isin(stocks) & (F.col("period_type") == "quarter")))
-    wide = steps.groupBy("security_id", F.col("as_of").alias("date")).agg(*[F.max(F.when(F.col("metric_code") == c, F.col("value").cast("double"))).alias(c) for c in flows + stocks])
+    if "currency_code" not in steps.columns:
+        steps = steps.withColumn("currency_code", F.lit(None).cast("string"))
+    known = F.struct(F.col("value").cast("double").alias("value"), "currency_code")
+    wide = steps.groupBy("security_id", F.col("as_of").alias("date")).agg(*[F.max(F.when(F.col("metric_code") == c, known)).alias(c) for c in flows + stocks])
     both = bars.withColumn("_bar", F.lit(1)).unionByName(wide.withColumn("_bar", F.lit(0)), allowMissingColumns=True)
     running = Window.partitionBy("security_id").orderBy("date", "_bar").rowsBetween(Window.unboundedPreceding, 0)
     rows = both.select(*bars.columns, "_bar", *[F.last(c, ignorenulls=True).over(running).alias(c) for c in flows + stocks]).where("_bar = 1").drop("_bar")
+    rows = rows.where(" or ".join(f"{c} is not null" for c in flows + stocks))
+    rows = rows.select(*bars.columns, F.greatest(*[F.col(c)["currency_code"] for c in flows + stocks]).alias("_own"), *[F.col(c)["value"].alias(c) for c in flows + stocks])
     rows = rows.join(securities.select("security_id", F.col("currency_code").alias("quote_currency")), "security_id", "left").join(reporting, "security_id", "left")
+    rows = rows.withColumn("report_currency", F.coalesce("_own", "report_currency"))
     # few currencies have all bars, so rates are laid out by day and joined on both
     for side in ("report", "quote"):
         fx = rates.select(F.col("currency_code").alias(f"{side}_currency"), F.col("as_of").alias("_since"), F.col("usd_per_unit").alias(f"{side}_rate"))
         rows = rows.join(daily(fx, f"{side}_currency", "_since", asof or dt.date.today()), [f"{side}_currency", "date"], "left")
         rows = rows.withColumn(f"{side}_rate", F.when(F.col(f"{side}_currency") == "USD", F.lit(1.0)).otherwise(F.col(f"{side}_rate")))
     same = F.coalesce(F.col("report_currency") == F.col("quote_currency"), F.lit(False))
-    factor = F.when(same, F.lit(1.0)).otherwise(F.col("report_rate") / F.col("quote_rate"))
+    factor = F.when(same, F.lit(1.0)).when(F.col("quote_rate") > 0, F.col("report_rate") / F.col("quote_rate"))
     rows = rows.withColumn("factor", factor)
-    cap = F.col("close") * F.col("shares")
+    cap = F.col("close") * F.when(F.col("shares") > 0, F.col("shares"))
 
     def per(a: Column, b: Column) -> Column:
         return round4(a / F.when(b > 0, b))
@@ -126,7 +138,8 @@ def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rat
         "symbol", "security_id", "date", "grain", "close", "report_currency", "quote_currency",
         factor.isNotNull().alias("currency_comparable"), (factor.isNotNull() & ~same).alias("fx_converted"),
         per(F.col("close"), conv["eps_diluted"]).alias("pe_ratio"), per(cap, conv["revenue"]).alias("ps_ratio"), per(cap, conv["total_equity"]).alias("pb_ratio"), per(cap, conv["free_cash_flow"]).alias("price_to_fcf"),
-        round4(100 * ratio(conv["eps_diluted"], F.col("close"))).alias("earnings_yield_pct"), round4(100 * ratio(conv["free_cash_flow"], cap)).alias("fcf_yield_pct"),
+        round4(100 * ratio(F.when(conv["eps_diluted"] > 0, conv["eps_diluted"]), F.col("close"))).alias("earnings_yield_pct"),
+        round4(100 * ratio(F.when(conv["free_cash_flow"] > 0, conv["free_cash_flow"]), cap)).alias("fcf_yield_pct"),
         round4(100 * F.col("net_income") / F.when(F.col("revenue") > 0, F.col("revenue"))).alias("net_margin_pct"),
         round4(100 * F.col("net_income") / F.when(F.col("total_equity") > 0, F.col("total_equity"))).alias("roe_pct"),
         round4(100 * F.col("net_income") / F.when(F.col("total_assets") > 0, F.col("total_assets"))).alias("roa_pct"),
@@ -140,10 +153,11 @@ def pending_metrics(statements: DataFrame, derived: DataFrame) -> DataFrame:
     return rows.join(derived, [*key, "payload_hash"], "left_anti").select(*key)
 
 
-def pending_ttm(metrics: DataFrame, derived: DataFrame) -> DataFrame:
-    """Series whose newest quarter was fetched after their newest trailing sum."""
+def pending_ttm(metrics: DataFrame, derived: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Series of flow metrics whose newest quarter was fetched after their newest trailing sum."""
     key = ["security_id", "metric_code"]
-    quarters = metrics.where((F.col("period_type") == "quarter") & F.col("metric_code").isin(*FLOW_METRICS)).groupBy(*key).agg(F.max("fetched_at").alias("q"), F.count("*").alias("n"))
+    rows = metrics.where(F.col("period_type") == "quarter").join(F.broadcast(catalogue.where("is_flow").select("metric_code")), "metric_code", "left_semi")
+    quarters = rows.groupBy(*key).agg(F.max("fetched_at").alias("q"), F.count("*").alias("n"))
     done = derived.groupBy(*key).agg(F.max("fetched_at").alias("d"))
     return quarters.where("n >= 4").join(done, key, "left").where("d is null or q > d").select(*key)
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import contextlib
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.functions import common, rules
+from tapeworks import __version__
+from tapeworks.functions import common, rules, versions
 from tapeworks.operators import currencies, events, facets, funds, identity, macro, metrics, pending, returns, writes
 from tapeworks.functions.scratch import new_path, shared_dir
 from tapeworks.plans.market import ASOF, EVENT_ASOF, Market, with_inputs
@@ -69,9 +69,10 @@ query("merge_lots", f"select fund_symbol, security_id, as_of, {d('sum(weight)')}
 query("type_from_filing", """with g as (select security_id, max(asset_category) as c from holding group by 1 having count(distinct asset_category) = 1)
   select s.security_id, case when c in ('EC','EP') then 'equity' when c in ('DBT','LON') or c like 'ABS-%' then 'bond' end as security_type_code from security s join g on s.security_id = g.security_id where security_type_code = 'other'""",
       lambda m: funds.type_from_filing(m.holding, m.security))
-query("derive_classifications", f"""with {_CURRENT}, j as (select h.*, s.security_type_code, s.operating_country_iso2 from held h join security s on h.security_id = s.security_id),
-  r as (select security_id, kind, represents_code, row_number() over (partition by security_id, kind order by weight desc, fund_symbol) as r from j where (kind = 'sector' and security_type_code = 'equity') or (kind = 'country' and operating_country_iso2 is null))
-  select security_id, kind as what, represents_code as code from r where r = 1""",
+query("derive_classifications", f"""with {_CURRENT}, j as (select o.*, s.security_type_code, s.country_iso2 as filed from outside o join security s on o.security_id = s.security_id where represents_code is not null),
+  tags as (select security_id, represents_code as code, max(as_of) as as_of from j where kind = 'sector' and security_type_code = 'equity' group by 1, 2)
+  select security_id, 'sector' as what, code, as_of from tags union all
+  select security_id, 'country', arg_max(represents_code, weight), arg_max(as_of, weight) from (select * from j where kind = 'country' and filed is null and not exists (select 1 from j x where x.kind = 'country' and x.security_id = j.security_id and (x.weight > j.weight or (x.weight = j.weight and x.fund_symbol < j.fund_symbol)))) group by 1""",
       lambda m: funds.derive_classifications(m.holding, m.fund, m.security))
 query("sector_constituents", f"""with {_CURRENT}, n as (select node.*, priority from node left join source_rank on node.source_code = source_rank.source_code),
   mem as (select distinct node_id as sector_id, security_id from n where level = 1),
@@ -81,13 +82,13 @@ query("sector_constituents", f"""with {_CURRENT}, n as (select node.*, priority
   from mem join security s on mem.security_id = s.security_id left join provider_symbol p on p.security_id = mem.security_id
   left join ind on ind.security_id = mem.security_id and ind.parent_id = mem.sector_id and ind.r = 1 left join h on h.represents_code = mem.sector_id and h.security_id = mem.security_id and h.r = 1""",
       lambda m: funds.sector_constituents(m.holding, m.fund, m.security, m.node, m.source_rank, m.provider_symbol))
-query("country_sector_perf", f"""with {_CURRENT}, {_BEST}, h as (select represents_code as country_iso2, fund_symbol, sector_id, o.security_id, weight, o.as_of from outside o join (select security_id from security where security_type_code = 'equity') e on e.security_id = o.security_id join sector on sector.security_id = o.security_id where kind = 'country'),
-  a as (select country_iso2, fund_symbol, sector_id, sum(weight) as bw from h group by all)
-  select h.country_iso2, h.sector_id, p.period, {r4(f"{d('sum(weight * change_pct)')} / nullif({d('sum(weight) filter (where change_pct is not null)')}, 0)")} as change_pct,
-  {r4(f"{d('sum(weight * total_return_pct)')} / nullif({d('sum(weight) filter (where total_return_pct is not null)')}, 0)")} as total_return_pct, count(change_pct) as constituents, count(total_return_pct) as total_return_constituents,
-  {r4(f"{d('sum(weight) filter (where change_pct is not null)')} / nullif({d('any_value(bw)')}, 0)")} as weight_covered, h.fund_symbol, max(h.as_of) as as_of
-  from h join security_perf p on h.security_id = p.security_id join a on a.country_iso2 = h.country_iso2 and a.fund_symbol = h.fund_symbol and a.sector_id = h.sector_id group by h.country_iso2, h.sector_id, p.period, h.fund_symbol""",
-      lambda m: funds.country_sector_performance(m.holding, m.fund, m.security, m.node, m.source_rank, m.security_perf))
+query("country_sector_perf", f"""with {_CURRENT}, {_BEST}, c as (select s.security_id, sector_id, s.country_iso2, fund_symbol, weight from (select security_id, security_type_code, coalesce(operating_country_iso2, country_iso2) as country_iso2 from security) s
+  join sector on sector.security_id = s.security_id join provider_symbol p on p.security_id = s.security_id join held h on h.security_id = s.security_id and h.kind = 'country' and h.represents_code = s.country_iso2 where security_type_code = 'equity' and weight > 0
+  qualify row_number() over (partition by s.security_id order by weight desc, fund_symbol) = 1)
+  select country_iso2, sector_id, period, {r4(f"{d('sum(weight * change_pct)')} / nullif({d('sum(weight)')}, 0)")} as change_pct, {r4(f"{d('sum(weight * total_return_pct)')} / nullif({d('sum(weight) filter (where total_return_pct is not null)')}, 0)")} as total_return_pct,
+  count(*) as constituents, count(total_return_pct) as total_return_constituents, {d('sum(weight)')} as weight_covered, min(fund_symbol) as fund_symbol, max(p.as_of) as as_of
+  from c join security_perf p on c.security_id = p.security_id group by 1, 2, 3""",
+      lambda m: funds.country_sector_performance(m.holding, m.fund, m.security, m.node, m.source_rank, m.provider_symbol, m.security_perf))
 
 # Scans and writes
 
@@ -106,13 +107,16 @@ query("prune_news", f"""with g as (select * from article where title is not null
   select distinct url, security_id from g where url in (select url from a)""", lambda m: events.prune_news(*events.news_split(m.article), EVENT_ASOF)[1])
 query("prune_earnings", f"select symbol, report_date, period_ending from earnings where report_date >= {_A} - interval 90 day", lambda m: events.prune_earnings(m.earnings, ASOF).select("symbol", "report_date", "period_ending"))
 query("earnings_load", f"select e.symbol, report_date, p.security_id, period_ending, {d('eps_consensus')} as eps_consensus from earnings e left join provider_symbol p on e.symbol = p.symbol",
-      lambda m: events.earnings_load(m.earnings.drop("security_id"), m.provider_symbol).withColumn("eps_consensus", F.col("eps_consensus").cast("double")))
-query("officer_clean", f"""select security_id, name, title, case when pay > 0 then pay end as pay, case when born > 1900 then cast(born as bigint) end as born, case when born > 1900 then cast({EVENT_ASOF.year} - born as bigint) end as age from officer""",
+      lambda m: events.earnings_load(m.earnings.select("symbol", "report_date", "period_ending", "eps_consensus"), m.provider_symbol).withColumn("eps_consensus", F.col("eps_consensus").cast("double")))
+query("officer_clean", f"""select security_id, name, title, case when pay > 0 then pay end as pay, case when born > 1900 then cast(born as bigint) end as born, case when born > 1900 then cast({EVENT_ASOF.year} - born as bigint) end as age, fiscal_year from officer""",
       lambda m: events.officer_clean(m.officer, EVENT_ASOF).withColumn("born", F.col("born").cast("long")).withColumn("age", F.col("age").cast("long")))
 query("sector_unpivot", """with w as (select p_type as label, cast(count(*) as double) / 4096 as "1m", case when p_type <> 'PROMO' then cast(max(p_size) as double) / 512 end as "1y" from {part} group by 1)
   select concat('id-', label) as sector_id, period, floor(v * 1e6 + 0.5) / 1e4 as change_pct from (select label, '1m' as period, "1m" as v from w union all select label, '1y', "1y" from w) where v is not null and label <> 'SMALL'""",
       lambda m: macro.sector_unpivot(m.sql("select p_type as label, cast(count(*) as double) / 4096 as `1m`, case when p_type <> 'PROMO' then cast(max(p_size) as double) / 512 end as `1y` from {part} group by 1"),
                                      m.sql("select distinct p_type as label, concat('id-', p_type) as sector_id from {part} where p_type <> 'SMALL'"), ["1m", "1y"]))
+query("unmapped_labels", """select p_type as label, cast(case when p_type <> 'PROMO' then 2 else 1 end as bigint) as dropped from {part} where p_type in ('SMALL', 'PROMO') group by 1""",
+      lambda m: macro.unmapped_labels(m.sql("select p_type as label, cast(count(*) as double) / 4096 as `1m`, case when p_type <> 'PROMO' then cast(max(p_size) as double) / 512 end as `1y` from {part} group by 1"),
+                                      m.sql("select distinct p_type as label from {part} where p_type not in ('SMALL', 'PROMO')"), ["1m", "1y"]))
 query("profile_resolve", """select s.security_id, s.market_cap, case when length(currency_code) = 3 then currency_code end as currency_code, c.iso2 as country_iso2, l.node_id
   from (select security_id, market_cap, currency_code, (select name from country where iso2 = security.country_iso2) as cn, kind from security) s left join country c on c.name = s.cn left join (select distinct p_type as sl, concat('n-', p_type) as node_id from {part}) l on l.sl = s.kind""",
       lambda m: identity.profile_resolve(m.security.join(m.country.select(F.col("iso2").alias("country_iso2"), F.when(F.col("iso2").cast("int") % 2 == 0, F.lower("name")).otherwise(F.concat(F.lit("land OF "), "name")).alias("country_name")), "country_iso2", "left").select("security_id", "market_cap", F.col("currency_code").alias("currency"), "country_name", F.col("kind").alias("sector_label")),
@@ -141,12 +145,14 @@ query("retract_periods", f"with made as ({_MADE}) select p.* from ({_STALE}) p w
 
 query("filing_kind", """select f.security_id, symbol, accession, form, filed, case when form in ('10-K','10-K/A','20-F','20-F/A') then 'annual' when form in ('10-Q','10-Q/A','6-K','6-K/A') then 'interim' else 'event' end as kind from filing f left join provider_symbol p on f.security_id = p.security_id where accession is not null""",
       lambda m: events.filings(m.filing, m.provider_symbol))
-query("leadership", """select o.security_id, o.name, title, coalesce(title ilike '%chief executive%' or title like '%CEO%', false) as is_ceo, pay, coalesce(filed_currency, case when currency_code <> 'USD' then currency_code when currency_code = 'USD' and country_iso2 = 'US' then 'USD' end) as pay_currency
-  from officer o join security s on o.security_id = s.security_id""", lambda m: events.leadership(m.officer, m.security))
+query("leadership", f"""select o.security_id, o.name, title, case when pay > 0 then pay end as pay, case when born > 1900 then {EVENT_ASOF.year} - born end as age, fiscal_year, title ilike '%chief executive%' or title ilike '%CEO%' as is_ceo,
+  case when filed_currency is not null then filed_currency when currency_code is null then null when currency_code <> 'USD' then currency_code when coalesce(operating_country_iso2, country_iso2) = 'US' then currency_code end as pay_currency
+  from officer o join security s on o.security_id = s.security_id""", lambda m: events.leadership(events.officer_clean(m.officer, EVENT_ASOF), m.security))
 query("reporting_currency", """select security_id, coalesce(case when security_id % 4 = 0 then filed_currency end, case when currency_code <> 'USD' then currency_code when currency_code = 'USD' and country_iso2 = 'US' then 'USD' end) as reporting_currency from security""",
       lambda m: m.security.select("security_id", rules.reporting_currency(F.when(F.col("security_id") % 4 == 0, F.col("filed_currency")), F.col("currency_code"), F.col("country_iso2")).alias("reporting_currency")))
-query("valid_identifiers", """select security_id, kind, value from identifier where ((kind = 'isin' and regexp_matches(value, '^[A-Z]{2}[A-Z0-9]{9}[0-9]$')) or (kind = 'cusip' and regexp_matches(value, '^[A-Z0-9]{9}$')) or (kind = 'figi' and regexp_matches(value, '^BBG[A-Z0-9]{9}$')))
-  and upper(value) not in ('N/A', 'NONE', 'UNKNOWN') and replace(value, left(value, 1), '') <> ''""", lambda m: identity.valid_identifiers(m.identifier))
+_IDS = "select security_id, kind, case when security_id % 3 = 0 then concat(' ', lower(value)) when security_id % 3 = 1 then concat(value, '  ') else value end as value from identifier union all select c_custkey, case when c_custkey % 2 = 0 then 'lei' else 'other' end, case c_custkey % 5 when 0 then 'none' when 1 then ' ' else concat(lpad(cast(c_custkey as string), 18, '5'), case when c_custkey % 3 = 0 then 'aB' else '07' end) end from {customer}"
+query("valid_identifiers", f"""with i as (select security_id, kind, upper(trim(value)) as value from ({_IDS})) select * from i where (case kind when 'isin' then regexp_matches(value, '^[A-Z]{{2}}[A-Z0-9]{{9}}[0-9]$') when 'cusip' then regexp_matches(value, '^[A-Z0-9]{{9}}$') when 'figi' then regexp_matches(value, '^BBG[A-Z0-9]{{9}}$')
+  when 'lei' then regexp_matches(value, '^[A-Z0-9]{{20}}$') else true end) and value not in ('', 'N/A', 'NONE', 'UNKNOWN') and replace(value, left(value, 1), '') <> ''""", lambda m: identity.valid_identifiers(m.sql(_IDS)))
 query("asset_type", """select fund_symbol, security_id, as_of, case when asset_category in ('EC','EP') and security_id % 3 <> 0 then 'equity' when asset_category in ('DBT','LON') or asset_category like 'ABS-%' then 'bond' when security_id % 5 = 0 then 'equity' else 'other' end as security_type_code from holding""",
       lambda m: m.holding.select("fund_symbol", "security_id", "as_of", rules.asset_type(F.expr("case when asset_category = 'EC' and security_id % 3 = 0 then 'OTHER' else asset_category end"), F.expr("case when security_id % 5 = 0 then 'NS' else 'PA' end")).alias("security_type_code")))
 query("cap_band", "select security_id, case when market_cap >= 10e9 then 'large' when market_cap >= 2e9 then 'mid' when market_cap > 0 then 'small' end as cap_band from security", lambda m: m.security.select("security_id", rules.cap_band(F.col("market_cap")).alias("cap_band")))
@@ -213,16 +219,27 @@ query("security_currency", f"with {_LIST} select s.security_id, coalesce(ls.curr
 
 # Identity
 
-query("security_symbol", f"with {_LIST} select s.security_id, coalesce(l.symbol, p.symbol, t.value) as symbol from security s left join ls l on l.security_id = s.security_id and is_primary left join provider_symbol p on p.security_id = s.security_id left join (select security_id, min(value) as value from identifier where kind = 'ticker' group by 1) t on t.security_id = s.security_id",
+query("security_symbol", f"with {_LIST} select s.security_id, coalesce(l.symbol, p.symbol, t.value) as symbol from security s left join ls l on l.security_id = s.security_id and is_primary left join provider_symbol p on p.security_id = s.security_id left join (select security_id, min(value) as value from identifier where kind = 'ticker' group by 1) t on t.security_id = s.security_id where coalesce(l.symbol, p.symbol, t.value) is not null",
       lambda m: identity.security_symbol(m.security, _listings(m), m.provider_symbol, m.identifier))
-query("security_current", f"with {_BEST} select s.security_id, name, symbol, security_type_code, coalesce(operating_country_iso2, country_iso2) as country_iso2, sector_id, industry_id, market_cap, currency_code from security s left join provider_symbol p on p.security_id = s.security_id left join sector on sector.security_id = s.security_id left join industry on industry.security_id = s.security_id",
-      lambda m: identity.security_current(m.security, m.node, m.source_rank, m.provider_symbol))
-_RES = "select l_orderkey * 10000000 + l_partkey * 10 + l_linenumber as holding_id, case when l_partkey % 3 = 0 then concat('US', lpad(cast(l_partkey as string), 9, '0'), cast(l_partkey % 10 as string)) when l_partkey % 3 = 1 then 'N/A' end as isin, case when l_partkey % 5 = 0 then '000000000' else lpad(cast(l_partkey as string), 9, '7') end as cusip, case when l_partkey % 2 = 0 then concat('BBG', lpad(cast(l_partkey as string), 9, '0')) end as figi from {lineitem}"
-query("resolve_securities", f"""with h as (select distinct * from ({_RES})), u as (select holding_id, 0 as k, 'isin' as kind, isin as value from h union all select holding_id, 1, 'cusip', cusip from h union all select holding_id, 2, 'figi', figi from h),
-  v as (select u.* from u where (kind = 'isin' and regexp_matches(value, '^[A-Z]{{2}}[A-Z0-9]{{9}}[0-9]$')) or (kind = 'cusip' and regexp_matches(value, '^[A-Z0-9]{{9}}$') and replace(value, left(value, 1), '') <> '') or (kind = 'figi' and regexp_matches(value, '^BBG[A-Z0-9]{{9}}$'))),
-  r as (select holding_id, v.kind, v.value, security_id, row_number() over (partition by holding_id order by security_id is null, k, security_id) as r from v left join identifier i on i.kind = v.kind and i.value = v.value)
-  select holding_id, coalesce(cast(security_id as varchar), sha256(kind || ':' || value)) as security_id, security_id is not null as matched from r where r = 1""",
-      lambda m: identity.resolve_securities(m.sql(_RES).distinct(), m.identifier))
+_ISSUER = "select concat('I', cast(s_suppkey as string)) as issuer_id, s_name as issuer_name from {supplier}"
+_now = lambda m: identity.security_current(m.security, m.node, m.source_rank, m.provider_symbol, m.identifier, m.sql(_ISSUER), m.country_label, m.industry_label)
+query("security_current", f"""with {_BEST} select s.security_id, s.name, symbol, i.value as isin, issuer_name, security_type_code, coalesce(operating_country_iso2, country_iso2) as country_iso2, c.name as country_name, country_iso2 as filed_country_iso2, operating_country_iso2 as provider_country_iso2,
+  sector_id, industry.industry_id, (select any_value(n.industry) from industry_label n where n.industry_id = industry.industry_id) as industry, market_cap, currency_code, is_tradeable from security s left join provider_symbol p on p.security_id = s.security_id left join identifier i on i.security_id = s.security_id and i.kind = 'isin'
+  left join ({_ISSUER}) u on u.issuer_id = s.issuer_id left join country c on c.iso2 = coalesce(operating_country_iso2, country_iso2) left join sector on sector.security_id = s.security_id left join industry on industry.security_id = s.security_id""", _now)
+_RES = """select l_orderkey * 10000000 + l_partkey * 10 + l_linenumber as holding_id, case when l_partkey % 3 = 0 and l_linenumber % 3 <> 2 then concat(' us', lpad(cast(l_partkey as string), 9, '0'), cast(l_partkey % 10 as string)) when l_partkey % 3 = 1 then 'N/A' end as isin,
+  case when l_partkey % 5 = 0 then '000000000' when l_linenumber % 4 = 3 then lpad(cast(l_partkey + 1 as string), 9, '7') else lpad(cast(l_partkey as string), 9, '7') end as cusip, case when l_partkey % 2 = 0 and l_linenumber % 2 = 0 then concat('BBG', lpad(cast(l_partkey as string), 9, '0')) end as figi from {lineitem}"""
+# Securities are found by half of the identifiers that there are, so that others are new; those of a few parts are known by two of their kinds under two ids.
+_KNOWN_IDS = "select kind, value, security_id from identifier where security_id % 4 <> 1 union all select 'figi', concat('BBG', lpad(cast(p_partkey as string), 9, '0')), p_partkey + 1000000 from {part} where p_partkey % 10 = 5"
+_RESOLVED = f"""h as (select distinct * from ({_RES})), u as (select holding_id, 0 as k, 'isin' as kind, upper(trim(isin)) as value from h union all select holding_id, 1, 'cusip', upper(trim(cusip)) from h union all select holding_id, 2, 'figi', upper(trim(figi)) from h),
+  v as materialized (select u.* from u where (kind = 'isin' and regexp_matches(value, '^[A-Z]{{2}}[A-Z0-9]{{9}}[0-9]$')) or (kind = 'cusip' and regexp_matches(value, '^[A-Z0-9]{{9}}$') and replace(value, left(value, 1), '') <> '') or (kind = 'figi' and regexp_matches(value, '^BBG[A-Z0-9]{{9}}$'))),
+  known as (select kind, upper(trim(value)) as value, security_id from ({_KNOWN_IDS})), hit as (select holding_id, arg_min(security_id, k * 100000000 + security_id) as sid from v join known using (kind, value) group by 1),
+  fresh as materialized (select *, kind || ':' || value as node from v where holding_id not in (select holding_id from hit)), pairs as (select distinct a.node as p, b.node as q from fresh a join fresh b using (holding_id)),
+  reach as (select p, p as q from pairs union select r.p, e.q from reach r join pairs e on e.p = r.q), ranked as (select r.p, q, case split_part(q, ':', 1) when 'isin' then '0' when 'cusip' then '1' else '2' end || q as o from reach r),
+  made as (select p as node, sha256(arg_min(q, o)) as sid from ranked group by 1)"""
+query("resolve_securities", f"""with recursive {_RESOLVED} select holding_id, cast(sid as varchar) as security_id, true as matched from hit union all select distinct holding_id, sid, false from fresh join made using (node)""",
+      lambda m: identity.resolve_securities(m.sql(_RES).distinct(), m.sql(_KNOWN_IDS)))
+query("new_identifiers", f"with recursive {_RESOLVED} select distinct kind, value, sid as security_id from fresh join made using (node)", lambda m: identity.new_identifiers(m.sql(_RES).distinct(), m.sql(_KNOWN_IDS)))
+query("skipped_holdings", f"with recursive {_RESOLVED} select h.* from h where holding_id not in (select holding_id from v)", lambda m: identity.skipped_holdings(m.sql(_RES).distinct()))
 _LEI = "select c_custkey as holding_id, c_name as name, case when c_custkey % 4 <> 0 then concat(lpad(cast(c_custkey % 300 as string), 18, '5'), '07') else 'N/A' end as lei from {customer}"
 _ISS = "select concat(lpad(cast(s_suppkey as string), 18, '5'), '07') as lei, concat('I', cast(s_suppkey as string)) as issuer_id, s_name as name from {supplier}"
 query("resolve_issuers", f"""with h as ({_LEI}), f as (select lei, name, row_number() over (partition by lei order by holding_id) as r from h where regexp_matches(lei, '^[A-Z0-9]{{18}}[0-9]{{2}}$')) select f.lei, coalesce(k.issuer_id, sha256('lei:' || f.lei)) as issuer_id, coalesce(k.name, f.name) as name from f left join ({_ISS}) k on k.lei = f.lei where r = 1""",
@@ -248,7 +265,7 @@ _LINKS = f"a as (select alias, min(security_id) as security_id from ({_ALIAS}) g
 query("alias_link", f"with {_LINKS} select * from k", lambda m: identity.alias_link(m.sql(_ALIAS), m.sql(_INSTR)))
 query("instrument_current", f"""with {_LINKS}, {_BEST} select i.symbol, title, k.security_id, coalesce(sector.sector_id, i.sector_id) as sector_id, coalesce(industry.industry_id, i.industry_id) as industry_id, coalesce(s.operating_country_iso2, s.country_iso2, i.country_iso2) as country_iso2, coalesce(s.currency_code, i.currency_code) as currency_code, s.market_cap
   from ({_INSTR}) i left join k on k.symbol = i.symbol left join security s on s.security_id = k.security_id left join sector on sector.security_id = k.security_id left join industry on industry.security_id = k.security_id""",
-      lambda m: identity.instrument_current(m.sql(_INSTR), identity.alias_link(m.sql(_ALIAS), m.sql(_INSTR)), identity.security_current(m.security, m.node, m.source_rank, m.provider_symbol)))
+      lambda m: identity.instrument_current(m.sql(_INSTR), identity.alias_link(m.sql(_ALIAS), m.sql(_INSTR)), _now(m)))
 _CIK = "select concat('{\"0\":{\"ticker\":\"t', cast(p_partkey as string), '\",\"cik\":', cast(p_partkey * 10 + p_partkey % 3 as string), '}}') as body from {part} where p_partkey % 4 <> 1"
 query("cik_map", f"with j as (select upper(json_extract_string(body, '$.0.ticker')) as ticker, cast(json_extract_string(body, '$.0.cik') as bigint) as cik from ({_CIK})) select s.security_id, j.cik from security s join j on j.ticker = upper(s.ticker) where s.cik is distinct from j.cik",
       lambda m: identity.cik_map(m.security.select("security_id", "ticker"), m.sql(_CIK), m.security.select("security_id", "cik")))
@@ -258,17 +275,22 @@ _UNT = f"""u as (select * from ({_EXCH}) e where not exists (select 1 from ident
 _untracked = lambda m: identity.untracked_listing(m.sql(_EXCH), m.identifier, m.provider_symbol)
 query("untracked_listing", f"with {_UNT} select * from u", _untracked)
 _HELD = "select distinct p_name as name from {part} where p_partkey % 13 = 0"
-query("pending_promotion", f"with {_UNT}, r as (select figi, ticker, name, u.exch_code, tier, preference, row_number() over (partition by upper(name) order by tier, preference, figi) as r from u join venue v on v.exch_code = u.exch_code and enabled where upper(name) not in (select upper(name) from ({_HELD}))) select figi, ticker, name, exch_code, tier, preference from r where r = 1",
-      lambda m: identity.pending_promotion(_untracked(m), m.venue.select("exch_code", "tier", "preference", "enabled"), m.sql(_HELD)))
+_QUEUE = f"""{_UNT}, q as (select figi, ticker, name, u.exch_code, country_iso2, provider_symbol, tier, preference from u join venue v on v.exch_code = u.exch_code and enabled where upper(name) not in (select upper(name) from ({_HELD})))"""
+_queue = lambda m: identity.pending_promotion(_untracked(m), m.venue.select("exch_code", "country_iso2", "tier", "preference", "enabled"), m.sql(_HELD))
+query("pending_promotion", f"with {_QUEUE} select * from q", _queue)
+_WAVE = f"{_QUEUE}, w as (select *, sha256('figi:' || figi) as security_id from q where trim(name) <> '' qualify row_number() over (partition by upper(trim(name)) order by tier, preference, name, figi) = 1)"
+query("promotion_wave", f"with {_WAVE} select security_id, name, security_type_code, country_iso2, is_tradeable from (select *, 'equity' as security_type_code, true as is_tradeable from w)", lambda m: identity.promotion_wave(_queue(m))[0])
+query("promotion_identifiers", f"with {_WAVE} select security_id, 'figi' as kind, figi as value, 'openfigi' as source_code from w union all select security_id, 'ticker', ticker, 'openfigi' from w where ticker is not null", lambda m: identity.promotion_wave(_queue(m))[1])
+query("promotion_symbols", f"with {_WAVE} select security_id, 'yfinance' as provider_code, provider_symbol as symbol from w where provider_symbol is not null", lambda m: identity.promotion_wave(_queue(m))[2])
 _ROWS = "select concat('F', cast(s_suppkey as string)) as symbol, t.period, cast(s_suppkey as bigint) as value from {supplier} cross join (values ('1y'), ('ytd')) as t(period) where not (s_suppkey % 4 = 1 and t.period = 'ytd')"
 _REN = "select concat('F', cast(s_suppkey as string)) as old, concat('F', cast(s_suppkey + 1 as string)) as new from {supplier} where s_suppkey % 4 = 0"
 query("rekey", f"with r as ({_ROWS}), n as ({_REN}), k as (select * from r where symbol not in (select old from n)), m as (select n.new as symbol, period, value from r join n on r.symbol = n.old) select * from k union all select * from m where not exists (select 1 from k where k.symbol = m.symbol and k.period = m.period)", lambda m: identity.rekey(m.sql(_ROWS), m.sql(_REN)))
 
 # Statements and metrics
 
-_TTM = """tt as (select security_id, metric_code, as_of, currency_code, sum(value) over w as total, count(*) over w as n, min(as_of) over w as first from metric where period_type = 'quarter' and metric_code in ('revenue', 'net_income', 'free_cash_flow', 'operating_cash_flow', 'capital_expenditure', 'eps_diluted')
+_TTM = """tt as (select security_id, metric_code, as_of, currency_code, sum(value) over w as total, count(*) over w as n, min(as_of) over w as first from metric where period_type = 'quarter' and metric_code in (select metric_code from metric_name where is_flow)
   window w as (partition by security_id, metric_code order by as_of rows between 3 preceding and current row)), t4 as (select * from tt where n = 4 and as_of - first <= 370)"""
-query("ttm", f"with {_TTM} select security_id, metric_code, 'ttm' as period_type, as_of, {d('total')} as value, currency_code, 'derived' as source_code from t4", lambda m: metrics.ttm(m.metric).withColumn("value", F.col("value").cast("double")))
+query("ttm", f"with {_TTM} select security_id, metric_code, 'ttm' as period_type, as_of, {d('total')} as value, currency_code, 'derived' as source_code from t4", lambda m: metrics.ttm(m.metric, m.metric_name).withColumn("value", F.col("value").cast("double")))
 query("metric_series", f"""with g as (select *, as_of - lag(as_of) over (partition by security_id, metric_code, period_type order by as_of, source_code) as gap from metric_mixed),
   c as (select *, sum(case when gap <= 7 then 0 else 1 end) over (partition by security_id, metric_code, period_type order by as_of, source_code rows unbounded preceding) as run from g),
   r as (select c.*, row_number() over (partition by security_id, metric_code, period_type, run order by priority desc nulls last, as_of desc, c.source_code) as r from c left join source_rank s on s.source_code = c.source_code)
@@ -278,10 +300,10 @@ query("statement_metrics", f"""with e as (select s.security_id, 'revenue' as met
   union all select security_id, 'eps_diluted', period_type, period_ending, currency_code, source_code, cast(json_extract_string(payload, '$.eps') as decimal(28,4)) from statement)
   select security_id, metric_code, case when lower(period_type) in ('fy', 'annual') then 'annual' when lower(period_type) like 'q%' then 'quarter' else lower(period_type) end as period_type, period_ending as as_of, {d('value')} as value, currency_code, source_code from e""",
       lambda m: metrics.statement_metrics(m.statement, m.field).withColumn("value", F.col("value").cast("double")))
-_CODES = "select security_id, period_type, as_of, currency_code, {0} from cash_metric group by 1, 2, 3, 4"
-_max = lambda *c: ", ".join(f"max(value) filter (where metric_code = '{x}') as {y}" for x, y in c)
-query("free_cash_flow", f"with p as ({_CODES.format(_max(('operating_cash_flow', 'o'), ('capital_expenditure', 'c'), ('free_cash_flow', 'f')))}) select security_id, period_type, as_of, currency_code, {d('o - abs(c)')} as value from p where f is null and o is not null and c is not null", lambda m: metrics.free_cash_flow(m.cash_metric))
-query("total_debt", f"with p as ({_CODES.format(_max(('long_term_debt', 'l'), ('short_term_debt', 's'), ('total_debt', 't')))}) select security_id, period_type, as_of, currency_code, {d('l + coalesce(s, 0)')} as value from p where t is null and l is not null", lambda m: metrics.total_debt(m.cash_metric))
+_CASH_KEY = "a.security_id = b.security_id and a.period_type = b.period_type and a.as_of = b.as_of"
+_unreported = lambda code: f"not exists (select 1 from cash_metric b where {_CASH_KEY} and b.metric_code = '{code}' and b.source_code <> 'derived')"
+query("free_cash_flow", f"select a.security_id, a.period_type, a.as_of, a.currency_code, {d('a.value - abs(b.value)')} as value from cash_metric a join cash_metric b on {_CASH_KEY} and b.metric_code = 'capital_expenditure' where a.metric_code = 'operating_cash_flow' and {_unreported('free_cash_flow').replace('cash_metric b', 'cash_metric c').replace('b.', 'c.')}", lambda m: metrics.free_cash_flow(m.cash_metric))
+query("total_debt", f"select a.security_id, a.period_type, a.as_of, a.currency_code, {d('a.value + coalesce(b.value, 0)')} as value from cash_metric a left join cash_metric b on {_CASH_KEY} and b.metric_code = 'short_term_debt' where a.metric_code = 'long_term_debt' and {_unreported('total_debt').replace('cash_metric b', 'cash_metric c').replace('b.', 'c.')}", lambda m: metrics.total_debt(m.cash_metric))
 _FACTS = """select o_custkey as security_id, 'us-gaap' as taxonomy, case o_orderkey % 3 when 0 then 'Revenues' when 1 then 'SalesRevenueNet' else 'Assets' end as concept, case when o_orderkey % 20 = 0 then 'EUR' else 'USD' end as unit,
   case when o_orderkey % 3 <> 2 then cast(date_trunc('quarter', o_orderdate) as date) end as start, case when o_orderkey % 4 = 0 then cast(date_trunc('quarter', o_orderdate) + interval 12 month - interval 1 day as date) else cast(date_trunc('quarter', o_orderdate) + interval 3 month - interval 1 day as date) end as "end",
   o_totalprice as val, case when o_orderkey % 4 = 0 then 'FY' else 'Q1' end as fp, cast(o_orderdate as date) as filed from {orders}"""
@@ -295,28 +317,31 @@ query("metric_asof", f"""select b.security_id, b.date, b.close, {d('(select valu
 
 def _ratio_sql() -> str:
     flows, stocks = ("eps_diluted", "revenue", "net_income", "free_cash_flow"), ("total_equity", "total_assets", "shares")
-    joins = "".join(f" asof left join (select security_id, as_of, cast(total as double) as v from t4 where metric_code = '{c}') {c} on {c}.security_id = b.security_id and b.date >= {c}.as_of" for c in flows)
-    joins += "".join(f" asof left join (select security_id, as_of, cast(value as double) as v from metric where metric_code = '{c}') {c} on {c}.security_id = b.security_id and b.date >= {c}.as_of" for c in stocks)
-    fx = "".join(f" asof left join fx_double {s} on {s}.currency_code = {s}_currency and b.date >= {s}.as_of" for s in ("report", "quote"))
+    joins = "".join(f" asof left join (select security_id, as_of, currency_code, cast(total as double) as v from t4 where metric_code = '{c}') {c} on {c}.security_id = b.security_id and b.date >= {c}.as_of" for c in flows)
+    joins += "".join(f" asof left join (select security_id, as_of, currency_code, cast(value as double) as v from metric where metric_code = '{c}') {c} on {c}.security_id = b.security_id and b.date >= {c}.as_of" for c in stocks)
+    fx = "".join(f" asof left join fx_double {s} on {s}.currency_code = {s}_currency and j.date >= {s}.as_of" for s in ("report", "quote"))
     cols = ", ".join(f"{c}.v as {c}" for c in flows + stocks)
     rate = lambda s: f"case when {s}_currency = 'USD' then 1.0 else {s}.usd_per_unit end"
     pos = lambda a, b: r4(f"({a}) / case when {b} > 0 then {b} end")
-    return f"""with {_TTM}, b as (select b.*, currency_code as quote_currency, filed_currency as report_currency from sec_bar b left join security s on s.security_id = b.security_id),
-  j as (select b.*, {cols}, {rate('report')} as rr, {rate('quote')} as qr from b {joins} {fx}), k as (select *, case when coalesce(report_currency = quote_currency, false) then 1.0 else rr / qr end as f, close * shares as cap from j)
+    when = lambda test, x: r4(f"case when {test} then {x} end")
+    return f"""with {_TTM}, b as (select b.*, currency_code as quote_currency, filed_currency from sec_bar b left join security s on s.security_id = b.security_id),
+  j as (select b.symbol, b.security_id, b.date, grain, close, quote_currency, coalesce(greatest({', '.join(f'{c}.currency_code' for c in flows + stocks)}), filed_currency) as report_currency, {cols} from b {joins} where {' or '.join(f'{c}.v is not null' for c in flows + stocks)}),
+  p as (select j.*, {rate('report')} as rr, {rate('quote')} as qr from j {fx}), k as (select *, case when report_currency = quote_currency then 1.0 when qr > 0 then rr / qr end as f from p)
   select symbol, security_id, date, grain, close, report_currency, quote_currency, f is not null as currency_comparable, f is not null and not coalesce(report_currency = quote_currency, false) as fx_converted,
-  {pos('close', '(eps_diluted * f)')} as pe_ratio, {pos('cap', '(revenue * f)')} as ps_ratio, {pos('cap', '(total_equity * f)')} as pb_ratio, {pos('cap', '(free_cash_flow * f)')} as price_to_fcf,
-  {r4('100 * (eps_diluted * f / nullif(close, 0))')} as earnings_yield_pct, {r4('100 * (free_cash_flow * f / nullif(cap, 0))')} as fcf_yield_pct,
+  {when('eps_diluted * f > 0', 'close / (eps_diluted * f)')} as pe_ratio, {when('revenue > 0 and shares > 0', 'close * shares / (revenue * f)')} as ps_ratio, {when('total_equity > 0 and shares > 0', 'close * shares / (total_equity * f)')} as pb_ratio,
+  {when('free_cash_flow > 0 and shares > 0', 'close * shares / (free_cash_flow * f)')} as price_to_fcf, {when('eps_diluted * f > 0', '100 * (eps_diluted * f / nullif(close, 0))')} as earnings_yield_pct,
+  {when('free_cash_flow > 0 and shares > 0', '100 * (free_cash_flow * f / nullif(close * shares, 0))')} as fcf_yield_pct,
   {pos('100 * net_income', 'revenue')} as net_margin_pct, {pos('100 * net_income', 'total_equity')} as roe_pct, {pos('100 * net_income', 'total_assets')} as roa_pct from k"""
 
 
-query("ratio_series", _ratio_sql(), lambda m: metrics.ratio_series(m.sec_bar, m.metric.drop("currency_code", "source_code").unionByName(metrics.ttm(m.metric).select("security_id", "metric_code", "period_type", "as_of", "value"), allowMissingColumns=True),
+query("ratio_series", _ratio_sql(), lambda m: metrics.ratio_series(m.sec_bar, m.metric.drop("source_code").unionByName(metrics.ttm(m.metric, m.metric_name).select("security_id", "metric_code", "period_type", "as_of", "value", "currency_code"), allowMissingColumns=True),
                                                                    m.security, m.fx_double, m.security.select("security_id", F.col("filed_currency").alias("report_currency")), LAST_BAR))
 _DONE_M = "select security_id, statement, period_ending, period_type, sha2({0}, 256) as payload_hash from statement where security_id % 3 <> 1"
 query("pending_metrics", "select security_id, statement, period_ending, period_type from statement where security_id % 3 = 1 or security_id % 15 = 0",
       lambda m: metrics.pending_metrics(m.statement, m.sql(_DONE_M.format("case when security_id % 15 = 0 then concat(payload, ' ') else payload end"))))
 _DONE_T = "select security_id, metric_code, max(fetched_at) - interval 1 day * cast(security_id % 3 as int) as fetched_at from metric where security_id % 4 <> 0 group by 1, 2, security_id % 3"
-query("pending_ttm", f"""with q as (select security_id, metric_code, max(fetched_at) as q, count(*) as n from metric where period_type = 'quarter' and metric_code in ('revenue', 'net_income', 'free_cash_flow', 'eps_diluted') group by 1, 2) select q.security_id, q.metric_code from q left join ({_DONE_T}) d on d.security_id = q.security_id and d.metric_code = q.metric_code where n >= 4 and (d.fetched_at is null or q > d.fetched_at)""",
-      lambda m: metrics.pending_ttm(m.metric, m.sql(_DONE_T)))
+query("pending_ttm", f"""with q as (select security_id, metric_code, max(fetched_at) as q, count(*) as n from metric where period_type = 'quarter' and metric_code in (select metric_code from metric_name where is_flow) group by 1, 2) select q.security_id, q.metric_code from q left join ({_DONE_T}) d on d.security_id = q.security_id and d.metric_code = q.metric_code where n >= 4 and (d.fetched_at is null or q > d.fetched_at)""",
+      lambda m: metrics.pending_ttm(m.metric, m.sql(_DONE_T), m.metric_name))
 _RAW = "select p_partkey as security_id, case p_partkey % 3 when 0 then concat('{\"marketCap\":', cast(p_partkey * 1000 as string), ',\"currency\":\"GBP\"}') when 1 then '{\"marketCap\":-5,\"currency\":\"GBp\"}' else '{\"currency\":\"CHF\"}' end as raw from {part}"
 _PART_SEC = "select security_id, case when security_id % 2 = 0 then cast(market_cap as double) end as market_cap, currency_code from security"
 query("promote_from_raw", f"""select s.security_id, coalesce(s.market_cap, case when s.security_id % 3 = 0 then cast(s.security_id * 1000 as double) end) as market_cap, coalesce(s.currency_code, case s.security_id % 3 when 0 then 'GBP' end) as currency_code,
@@ -331,51 +356,48 @@ query("fundamentals_current", "select v.security_id, symbol, price_to_book, curr
 # Facets, style, peers
 
 _LENS = "select iso2 as country_iso2, " + ", ".join(f"max(group_id) filter (where scheme = '{s}' and lens = '{v}') as {c}" for c, (s, v) in facets.LENSES.items()) + " from lens group by 1"
-_SPINE = f"""{_BEST}, {_FX_NOW}, lens_wide as ({_LENS}),
-  spine as (select s.security_id, symbol, s.name, security_type_code, sector_id, industry.industry_id, industry_label.industry, coalesce(operating_country_iso2, s.country_iso2) as country_iso2, country_name, app_region_id, country_market, msci_tier, msci_region, ftse_tier, ftse_region, income_group, wb_region, un_region, s.currency_code, market_cap as market_cap_native,
-  maturity_date, coupon_rate, coupon_kind, in_default, symbol is not null as is_tradeable,
-  {r4("cast(market_cap as double) * case when s.currency_code = 'USD' then 1.0 else usd_per_unit end")} as market_cap_usd from security s left join fx_now f on f.currency_code = s.currency_code left join provider_symbol p on p.security_id = s.security_id
+_SPINE = f"""{_BEST}, {_LIST}, {_FX_NOW}, lens_wide as ({_LENS}),
+  spine as (select s.security_id, p.symbol, s.name, security_type_code, sector_id, industry.industry_id, industry_label.industry, coalesce(operating_country_iso2, s.country_iso2) as country_iso2, country_name, app_region_id, country_market, msci_tier, msci_region, ftse_tier, ftse_region, income_group, wb_region, un_region, coalesce(ls.currency_code, s.currency_code) as currency_code, case when ls.currency_code is not null then 'listing' when s.currency_code is not null then 'security' end as currency_source, market_cap as market_cap_native,
+  maturity_date, coupon_rate, coupon_kind, in_default, is_tradeable,
+  {r4("cast(market_cap as double) * case when s.currency_code = 'USD' then 1.0 else usd_per_unit end")} as market_cap_usd from security s left join fx_now f on f.currency_code = s.currency_code left join provider_symbol p on p.security_id = s.security_id left join ls on ls.security_id = s.security_id and is_primary
   left join sector on sector.security_id = s.security_id left join industry on industry.security_id = s.security_id left join lens_wide l on l.country_iso2 = coalesce(operating_country_iso2, s.country_iso2)
   left join country_label on country_label.country_iso2 = coalesce(operating_country_iso2, s.country_iso2) left join industry_label on industry_label.industry_id = industry.industry_id left join bond_terms on bond_terms.security_id = s.security_id),
   banded as (select *, case when market_cap_usd >= 10e9 then 'large' when market_cap_usd >= 2e9 then 'mid' when market_cap_usd > 0 then 'small' end as cap_band from spine)"""
 _STYLE = f"""{_CURRENT}, idx as (select security_id, case when bool_or(style = 'growth') and bool_or(style = 'value') then 'blend' when bool_or(style = 'growth') then 'growth' else 'value' end as index_style from held where style is not null group by 1), {_SPINE},
-  sc as (select b.security_id, 1 / price_to_book as btp, concat_ws(':', msci_tier, cap_band) as cohort from banded b join valuation v on v.security_id = b.security_id where security_type_code = 'equity' and price_to_book > 0 and market_cap_usd > 0 and msci_tier is not null),
+  sc as (select b.security_id, 1 / price_to_book as btp, concat_ws('/', msci_tier, cap_band) as cohort from banded b join valuation v on v.security_id = b.security_id where security_type_code = 'equity' and price_to_book > 0 and market_cap_usd > 0 and msci_tier is not null),
   sr as (select *, percent_rank() over (partition by cohort order by btp) as score, count(*) over (partition by cohort) as n from sc), st as (select sr.*, index_style, case when score >= 0.29 then 'value' when score <= 0.10 then 'growth' else 'blend' end as scored from sr left join idx on idx.security_id = sr.security_id where n >= 30),
-  styled as (select security_id, {r4('score')} as value_score, {r4('btp')} as book_to_price, cohort, n as cohort_size, coalesce(index_style, scored) as style, case when index_style is not null then 'index' else 'score' end as style_source, case when index_style is null then 'low' when index_style = scored then 'high' else 'medium' end as style_confidence from st)"""
+  styled as (select security_id, {r4('score')} as value_score, {r4('btp')} as book_to_price, cohort, n as cohort_size, coalesce(index_style, scored) as style, case when index_style is not null then 'index' else 'composite' end as style_source, case when index_style is not null then 'high' when score >= 0.29 then 'moderate' else 'low' end as style_confidence from st)"""
 
 
-def _built(m: Market) -> DataFrame:
-    return facets.facets(m.security, m.node, m.source_rank, m.provider_symbol, facets.country_lens(m.lens), m.fx_double, m.valuation, m.holding, m.fund, m.country_label, m.industry_label, m.bond_terms)
+def _base(m: Market) -> DataFrame:
+    return facets.facet_base(m.security, m.node, m.source_rank, m.provider_symbol, facets.country_lens(m.lens), m.fx_double, _listings(m), m.country_label, m.industry_label, m.bond_terms)
 
 
-_paths: dict[tuple[str, ...], str] = {}
+def _model(m: Market, name: str, tables: str, build: Callable[[], DataFrame], again: bool = False) -> DataFrame:
+    """A read model of the driver tables it is made from, by the version of their files."""
+    root = f"{shared_dir(m._spark)}/{name}-{hashlib.sha256(m._dir.encode()).hexdigest()[:16]}"
+    return versions.read_model(m._spark, root, [f"{m._dir}/{t}.parquet" for t in tables.split()], build, __version__, again).drop("refreshed_at")
 
 
 def _spine(m: Market, again: bool = False) -> DataFrame:
-    """The stored spine of these tables: written where this session has none of them, or it is gone, or again."""
-    key = (m._spark.sparkContext.applicationId, shared_dir(m._spark), m._dir)
-    if not again and key in _paths:
-        with contextlib.suppress(AnalysisException):  # the shared folder has been cleaned
-            return m._spark.read.parquet(_paths[key]).drop("refreshed_at")
-    _paths[key] = new_path(m._spark, "spine")
-    return facets.refreshed(_built(m), _paths[key]).drop("refreshed_at")
+    return _model(m, "spine", "part nation region orders supplier lineitem", lambda: facets.facets(_base(m), m.valuation, m.holding, m.fund), again)
 
 
 query("country_lens", _LENS, lambda m: facets.country_lens(m.lens))
 query("symbol_security", f"with {_LIST} select s.security_id, coalesce(l.symbol, p.symbol, t.value) as symbol from security s left join ls l on l.security_id = s.security_id and is_primary left join provider_symbol p on p.security_id = s.security_id left join (select security_id, min(value) as value from identifier where kind = 'ticker' group by 1) t on t.security_id = s.security_id where coalesce(l.symbol, p.symbol, t.value) is not null",
-      lambda m: facets.refreshed(identity.symbol_security(m.security, _listings(m), m.provider_symbol, m.identifier), new_path(m._spark, "symbols")).drop("refreshed_at"))
-query("style", f"with {_STYLE} select * from styled", lambda m: facets.style(_spine(m).drop("style", "style_source", "style_confidence", "value_score", "style_cohort"), m.valuation, facets.index_label(m.holding, m.fund)))
+      lambda m: _model(m, "symbols", "part", lambda: identity.symbol_security(m.security, _listings(m), m.provider_symbol, m.identifier)))
+query("style", f"with {_STYLE} select * from styled", lambda m: facets.style(_base(m), m.valuation, facets.index_label(m.holding, m.fund)))
 query("facets", f"with {_STYLE} select banded.*, styled.style, style_source, style_confidence, value_score, cohort as style_cohort from banded left join styled on styled.security_id = banded.security_id", lambda m: _spine(m, again=True))
 for _facet in facets.FACETS:
     query(f"aggregate_performance_{_facet}", f"""with {_STYLE}, fc as (select banded.*, styled.style, case when market_cap_usd > 0 then cast(market_cap_usd as decimal(28,0)) end as cap from banded left join styled on styled.security_id = banded.security_id where {_facet} is not null),
   jp as (select fc.*, change_pct as c, total_return_pct as t, p.as_of as dated from fc left join security_perf p on p.security_id = fc.security_id and p.period = '1y')
-  select {_facet} as bucket, {r4(f"{d('sum(cap * c)')} / nullif({d('sum(cap) filter (where c is not null)')}, 0)")} as change_pct, {r4(f"{d('sum(c)')} / count(c)")} as change_pct_equal, {r4(f"{d('sum(cap * t)')} / nullif({d('sum(cap) filter (where t is not null)')}, 0)")} as total_return_pct,
+  select {_facet} as bucket, {r4(f"{d('sum(cap * c)')} / nullif({d('sum(cap) filter (where c is not null)')}, 0)")} as change_pct, {r4(f"{d('sum(c)')} / nullif(count(c), 0)")} as change_pct_equal, {r4(f"{d('sum(cap * t)')} / nullif({d('sum(cap) filter (where t is not null)')}, 0)")} as total_return_pct,
   count(c) as constituents, count(t) as total_return_constituents, count(*) as bucket_securities, {r4(f"{d('sum(cap) filter (where c is not null)')} / nullif({d('sum(cap)')}, 0)")} as weight_covered,
-  first(symbol order by abs(cap * c) desc nulls last, security_id) filter (where cap * c is not null) as top_contributor, {r4(f"{d('max(abs(cap * c))')} / nullif({d('sum(abs(cap * c))')}, 0)")} as top_contributor_share, max(dated) as as_of from jp group by 1 having count(c) > 0""",
+  first(symbol order by abs(cap * c) desc nulls last, security_id) filter (where cap * c is not null) as top_contributor, {r4(f"{d('max(abs(cap * c))')} / nullif({d('sum(abs(cap * c))')}, 0)")} as top_contributor_share, max(dated) as as_of from jp group by 1""",
           lambda m, f=_facet: facets.aggregate_performance(_spine(m), m.security_perf, "1y", f))
 query("aggregate_performance_filtered", f"""with {_STYLE}, fc as (select banded.*, case when market_cap_usd > 0 then cast(market_cap_usd as decimal(28,0)) end as cap from banded where un_region in ('ASIA', 'EUROPE') and cap_band in ('large', 'mid') and market_cap_usd <= 1e12 and sector_id is not null),
   jp as (select fc.*, change_pct as c from fc left join security_perf p on p.security_id = fc.security_id and p.period = 'ytd')
-  select sector_id as bucket, {r4(f"{d('sum(cap * c)')} / nullif({d('sum(cap) filter (where c is not null)')}, 0)")} as change_pct, count(c) as constituents, count(*) as bucket_securities from jp group by 1 having count(c) > 0""",
+  select sector_id as bucket, {r4(f"{d('sum(cap * c)')} / nullif({d('sum(cap) filter (where c is not null)')}, 0)")} as change_pct, count(c) as constituents, count(*) as bucket_securities from jp group by 1""",
       lambda m: facets.aggregate_performance(_spine(m), m.security_perf, "ytd", "sector_id", {"un_region": ["ASIA", "EUROPE"], "cap_band": ["large", "mid"]}, {"market_cap_usd": (None, 1e12)}).select("bucket", "change_pct", "constituents", "bucket_securities"))
 query("peers", f"""with {_SPINE}, s as (select * from spine where sector_id is not null and market_cap_usd > 0), p as (select a.security_id, b.security_id as peer_id, b.name as peer_name, b.symbol as peer_symbol, b.market_cap_usd as peer_market_cap_usd, a.market_cap_usd, a.sector_id, abs(log10(b.market_cap_usd / a.market_cap_usd)) as x
   from s a join s b on a.sector_id = b.sector_id and a.security_id <> b.security_id), r as (select *, row_number() over (partition by security_id order by round(x, 9), peer_id) as r from p)
@@ -383,66 +405,102 @@ query("peers", f"""with {_SPINE}, s as (select * from spine where sector_id is n
 
 # Events
 
-query("earnings_surprise", f"""with e as (select e.*, strptime(period_ending || '-01', '%Y-%m-%d') as month from earnings e where eps_consensus is not null), j as (select e.*, x.as_of as period_end_date, x.value as actual, row_number() over (partition by e.security_id, e.symbol, report_date order by x.as_of desc) as r
-  from e join metric x on x.security_id = e.security_id and metric_code = 'eps_diluted' and period_type = 'quarter' and x.as_of >= month - interval 7 day and x.as_of < month + interval 1 month + interval 7 day)
-  select security_id, symbol, report_date, period_ending, period_end_date, {d('eps_consensus')} as expected, {d('actual')} as actual, {d('actual - eps_consensus')} as surprise, {r4(f"100 * ({d('actual - eps_consensus')} / nullif({d('abs(eps_consensus)')}, 0))")} as surprise_pct, actual - eps_consensus > 0 as beat from j where r = 1""",
-      lambda m: events.earnings_surprise(m.earnings, m.metric))
+_REPORTED = dt.date(2001, 3, 1)
+query("earnings_surprise", f"""with e as (select *, strptime(period_ending || '-01', '%Y-%m-%d') as month from earnings where eps_consensus is not null and security_id is not null and report_date <= date '{_REPORTED}')
+  select e.security_id, symbol, report_date, period_ending, x.as_of as period_end_date, {d('eps_consensus')} as expected, {d('x.value')} as actual, {d('x.value - eps_consensus')} as surprise,
+  cast(round(cast(100 * ({d('x.value - eps_consensus')} / nullif({d('abs(eps_consensus)')}, 0)) as decimal(28,10)), 2) as double) as surprise_pct, x.value >= eps_consensus as beat
+  from e join metric x on x.security_id = e.security_id and x.metric_code = 'eps_diluted' and x.period_type = 'quarter' and x.as_of >= month - interval 7 day and x.as_of < month + interval 1 month + interval 7 day""",
+      lambda m: events.earnings_surprise(m.earnings, m.metric, _REPORTED))
 query("next_earnings", f"""with r as (select *, report_date >= date '2001-03-01' as upcoming, row_number() over (partition by security_id order by report_date >= date '2001-03-01' desc, abs(report_date - date '2001-03-01'), symbol, report_date) as r from earnings where security_id is not null)
-  select security_id, symbol, report_date, {d('eps_consensus')} as eps_consensus, period_ending, upcoming from r where r = 1""", lambda m: events.next_earnings(m.earnings, __import__("datetime").date(2001, 3, 1)))
+  select security_id, symbol, report_date, {d('eps_consensus')} as eps_consensus, {d('eps_previous')} as eps_previous, num_estimates, reporting_time, period_ending, upcoming, as_of from r where r = 1""", lambda m: events.next_earnings(m.earnings, __import__("datetime").date(2001, 3, 1)))
 query("insider_summary", f"""select security_id, count(*) filter (where direction = 'Acquisition') as buys, count(*) filter (where direction = 'Disposition') as sells, count(distinct owner_name) filter (where direction = 'Acquisition') as buyers, count(distinct owner_name) filter (where direction = 'Disposition') as sellers,
-  {d("sum(case direction when 'Acquisition' then shares when 'Disposition' then -shares end)")} as net_shares, max(transaction_date) as latest, count(*) as trades from insider where transaction_date >= {_E} - interval 90 day group by 1""", lambda m: events.insider_summary(m.insider, EVENT_ASOF))
+  {d("coalesce(sum(shares) filter (where direction = 'Acquisition'), 0) - coalesce(sum(shares) filter (where direction = 'Disposition'), 0)")} as net_shares, max(transaction_date) as latest, count(*) as trades from insider where transaction_date >= {_E} - interval 90 day group by 1""", lambda m: events.insider_summary(m.insider, EVENT_ASOF))
 query("security_news", """with g as (select * from article where title is not null), r as (select *, row_number() over (partition by url order by published_at, title) as r from g), k as (select distinct url, security_id from g)
-  select k.security_id, symbol, k.url, title, source, published_at from k join r on r.url = k.url and r = 1 left join provider_symbol p on p.security_id = k.security_id""", lambda m: events.security_news(*events.news_split(m.article), m.provider_symbol))
+  select k.security_id, symbol, k.url, title, source, summary, published_at from k join r on r.url = k.url and r = 1 join provider_symbol p on p.security_id = k.security_id""", lambda m: events.security_news(*events.news_split(m.article), m.provider_symbol))
 
 # Macro
 
-query("macro_current", f"""with r as (select *, row_number() over (partition by indicator_code, dimension order by as_of desc) as r from observation) select code, name, category, country_iso2, dimension, case when value_is_fraction then {r4('cast(value as decimal(28,10)) * 100')} else value end as value, as_of from r join indicator on code = indicator_code where r = 1 and enabled""",
+query("macro_current", f"""with r as (select *, row_number() over (partition by indicator_code, dimension order by as_of desc) as r from observation) select code, name, category, country_iso2, unit, frequency, dimension, case when value_is_fraction then {r4('cast(value as decimal(28,10)) * 100')} else value end as value, as_of, fetched_at from r join indicator on code = indicator_code where r = 1 and enabled""",
       lambda m: macro.macro_current(m.observation, m.indicator))
 query("macro_dedupe", """select a.code from indicator a where enabled and provider = 'fred' and category in ('inflation', 'labour', 'growth') and exists (select 1 from indicator b where b.enabled and b.provider <> 'fred' and b.country_iso2 is not distinct from a.country_iso2 and b.category = a.category)""", lambda m: macro.macro_dedupe(m.indicator))
 
-# Pending work
+# Pending work: twins ask each condition by "exists" of its own table, not by the joins and maps of pending.py.
 
 _MAXW = "mw as (select security_id, cast(max(weight) as double) as best_weight from holding h where as_of = (select max(as_of) from holding x where x.fund_symbol = h.fund_symbol) group by 1)"
-_ENT = "ent as (select s.security_id, symbol, isin, country_iso2, security_type_code, cik, price_failed from security s left join provider_symbol p on p.security_id = s.security_id)"
-for _name, (_fresh, _again, _where) in pending.INSTANCES.items():
-    _days = "" if _fresh is None else f" and done_at >= {_A} - interval {_fresh} day"
-    _least = f" and coalesce(best_weight, 0) >= {pending.LEAST_WEIGHT[_name]}" if _name in pending.LEAST_WEIGHT else ""
-    query(f"pending_{_name}" if _name not in ("statements", "profile", "quarters") else f"pending_{_name}_rows", f"""with {_MAXW}, {_ENT} select e.security_id, coalesce(best_weight, 0.0) as best_weight from ent e left join mw on mw.security_id = e.security_id where ({_where}){_least}
-  and not exists (select 1 from done where done.security_id = e.security_id and done.what = '{_name}'{_days}) and not exists (select 1 from mark where mark.security_id = e.security_id and mark.what = '{_name}' and marked_at > {_A} - interval {_again} day)""",
-          lambda m, n=_name: pending.pending_instance(n, m.security.join(m.provider_symbol, "security_id", "left"), m.done, m.mark, funds.max_weight(m.holding), ASOF).select("security_id", "best_weight"))
-query("pending_statements", f"""with {_MAXW}, n as (select security_id, count(*) as n, count(currency_code) as known from statement group by 1), w as (select s.security_id, case when n.n is null then 'missing' when known = 0 then 'no_currency' end as want from security s left join n on n.security_id = s.security_id
-  where not exists (select 1 from mark where mark.security_id = s.security_id and what = 'statements' and marked_at > {_A} - interval 30 day)) select w.security_id, want, coalesce(best_weight, 0.0) as best_weight from w left join mw on mw.security_id = w.security_id where want is not null""",
-      lambda m: pending.pending_statements(m.security.select("security_id"), m.statement, m.mark, funds.max_weight(m.holding), ASOF))
-query("pending_profile", f"""with {_BEST}, w as (select s.security_id, case when sector_id is null and security_type_code = 'equity' then 'sector' when coalesce(operating_country_iso2, country_iso2) is null then 'country' end as want from security s left join sector on sector.security_id = s.security_id
-  where not exists (select 1 from mark where mark.security_id = s.security_id and what = 'profile' and marked_at > {_A} - interval 30 day)) select * from w where want is not null""",
-      lambda m: pending.pending_profile(identity.security_current(m.security, m.node, m.source_rank, m.provider_symbol), m.mark, ASOF))
-_SHORT = "select currency_code, as_of, usd_per_unit from fx_double where currency_code <> 'KWD' or as_of > date '2001-09-01'"
-query("pending_fx_history", f"select distinct currency_code from venue where currency_code <> 'USD' and currency_code not in (select currency_code from ({_SHORT}) where as_of < {_A} - interval 90 day)",
-      lambda m: pending.pending_fx_history(m.venue.select("currency_code").distinct(), m.sql(_SHORT), ASOF))
-_PT = "select security_id, case when period_type = 'FY' then 'annual' when security_id % 8 = 1 then 'annual' else 'quarter' end as period_type from statement"
-query("pending_quarters", f"with p as ({_PT}) select security_id from p group by 1 having bool_or(period_type = 'annual') and not bool_or(period_type = 'quarter')", lambda m: pending.pending_quarters(m.sql(_PT)))
-# The whole conditions of survey 119, 130, 131e and 128; their SQL shares nothing with pending.py.
-_TICKERS = "select s.security_id, security_type_code, isin, country_iso2, cik, symbol, i.value as ticker from security s left join provider_symbol p on p.security_id = s.security_id left join identifier i on i.security_id = s.security_id and i.kind = 'ticker'"
-_NOT_TRIED = f"not exists (select 1 from mark x where x.security_id = e.security_id and x.what = '{{}}' and x.marked_at > {_A} - interval 30 day)"
-_DONE_B = "select security_id, what, done_at from done where security_id % 3 <> 0"
-query("home_symbol_backlog", f"""with {_MAXW}, e as ({_TICKERS}) select e.security_id, isin, country_iso2, coalesce(symbol, ticker) as current_symbol, coalesce(best_weight, 0.0) as best_weight from e left join mw on mw.security_id = e.security_id
-  where security_type_code = 'equity' and isin is not null and country_iso2 is not null and {_NOT_TRIED.format('home_symbol')}
-  and (coalesce(symbol, ticker) is null or e.security_id in (select security_id from mark where what in ('industry', 'profile', 'performance')))""",
-      lambda m: pending.home_symbol_backlog(m.sql(_TICKERS), m.mark, funds.max_weight(m.holding), ASOF))
-query("corporate_actions_backlog", f"""with {_MAXW}, e as ({_TICKERS}) select e.security_id, ticker as symbol, coalesce(best_weight, 0.0) as best_weight from e left join mw on mw.security_id = e.security_id
-  where security_type_code = 'equity' and upper(ticker) = upper(symbol) and {_NOT_TRIED.format('corporate_actions')}
-  and not exists (select 1 from ({_DONE_B}) x where x.security_id = e.security_id and x.what = 'corporate_actions' and x.done_at >= {_A} - interval 30 day)""",
-      lambda m: pending.corporate_actions_backlog(m.sql(_TICKERS), m.sql(_DONE_B), m.mark, funds.max_weight(m.holding), ASOF))
-query("eps_history_backlog", f"""with {_MAXW}, {_LIST}, e as ({_TICKERS}) select e.security_id, ticker as symbol, best_weight from e join mw on mw.security_id = e.security_id
-  where security_type_code = 'equity' and ticker not like '%.%' and best_weight >= 1 and e.security_id in (select security_id from ls where exch_code = 'US')
-  and not exists (select 1 from ({_DONE_B}) x where x.security_id = e.security_id and x.what = 'eps_history' and x.done_at >= {_A} - interval 90 day)""",
-      lambda m: pending.eps_history_backlog(m.sql(_TICKERS), _listings(m), m.sql(_DONE_B), funds.max_weight(m.holding), ASOF))
-query("quarters_backlog", f"""with {_MAXW}, st as ({_PT}), e as ({_TICKERS}) select e.security_id, coalesce(symbol, ticker) as fetch_symbol, coalesce(best_weight, 0.0) as best_weight from e left join mw on mw.security_id = e.security_id
-  where security_type_code = 'equity' and cik is null and coalesce(symbol, ticker) is not null and {_NOT_TRIED.format('quarters')}
-  and e.security_id in (select security_id from st where period_type = 'annual') and e.security_id not in (select security_id from st where period_type = 'quarter')""",
-      lambda m: pending.quarters_backlog(m.sql(_TICKERS), m.sql(_PT), m.mark, funds.max_weight(m.holding), ASOF))
+_SYMBOLS = f"""{_LIST}, sy as (select s.security_id, coalesce(l.symbol, p.symbol, t.value) as symbol from security s left join ls l on l.security_id = s.security_id and is_primary left join provider_symbol p on p.security_id = s.security_id
+  left join (select security_id, min(value) as value from identifier where kind = 'ticker' group by 1) t on t.security_id = s.security_id)"""
+_ENT = f"""{_SYMBOLS}, e as (select s.security_id, s.name, security_type_code, country_iso2, operating_country_iso2, cik, i.value as isin, t.value as ticker, p.symbol as own, sy.symbol, coalesce(p.symbol, t.value) as ask
+  from security s left join identifier i on i.security_id = s.security_id and i.kind = 'isin' left join identifier t on t.security_id = s.security_id and t.kind = 'ticker' left join provider_symbol p on p.security_id = s.security_id left join sy on sy.security_id = s.security_id)"""
+_EQ = "security_type_code = 'equity'"
+_has = lambda table, test="true": f"exists (select 1 from {table} x where x.security_id = e.security_id and {test})"
+_open = lambda what, days=30: f"not {_has('mark', f'''x.what = '{what}' and x.marked_at >= {_A} - interval {days} day''')}"
+_unasked = lambda what, days: f"not {_has('asked', f'''x.what = '{what}' and x.asked_at >= {_A} - interval {days} day''')}"
+_failed = lambda *what: _has("mark", f"x.what in ({', '.join(repr(w) for w in what)})")
+_BY_PRICE = "symbol, coalesce(own, symbol) as fetch_symbol"
+_DRILL = "select iso2 as country_iso2 from country where cast(iso2 as int) % 4 <> 3"
+_STALE_AFTER = f"select p_partkey, cast({_A} + interval 1 day * cast(p_partkey % 5 - 2 as int) as date) as stale_after, concat('T', cast(p_partkey as string), case p_partkey % 4 when 1 then '.HK' when 2 then '.KS' when 3 then '.L' else '' end) as served from {{part}} where p_partkey % 3 <> 0"
+_PT = "select security_id, case when period_type = 'FY' then 'annual' when security_id % 8 = 1 then 'annual' else 'quarter' end as period_type, currency_code from statement"
+#: Columns besides id and weight, and the condition.
+_BACKLOGS = {
+    "ticker": ("isin, name", f"{_EQ} and isin is not null and not {_has('identifier', '''x.kind = 'ticker' ''')} and {_open('ticker')}"),
+    "local_symbol": ("country_iso2, isin", f"{_EQ} and isin is not null and not {_has('provider_symbol')} and country_iso2 is not null and country_iso2 <> 'US' and {_open('local_symbol')}"),
+    "home_symbol": ("isin, country_iso2, ask as current_symbol", f"{_EQ} and isin is not null and country_iso2 is not null and {_open('home_symbol')} and (ask is null or {_failed('industry', 'profile', 'performance')})"),
+    "profile": ("ask as symbol, name, case when " + _has("node", "x.source_code = 'yfinance'") + " then 'country' else 'sector' end as want",
+                f"{_EQ} and ask is not null and ((not {_has('node', '''x.source_code = 'yfinance' ''')} and {_open('profile')}) or (operating_country_iso2 is null and (country_iso2 is null or country_iso2 not in ({_DRILL})) and {_open('provider_country')}))"),
+    "profile_detail": ("ask as symbol", f"{_EQ} and ask is not null and not {_has('done', '''x.what = 'profile_detail' ''')} and {_open('profile_detail')}"),
+    "industry": ("ask as symbol, sector_id", f"not {_has('node', 'x.level = 2')} and ask is not null and {_open('industry')}"),
+    "performance": ("coalesce(symbol, ask) as symbol, ask as fetch_symbol", f"ask is not null and {_open('performance')} and not exists (select 1 from ({_STALE_AFTER}) x where x.served = coalesce(e.symbol, e.ask) and stale_after > {_A})"),
+    "prices": (f"{_BY_PRICE}, (select max(date) from held_bar x where x.security_id = e.security_id) as last_date", f"{_EQ} and symbol is not null and {_open('prices')} and not {_has('held_bar', f'x.date >= {_A} - interval 2 day')}"),
+    "price_history": (_BY_PRICE, f"{_EQ} and symbol is not null and {_open('price_history')} and not {_has('held_bar', '''x.grain = 'weekly' ''')}"),
+    "fundamentals": ("ask as symbol", f"{_EQ} and ask is not null and {_open('fundamentals')} and not {_has('done', '''x.what = 'fundamentals' ''')}"),
+    "statements": (f"ask as symbol, ticker as us_ticker, case when {_has(f'({_PT})')} then 'no_currency' else 'missing' end as want",
+                   f"{_EQ} and ask is not null and {_open('statements')} and (not {_has(f'({_PT})')} or (not {_has(f'({_PT})', 'x.currency_code is not null')} and ticker is not null and {_open('statement_currency')}))"),
+    "quarters": ("ask as symbol", f"{_EQ} and cik is null and ask is not null and {_open('quarters')} and {_has(f'({_PT})', '''x.period_type = 'annual' ''')} and not {_has(f'({_PT})', '''x.period_type = 'quarter' ''')}"),
+    "xbrl": ("cik", f"{_EQ} and cik is not null and {_unasked('xbrl', 30)} and {_open('xbrl')}"),
+    "corporate_actions": ("ticker as symbol", f"{_EQ} and upper(ticker) = upper(symbol) and {_open('corporate_actions')} and not {_has('held_action', f'x.as_of > {_A} - interval 30 day')}"),
+    "dividends": (_BY_PRICE, f"{_EQ} and symbol is not null and {_open('dividends')} and not {_has('held_action', f'''x.kind = 'dividend' and x.as_of > {_A} - interval 30 day''')}"),
+    "share_stats": (_BY_PRICE, f"{_EQ} and symbol is not null and {_open('share_stats')} and not {_has('done', f'''x.what = 'share_stats' and x.done_at > {_A} - interval 7 day''')}"),
+    "news": (_BY_PRICE, f"{_EQ} and symbol is not null and {_unasked('news', 7)}"),
+    "insider": ("cik", f"{_EQ} and cik is not null and {_unasked('insider', 7)}"),
+    "filings": ("cik", f"{_EQ} and cik is not null and {_unasked('filings', 7)}"),
+    "management": ("ask as symbol", f"{_EQ} and ask is not null and {_unasked('management', 180)} and best_weight >= 0.5"),
+    "eps_history": ("ticker as symbol", f"{_EQ} and ticker not like '%.%' and {_has('ls', '''x.exch_code = 'US' ''')} and {_unasked('eps_history', 90)} and best_weight >= 1.0"),
+    "symbol_repair": (_BY_PRICE, f"{_EQ} and symbol is not null and {_failed('prices', 'price_history', 'performance')} and {_open('symbol_repair')}"),
+}
+
+
+def _facts(m: Market) -> dict[str, DataFrame]:
+    """All facts of backlogs; a backlog joins those that it reads."""
+    level = lambda n: m.node.where(F.col("level") == n)
+    done = lambda what: m.done.where(F.col("what") == what)
+    return {
+        "tagged": pending.there(m.node.where("source_code = 'yfinance'"), "tagged"), "drillable": pending.there(m.sql(_DRILL), "drillable", "country_iso2"), "has_profile": pending.there(done("profile_detail"), "has_profile"),
+        "sector": level(1).select("security_id", F.col("node_id").alias("sector_id")).distinct(), "has_industry": pending.there(level(2), "has_industry"),
+        "performance": pending.there(m.sql(_STALE_AFTER).where(F.col("stale_after") > F.lit(ASOF)), "fresh", "served"), "bars": pending.bar_facts(m.held_bar), "has_fundamentals": pending.there(done("fundamentals"), "has_fundamentals"),
+        "statements": pending.statement_facts(m.sql(_PT)), "actions": pending.action_facts(m.held_action), "stats": done("share_stats").groupBy("security_id").agg(F.max("done_at").alias("stats_at")),
+        "us_listed": pending.there(_listings(m).where("exch_code = 'US'"), "us_listed"),
+    }
+
+
+def _backlog(m: Market, name: str) -> DataFrame:
+    symbols = identity.security_symbol(m.security, _listings(m), m.provider_symbol, m.identifier)
+    return pending.pending(name, pending.entities(m.security, m.identifier, m.provider_symbol, symbols), m.mark, m.asked, funds.max_weight(m.holding), ASOF, _facts(m))
+
+
+for _name, (_columns, _where) in _BACKLOGS.items():
+    _from = "e join (select distinct security_id, node_id as sector_id from node where level = 1) n using (security_id)" if _name == "industry" else "e"
+    query(f"pending_{_name}", f"with {_MAXW}, {_ENT} select e.security_id, {_columns}, coalesce(best_weight, 0.0) as best_weight from {_from} left join mw on mw.security_id = e.security_id where {_where}", lambda m, n=_name: _backlog(m, n))
+# The same by the names that these had.
+for _name in ("home_symbol", "corporate_actions", "eps_history", "quarters"):
+    QUERIES[f"{_name}_backlog"], ORACLE_SQL[f"{_name}_backlog"] = QUERIES[f"pending_{_name}"], ORACLE_SQL[f"pending_{_name}"]
+_SHORT = "select currency_code, as_of, usd_per_unit from fx_double where currency_code not in ('KWD', 'GBP') or as_of > date '2001-09-01'"
+_FX_MARK = f"select currency_code, cast({_A} - interval 1 day * cast(preference * 15 as int) as date) as marked_at from venue"
+query("pending_fx_history", f"select distinct currency_code from venue where currency_code <> 'USD' and currency_code not in (select currency_code from ({_SHORT}) where as_of < {_A} - interval 90 day) and currency_code not in (select currency_code from ({_FX_MARK}) where marked_at >= {_A} - interval 30 day)",
+      lambda m: pending.pending_fx_history(m.venue.select("currency_code").distinct(), m.sql(_SHORT), m.sql(_FX_MARK), ASOF))
 _CHG = "select p_partkey as security_id, date '2001-10-20' as changed_at from {part} where p_partkey % 10 = 0"
 query("clear_marks", "select k.* from mark k where not (what in ('prices', 'fundamentals') and security_id % 10 = 0 and marked_at < date '2001-10-20')", lambda m: pending.clear_marks(m.mark, m.sql(_CHG), ["prices", "fundamentals"]))
+query("clear_symbol_caches", f"select k.* from mark k where not (what in ({', '.join(repr(w) for w in pending.SYMBOL_KEYED)}) and security_id % 10 = 0 and marked_at < date '2001-10-20')", lambda m: pending.clear_marks(m.mark, m.sql(_CHG), list(pending.SYMBOL_KEYED)))
+query("clear_contradicted", f"select k.* from mark k where not (what = 'performance' and exists (select 1 from held_bar b where b.security_id = k.security_id and b.date >= {_A} - interval 5 day))", lambda m: pending.clear_contradicted(m.mark, m.held_bar, ASOF))
 _CNT = "select exch_code, cast(preference * 100 as bigint) as stored from venue"
 query("listing_counts", f"with e as ({_EXCH}), n as (select exch_code, count(*) as n from e group by 1) select c.exch_code, stored, coalesce(n.n, 0) as actual from ({_CNT}) c left join n on n.exch_code = c.exch_code where stored is distinct from coalesce(n.n, 0)", lambda m: pending.listing_counts(m.sql(_CNT), m.sql(_EXCH)))
 
@@ -466,20 +524,32 @@ _EPS = """select security_id, concat('{"quarterlyEarnings":[', array_join(collec
   case when security_id % 7 = 0 then '-' else '0' end as estimatedEPS, '12.5' as surprisePercentage))), ','), ']}') as body from (select security_id, as_of, as_of + interval 30 day as report_date, value from metric where metric_code = 'eps_diluted') group by 1"""
 query("eps_history_load", """select security_id, as_of as period_ending, case when security_id % 4 <> 0 then cast(as_of + interval 30 day as date) end as reported_date, case when security_id % 5 <> 0 then cast(value as double) end as eps_actual, case when security_id % 7 <> 0 then 0.0 end as eps_estimated,
   cast(null as double) as surprise, 12.5 as surprise_pct from metric where metric_code = 'eps_diluted'""", lambda m: filings.eps_history_load(m.sql(_EPS)))
+
+
+def _company_facts(m: Market) -> DataFrame:
+    """Facts written as JSON files of company facts, and read from them. A file has the facts of a company in one line."""
+    rows = m.metric_base.groupBy("security_id").agg(F.collect_list(F.struct(F.col("as_of").alias("end"), F.col("s").cast("double").alias("val"), F.lit("Q1").alias("fp"))).alias("f"))
+    unit = F.create_map(F.when(F.col("security_id") % 5 == 0, "EUR").otherwise("USD"), F.col("f"))
+    facts = F.create_map(F.lit("us-gaap"), F.create_map(F.lit("Revenues"), F.struct(unit.alias("units"))))
+    path = new_path(m._spark, "facts")
+    rows.select(F.to_json(F.struct(F.col("security_id").alias("cik"), facts.alias("facts")))).write.text(path)
+    return filings.xbrl_facts(m._spark, path, wholetext=False)
+
+
 query("xbrl_facts", "select security_id as cik, 'us-gaap' as taxonomy, 'Revenues' as concept, case when security_id % 5 = 0 then 'EUR' else 'USD' end as unit, as_of as \"end\", cast(s as double) as val, 'Q1' as fp from metric_base",
-      lambda m: filings.facts_of(m.metric_base.groupBy("security_id").agg(F.collect_list(F.struct(F.col("as_of").alias("end"), F.col("s").cast("double").alias("val"), F.lit("Q1").alias("fp"))).alias("f"))
-                                 .select(F.to_json(F.struct(F.col("security_id").alias("cik"), F.create_map(F.lit("us-gaap"), F.create_map(F.lit("Revenues"), F.struct(F.create_map(F.when(F.col("security_id") % 5 == 0, "EUR").otherwise("USD"), F.col("f")).alias("units")))).alias("facts"))).alias("value")))
-                          .select("cik", "taxonomy", "concept", "unit", "end", "val", "fp"))
+      lambda m: _company_facts(m).select("cik", "taxonomy", "concept", "unit", "end", "val", "fp"))
 _UNIT_FACTS = "select o_custkey as cik, 'us-gaap' as taxonomy, case o_orderkey % 2 when 0 then 'Revenues' else 'Shares' end as concept, case when o_orderkey % 2 = 1 and o_orderkey % 3 = 0 then 'shares' when o_orderkey % 5 = 0 then 'EUR' when o_orderkey % 7 = 0 then 'pure' else 'USD' end as unit, o_orderkey as fact from {orders}"
 query("choose_units", f"""with f as ({_UNIT_FACTS}), u as (select * from f where unit = 'shares' or regexp_matches(unit, '^[A-Z]{{3}}(/shares)?$')), n as (select cik, concept, unit, row_number() over (partition by cik, concept order by unit = 'shares' desc, count(*) desc, unit) as r from u group by 1, 2, 3)
   select u.* from u join n on n.cik = u.cik and n.concept = u.concept and n.unit = u.unit and r = 1""", lambda m: filings.choose_units(m.sql(_UNIT_FACTS)))
 _FILED = "select l_orderkey * 10000000 + l_partkey * 10 + l_linenumber as holding_id, concat('F', cast(l_suppkey as string)) as fund_symbol, cast(date_trunc('quarter', l_shipdate) as date) as as_of, cast(sum(cast(l_quantity as decimal(18,2))) as decimal(28,2)) as weight, cast(max(cast(l_extendedprice as decimal(18,2))) as decimal(28,2)) as market_value, case when l_partkey % 3 = 0 then concat('US', lpad(cast(l_partkey as string), 9, '0'), cast(l_partkey % 10 as string)) end as isin, case when l_partkey % 3 = 1 then lpad(cast(l_partkey as string), 9, '7') end as cusip, cast(null as string) as figi from {lineitem} where l_shipdate >= timestamp '2001-01-01 00:00:00' group by 1, 2, 3, l_partkey"
-query("fund_ingest", f"""with h as ({_FILED}), u as (select holding_id, 'isin' as kind, isin as value from h where isin is not null union all select holding_id, 'cusip', cusip from h where cusip <> '777777777'),
-  i as (select holding_id, coalesce(cast(min(security_id) as varchar), sha256(any_value(u.kind) || ':' || any_value(u.value))) as sid from u left join identifier x on x.kind = u.kind and x.value = u.value group by 1),
-  n as (select fund_symbol, sid as security_id, as_of, sum(weight) as weight, sum(market_value) as market_value from h join i on i.holding_id = h.holding_id group by 1, 2, 3)
+_INGESTED = f"""h as ({_FILED}), u as (select holding_id, 'isin' as kind, isin as value from h where isin is not null union all select holding_id, 'cusip', cusip from h where cusip <> '777777777'),
+  i as (select holding_id, coalesce(cast(min(security_id) as varchar), sha256(any_value(u.kind) || ':' || any_value(u.value))) as sid, min(security_id) is not null as matched from u left join identifier x on x.kind = u.kind and x.value = u.value group by 1)"""
+query("fund_ingest", f"""with {_INGESTED}, n as (select fund_symbol, sid as security_id, as_of, sum(weight) as weight, sum(market_value) as market_value from h join i on i.holding_id = h.holding_id group by 1, 2, 3)
   select fund_symbol, security_id, as_of, {d('weight')} as weight, {d('market_value')} as market_value from n
-  union all select fund_symbol, cast(security_id as varchar), as_of, {d('weight')}, {d('market_value')} from holding o where not exists (select 1 from h where h.fund_symbol = o.fund_symbol and h.as_of = o.as_of)""",
+  union all select fund_symbol, cast(security_id as varchar), as_of, {d('sum(weight)')}, {d('sum(market_value)')} from holding o where not exists (select 1 from n where n.fund_symbol = o.fund_symbol and n.security_id = cast(o.security_id as varchar) and n.as_of = o.as_of) group by 1, 2, 3""",
       lambda m: funds.fund_ingest(m.sql(_FILED), m.identifier, funds.merge_lots(m.holding).withColumn("security_id", F.col("security_id").cast("string"))).withColumn("weight", F.col("weight").cast("double")).withColumn("market_value", F.col("market_value").cast("double")))
+query("ingest_report", f"with {_INGESTED} select fund_symbol, as_of, count(*) as filed, count(distinct sid) as holdings, count(distinct sid) filter (where not matched) as securities_added, count(*) filter (where sid is null) as skipped from h left join i on i.holding_id = h.holding_id group by 1, 2",
+      lambda m: funds.ingest_report(m.sql(_FILED), m.identifier))
 _SHARED = "select c_custkey as holding_id, case when c_custkey % 3 = 0 then concat('US', lpad(cast(c_custkey % 200 as string), 9, '0'), '7') end as isin, lpad(cast(c_custkey % 310 as string), 9, '7') as cusip, cast(null as string) as figi from {customer}"
 query("shared_identifier_groups", f"""with recursive h as ({_SHARED}), n as (select holding_id, coalesce(isin, '') as a, cusip as b from h), e as (select distinct x.holding_id as p, y.holding_id as q from n x join n y on (x.a <> '' and x.a = y.a) or (x.b <> '777777777' and x.b = y.b)),
   c as (select holding_id as p, holding_id as g from n where a <> '' or b <> '777777777' union select e.q, c.g from c join e on e.p = c.p) select p as holding_id, min(g) as group_id from c group by 1""", lambda m: identity.shared_identifier_groups(m.sql(_SHARED)))
@@ -512,7 +582,7 @@ _NPORT = """select case when p_partkey % 31 <> 0 then p_name end as name, case w
   from {part} left join bond_terms on security_id = p_partkey"""
 
 
-def _filed(m: Market) -> DataFrame:
+def _filed(m: Market, read: Callable = filings.nport_holdings) -> DataFrame:
     """The holdings written as a folder of fund filings, and read from it."""
     rows, path = m.sql(_NPORT), new_path(m._spark, "nport")
     value = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("_value")))
@@ -523,25 +593,76 @@ def _filed(m: Market) -> DataFrame:
         F.col("weight").alias("pctVal"), F.col("asset_category").alias("assetCat"), F.col("issuer_category").alias("issuerCat"), F.col("country_iso2").alias("invCountry"), F.when(F.col("maturity_date").isNotNull(), debt).alias("debtSec"),
     )
     xml.write.format("xml").option("rootTag", "invstOrSecs").option("rowTag", "invstOrSec").save(path)
-    return filings.nport_holdings(m._spark, path)
+    return read(m._spark, path)
 
 
 query("nport_holdings", f"""select name, nullif(lei, 'N/A') as lei, cusip, isin, figi, balance, units, nullif(currency_code, 'n/a') as currency_code, value_usd, weight, asset_category, issuer_category, country_iso2 from ({_NPORT}) where name is not null""",
       lambda m: _filed(m).withColumn("figi", F.get("other", F.lit(0))["value"]).drop("other", "maturity_date", "coupon_kind", "coupon_rate", "in_default"))
+query("nameless_holdings", f"select isin, cusip, balance, weight from ({_NPORT}) where name is null", lambda m: _filed(m, filings.nameless_holdings).select("isin", "cusip", "balance", "weight"))
 query("debt_terms_scan", f"select isin, cusip, maturity_date, coupon_kind, coupon_rate, in_default from ({_NPORT}) where name is not null and maturity_date is not null",
       lambda m: _filed(m).where("maturity_date is not null").select("isin", "cusip", "maturity_date", "coupon_kind", "coupon_rate", "in_default"))
 
 
-def _through_stream(m: Market, rows: DataFrame, start: Callable) -> DataFrame:
-    """Rows written as files, which a stream reads, and what it leaves. start(stream, path, checkpoint) begins it."""
+def _stream_of(m: Market, parts: list[DataFrame]) -> tuple[DataFrame, str]:
+    """A stream that brings each table as a batch of its own, and a new folder. Files are read in the order of their times."""
     path = new_path(m._spark, "stream")
-    rows.repartition(4).write.parquet(f"{path}/in")
-    stream = m._spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
-    start(stream, f"{path}/out", f"{path}/state").awaitTermination()
+    for k, rows in enumerate(parts):
+        # a file of a batch comes after all of the batch before
+        rows.coalesce(1).write.parquet(f"{path}/in/part={k}")
+    stream = m._spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{path}/in")
+    return stream, path
+
+
+_TITLED = "select url, published_at, title, security_id from article"
+_TWICE = f"select url, cast(published_at + interval 1 day * cast(security_id % 3 - 1 as int) as timestamp) as published_at, concat(title, ' v2') as title, security_id + 1 as security_id from ({_TITLED}) t where security_id % 2 = 0"
+_NEWS_SQL = f"""with g as (select * from ({_TITLED}) t where title is not null union all select * from ({_TWICE}) t where title is not null), a as (select url, published_at, title from g qualify row_number() over (partition by url order by published_at, title) = 1),
+  k as (select * from a where published_at >= {_E} - interval 90 day)"""
+
+
+def _news_streamed(m: Market) -> tuple[DataFrame, DataFrame]:
+    stream, path = _stream_of(m, [m.sql(_TITLED), m.sql(_TWICE)])
+    streams.stream_news(stream, f"{path}/out", f"{path}/state").awaitTermination()
+    return streams.read_news(m._spark, f"{path}/out", EVENT_ASOF)
+
+
+query("stream_news", f"{_NEWS_SQL} select url, published_at, title from k", lambda m: _news_streamed(m)[0])
+query("stream_news_links", f"{_NEWS_SQL} select distinct url, security_id from g where url in (select url from k)", lambda m: _news_streamed(m)[1])
+# Three batches: statements, then changed payloads and another source's, then some as they were at first, later, and some once more.
+_BATCHES = [
+    "select *, timestamp '2002-01-01 00:00:00' as fetched_at from statement",
+    """select security_id, statement, period_ending, period_type, currency_code, source_code, replace(payload, '"total_revenue":', '"total_revenue":9') as payload, timestamp '2002-02-01 00:00:00' as fetched_at from statement where security_id % 2 = 0
+  union all select security_id, statement, period_ending, period_type, 'EUR', 'sec-xbrl', replace(payload, '.5}', '.25}'), timestamp '2001-06-01 00:00:00' from statement where security_id % 5 = 0""",
+    "select *, timestamp '2002-03-01 00:00:00' as fetched_at from statement where security_id % 4 = 0 union all select *, timestamp '2002-01-01 00:00:00' from statement where security_id % 7 = 0",
+]
+_FIELDS = "select * from field union all select metric_code, 'sec-xbrl', statement, field from field where metric_code <> 'revenue'"
+
+
+def _derive_streamed(m: Market) -> DataFrame:
+    stream, path = _stream_of(m, [m.sql(b) for b in _BATCHES])
+    streams.stream_derive(stream, m.sql(_FIELDS), f"{path}/out", f"{path}/state").awaitTermination()
+    return streams.read_derived(m._spark, f"{path}/out", m.source_rank)
+
+
+query("stream_derive", f"""with s as ({' union all '.join(_BATCHES)}), v as (select s.*, f.metric_code, json_extract(payload, '$.' || f.field) as j from s join ({_FIELDS}) f on f.source_code = s.source_code and f.statement = s.statement),
+  n as (select security_id, metric_code, case when lower(period_type) in ('fy', 'annual') then 'annual' when lower(period_type) like 'q%' then 'quarter' else lower(period_type) end as period_type, period_ending as as_of, currency_code, v.source_code, cast(j as decimal(28,4)) as value, fetched_at, priority
+  from v left join source_rank r on r.source_code = v.source_code where json_type(j) in ('BIGINT', 'UBIGINT', 'DOUBLE'))
+  select security_id, metric_code, period_type, as_of, source_code, {d('value')} as value, currency_code from n qualify row_number() over (partition by security_id, metric_code, period_type, as_of order by coalesce(priority, 100) desc, fetched_at desc) = 1""",
+      lambda m: _derive_streamed(m).drop("fetched_at").withColumn("value", F.col("value").cast("double")))
+
+
+def _periods_streamed(m: Market) -> DataFrame:
+    """Metrics by half-decades in the order of their dates; a row far in the future closes all periods."""
+    rows = m.metric_mixed.select("security_id", "metric_code", "period_type", "as_of", "source_code", "value", "currency_code")
+    last = m._spark.createDataFrame([(-1, "end", "quarter", dt.date(2100, 1, 1), "none", None, None)], rows.schema)
+    cuts = [dt.date(1900, 1, 1), dt.date(1995, 1, 1), dt.date(1998, 6, 15), dt.date(2100, 1, 1)]
+    parts = [rows.where((F.col("as_of") >= F.lit(a)) & (F.col("as_of") < F.lit(b))) for a, b in zip(cuts, cuts[1:])]
+    stream, path = _stream_of(m, [*parts, last])
+    streams.stream_periods(stream, m.source_rank, f"{path}/out", f"{path}/state").awaitTermination()
     return m._spark.read.parquet(f"{path}/out")
 
 
-_TITLED = "select url, published_at, title from article where title is not null"
-query("stream_news", f"select distinct url from ({_TITLED})", lambda m: _through_stream(m, m.sql(_TITLED), streams.stream_news).select("url"))
-query("stream_derive", None, lambda m: _through_stream(m, m.statement, lambda s, path, state: streams.stream_derive(s, lambda batch: metrics.statement_metrics(batch, m.field), path, state)).drop("batch").withColumn("value", F.col("value").cast("double")))
-ORACLE_SQL["stream_derive"] = ORACLE_SQL["statement_metrics"]
+query("stream_periods", f"""with g as (select *, as_of - lag(as_of) over (partition by security_id, metric_code, period_type order by as_of, source_code) as gap from metric_mixed),
+  c as (select *, sum(case when gap <= 7 then 0 else 1 end) over (partition by security_id, metric_code, period_type order by as_of, source_code rows unbounded preceding) as run from g)
+  select security_id, metric_code, period_type, as_of, {d('value')} as value, currency_code, c.source_code from c left join source_rank s on s.source_code = c.source_code
+  qualify row_number() over (partition by security_id, metric_code, period_type, run order by priority desc nulls last, as_of desc, c.source_code) = 1""",
+      lambda m: _periods_streamed(m).withColumn("value", F.col("value").cast("double")))

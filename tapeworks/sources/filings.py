@@ -33,6 +33,16 @@ def _known(x: Column) -> Column:
 
 def nport_holdings(spark: SparkSession, path: str) -> DataFrame:
     """Holdings of a folder of fund filings, a row for each with a name, debt terms included."""
+    return nport_rows(spark, path).where("name is not null")
+
+
+def nameless_holdings(spark: SparkSession, path: str) -> DataFrame:
+    """Holdings that nport_holdings() leaves out."""
+    return nport_rows(spark, path).where("name is null")
+
+
+def nport_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All holdings of a folder of fund filings."""
     rows = spark.read.format("xml").option("rowTag", "invstOrSec").schema(HOLDING_XML).load(path)
     debt = F.col("debtSec")
     return rows.select(
@@ -42,16 +52,16 @@ def nport_holdings(spark: SparkSession, path: str) -> DataFrame:
         _known(F.col("assetCat")).alias("asset_category"), _known(F.col("issuerCat")).alias("issuer_category"), _known(F.col("invCountry")).alias("country_iso2"),
         debt["maturityDt"].alias("maturity_date"), debt["couponKind"].alias("coupon_kind"), debt["annualizedRt"].alias("coupon_rate"),
         F.when(debt["isDefault"] == "Y", True).when(debt["isDefault"] == "N", False).alias("in_default"),
-    ).where("name is not null")
+    )
 
 
 _FACT = _struct(start=T.DateType(), end=T.DateType(), val=T.DoubleType(), fp=_S, form=_S, filed=T.DateType(), accn=_S)
 _FACTS = _struct(cik=T.LongType(), facts=T.MapType(_S, T.MapType(_S, _struct(units=T.MapType(_S, T.ArrayType(_FACT))))))
 
 
-def xbrl_facts(spark: SparkSession, path: str) -> DataFrame:
-    """Company facts files, one JSON object each, as a row for each fact."""
-    return facts_of(spark.read.text(path, wholetext=True))
+def xbrl_facts(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
+    """Company facts files, one JSON object each, or one on each line without ``wholetext``, as a row for each fact."""
+    return facts_of(spark.read.text(path, wholetext=wholetext))
 
 
 def facts_of(bodies: DataFrame) -> DataFrame:

@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks.functions.common import top1
+from tapeworks.operators.metrics import statement_metrics
+from tapeworks.streaming.log import Log
+
+#: Batches that a table keeps apart until they are merged.
+COMPACT_EVERY = 16
+
+
+def _bars(spark: SparkSession, path: str) -> Log:
+    return Log(spark, path, "series_id long, ts timestamp, close double, date date", ["series_id", "date"], F.desc("ts"), F.desc("close"))
 
 
 def stream_prices(bars: DataFrame, path: str, checkpoint: str, delay: str = "10 days") -> StreamingQuery:
     """Bars (series_id, ts, close) once each, stored by batch; read_prices() gives the last of each day.
 
-    A batch writes a folder of its own number and reads nothing that is stored, so its work doesn't grow with
-    the table, and a batch that is run again replaces its own folder. Of bars of one time with other closes the
-    greatest of a batch stays, whichever comes first. Bars that come more than ``delay`` after the latest are lost.
+    A batch writes a folder of its own number, and finished ones are merged now and then. Of bars of one time the greatest
+    close stays, whichever comes first. Bars that come more than ``delay`` after the latest are lost.
     """
+    table = _bars(bars.sparkSession, path)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = top1(batch.withColumn("date", F.to_date("ts")), ["series_id", "date"], F.desc("ts"), F.desc("close"))
-        rows.write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+        table.write(top1(batch.withColumn("date", F.to_date("ts")), ["series_id", "date"], F.desc("ts"), F.desc("close")), epoch)
+        table.compact(epoch - 1, COMPACT_EVERY)
 
     unique = bars.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["series_id", "ts", "close"])
     return unique.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -29,19 +38,97 @@ def stream_prices(bars: DataFrame, path: str, checkpoint: str, delay: str = "10
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
     """The upserted table: of each (series_id, date) the latest bar of any batch."""
-    return top1(spark.read.parquet(path), ["series_id", "date"], F.desc("ts"), F.desc("batch"), F.desc("close")).drop("batch")
+    return _bars(spark, path).rows()
+
+
+def _news(spark: SparkSession, path: str) -> tuple[Log, Log]:
+    articles = Log(spark, f"{path}/articles", "url string, published_at timestamp, title string", ["url"], F.asc("published_at"), F.asc("title"))
+    return articles, Log(spark, f"{path}/links", "url string, security_id long, published_at timestamp", ["url", "security_id"], F.desc("published_at"))
+
+
+def stream_news(articles: DataFrame, path: str, checkpoint: str, retention_days: int = 90) -> StreamingQuery:
+    """Articles (url, published_at, title, security_id) and which securities they are about, each once; read_news() has what is retained.
+
+    Of an url's rows the earliest stays, then the first title, in whatever batch it comes. When batches are merged, rows that are
+    older than ``retention_days`` before the newest go, so the table grows with the window and not with the stream.
+    """
+    texts, links = _news(articles.sparkSession, path)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        good = batch.where("url is not null and published_at is not null and title is not null")
+        texts.write(top1(good, ["url"], F.asc("published_at"), F.asc("title")), epoch)
+        links.write(top1(good.where("security_id is not null"), ["url", "security_id"], F.desc("published_at")), epoch)
+        newest = texts.rows().agg(F.max("published_at").alias("t")).first()["t"] if (epoch + 1) % COMPACT_EVERY == 0 else None
+        if newest is not None:
+            recent = F.col("published_at") >= F.lit(newest) - F.expr(f"interval {retention_days} days")
+            texts.compact(epoch - 1, COMPACT_EVERY - 1, recent)
+            links.compact(epoch - 1, COMPACT_EVERY - 1, recent)
+
+    return articles.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_news(articles: DataFrame, path: str, checkpoint: str, retention: str = "90 days") -> StreamingQuery:
-    """Articles (url, published_at, title) once each; state is kept for ``retention``."""
-    unique = articles.withWatermark("published_at", retention).dropDuplicatesWithinWatermark(["url"])
-    return unique.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+def read_news(spark: SparkSession, path: str, asof: dt.date, retention_days: int = 90) -> tuple[DataFrame, DataFrame]:
+    """(articles, links) of the ``retention_days`` up to ``asof``; a link goes with its article."""
+    texts, links = _news(spark, path)
+    kept = texts.rows().where(F.col("published_at") >= F.date_sub(F.lit(asof), retention_days))
+    return kept, links.rows().join(kept.select("url"), "url", "left_semi").select("url", "security_id")
 
 
-def stream_derive(statements: DataFrame, derive: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """``derive`` applied to each batch of new statements; a batch's results are in a folder of its number."""
+#: What a statement is known by, and what a metric is.
+STATEMENT_KEY = ["security_id", "statement", "period_ending", "period_type", "source_code"]
+METRIC_KEY = ["security_id", "metric_code", "period_type", "as_of"]
+
+
+def _derived(spark: SparkSession, path: str) -> tuple[Log, Log]:
+    seen = "security_id long, statement string, period_ending date, period_type string, source_code string, payload_hash string, fetched_at timestamp"
+    value = "security_id long, metric_code string, period_type string, as_of date, source_code string, value decimal(28,4), currency_code string, fetched_at timestamp"
+    return (
+        Log(spark, f"{path}/processed", seen, STATEMENT_KEY, F.desc("fetched_at"), F.asc("payload_hash")),
+        Log(spark, f"{path}/metrics", value, [*METRIC_KEY, "source_code"], F.desc("fetched_at"), F.desc("value"), F.asc("currency_code")),
+    )
+
+
+def stream_derive(statements: DataFrame, fields: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Metrics of statements as they come: a statement whose payload was derived last time isn't derived again, and a changed one is.
+
+    statements: STATEMENT_KEY, currency_code, payload, fetched_at. The table of processed keys has each statement's latest
+    payload hash and is joined anti by the next batches; the metrics of a batch are written before its keys, so one that
+    fails between is done again as a whole. read_derived() merges: the latest value of each source, then the best source's.
+    """
+    processed, values = _derived(statements.sparkSession, path)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        derive(batch).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+        rows = batch.withColumn("payload_hash", F.sha2("payload", 256)).persist()
+        last = processed.rows(before=epoch).withColumnRenamed("fetched_at", "_last")
+        new = rows.join(last.where("_last is not null").drop("_last"), [*STATEMENT_KEY, "payload_hash"], "left_anti")
+        # statement_metrics works on one payload for each key and source; a batch may bring several
+        found = statement_metrics(new.withColumn("statement_at", F.col("fetched_at")), fields, keep=["statement_at"])
+        values.write(top1(found.withColumnRenamed("statement_at", "fetched_at"), [*METRIC_KEY, "source_code"], F.desc("fetched_at"), F.desc("value"), F.asc("currency_code")), epoch)
+        processed.write(top1(rows, STATEMENT_KEY, F.desc("fetched_at"), F.asc("payload_hash")), epoch)
+        rows.unpersist()
+        for table in (values, processed):
+            table.compact(epoch - 1, COMPACT_EVERY)
 
     return statements.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_derived(spark: SparkSession, path: str, sources: DataFrame) -> DataFrame:
+    """One row for each metric key: of the best source by priority (unknown ones 100), then the latest."""
+    rows = _derived(spark, path)[1].rows().join(sources, "source_code", "left")
+    return top1(rows, METRIC_KEY, F.desc(F.coalesce("priority", F.lit(100))), F.desc("fetched_at"), F.asc("source_code")).drop("priority")
+
+
+def stream_periods(metrics: DataFrame, sources: DataFrame, path: str, checkpoint: str, gap_days: int = 7, delay: str = "30 days") -> StreamingQuery:
+    """fiscal_periods() of a stream: rows of a series that follow each other within ``gap_days`` are one period, of which the best source's stays, then the latest.
+
+    A period is written once no row can join it any more: when a row has come that is later by the gap and ``delay``. Rows that come
+    later than ``delay`` are lost. metrics: METRIC_KEY, source_code, value, currency_code; as_of is the event time.
+    """
+    key = ["security_id", "metric_code", "period_type"]
+    rows = metrics.withColumn("at", F.col("as_of").cast("timestamp")).withWatermark("at", delay).join(F.broadcast(sources), "source_code", "left")
+    # a session ends a gap after its last row, and a row at that very time would begin another
+    session = F.session_window("at", f"{gap_days} days 1 second")
+    order = F.struct(F.negative(F.coalesce("priority", F.lit(-1))).alias("p"), F.negative(F.unix_date("as_of")).alias("d"), F.col("source_code").alias("s"))
+    best = F.min_by(F.struct("as_of", "value", "currency_code", "source_code"), order)
+    out = rows.groupBy(*key, session.alias("session")).agg(best.alias("best")).select(*key, "best.*")
+    return out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()

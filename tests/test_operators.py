@@ -43,8 +43,10 @@ def test_ttm_needs_four_real_quarters(spark):
     rows = [("A", "revenue", "quarter", day(e), D(10 * (k + 1)), "USD", "sec") for k, e in enumerate(ends)]
     rows += [("A", "total_assets", "quarter", day(e), D(500 + k), "USD", "sec") for k, e in enumerate(ends)]
     rows += [("B", "revenue", "quarter", day(e), D(1), "USD", "sec") for e in ("2024-03-31", "2024-06-30", "2025-09-30", "2025-12-31")]
-    got = metrics.ttm(table(spark, METRIC, *rows)).collect()
-    assert [(r.security_id, r.metric_code, r.as_of, r.value) for r in got] == [("A", "revenue", day("2025-12-31"), D(100))]
+    rows += [("A", "gross_profit", "quarter", day(e), D(k), "USD", "sec") for k, e in enumerate(ends)]
+    flows = table(spark, "metric_code string, is_flow boolean", ("revenue", True), ("gross_profit", True), ("total_assets", False))
+    got = metrics.ttm(table(spark, METRIC, *rows), flows).collect()
+    assert sorted((r.security_id, r.metric_code, r.as_of, r.value) for r in got) == [("A", "gross_profit", day("2025-12-31"), D(6)), ("A", "revenue", day("2025-12-31"), D(100))]
 
 
 def test_one_fiscal_period_is_one_point(spark):
@@ -56,15 +58,19 @@ def test_one_fiscal_period_is_one_point(spark):
 
 
 def test_ratios_use_the_value_known_at_the_bar(spark):
-    m = [("A", "eps_diluted", "ttm", "2025-01-01", 4), ("A", "eps_diluted", "ttm", "2025-07-01", 2), ("A", "eps_diluted", "quarter", "2025-02-01", 9), ("A", "net_income", "ttm", "2025-01-01", 100), ("A", "total_equity", "quarter", "2025-01-01", 500), ("N", "eps_diluted", "ttm", "2025-01-01", 1)]
-    m = table(spark, "security_id string, metric_code string, period_type string, as_of date, value decimal(28,4)", *[(a, b, c, day(e), D(v)) for a, b, c, e, v in m])
-    bars = table(spark, "security_id string, symbol string, grain string, date date, close double", *[(s, s, "daily", day(x), 40.0 if x < "2025-08" else 40.0) for s in "AN" for x in ("2025-03-01", "2025-06-30", "2025-08-01")])
-    sec = table(spark, "security_id string, currency_code string", ("A", "USD"), ("N", None))
+    m = [("A", "eps_diluted", "ttm", "2025-01-01", 4), ("A", "eps_diluted", "ttm", "2025-07-01", 2), ("A", "eps_diluted", "quarter", "2025-02-01", 9), ("A", "net_income", "ttm", "2025-01-01", 100), ("A", "free_cash_flow", "ttm", "2025-01-01", -9), ("A", "shares", "quarter", "2025-01-01", 3), ("L", "eps_diluted", "ttm", "2025-01-01", -5), ("E", "eps_diluted", "ttm", "2025-01-01", 10), ("A", "total_equity", "quarter", "2025-01-01", 500), ("N", "eps_diluted", "ttm", "2025-01-01", 1)]
+    m = table(spark, "security_id string, metric_code string, period_type string, as_of date, value decimal(28,4), currency_code string", *[(a, b, c, day(e), D(v), "EUR" if a == "E" else None) for a, b, c, e, v in m])
+    bars = table(spark, "security_id string, symbol string, grain string, date date, close double", *[(s, s, "daily", day(x), 40.0 if x < "2025-08" else 40.0) for s in "ANLEX" for x in ("2025-03-01", "2025-06-30", "2025-08-01")])
+    sec = table(spark, "security_id string, currency_code string", ("A", "USD"), ("N", None), ("L", "USD"), ("E", "USD"))
     fx = table(spark, "currency_code string, as_of date, usd_per_unit double", ("EUR", day("2025-01-01"), 1.1))
-    rep = table(spark, "security_id string, report_currency string", ("A", "USD"), ("N", None))
+    rep = table(spark, "security_id string, report_currency string", ("A", "USD"), ("N", None), ("L", "USD"), ("E", "USD"))
     got = by(metrics.ratio_series(bars, m, sec, fx, rep), "security_id", "date")
     assert [got["A", day(x)].pe_ratio for x in ("2025-03-01", "2025-06-30", "2025-08-01")] == [10, 10, 20]
-    assert got["A", day("2025-03-01")].roe_pct == 20
+    assert got["A", day("2025-03-01")].roe_pct == 20 and got["A", day("2025-03-01")].earnings_yield_pct == 10 and got["A", day("2025-03-01")].fcf_yield_pct is None
+    # a loss has no yield, a metric's own currency is what it was reported in, and a bar before any metric has no row
+    assert got["L", day("2025-03-01")].earnings_yield_pct is None and got["L", day("2025-03-01")].pe_ratio is None
+    e = got["E", day("2025-03-01")]
+    assert (e.report_currency, e.fx_converted, e.pe_ratio) == ("EUR", True, 3.6364) and not [k for k in got if k[0] == "X"]
     assert not got["N", day("2025-03-01")].currency_comparable and got["N", day("2025-03-01")].pe_ratio is None
 
 
@@ -114,7 +120,11 @@ def test_price_plan_numbers_series_in_many_tasks(spark):
 def test_surprise_matches_the_right_quarter(spark):
     cal = table(spark, "symbol string, report_date date, security_id string, period_ending string, eps_consensus decimal(28,4)", ("A", DAY, "a", "2026-06", D("2.00")), ("B", DAY, "b", "2026-06", D("-0.10")), ("C", DAY, "c", "2026-06", D("1")), ("Z", DAY, "z", "2026-06", D("0")))
     m = table(spark, METRIC, *[(i, "eps_diluted", "quarter", day(x), D(v), "USD", "sec") for i, x, v in (("a", "2026-07-04", "2.50"), ("a", "2026-03-31", "9"), ("b", "2026-06-30", "-0.05"), ("z", "2026-06-30", "1"))])
-    got = by(events.earnings_surprise(cal, m), "security_id")
+    cal = cal.unionByName(table(spark, "symbol string, report_date date, security_id string, period_ending string, eps_consensus decimal(28,4)", ("M", DAY, "m", "2026-06", D("1")), ("F", DAY + dt.timedelta(1), "a", "2026-06", D("1"))))
+    m = m.unionByName(table(spark, METRIC, ("m", "eps_diluted", "quarter", day("2026-06-30"), D(1), "USD", "sec")))
+    got = by(events.earnings_surprise(cal, m, DAY), "security_id")
+    # the consensus met is a beat; a report still to come is none
+    assert (got["m"].surprise, got["m"].beat) == (0.0, True) and got["a"].symbol == "A"
     assert (got["a"].surprise, got["a"].surprise_pct, got["a"].beat) == (0.5, 25.0, True)
     assert (got["b"].surprise_pct, got["b"].beat) == (50.0, True)
     assert "c" not in got and got["z"].surprise_pct is None
@@ -122,13 +132,15 @@ def test_surprise_matches_the_right_quarter(spark):
 
 def test_next_earnings_prefers_upcoming(spark):
     d1 = dt.timedelta(1)
-    cal = table(spark, "symbol string, report_date date, security_id string, period_ending string, eps_consensus double", ("A", DAY - 2 * d1, "a", "x", 1.0), ("A", DAY + 30 * d1, "a", "x", 2.0), ("B", DAY - 9 * d1, "b", "x", 3.0), ("B", DAY - 5 * d1, "b", "x", 4.0), ("N", DAY, None, "x", 5.0))
+    cal = table(spark, "symbol string, report_date date, security_id string, period_ending string, eps_consensus double, eps_previous double, num_estimates int, reporting_time string, as_of date", *[(*r, 0.5, 3, "amc", DAY) for r in (("A", DAY - 2 * d1, "a", "x", 1.0), ("A", DAY + 30 * d1, "a", "x", 2.0), ("B", DAY - 9 * d1, "b", "x", 3.0), ("B", DAY - 5 * d1, "b", "x", 4.0), ("N", DAY, None, "x", 5.0))])
     got = by(events.next_earnings(cal, DAY), "security_id")
-    assert got["a"].eps_consensus == 2.0 and got["a"].upcoming and got["b"].eps_consensus == 4.0 and not got["b"].upcoming and None not in got
+    assert (got["a"].eps_previous, got["a"].num_estimates, got["a"].reporting_time) == (0.5, 3, "amc") and got["a"].eps_consensus == 2.0 and got["a"].upcoming and got["b"].eps_consensus == 4.0 and not got["b"].upcoming and None not in got
 
 
 def test_insiders_are_counted_as_people(spark):
     rows = [("s", DAY, n, "Acquisition", 1000) for n in ("Ada", "Ada", "Grace", "Alan", "Edsger")] + [("s", DAY, "Tony", "Disposition", 50000), ("s", DAY - dt.timedelta(200), "Old", "Acquisition", 1)]
+    neither = events.insider_summary(table(spark, "security_id string, transaction_date date, owner_name string, direction string, shares long", ("n", DAY, "x", None, 5)), DAY).first()
+    assert (neither.trades, neither.net_shares) == (1, 0.0)
     got = events.insider_summary(table(spark, "security_id string, transaction_date date, owner_name string, direction string, shares long", *rows), DAY).first()
     assert (got.buys, got.sells, got.buyers, got.sellers, got.net_shares) == (5, 1, 4, 1, -45000.0)
     assert events.insider_keyed(table(spark, "security_id string, transaction_date date, owner_name string, direction string, shares long", *rows, ("s", None, "x", "Acquisition", 1))).count() == 6
@@ -166,11 +178,21 @@ def test_reporting_currency_is_promoted_apart_from_the_quote(spark):
     assert got == {1: (7.0, "USD", "USD"), 2: (5.0, "GBP", "USD"), 3: (None, None, "EUR"), 4: (None, None, "QQQ")}
 
 
-def test_a_read_model_is_read_and_not_rebuilt(spark, tmp_path):
-    source = table(spark, "security_id int, sector_id string", (1, "a"), (2, "b"))
-    stored = facets.refreshed(source, str(tmp_path / "spine"))
-    assert stored.columns == ["security_id", "sector_id", "refreshed_at"] and stored.select("refreshed_at").distinct().count() == 1
-    assert len(stored.inputFiles()) > 0
+def test_a_read_model_follows_its_inputs(spark, tmp_path):
+    from tapeworks.functions import versions
+
+    root, source, built = str(tmp_path / "model"), str(tmp_path / "in"), []
+    write = lambda n: spark.range(n).write.mode("overwrite").parquet(source)
+    read = lambda **k: versions.read_model(spark, root, [source], lambda: built.append(1) or spark.read.parquet(source), **k)
+    write(5)
+    first = read()
+    assert first.count() == 5 and "refreshed_at" in first.columns and read().count() == 5 and len(built) == 1
+    write(7)
+    assert read().count() == 7 and len(built) == 2
+    # whoever began with the old version ends with it
+    assert first.count() == 5
+    assert read(also="other code").count() == 7 and len(built) == 3
+    assert versions.prune(root, keep=1) == 2 and read(also="other code").count() == 7 and len(built) == 3
 
 
 def test_shared_folder_must_be_named_on_a_cluster(spark):
@@ -223,12 +245,13 @@ def test_style_ranks_within_a_cohort(spark):
     labels = table(spark, "security_id long, index_style string", (40, "growth"))
     got = by(facets.style(spine, val, labels), "security_id")
     assert got[1].value_score == got[101].value_score == 0 and got[40].value_score == got[140].value_score == 1
+    assert (got[40].style_source, got[40].style_confidence, got[140].style_source, got[140].style_confidence, got[1].style_confidence, got[1].cohort) == ("index", "high", "composite", "moderate", "low", "developed/large")
     assert got[40].style == "growth" and got[40].style_source == "index" and got[140].style == "value" and 900 not in got
 
 
 def test_macro(spark):
-    obs = table(spark, "indicator_code string, as_of date, dimension string, value double", ("us-cpi", DAY, "", 0.0239), ("us-cpi", DAY - dt.timedelta(31), "", 0.5), ("us-gdp", DAY, "", 21500.0), ("curve", DAY, "10y", 4.0), ("curve", DAY, "3m", 5.0), ("off", DAY, "", 1.0))
-    ind = table(spark, "code string, name string, category string, country_iso2 string, value_is_fraction boolean, enabled boolean", *[(c, c, "x", "US", c == "us-cpi", c != "off") for c in ("us-cpi", "us-gdp", "curve", "off")])
+    obs = table(spark, "indicator_code string, as_of date, dimension string, value double, fetched_at date", *[(*r, DAY) for r in (("us-cpi", DAY, "", 0.0239), ("us-cpi", DAY - dt.timedelta(31), "", 0.5), ("us-gdp", DAY, "", 21500.0), ("curve", DAY, "10y", 4.0), ("curve", DAY, "3m", 5.0), ("off", DAY, "", 1.0))])
+    ind = table(spark, "code string, name string, category string, country_iso2 string, unit string, frequency string, value_is_fraction boolean, enabled boolean", *[(c, c, "x", "US", "u", "f", c == "us-cpi", c != "off") for c in ("us-cpi", "us-gdp", "curve", "off")])
     got = {(r.code, r.dimension): r.value for r in macro.macro_current(obs, ind).collect()}
     assert got == {("us-cpi", ""): 2.39, ("us-gdp", ""): 21500.0, ("curve", "10y"): 4.0, ("curve", "3m"): 5.0}
     pts = table(spark, "indicator_code string, date date, seq long, body string", ("a", DAY, 1, '{"maturity":"10y","rate":4.5}'), ("a", DAY, 2, '{"maturity":"10y","rate":9}'), ("b", DAY, 1, '{"name":"x","odd":"7.5"}'), ("c", DAY, 1, '{"value":"None","close":3}'), ("d", DAY, 1, "{}"))
@@ -290,14 +313,14 @@ def test_asof_carries_forward_from_each_step(spark):
 
 
 def test_scalar_rules(spark):
-    rows = table(spark, "kind string, value string", ("isin", "US0378331005"), ("isin", "US037833100"), ("cusip", "000000000"), ("cusip", "037833100"), ("lei", "N/A"), ("figi", "BBG000B9XRY4"), ("isin", None))
-    assert [r.ok for r in rows.select(rules.valid_identifier(F.col("kind"), F.col("value")).alias("ok")).collect()] == [True, False, False, True, False, True, False]
+    rows = table(spark, "kind string, value string", ("isin", "US0378331005"), ("isin", "US037833100"), ("cusip", "000000000"), ("cusip", "037833100"), ("lei", "N/A"), ("figi", "BBG000B9XRY4"), ("isin", None), ("isin", " us0378331005 "), ("lei", "HWUPKR0MPOU8FGXBT3AB"), ("other", "x"), ("other", " "))
+    assert [r.ok for r in rows.select(rules.valid_identifier(F.col("kind"), F.col("value")).alias("ok")).collect()] == [True, False, False, True, False, True, False, True, True, False, False]
     rows = table(spark, "s string", ("005930.KS",), ("AAPL",), ("BRK-B",), ("SOME.KQ",))
     assert [r[0] for r in rows.select(rules.suffix(F.col("s"))).collect()] == [".KS", "", "", ".KQ"]
     rows = table(spark, "f string, q string, c string", ("EUR", "USD", "US"), (None, "GBP", "US"), (None, "USD", "US"), (None, "USD", "DE"), (None, "USD", None))
     assert [r[0] for r in rows.select(rules.reporting_currency(F.col("f"), F.col("q"), F.col("c"))).collect()] == ["EUR", "GBP", "USD", None, None]
-    rows = table(spark, "t string", ("Chief Executive Officer",), ("CEO",), ("Oceanographer",), (None,))
-    assert [r[0] for r in rows.select(rules.is_ceo(F.col("t"))).collect()] == [True, True, False, False]
+    rows = table(spark, "t string", ("Chief Executive Officer",), ("Group Ceo",), ("Oceanographer",), (None,))
+    assert [r[0] for r in rows.select(rules.is_ceo(F.col("t"))).collect()] == [True, True, False, None]
 
 
 def test_symbol_repair(spark):
@@ -307,37 +330,83 @@ def test_symbol_repair(spark):
     assert got == {(1, "ABC"), (2, "BRK-A"), (2, "BRKA"), (3, "0005.HK"), (4, "VOLV-B.ST")}
 
 
+ENTITY = "security_id long, name string, security_type_code string, country_iso2 string, operating_country_iso2 string, cik long"
+
+
+def standing(spark, rows, isin=(), ticker=(), own=(), symbol=()):
+    """entities() of (id, type, country, operating country, cik) and of {id: value} by kind."""
+    ids = [(i, "isin", v) for i, v in dict(isin).items()] + [(i, "ticker", v) for i, v in dict(ticker).items()]
+    pairs = lambda d: table(spark, "security_id long, symbol string", *dict(d).items())
+    sec = table(spark, ENTITY, *[(i, f"n{i}", t, c, o, k) for i, t, c, o, k in rows])
+    return pending.entities(sec, table(spark, "security_id long, kind string, value string", *ids), pairs(own), pairs(symbol))
+
+
+def marked(spark, *rows, at="marked_at"):
+    return table(spark, f"security_id long, what string, {at} date", *rows)
+
+
 def test_doing_the_work_empties_the_backlog(spark):
-    ents = table(spark, "security_id long, symbol string", (1, "A"), (2, "B"), (3, "C"))
-    done = table(spark, "security_id long, what string, done_at date", (1, "prices", DAY), (2, "prices", DAY - dt.timedelta(9)))
-    marks = table(spark, "security_id long, what string, marked_at date", (3, "prices", DAY))
-    weights = table(spark, "security_id long, best_weight double", (2, 5.0))
-    rows = pending.pending_instance("prices", ents, done, marks, weights, DAY)
-    assert [(r.security_id, r.best_weight) for r in rows.collect()] == [(2, 5.0)]
-    more = done.unionByName(rows.select("security_id", F.lit("prices").alias("what"), F.lit(DAY).alias("done_at")))
-    assert pending.pending_instance("prices", ents, more, marks, weights, DAY).isEmpty()
+    ents = standing(spark, [(i, "bond" if i == 4 else "equity", "US", None, None) for i in range(1, 6)], symbol={1: "A", 2: "B", 3: "C", 4: "D"}, own={2: "B.X"})
+    bars = lambda *rows: {"bars": pending.bar_facts(table(spark, "security_id long, grain string, date date", *rows))}
+    marks, weights = marked(spark, (3, "prices", DAY)), table(spark, "security_id long, best_weight double", (2, 5.0))
+    old = [(1, "daily", DAY), (2, "daily", DAY - dt.timedelta(9))]
+    rows = pending.pending("prices", ents, marks, marked(spark, at="asked_at"), weights, DAY, bars(*old))
+    # no bond, none without a symbol
+    assert [(r.security_id, r.symbol, r.fetch_symbol, r.last_date, r.best_weight) for r in rows.collect()] == [(2, "B", "B.X", DAY - dt.timedelta(9), 5.0)]
+    assert pending.pending("prices", ents, marks, marked(spark, at="asked_at"), weights, DAY, bars(*old, (2, "daily", DAY))).isEmpty()
+    weekly = pending.pending("price_history", ents, marked(spark), marked(spark, at="asked_at"), weights, DAY, bars(*old, (1, "weekly", DAY)))
+    assert [r.security_id for r in weekly.collect()] == [2, 3]
+
+
+def test_a_mark_blocks_its_own_branch_only(spark):
+    rows = [(1, "equity", None, None, None), (2, "equity", "US", None, None), (3, "equity", "US", None, None), (4, "equity", "ZZ", None, None), (5, "equity", None, None, None), (6, "bond", None, None, None), (7, "equity", None, "US", None)]
+    ents = standing(spark, rows, ticker={i: f"T{i}" for i in (1, 2, 3, 4, 6, 7)})
+    facts = {"tagged": table(spark, "security_id long, tagged boolean", *[(i, True) for i in (2, 3, 4, 7)]), "drillable": table(spark, "country_iso2 string, drillable boolean", ("US", True))}
+    weights, none = table(spark, "security_id long, best_weight double", (4, 1.0)), marked(spark, at="asked_at")
+    ask = lambda *m: [(r.security_id, r.want, r.best_weight) for r in pending.pending("profile", ents, marked(spark, *m), none, weights, DAY, facts).collect()]
+    assert ask() == [(4, "country", 1.0), (1, "sector", 0.0)]
+    # the sector's mark leaves the country's branch open
+    assert ask((1, "profile", DAY), (4, "profile", DAY)) == [(4, "country", 1.0), (1, "sector", 0.0)]
+    assert ask((1, "profile", DAY), (1, "provider_country", DAY)) == [(4, "country", 1.0)]
+    assert ask((4, "provider_country", DAY - dt.timedelta(31))) == [(4, "country", 1.0), (1, "sector", 0.0)] and ask((4, "provider_country", DAY - dt.timedelta(30))) == [(1, "sector", 0.0)]
+    statements = {"statements": pending.statement_facts(table(spark, "security_id long, period_type string, currency_code string", (1, "annual", None), (2, "annual", None), (2, "annual", "USD")))}
+    want = lambda *m: {r.security_id: r.want for r in pending.pending("statements", ents, marked(spark, *m), none, weights, DAY, statements).collect()}
+    assert want() == {1: "no_currency", 3: "missing", 4: "missing", 7: "missing"}
+    assert want((1, "statement_currency", DAY), (3, "statement_currency", DAY)) == {3: "missing", 4: "missing", 7: "missing"}
+    assert [r.currency_code for r in pending.pending_fx_history(table(spark, "currency_code string", ("EUR",), ("USD",), ("GBP",), ("JPY",)), table(spark, "currency_code string, as_of date", ("EUR", DAY - dt.timedelta(91)), ("GBP", DAY)), table(spark, "currency_code string, marked_at date", ("JPY", DAY)), DAY).collect()] == ["GBP"]
+
+
+def test_marks_that_data_contradict_go(spark):
+    marks = marked(spark, (1, "performance", DAY), (1, "prices", DAY), (2, "performance", DAY))
+    bars = table(spark, "security_id long, date date", (1, DAY - dt.timedelta(5)), (2, DAY - dt.timedelta(6)))
+    assert sorted((r.security_id, r.what) for r in pending.clear_contradicted(marks, bars, DAY).collect()) == [(1, "prices"), (2, "performance")]
 
 
 def test_backlogs_have_the_conditions_of_the_survey(spark):
-    schema = "security_id long, security_type_code string, isin string, country_iso2 string, cik long, symbol string, ticker string"
-    ents = table(
-        spark, schema,
-        (1, "equity", "I1", "DE", None, "WRONG.DE", None), (2, "equity", "I2", "DE", None, None, None), (3, "equity", "I3", "DE", None, "FINE.DE", None), (4, "equity", None, "DE", None, None, None),
-        (5, "equity", "I5", None, None, None, None), (6, "bond", "I6", "DE", None, None, None), (7, "equity", "I7", "DE", None, None, "T7"), (8, "equity", "I8", "NL", None, "asml", "ASML"),
-        (9, "equity", "I9", "US", 90, "NINE.L", "NINE"), (10, "equity", "I10", "US", 100, "TEN", "TEN"), (11, "equity", "I11", "US", None, None, None), (12, "equity", "I12", "FR", None, "TW.PA", "TW.PA"),
-    )
+    rows = [
+        (1, "equity", "DE", None, None), (2, "equity", "DE", None, None), (3, "equity", "DE", None, None), (4, "equity", "DE", None, None), (5, "equity", None, None, None), (6, "bond", "DE", None, None),
+        (7, "equity", "DE", None, None), (8, "equity", "NL", None, None), (9, "equity", "US", None, 90), (10, "equity", "US", None, 100), (11, "equity", "US", None, None), (12, "equity", "FR", None, None),
+    ]
+    own = {1: "WRONG.DE", 3: "FINE.DE", 8: "asml", 9: "NINE.L", 10: "TEN", 12: "TW.PA"}
+    ents = standing(spark, rows, isin={i: f"I{i}" for i in range(1, 13) if i != 4}, ticker={7: "T7", 8: "ASML", 9: "NINE", 10: "TEN", 12: "TW.PA"}, own=own, symbol=own)
     long_ago, lately = DAY - dt.timedelta(400), DAY - dt.timedelta(3)
-    marks = table(spark, "security_id long, what string, marked_at date", (1, "profile", long_ago), (1, "industry", lately), (3, "prices", lately), (11, "home_symbol", lately), (9, "performance", long_ago), (3, "quarters", lately), (7, "quarters", long_ago))
-    done = table(spark, "security_id long, what string, done_at date", (10, "corporate_actions", lately), (10, "eps_history", long_ago), (2, "home_symbol", lately))
+    marks = marked(spark, (1, "profile", long_ago), (1, "industry", lately), (3, "prices", lately), (11, "home_symbol", lately), (9, "performance", long_ago), (3, "quarters", lately), (7, "quarters", long_ago))
+    asked = marked(spark, (10, "eps_history", long_ago), (2, "home_symbol", lately), (9, "insider", lately), (10, "insider", DAY - dt.timedelta(8)), at="asked_at")
     weights = table(spark, "security_id long, best_weight double", *[(i, 2.0) for i in (1, 8, 9, 10, 12)])
-    home = by(pending.home_symbol_backlog(ents, marks, weights, DAY), "security_id")
+    ask = lambda name, **facts: by(pending.pending(name, ents, marks, asked, weights, DAY, facts), "security_id")
+    home = ask("home_symbol")
     assert {k: (r.current_symbol, r.best_weight) for k, r in home.items()} == {1: ("WRONG.DE", 2.0), 2: (None, 0.0), 9: ("NINE.L", 2.0)}
-    actions = by(pending.corporate_actions_backlog(ents, done, marks, weights, DAY), "security_id")
-    assert {k: r.symbol for k, r in actions.items()} == {8: "ASML", 12: "TW.PA"}
-    listings = table(spark, "security_id long, exch_code string", (8, "NA"), (9, "US"), (10, "US"), (10, "US"), (12, "US"), (7, "US"))
-    assert sorted(r.symbol for r in pending.eps_history_backlog(ents, listings, done, weights, DAY).collect()) == ["NINE", "TEN"]
-    statements = table(spark, "security_id long, period_type string", *[(i, "annual") for i in (1, 1, 2, 3, 6, 7, 8, 9)], (8, "quarter"), (12, "quarter"))
-    assert {r.security_id: r.fetch_symbol for r in pending.quarters_backlog(ents, statements, marks, weights, DAY).collect()} == {1: "WRONG.DE", 7: "T7"}
+    assert list(home) == [2, 1, 9]
+    actions = pending.action_facts(table(spark, "security_id long, kind string, as_of date", (10, "split", lately)))
+    assert {k: r.symbol for k, r in ask("corporate_actions", actions=actions).items()} == {8: "ASML", 12: "TW.PA"}
+    # a split is no dividend
+    assert set(ask("dividends", actions=actions)) == {1, 3, 8, 9, 10, 12}
+    listed = pending.there(table(spark, "security_id long", (9,), (10,), (10,), (12,), (7,)), "us_listed")
+    assert sorted(r.symbol for r in ask("eps_history", us_listed=listed).values()) == ["NINE", "TEN"]
+    statements = pending.statement_facts(table(spark, "security_id long, period_type string, currency_code string", *[(i, "annual", None) for i in (1, 1, 2, 3, 6, 7, 8, 9)], (8, "quarter", None), (12, "quarter", None)))
+    assert {k: r.symbol for k, r in ask("quarters", statements=statements).items()} == {1: "WRONG.DE", 7: "T7"}
+    assert set(ask("ticker")) == {1, 2, 3, 5, 11} and set(ask("local_symbol")) == {2, 7} and set(ask("symbol_repair")) == {3, 9}
+    assert set(ask("insider")) == {10} and set(ask("management")) == {1, 8, 9, 10, 12}
 
 
 def test_fund_weights(spark):

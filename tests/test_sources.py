@@ -69,12 +69,64 @@ def test_streams(spark, tmp_path):
     streams.stream_prices(spark.readStream.schema(schema).parquet(str(src)), out, str(tmp_path / "cp")).awaitTermination()
     assert {(r.series_id, r.close) for r in streams.read_prices(spark, out).collect()} == {(1, 8.0), (2, 7.0)}
 
-    schema = "url string, published_at timestamp, title string"
-    spark.createDataFrame([("u", dt.datetime(2026, 8, 1), "a"), ("u", dt.datetime(2026, 8, 2), "b"), ("w", dt.datetime(2026, 8, 2), "c")], schema).write.parquet(str(tmp_path / "news"))
-    streams.stream_news(spark.readStream.schema(schema).parquet(str(tmp_path / "news")), str(tmp_path / "n"), str(tmp_path / "ncp")).awaitTermination()
-    assert {r.url for r in spark.read.parquet(str(tmp_path / "n")).collect()} == {"u", "w"} and spark.read.parquet(str(tmp_path / "n")).count() == 2
-    streams.stream_derive(spark.readStream.schema(schema).parquet(str(tmp_path / "news")), lambda b: b.groupBy("url").agg(F.count("*").alias("n")), str(tmp_path / "d"), str(tmp_path / "dcp")).awaitTermination()
-    assert {(r.url, r.n) for r in spark.read.parquet(str(tmp_path / "d")).collect()} == {("u", 2), ("w", 1)}
+
+def feed(spark, path, schema, *batches):
+    """A stream of one file for each batch, read in that order."""
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/part={k}")
+    return lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(path))
+
+
+def test_merged_batches_change_nothing(spark, tmp_path, monkeypatch):
+    schema, out = "series_id long, ts timestamp, close double", str(tmp_path / "out")
+    monkeypatch.setattr(streams, "COMPACT_EVERY", 2)
+    batches = [[(1, dt.datetime(2026, 8, 1, h), float(h)), (2, dt.datetime(2026, 8, h), 1.0)] for h in (5, 9, 3, 7, 8)]
+    streams.stream_prices(feed(spark, tmp_path / "in", schema, *batches)(), out, str(tmp_path / "cp")).awaitTermination()
+    got = {(r.series_id, r.date, r.close) for r in streams.read_prices(spark, out).collect()}
+    assert got == {(1, dt.date(2026, 8, 1), 9.0), *[(2, dt.date(2026, 8, h), 1.0) for h in (5, 9, 3, 7, 8)]}
+    assert (tmp_path / "out" / "base" / "CURRENT").exists()
+
+
+def test_news_keeps_the_earliest_of_any_batch(spark, tmp_path, monkeypatch):
+    schema, day = "url string, published_at timestamp, title string, security_id long", lambda m, d: dt.datetime(2026, m, d)
+    batches = [[("u", day(8, 2), "b", 1), ("w", day(8, 2), "c", 1), (None, day(8, 2), "c", 1), ("x", None, "c", 1)], [("u", day(8, 1), "a", 2), ("old", day(4, 1), "o", 1)], [("u", day(8, 3), "0", 1), ("w", day(8, 2), "a", None)]]
+    read = feed(spark, tmp_path / "in", schema, *batches)
+    for every in (2, 16):
+        monkeypatch.setattr(streams, "COMPACT_EVERY", every)
+        out = str(tmp_path / f"n{every}")
+        for _ in range(2):
+            streams.stream_news(read(), out, str(tmp_path / f"cp{every}")).awaitTermination()
+        articles, links = streams.read_news(spark, out, dt.date(2026, 8, 9))
+        assert {(r.url, r.published_at, r.title) for r in articles.collect()} == {("u", day(8, 1), "a"), ("w", day(8, 2), "a")}
+        assert {(r.url, r.security_id) for r in links.collect()} == {("u", 1), ("u", 2), ("w", 1)}
+
+
+def test_derivation_has_one_row_for_a_key_however_it_comes(spark, tmp_path):
+    schema = "security_id long, statement string, period_ending date, period_type string, source_code string, currency_code string, payload string, fetched_at timestamp"
+    day = dt.date(2026, 6, 30)
+    row = lambda source, body, d: (1, "income", day, "Q2", source, "USD", body, dt.datetime(2026, 8, d))
+    batches = [[row("yfinance", '{"rev":1,"net":5}', 1)], [row("yfinance", '{"rev":2}', 2), row("sec", '{"rev":7}', 1)], [row("yfinance", '{"rev":3}', 3), row("yfinance", '{"rev":2}', 2)]]
+    fields = spark.createDataFrame([(m, s, "income", f) for s in ("yfinance", "sec") for m, f in (("revenue", "rev"), ("net_income", "net"))], "metric_code string, source_code string, statement string, field string")
+    first = spark.createDataFrame([("yfinance", 300), ("sec", 100)], "source_code string, priority int")
+    other = spark.createDataFrame([("yfinance", 100), ("sec", 300)], "source_code string, priority int")
+    for name, parts in (("three", batches), ("one", [sum(batches, [])]), ("turned", batches[::-1])):
+        read, out = feed(spark, tmp_path / name, schema, *parts), str(tmp_path / f"{name}-out")
+        for _ in range(2):
+            streams.stream_derive(read(), fields, out, str(tmp_path / f"{name}-cp")).awaitTermination()
+            for sources, revenue in ((first, 3), (other, 7)):
+                got = {(r.metric_code, r.period_type, float(r.value)) for r in streams.read_derived(spark, out, sources).collect()}
+                assert got == {("revenue", "quarter", revenue), ("net_income", "quarter", 5)}, name
+
+
+def test_periods_of_a_stream_meet_late_rows(spark, tmp_path):
+    schema = "security_id long, metric_code string, period_type string, as_of date, source_code string, value double, currency_code string"
+    row = lambda d, source, v, i=1: (i, "revenue", "annual", dt.date.fromisoformat(d), source, v, "USD")
+    batches = [[row("2024-09-27", "yfinance", 1.0), row("2024-10-11", "yfinance", 2.0)], [row("2024-10-04", "sec", 3.0)], [row("2024-12-31", "yfinance", 4.0)], [row("2024-09-28", "sec", 9.0), row("2024-12-24", "sec", 5.0)], [row("2100-01-01", "sec", 0.0, 2)]]
+    sources = spark.createDataFrame([("sec", 250), ("yfinance", 100)], "source_code string, priority int")
+    out = str(tmp_path / "out")
+    streams.stream_periods(feed(spark, tmp_path / "in", schema, *batches)(), sources, out, str(tmp_path / "cp")).awaitTermination()
+    # the second row joins two runs 14 days apart; the one that comes 60 days late is lost, the one 7 days late isn't
+    assert sorted((r.as_of, r.value) for r in spark.read.parquet(out).collect()) == [(dt.date(2024, 10, 4), 3.0), (dt.date(2024, 12, 24), 5.0)]
 
 
 def test_bars_of_one_time_do_not_depend_on_their_order(spark, tmp_path):
