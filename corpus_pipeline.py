@@ -16,6 +16,8 @@ from tapeworks.llm.words import unused
 
 #: Ids of more bytes than this are joined by shuffle; bytes that one takes.
 BROADCAST_BYTES, ID_BYTES = 64 << 20, 32
+#: Pages of a source that must share a line before it is taken for boilerplate: near copies in a small source aren't, they are the next stage's business.
+LEAST_PAGES = 5
 #: SQL can't express the language models of the first stage.
 ORACLE_SQL = None
 
@@ -45,7 +47,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     n_dropped of the input stay.
     """
     kept = docs.select("*", *[F.col(c).alias(unused(c, docs.columns)) for c in ("n_lines", "n_dropped") if c in docs.columns])
-    out = lines.drop_boilerplate(kept, copies=False)
+    out = lines.drop_boilerplate(kept, min_pages=LEAST_PAGES, copies=False)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     names = {c: unused(c, docs.columns) if c in ("n_lines", "n_dropped") else c for c in docs.columns}
     return out.select(*[(n_chars if c == "n_chars" else F.col(f"`{n}`")).alias(c) for c, n in names.items()])

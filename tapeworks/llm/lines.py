@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions.scratch import stored
 
-#: A line goes if more than RATIO of its site's pages have it, MIN_PAGES or more of them.
-RATIO, MIN_PAGES = 0.05, 5
+#: A line goes if more than RATIO of its site's pages have it. On one page alone a line repeats nothing, whatever its share of a small site.
+RATIO, MIN_PAGES = 0.05, 2
 #: Boilerplate tables of more bytes than this are joined by shuffle.
 BROADCAST_BYTES = 64 << 20
 
