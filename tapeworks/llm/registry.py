@@ -146,14 +146,11 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   and n_symbols / n_words <= 0.25 and n_stop / n_words between 0.01 and 0.8 and (n_lines = 0 or n_dup_lines / n_lines <= 0.5) as kept
 from m""",
     "op4_decontaminate": rf"""
-with sets as (
-  select kind, id, case when len(w) >= 5 then [array_to_string(w[i:i+4], ' ') for i in range(1, len(w) - 3)] else ['<' || array_to_string(w, ' ') || '>'] end as s
-  from (select 'd' as kind, doc_id as id, regexp_extract_all({_LOW}, '{_W}') as w from documents
-    union all select 'i', item_id, regexp_extract_all({_LOW}, '{_W}') from benchmark) where len(w) > 0),
-g as (select distinct kind, id, unnest(s) as g from sets),
-n as (select id, count(*) as n_item from g where kind = 'i' group by id),
-p as (select d.id as doc_id, i.id as item_id, count(*) as n_shared from g d join g i on d.g = i.g and d.kind = 'd' and i.kind = 'i' group by all)
-select doc_id, item_id, n_shared, n_item from p join n on item_id = n.id where 100 * n_shared >= 80 * n_item""",
+with iw as (select item_id, regexp_extract_all({_LOW}, '{_W}') as w from benchmark), dw as (select doc_id, regexp_extract_all({_LOW}, '{_W}') as w from documents),
+i as (select distinct item_id, least(len(w), 5) as k, unnest([array_to_string(w[p:p + least(len(w), 5) - 1], ' ') for p in range(1, len(w) - least(len(w), 5) + 2)]) as g from iw where len(w) > 0),
+d as (select distinct doc_id, k, unnest([array_to_string(w[p:p + k - 1], ' ') for p in range(1, len(w) - k + 2)]) as g from dw, (select distinct k from i) where len(w) >= k),
+n as (select item_id, count(*) as n_item from i group by item_id), p as (select doc_id, item_id, count(*) as n_shared from d join i using (k, g) group by all)
+select doc_id, item_id, n_shared, n_item from p join n using (item_id) where 100 * n_shared >= 80 * n_item""",
     "op5_preference_format": r"""
 with t as (select conv_id as c, turn, role, text from conversations where conv_id is not null and turn is not null),
 l as (select c, max(turn) as last from t where role = 'assistant' group by c),
