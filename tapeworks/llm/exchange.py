@@ -4,7 +4,8 @@ Documents are dealt to chunks of a bounded number of bytes. A chunk sends the so
 to range buckets, one packed row for each bucket: a hash costs about two bytes, however often the chunk
 holds it, so that no passage, however common, is hot. A bucket answers each chunk in the order in which
 it asked, and the chunk, which recomputes its sorted hashes from the same documents, puts the answers in
-place. Chunks and buckets are many as the bytes are many; each is one bounded group of a task. A chunk has
+place. Chunks and buckets are many as the bytes are many; each is one bounded group of a task: of very many
+chunks, a bucket's rows are merged by groups of chunks first, then the groups' sums, and the answers go back the same way. A chunk has
 no row for a bucket in which it has no hash, so rows are at most one for each distinct hash of a chunk:
 on a large corpus rows become short, and never more than a plain shuffle of hashes would have.
 """
@@ -16,6 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tapeworks.functions.scratch import stored
 
 from .words import trimmed
 
@@ -24,6 +29,9 @@ CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 12 << 20
 #: Parts of its range that a bucket goes through one by one.
 PARTS = 8
 
+#: Chunks whose rows of a bucket are one group of a task.
+GROUP_CHUNKS = 1 << 16
+
 ASKED = "chunk long, bucket int, vals binary, marks binary"
 ANSWER = "chunk long, tag int, bucket int, reply binary"
 
@@ -161,3 +169,41 @@ def replies(table: pa.Table, tag: int, full: np.ndarray, bounds: np.ndarray) ->
         starts = bounds[np.searchsorted(full, np.asarray(table["bucket"]))]
         out[np.arange(len(data)) + np.repeat(starts - ends[:-1], sizes)] = data
     return out
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The rows of a bucket from a group of chunks as one row, as if the group were a chunk."""
+    (vals, bounds), marks = unpacked(table["vals"]), contents(table["marks"], "u1")[0]
+    order = np.argsort(vals, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(vals[order]) != 0]) if len(vals) else np.zeros(0, np.int64)
+    total = np.minimum(np.add.reduceat(marks[order] & np.uint8(127), starts, dtype=np.int64), 127).astype(np.uint8)
+    flag = np.maximum.reduceat(marks[order] >> np.uint8(7), starts)
+    one = np.array([0, len(starts)])
+    return pa.table({"chunk": table["salt"].slice(0, 1), "bucket": table["bucket"].slice(0, 1), "vals": packed(vals[order][starts], one), "marks": cells(total | (flag << np.uint8(7)), one)})
+
+
+def _spread(table: pa.Table, told: pa.Table) -> pa.Table:
+    """The answers to a group of chunks, for each of its chunks."""
+    vals, bounds = unpacked(table["vals"])
+    reply = contents(told["reply"], "u1")[0]
+    return pa.table({"chunk": table["chunk"], "tag": pa.array(np.full(table.num_rows, told["tag"][0].as_py(), np.int32)), "bucket": table["bucket"], "reply": cells(reply[np.searchsorted(np.unique(vals), vals)], bounds)})
+
+
+def salts(chunks: int) -> int:
+    """Groups of chunks whose rows of a bucket are merged apart."""
+    return max(1, -(-chunks // GROUP_CHUNKS))
+
+
+def told(asked_rows: DataFrame, chunks: int, tag: int, as_bits: bool) -> DataFrame:
+    """The answers (ANSWER) to what chunks asked (ASKED): see answered().
+
+    A hash that every chunk has sends a row of each to one bucket. Of more than GROUP_CHUNKS chunks these are merged by group
+    first (a group's sum counts up to 127), so no task holds a bucket's rows of all chunks.
+    """
+    n = salts(chunks)
+    if n == 1:
+        return asked_rows.groupBy("bucket").applyInArrow(answered(tag, as_bits), ANSWER)
+    rows = stored(asked_rows, "asked").withColumn("salt", F.pmod("chunk", F.lit(n)))
+    sums = stored(rows.groupBy("bucket", "salt").applyInArrow(trimmed(_summed), ASKED), "sums")
+    totals = sums.groupBy("bucket").applyInArrow(answered(tag, as_bits), ANSWER)
+    return rows.groupBy("bucket", "salt").cogroup(totals.groupBy("bucket", "chunk")).applyInArrow(trimmed(_spread), ANSWER)

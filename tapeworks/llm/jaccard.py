@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     known = reps.select(F.pmod(F.xxhash64("rep", "key"), F.lit(chunks)).alias("chunk"), *blank, "rep", "key")
     dealt = docs.withColumn("chunk", chunk).groupBy("chunk")
     asked = dealt.cogroup(known.groupBy("chunk")).applyInArrow(_ask(n, buckets), X.ASKED)
-    told = asked.groupBy("bucket").applyInArrow(X.answered(1, False), X.ANSWER)
+    told = X.told(asked, chunks, 1, False)
     told = told.select("chunk", "tag", "bucket", "reply", F.lit(None).cast("long").alias("rep"), F.lit(None).cast("binary").alias("key"))
     sets = stored(dealt.cogroup(known.unionByName(told).groupBy("chunk")).applyInArrow(_keyed(n, buckets, percent), _SET), "sets")
 

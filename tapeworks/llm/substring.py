@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks.functions.scratch import stored
+
 from . import exchange as X
 from .words import gram_hashes, trimmed, word_hashes
 
@@ -100,20 +102,65 @@ def _ask_windows(block: int, window: int, buckets: int):
     return trimmed(run)
 
 
-def _earlier(table: pa.Table) -> pa.Table:
-    """Of each window of a bucket: whether a smaller id than the least one of its chunk has it."""
+def _least_ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the windows of some rows: hash, the rest of it, id, the least id of equal windows, and the rows' bounds."""
     (h, bounds), more = X.contents(table["vals"], "<u8"), X.contents(table["more"], "<u4")[0]
     ids = X.from_planes(table["ids"], "<u8")[0].view("<i8")
-    bit = np.zeros(len(h), np.uint8)
+    least = np.empty(len(h), np.int64)
     for own in X.parts(h):
         order = own[np.lexsort((ids[own], more[own], h[own]))]
         if len(order):
             some, rest = h[order], more[order]
             starts = np.flatnonzero(np.r_[True, (some[1:] != some[:-1]) | (rest[1:] != rest[:-1])])
-            bit[order] = np.repeat(ids[order][starts], np.diff(np.r_[starts, len(order)])) < ids[order]
+            least[order] = np.repeat(ids[order][starts], np.diff(np.r_[starts, len(order)]))
+    return h, more, ids, least, bounds
+
+
+def _earlier(table: pa.Table) -> pa.Table:
+    """Of each window of a bucket: whether a smaller id than the least one of its chunk has it."""
+    _, _, ids, least, bounds = _least_ids(table)
+    bit = (least < ids).astype(np.uint8)
+    return pa.table({"chunk": table["chunk"], "tag": pa.array(np.full(table.num_rows, _WINDOWS, np.int32)), "bucket": table["bucket"], "reply": X.cells(bit, bounds)})
+
+
+def _narrowed(table: pa.Table) -> pa.Table:
+    """The windows of a bucket from a group of chunks, each once with its least id, as if the group were a chunk."""
+    h, more, ids, _, _ = _least_ids(table)
+    order = np.lexsort((ids, more, h))
+    h, more, ids = h[order], more[order], ids[order]
+    first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (more[1:] != more[:-1])]) if len(h) else np.zeros(0, np.int64)
+    one = np.array([0, len(first)])
+    cells = {"vals": X.cells(h[first], one), "more": X.cells(more[first], one), "ids": X.planes(ids[first].view("<u8"), one)}
+    return pa.table({"chunk": table["salt"].slice(0, 1), "bucket": table["bucket"].slice(0, 1)} | cells)
+
+
+def _least_of_all(table: pa.Table) -> pa.Table:
+    """For each group of chunks and window of a bucket: the least id of all groups."""
+    _, _, _, least, bounds = _least_ids(table)
+    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "ids": X.planes(least.view("<u8"), bounds)})
+
+
+def _spread(table: pa.Table, told: pa.Table) -> pa.Table:
+    """Of each window of a group of chunks: whether the least id of all is smaller than its chunk's."""
+    h, more, ids, _, bounds = _least_ids(table)
+    order = np.lexsort((more, h))
+    fresh = np.r_[True, (np.diff(h[order]) != 0) | (np.diff(more[order]) != 0)] if len(h) else np.zeros(0, bool)
+    bit = np.zeros(len(h), np.uint8)
+    bit[order] = X.from_planes(told["ids"], "<u8")[0].view("<i8")[np.cumsum(fresh) - 1] < ids[order]
     return pa.table({"chunk": table["chunk"], "tag": pa.array(np.full(table.num_rows, _WINDOWS, np.int32)), "bucket": table["bucket"], "reply": X.cells(bit, bounds)})
 
 
+def _compared(windows: DataFrame, chunks: int) -> DataFrame:
+    """The answers to the windows that chunks asked for; of very many chunks they are merged by groups first, as hashes are (exchange.told)."""
+    n = X.salts(chunks)
+    if n == 1:
+        return windows.groupBy("bucket").applyInArrow(trimmed(_earlier), X.ANSWER)
+    rows = stored(windows, "windows").withColumn("salt", F.pmod("chunk", F.lit(n)))
+    groups = stored(rows.groupBy("bucket", "salt").applyInArrow(trimmed(_narrowed), _WINDOW_ASKED), "narrowed")
+    least = groups.groupBy("bucket").applyInArrow(trimmed(_least_of_all), "chunk long, bucket int, ids binary")
+    return rows.groupBy("bucket", "salt").cogroup(least.groupBy("bucket", "chunk")).applyInArrow(trimmed(_spread), X.ANSWER)
+
+
 def _remove(block: int, window: int, buckets: int, with_text: bool):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         table, rank, missing = _by_id(table)
@@ -165,8 +212,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     # by text too, so that neither null nor repeated ids gather in one chunk
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))).groupBy("chunk")
     anchors = dealt.applyInArrow(_ask_anchors(block, buckets), X.ASKED)
-    shared = anchors.groupBy("bucket").applyInArrow(X.answered(_ANCHORS, True), X.ANSWER)
+    shared = X.told(anchors, chunks, _ANCHORS, True)
     windows = dealt.cogroup(shared.groupBy("chunk")).applyInArrow(_ask_windows(block, window, buckets), _WINDOW_ASKED)
-    earlier = windows.groupBy("bucket").applyInArrow(trimmed(_earlier), X.ANSWER)
+    earlier = _compared(windows, chunks)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return dealt.cogroup(shared.unionByName(earlier).groupBy("chunk")).applyInArrow(_remove(block, window, buckets, with_text), schema)
