@@ -6,22 +6,26 @@ log-probability depends on the word alone, and a task scores each distinct word
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks.functions.scratch import stored
+from tapeworks.functions.scratch import new_path, stored
 
 from .words import give_back, mix, small_batches
 
 ORDER = 4
 #: Documents of each language that are learned from, of which one in CALIBRATE_EVERY is for calibration; languages that share a table of n-grams.
 SAMPLE_DOCS, CALIBRATE_EVERY, LANGUAGES_AT_ONCE = 500, 5, 8
+#: Bytes of the documents of a language that are learned from, at most. Models of more bytes than the second are shipped by file.
+SAMPLE_BYTES, MODEL_BYTES = 32 << 20, 256 << 20
 #: Shares of languages of more bytes than this are joined by shuffle.
 BROADCAST_BYTES = 64 << 20
 #: A text is rejected if its cross-entropy is over so many times the 99th percentile of its language's own.
@@ -218,7 +222,8 @@ class Scorer:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Models:
     """A model of every language of ``docs``, learned from SAMPLE_DOCS documents of each, of which some only calibrate it.
 
-    These are the first by the hash of their id and text, whole texts. Only the distinct words of
+    These are the first by the hash of their id and text, whole texts, as far as they come to SAMPLE_BYTES; a language whose
+    first text is longer than that isn't learned. An empty table gives models of no language. Only the distinct words of
     LANGUAGES_AT_ONCE languages with counts, and the scores of calibrating documents, reach the driver at a
     time, so what it holds follows the number of languages and not the corpus. Rows without a language or a
     text take no part; rows that repeat an id are drawn one by one. Other columns are not read.
@@ -230,7 +235,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     few = (share.agg(F.sum(F.octet_length("l") + 16)).first()[0] or 0) <= BROADCAST_BYTES
     drawn = docs.join(F.broadcast(share) if few else share, "l").where(F.col("place") / 2.0**64 + 0.5 < F.col("share"))
     rank = F.row_number().over(Window.partitionBy("l").orderBy("place", "i", "t"))
-    sample = stored(drawn.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("l", "t", "rank"), "sample")
+    drawn = drawn.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
+    upto = F.sum(F.octet_length("t")).over(Window.partitionBy("l").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
+    sample = stored(drawn.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_BYTES).select("l", "t", "rank"), "sample")
     words = sample.where(F.col("rank") % CALIBRATE_EVERY != 0).select("l", F.explode(F.split("t", r"[\x20\x09-\x0D]+")).alias("w")).groupBy("l", "w").count()
     words = stored(words, "sample_words")
     known = sorted(r["l"] for r in words.where(F.col("w").rlike(r"\p{L}")).select("l").distinct().collect())
@@ -247,12 +254,31 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return _calibrated(models, sample.where(F.col("rank") % CALIBRATE_EVERY == 0)) if known else models
 
 
+def _shipped(spark, models: Models):
+    """A function that has the models on a worker: by broadcast, or from a file in the shared folder if they are more than MODEL_BYTES."""
+    data = pickle.dumps(models)
+    if len(data) <= MODEL_BYTES:
+        shared = spark.sparkContext.broadcast(models)
+        return lambda: shared.value
+    path = f"{new_path(spark, 'models')}"
+    store, at = pafs.FileSystem.from_uri(path)
+    with store.open_output_stream(at) as sink:
+        sink.write(data)
+
+    def load() -> Models:
+        store, at = pafs.FileSystem.from_uri(path)
+        with store.open_input_file(at) as source:
+            return pickle.loads(source.read())
+
+    return load
+
+
 def _scores(spark, models: Models):
     """A function of text columns: cross-entropies under each language, null without letters."""
-    shared = spark.sparkContext.broadcast(models)
+    shared = _shipped(spark, models)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(shared())
         for batch in batches:
             yield pd.Series([None if np.isnan(x).any() else x.tolist() for x in scorer.texts(batch.tolist())], dtype=object)
         del scorer
@@ -287,14 +313,14 @@ def predict(docs: DataFrame, models: Models, text_col: str = "text", into: str =
 
     The language is that of the least cross-entropy over the whole text, the first by name of equals. It is
     'und', with score 0 and rejected, if the text is null or has no letter or no language is known. rejected
-    says that even the best model is too surprised by the text to claim it; lang_pred still names it. Each row
-    is scored by itself, so null or repeated ids make no difference, and once, however often ``into`` is used.
+    says that even the best model is too surprised by the text to claim it; lang_pred still names it. A very long
+    text is scored whole, and an empty table gives no rows. Each row is scored by itself, so null or repeated ids make no difference, and once, however often ``into`` is used.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    shared = _shipped(docs.sparkSession, models)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        models = shared.value
+        models = shared()
         scorer, languages = Scorer(models), models.languages
         names, limits = np.array([*languages, "und"], object), np.append(models.limits, np.inf)
         for batch in batches:

@@ -1,8 +1,8 @@
 """Token counts of a unigram tokenizer, by dynamic programming shared along a trie of pre-tokens.
 
 The vocabulary is that of a sentencepiece file. Its pieces come with ranks and not with probabilities, so
-a piece of rank r weighs -ln((r + 1) ln V), as words of rank r do under Zipf's law; tokenizers are not
-trained here. Characters that are no piece fall back to one token for each UTF-8 byte.
+a piece of rank r weighs -ln((r + 1) ln V), as words of rank r do under Zipf's law, unless a file of scores
+says otherwise; tokenizers are not trained here, and so weights aren't estimated on the corpus. Characters that are no piece fall back to one token for each UTF-8 byte.
 """
 
 from __future__ import annotations
@@ -28,15 +28,24 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Pieces:
-    """Pieces of a sentencepiece vocabulary with integer scores."""
+    """Pieces of a sentencepiece vocabulary with integer scores.
 
-    def __init__(self, path: str):
+    scores: a file with a line for each piece, the piece, a tab and the natural logarithm of its probability; pieces it lacks are no pieces.
+    """
+
+    def __init__(self, path: str, scores: str | None = None):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
         real = [i for i in range(size) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-        zipf = [-math.log((r + 1) * math.log(size)) for r in range(len(real))]
+        if scores is None:
+            zipf = [-math.log((r + 1) * math.log(size)) for r in range(len(real))]
+        else:
+            with open(scores, encoding="utf-8") as lines:
+                told = {piece: float(x) for piece, x in (line.rstrip("\n").rsplit("\t", 1) for line in lines)}
+            real = sorted((i for i in real if model.id_to_piece(i) in told), key=lambda i: (-told[model.id_to_piece(i)], i))
+            zipf = [told[model.id_to_piece(i)] for i in real]
         self.score = {model.id_to_piece(i): round(z * SCALE) - 1 for i, z in zip(real, zipf, strict=True)}
         self.byte_score = round((zipf[-1] - 10) * SCALE) - 1
         self.longest = max(map(len, self.score))
@@ -145,9 +154,9 @@ def _slices(texts: list[list[bytes]]) -> Iterator[list[list[bytes]]]:
         yield run
 
 
-def _counter(path: str):
+def _counter(path: str, scores: str | None):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        pieces, known = Pieces(path), {}
+        pieces, known = Pieces(path, scores), {}
         for batch in batches:
             n_words, n_tokens = [], []
             for run_ in _slices((x or "").encode().split() for x in batch):
@@ -168,13 +177,13 @@ def _counter(path: str):
     return F.pandas_udf(run, "n_words long, n_tokens long")
 
 
-def counts(text: Column, model_path: str) -> Column:
+def counts(text: Column, model_path: str, scores_path: str | None = None) -> Column:
     """A struct (n_words, n_tokens) of a text column, for use in a projection."""
-    return _counter(model_path)(text.cast("string"))
+    return _counter(model_path, scores_path)(text.cast("string"))
 
 
-def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_pretokens and n_tokens of each row's whole text; ``model_path`` is a file on every worker.
+def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", scores_path: str | None = None) -> DataFrame:
+    """doc_id, n_pretokens and n_tokens of each row's whole text; ``model_path`` is a file on every worker, and so is ``scores_path`` (see Pieces).
 
     A pre-token is a run of characters other than ASCII white space, with a mark for the space before it. A
     null or empty text has none. There is no shuffle: each task builds the tries of the pre-tokens it meets
@@ -183,5 +192,5 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     other columns are not read, and an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    counted = docs.select(F.col(id_col).alias("doc_id"), counts(F.col(text_col), model_path).alias("c"))
+    counted = docs.select(F.col(id_col).alias("doc_id"), counts(F.col(text_col), model_path, scores_path).alias("c"))
     return counted.select("doc_id", F.col("c.n_words").alias("n_pretokens"), F.col("c.n_tokens").alias("n_tokens"))
