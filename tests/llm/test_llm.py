@@ -111,9 +111,32 @@ def test_buckets_answer_every_chunk():
             assert exchange.replies(own, 4, *exchange.bucket_bounds(h, 6)[:2]).tolist() == [int(x >= 2) if as_bits else x for x in want]
 
 
+def test_a_passage_in_every_chunk_meets_in_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "GROUP_CHUNKS", 50)
+    h = np.sort(words.mix(np.arange(40, dtype=np.uint64)))
+    asked = pa.concat_tables([exchange.asked(k, np.unique(np.r_[h, words.mix(np.array([1000 + k], np.uint64))]), np.ones(41, np.uint8), np.ones(41, bool), 3) for k in range(1000)])
+    rows = spark.createDataFrame(asked.to_pandas(), exchange.ASKED)
+    assert rows.groupBy("bucket").count().agg(F.min("count")).first()[0] == 1000
+    assert rows.groupBy("bucket", F.pmod("chunk", F.lit(exchange.salts(1000)))).count().agg(F.max("count")).first()[0] <= 50
+    got = exchange.told(rows, 1000, 4, False).toPandas()
+    for k in (0, 499, 999):
+        own = np.unique(np.r_[h, words.mix(np.array([1000 + k], np.uint64))])
+        some = pa.Table.from_pandas(got[got["chunk"] == k], preserve_index=False)
+        some = some.set_column(1, "tag", some["tag"].cast(pa.int32())).set_column(3, "reply", some["reply"].cast(pa.binary()))
+        assert exchange.replies(some, 4, *exchange.bucket_bounds(own, 3)[:2]).tolist() == [255 if x in h else 1 for x in own]
+
+
 # 1 token counts
 
 
+def test_scores_of_a_file(tmp_path):
+    path = tmp_path / "scores.tsv"
+    path.write_text("▁a\t-1.0\nb\t-1.5\n▁ab\t-4.0\n")
+    pieces = token_counts.Pieces(tokenizer_file("piece_bpe_32k.model"), str(path))
+    # two likely pieces beat an unlikely one, and a character without a piece is a byte
+    assert pieces.longest == 3 and token_counts.trie_counts(["▁ab", "▁a", "▁abz"], pieces) == [2, 1, 3]
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return token_counts.Pieces(tokenizer_file("piece_bpe_32k.model"))
@@ -251,6 +274,20 @@ def test_language_of_held_out_texts(spark):
     assert {r.language.lang_pred for r in langid.predict(table, empty).collect()} == {"und"}
 
 
+def test_models_are_learned_from_bounded_bytes_and_shipped_by_file(spark, monkeypatch):
+    texts = {"x": "abc cab bca ", "y": "xyz zyx yzx "}
+    rows = [(k, texts[lang] * 5, lang) for k in range(40) for lang in texts] + [(99, texts["x"] * 10_000, "x"), (100, "mno " * 10_000, "z")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 1000)
+    whole = {r.doc_id: r.language.lang_pred for r in langid.predict(table, langid.train(table)).collect() if r.doc_id > 40}
+    assert whole[99] == "x" and langid.train(table).languages == ["x", "y"]
+    models = langid.train(table)
+    said = [r.language for r in langid.predict(table, models).orderBy("doc_id", "lang").collect()]
+    monkeypatch.setattr(langid, "MODEL_BYTES", 0)
+    assert [r.language for r in langid.predict(table, models).orderBy("doc_id", "lang").collect()] == said
+    assert langid.predict(table.where("false"), models).count() == 0
+
+
 def test_languages_in_several_tables_and_repeated_rows(spark, monkeypatch):
     """More languages than a table holds score as one table does; rows of one id are drawn as rows, and an id doesn't matter."""
     rng = random.Random(6)
@@ -285,14 +322,15 @@ def test_contained_items(spark, monkeypatch):
         rows.append((k, " ".join(own[:at] + part + own[at:])))
     rows += [(100, "Short\tONE"), (101, "short one more"), (102, None), (103, ""), (None, " ".join(items[3][1])), (7, " ".join(items[2][1]))]
 
-    def grams(w):
-        return {tuple(w[p : p + 5]) for p in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    def grams(w, n):
+        return {tuple(w[p : p + n]) for p in range(len(w) - n + 1)} if n else set()
 
     want = {}
     for i, t in rows:
-        have = grams([w.decode().lower() for w in split(t)])
+        own = [w.decode().lower() for w in split(t)]
         for j, w in items:
-            need = grams(w)
+            n = min(5, len(w))
+            have, need = grams(own, n), grams(w, n)
             if i is not None and need and len(have & need) * 100 >= 80 * len(need):
                 want[i, j] = max(want.get((i, j), (0, 0)), (len(have & need), len(need)))
     table = spark.createDataFrame([(j, " ".join(w), "x") for j, w in items] + [(20, None, "x"), (None, "a b c d e f", "x")], "item_id long, text string, doc_id string")
@@ -300,7 +338,11 @@ def test_contained_items(spark, monkeypatch):
         monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
         got = {(r.doc_id, r.item_id): (r.n_shared, r.n_item) for r in decontaminate.contained_items(docs(spark, rows), table).collect()}
         assert got == want
-    assert (100, 12) in want and (101, 12) not in want
+    # an item shorter than a shingle is found inside a text too
+    assert (100, 12) in want and (101, 12) in want
+    twice = spark.createDataFrame([(1, " ".join(items[3][1]), "x"), (1, "v1 v2 v3", "x")], "item_id long, text string, doc_id string")
+    odd = docs(spark, [(1, "a v1 V2 v3 b"), (1, "v1 v2 v3"), (2, " ".join(items[3][1]) * 2000)]).withColumn("words", F.lit("w")).withColumn("item_id", F.lit(9)).withColumn("h", F.lit("h")).withColumn("row", F.lit("r"))
+    assert {(r.doc_id, r.item_id, r.n_shared) for r in decontaminate.contained_items(odd, twice).collect()} >= {(1, 1, 1)}
     assert decontaminate.contained_items(docs(spark, []), table).count() == 0
     assert decontaminate.contained_items(docs(spark, rows), table.where("false")).count() == 0
 
@@ -449,9 +491,10 @@ def slow_repeats(rows, window):
 @pytest.mark.parametrize("window", [13, 5])
 def test_remove_repeats(spark, monkeypatch, window):
     rows = corpus(2) + [(5, "other text of a repeated id " * 4), (30, "q " * 30), (31, "q " * 14), (None, "q " * 20)]
-    for size in (1 << 23, 3000):
+    for size, group in ((1 << 23, 1 << 16), (3000, 1 << 16), (3000, 7)):
         monkeypatch.setattr(exchange, "CHUNK_BYTES", size)
         monkeypatch.setattr(exchange, "BUCKET_BYTES", 3 * size)
+        monkeypatch.setattr(exchange, "GROUP_CHUNKS", group)
         got = substring.remove_repeats(docs(spark, rows), window).collect()
         assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == slow_repeats(rows, window)
     assert substring.remove_repeats(docs(spark, [])).count() == 0
@@ -474,7 +517,7 @@ def test_drop_boilerplate(spark, monkeypatch):
     table = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string, drops string")
     pages = collections.Counter(s for _, _, s in rows)
     seen = collections.Counter((s, x) for _, t, s in rows for x in {x.strip(" ") for x in (t or "").split("\n")} - {""})
-    bad = {k for k, n in seen.items() if k[0] is not None and n >= 5 and n > 0.1 * pages[k[0]]}
+    bad = {k for k, n in seen.items() if k[0] is not None and n >= 2 and n > 0.1 * pages[k[0]]}
     want = []
     for i, t, s in rows:
         stay = None if t is None else [x for x in t.split("\n") if (s, x.strip(" ")) not in bad]
@@ -487,6 +530,9 @@ def test_drop_boilerplate(spark, monkeypatch):
         assert sorted((r.doc_id, str(r.text), r.n_lines, r.n_dropped) for r in out.collect()) == sorted((i, str(t), a, b) for i, t, a, b in want)
     assert sum(w[3] for w in want) > 10
     assert lines.drop_boilerplate(table.where("false")).count() == 0
+    # the ratio alone decides in a small site too; one page repeats nothing
+    few = spark.createDataFrame([(1, "all\none", "s"), (2, "all\ntwo", "s"), (3, "all", "s"), (4, "all\nalone", "t")], "doc_id long, text string, source string")
+    assert {r.doc_id: r.text for r in lines.drop_boilerplate(few).collect()} == {1: "one", 2: "two", 3: "", 4: "all\nalone"}
 
 
 def test_no_column_name_clashes_with_line_dedup(spark):
@@ -542,8 +588,9 @@ def test_near_duplicates(spark, monkeypatch):
     rows = corpus(7, 90)
     want = slow_components(rows)
     assert len({c for _, c in want.values()}) < len(want) - 20
-    for docs_in_tile, size in ((2000, 1 << 23), (4, 4000)):
+    for docs_in_tile, size, group in ((2000, 1 << 23, 1 << 16), (4, 4000, 1 << 16), (4, 4000, 6)):
         monkeypatch.setattr(jaccard, "TILE_DOCS", docs_in_tile)
+        monkeypatch.setattr(exchange, "GROUP_CHUNKS", group)
         monkeypatch.setattr(exchange, "CHUNK_BYTES", size)
         monkeypatch.setattr(exchange, "BUCKET_BYTES", 2 * size)
         got = {r.doc_id: ([r.n_shingles], r.component_id) for r in jaccard.near_duplicates(docs(spark, rows)).collect()}
