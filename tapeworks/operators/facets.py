@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions.common import optional_filters, ratio, round4, top1
 from tapeworks.functions.rules import cap_band
+from tapeworks.functions.scans import blocks_with_halo
 from tapeworks.functions.scratch import stored
 from tapeworks.operators.currencies import market_cap_usd, security_currency
 from tapeworks.operators.funds import best_node, holdings_current
@@ -17,6 +18,8 @@ LENSES = {
     "income_group": ("world-bank", "tier"), "wb_region": ("world-bank", "region"), "un_region": ("un", "region"),
 }
 VALUE_FROM, GROWTH_TO, LEAST_COHORT = 0.29, 0.10, 30
+#: Levels of cap that one task looks for neighbours in.
+BLOCK_LEVELS = 10_000
 
 
 def country_lens(members: DataFrame) -> DataFrame:
@@ -141,10 +144,12 @@ def peers(spine: DataFrame, k: int = 5) -> DataFrame:
     key = ["sector_id", "market_cap_usd"]
     least = rows.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy("security_id"))).where(F.col("r") <= k + 1)
     levels = stored(least.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("security_id", "name", "symbol"))).alias("members")), "peer_levels")
-    order = Window.partitionBy("sector_id").orderBy("market_cap_usd")
+    # blocks of a sector's levels, each with the levels that neighbour it on either side: no sector is one task
+    beside = blocks_with_halo(levels, ["sector_id"], ["market_cap_usd"], k + 1, max(BLOCK_LEVELS, k + 1))
+    order = Window.partitionBy("sector_id", "_block").orderBy("market_cap_usd")
     level, cap = F.struct("members", "market_cap_usd"), F.col("market_cap_usd")
     around = [f(level, i).over(order) for f in (F.lag, F.lead) for i in range(1, k + 2)]
-    near = levels.withColumn("around", F.array(level, *around))
+    near = beside.withColumn("around", F.array(level, *around)).where("_own")
     near = near.withColumn("near", _nearest(F.flatten(F.transform(F.array_compact("around"), lambda x: _sized(x["members"], x["market_cap_usd"], cap))), k + 1))
     last, full = F.element_at("near", -1)["rounded"], F.size("near") > k
     far = [F.round(F.abs(F.log10(F.col("around")[i]["market_cap_usd"] / cap)), 9) for i in (k + 1, 2 * k + 2)]

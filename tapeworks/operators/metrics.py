@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import rules
 from tapeworks.functions.common import asof, daily, ratio, round4, top1
+from tapeworks.functions.scans import scanned
 
 DERIVED_PRIORITY = 50
 
@@ -90,20 +91,20 @@ def xbrl_resolve(facts: DataFrame, concepts: DataFrame) -> DataFrame:
     return rows.select("security_id", "metric_code", "period_type", F.col("end").alias("as_of"), F.col("val").alias("value"), "concept")
 
 
-def metric_asof(bars: DataFrame, metrics: DataFrame, codes: list[str], prefix: str = "") -> DataFrame:
-    """Bars with the value of each code that was the latest at their date."""
+def metric_asof(bars: DataFrame, metrics: DataFrame, codes: list[str], prefix: str = "", segments: bool = False) -> DataFrame:
+    """Bars with the value of each code that was the latest at their date; segments: as in asof()."""
     for code in codes:
         steps = metrics.where(F.col("metric_code") == code).select("security_id", F.col("as_of").alias("_since"), F.col("value").cast("double").alias(f"{prefix}{code}"))
-        bars = asof(bars, steps, ["security_id"], "date", "_since", [f"{prefix}{code}"])
+        bars = asof(bars, steps, ["security_id"], "date", "_since", [f"{prefix}{code}"], segments)
     return bars
 
 
-def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rates: DataFrame, reporting: DataFrame, asof: dt.date | None = None) -> DataFrame:
+def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rates: DataFrame, reporting: DataFrame, asof: dt.date | None = None, segments: bool = False) -> DataFrame:
     """Valuation ratios of each bar: flows by trailing sums, stocks by the last quarter, both currencies at the bar's date.
 
     bars: security_id, symbol, grain, date, close. metrics may have currency_code: the report currency is the metrics' own
     (the last by name, if they differ), else that of ``reporting``. A ratio is null on a missing rate, and so are
-    those by or of earnings and cash flow that aren't positive. Bars before any metric give no row. All codes carry forward in one pass over a security's history. Rates hold
+    those by or of earnings and cash flow that aren't positive. Bars before any metric give no row. All codes carry forward in one pass over a security's history, in ranges of it with ``segments``. Rates hold
     until ``asof``, today by default; later bars aren't converted.
     """
     flows = ["eps_diluted", "revenue", "net_income", "free_cash_flow"]
@@ -114,8 +115,11 @@ def ratio_series(bars: DataFrame, metrics: DataFrame, securities: DataFrame, rat
     known = F.struct(F.col("value").cast("double").alias("value"), "currency_code")
     wide = steps.groupBy("security_id", F.col("as_of").alias("date")).agg(*[F.max(F.when(F.col("metric_code") == c, known)).alias(c) for c in flows + stocks])
     both = bars.withColumn("_bar", F.lit(1)).unionByName(wide.withColumn("_bar", F.lit(0)), allowMissingColumns=True)
-    running = Window.partitionBy("security_id").orderBy("date", "_bar").rowsBetween(Window.unboundedPreceding, 0)
-    rows = both.select(*bars.columns, "_bar", *[F.last(c, ignorenulls=True).over(running).alias(c) for c in flows + stocks]).where("_bar = 1").drop("_bar")
+    if segments:
+        rows = scanned(both, ["security_id"], ["date", "_bar"], last=flows + stocks).select(*bars.columns, "_bar", *[F.col(f"last_{c}").alias(c) for c in flows + stocks]).where("_bar = 1").drop("_bar")
+    else:
+        running = Window.partitionBy("security_id").orderBy("date", "_bar").rowsBetween(Window.unboundedPreceding, 0)
+        rows = both.select(*bars.columns, "_bar", *[F.last(c, ignorenulls=True).over(running).alias(c) for c in flows + stocks]).where("_bar = 1").drop("_bar")
     rows = rows.where(" or ".join(f"{c} is not null" for c in flows + stocks))
     rows = rows.select(*bars.columns, F.greatest(*[F.col(c)["currency_code"] for c in flows + stocks]).alias("_own"), *[F.col(c)["value"].alias(c) for c in flows + stocks])
     rows = rows.join(securities.select("security_id", F.col("currency_code").alias("quote_currency")), "security_id", "left").join(reporting, "security_id", "left")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.common import top1
+from tapeworks.functions.scans import scanned
 from tapeworks.functions.scratch import stored
 
 #: Periods and the days back to their anchors.
@@ -63,8 +64,9 @@ def _returns(rows: DataFrame, level: str, asof: dt.date, must_move: bool) -> Dat
     rows = rows.where(F.col("date") <= day)
     newest = F.struct("date", F.col(level).alias("v"), "close", "prev_date")
     at = {p: F.max(F.when(F.col("date") <= d, F.struct("date", F.col(level).alias("v"), "close"))) for p, d in _anchors(asof).items()}
-    by_date = Window.partitionBy("series_id").orderBy("date")
-    rows = rows.withColumn("prev_level", F.lag(level).over(by_date)).withColumn("prev_close", F.lag("close").over(by_date))
+    if "prev_level" not in rows.columns:
+        by_date = Window.partitionBy("series_id").orderBy("date")
+        rows = rows.withColumn("prev_level", F.lag(level).over(by_date)).withColumn("prev_close", F.lag("close").over(by_date))
     # the newest date at which the close changed: an anchor before it has been moved from
     rows = rows.withColumn("changed", F.when(F.col("close") != F.col("prev_close"), F.col("date")))
     agg = rows.groupBy("series_id").agg(
@@ -91,12 +93,23 @@ def price_returns(bars: DataFrame, asof: dt.date) -> DataFrame:
     return _returns(_with_previous(bars), "close", asof, True).withColumnRenamed("pct", "change_pct")
 
 
-def total_returns(bars: DataFrame, asof: dt.date) -> DataFrame:
-    """As price_returns over the index that dividends are reinvested in; a period that didn't move is kept."""
-    rows = _with_previous(bars)
+def total_returns(bars: DataFrame, asof: dt.date, segments: bool = False) -> DataFrame:
+    """As price_returns over the index that dividends are reinvested in; a period that didn't move is kept.
+
+    With ``segments`` a series is scanned in ranges of its dates, for series that have a large share of all bars.
+    """
+    if segments:
+        rows = scanned(bars, ["series_id"], ["date"], previous=["close", "date"]).withColumnsRenamed({"previous_close": "prev", "previous_date": "prev_date"})
+        rows = rows.withColumn("broke", F.when((F.col("close") > BREAK_RATIO * F.col("prev")) | (F.col("prev") > BREAK_RATIO * F.col("close")), F.col("date")))
+    else:
+        rows = _with_previous(bars)
     step = F.when(F.col("prev").isNotNull(), F.log((F.col("close") + F.coalesce("dividend", F.lit(0.0))) / F.col("prev"))).otherwise(F.lit(0.0))
-    running = Window.partitionBy("series_id").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("level", F.exp(F.sum(step).over(running)))
+    if segments:
+        rows = scanned(rows.withColumn("step", step), ["series_id"], ["date"], total=["step"])
+        rows = rows.withColumn("level", F.exp("total_step")).withColumn("prev_level", F.when(F.col("prev").isNotNull(), F.exp(F.col("total_step") - F.col("step")))).withColumn("prev_close", F.col("prev"))
+    else:
+        running = Window.partitionBy("series_id").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("level", F.exp(F.sum(step).over(running)))
     return _returns(rows, "level", asof, False).withColumnRenamed("pct", "total_return_pct")
 
 

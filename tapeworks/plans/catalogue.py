@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tapeworks import __version__
 from tapeworks.functions import common, rules, versions
-from tapeworks.operators import currencies, events, facets, funds, identity, macro, metrics, pending, returns, writes
+from tapeworks.operators import currencies, events, facets, funds, identity, macro, metrics, pending, returns, stores, writes
 from tapeworks.functions.scratch import new_path, shared_dir
 from tapeworks.plans.market import ASOF, EVENT_ASOF, Market, with_inputs
 from tapeworks.sources import filings
@@ -195,6 +196,24 @@ _LAST = "select concat('F', cast(series_id as string)) as symbol, case when seri
 query("price_plan", f"""with s as ({_LAST}), f as (select *, last_date is null or last_date < {_A} - interval 400 day as full_ from s), r as (select *, cast(ceil(row_number() over (partition by full_ order by last_date nulls first, symbol) / 20.0) as bigint) as batch from f)
   select symbol, full_ as "full", batch, case when full_ then cast({_A} - interval 400 day as date) else min(last_date) over (partition by full_, batch) end as start from r""", lambda m: returns.price_plan(m.sql(_LAST), ASOF, 20, 400))
 
+_KEPT_BAR = "select security_id, case when security_id % 4 = 0 then 'weekly' else 'daily' end as grain, date, max(close) as close from sec_bar group by 1, 2, 3"
+_NEW_BAR = "select security_id, grain, date, close + 1 as close from ({0}) t where year(date) = 2001 and month(date) > 6 union all select security_id, grain, cast(date + interval 1 day * 3000 as date), close from ({0}) t where security_id % 5 = 0 and month(date) = 1"
+_STORED_BAR = f"""o as ({_KEPT_BAR}), n as ({_NEW_BAR.format('select * from o')}), w as (select security_id, grain, date, max(close) as close from n group by 1, 2, 3), u as (select * from w union all select * from o where not exists (select 1 from w where w.security_id = o.security_id and w.grain = o.grain and w.date = o.date)),
+  kept as (select * from u where grain <> 'daily' or date >= {_A} - interval 400 day)"""
+
+
+def _bar_table(m: Market) -> str:
+    """A laid out table of bars, with others written over it, pruned."""
+    name = f"bars_{uuid.uuid4().hex}"
+    stores.create_bars(m.sql(_KEPT_BAR), name, new_path(m._spark, "bars"), buckets=8)
+    stores.upsert_bars(m.sql(_NEW_BAR.format(_KEPT_BAR)), name, buckets=8)
+    stores.prune_bars(m._spark, name, ASOF, buckets=8)
+    return name
+
+
+query("bar_store", f"with {_STORED_BAR} select * from kept", lambda m: m._spark.table(_bar_table(m)).select("security_id", "grain", "date", "close"))
+query("latest_bars", f"with {_STORED_BAR} select security_id, max(date) as date, arg_max(close, date) as close from kept where grain = 'daily' group by 1", lambda m: stores.latest_bars(m._spark, _bar_table(m)))
+
 # Currencies
 
 query("fx_current", f"with {_FX_NOW} select * from fx_now", lambda m: currencies.fx_current(m.fx_double))
@@ -314,6 +333,10 @@ query("xbrl_resolve", f"""with f as (select f.*, case when fp = 'FY' then 'annua
 query("metric_asof", f"""select b.security_id, b.date, b.close, {d('(select value from metric x where x.security_id = b.security_id and metric_code = ' + chr(39) + 'revenue' + chr(39) + ' and x.as_of <= b.date order by as_of desc limit 1)')} as revenue from sec_bar b""",
       lambda m: metrics.metric_asof(m.sec_bar, m.metric, ["revenue"]).select("security_id", "date", "close", "revenue"))
 
+_HOT_BAR = "select case when security_id % 3 = 0 then 3 else security_id end as security_id, date, close from sec_bar"
+query("metric_asof_hot", f"""select b.security_id, b.date, b.close, m.value as revenue from ({_HOT_BAR}) b asof left join (select security_id, as_of, {d('value')} as value from metric where metric_code = 'revenue') m on m.security_id = b.security_id and b.date >= m.as_of""",
+      lambda m: metrics.metric_asof(m.sql(_HOT_BAR), m.metric, ["revenue"], segments=True))
+
 
 def _ratio_sql() -> str:
     flows, stocks = ("eps_diluted", "revenue", "net_income", "free_cash_flow"), ("total_equity", "total_assets", "shares")

@@ -7,8 +7,8 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks.functions import common, rules
-from tapeworks.operators import currencies, events, facets, funds, identity, macro, metrics, pending, returns, writes
+from tapeworks.functions import common, rules, scans
+from tapeworks.operators import currencies, events, facets, funds, identity, macro, metrics, pending, returns, stores, writes
 
 DAY = dt.date(2026, 8, 9)
 
@@ -419,3 +419,59 @@ def test_fund_weights(spark):
     assert got == {"tech": (30.0, 75.0), "unclassified": (10.0, 25.0)}
     got = {r.country_iso2: r.weight_pct for r in funds.fund_country_weight(holdings, f, sec).collect()}
     assert got == {"US": 30.0, "DE": 10.0, "XX": 60.0}
+
+
+def test_a_scan_in_ranges_equals_one_in_order(spark):
+    rows = [(k if k % 3 else 0, (k * 37) % 500, None if k % 4 == 0 else k, float(k % 7)) for k in range(500)] + [(None, 3, 5, 1.0), (None, 1, None, None), (9999, 1, None, None)]
+    table_ = table(spark, "k long, at long, a long, b double", *rows)
+    out = scans.scanned(table_, ["k"], ["at"], last=["a"], total=["b"], previous=["a", "at"])
+    got = {(r.k, r["at"]): (r.last_a, r.total_b, r.previous_a, r.previous_at) for r in out.collect()}
+    want = {}
+    for key in {r[0] for r in rows}:
+        last = total = None
+        before = (None, None)
+        for _, at, a, b in sorted((r for r in rows if r[0] == key), key=lambda r: r[1]):
+            last, total = a if a is not None else last, total if b is None else b + (total or 0)
+            want[key, at] = (last, total, *before)
+            before = (a, at)
+    assert got == want
+    # the key with a third of the rows is in several ranges
+    hot = table_.repartitionByRange(8, "k", "at").withColumn("range", F.spark_partition_id()).where("k = 0").select("range").distinct().count()
+    assert hot > 1
+    points, steps = table(spark, "k long, at long", *[(k % 5 and 1, k) for k in range(200)]), table(spark, "k long, since long, v long", *[(k % 2, k * 7, k) for k in range(20)])
+    plain, ranged = (sorted(common.asof(points, steps, ["k"], "at", "since", ["v"], s).collect()) for s in (False, True))
+    assert plain == ranged
+    bars = [(1 if k % 3 else k % 4 + 2, DAY - dt.timedelta(k // 2 if k % 3 else k), 100.0 + (k * 7) % 13, 1.0 if k % 5 == 0 else None) for k in range(300)]
+    bars = table(spark, "series_id long, date date, close double, dividend double", *{(r[0], r[1]): r for r in bars}.values())
+    plain, ranged = (sorted(returns.total_returns(bars, DAY, s).collect()) for s in (False, True))
+    assert plain == ranged and len(plain) > 10
+
+
+def test_neighbours_meet_across_blocks(spark, monkeypatch):
+    rows = [(i, 1e9 * 1.001 ** ((i * 61) % 400), "one", f"n{i}", f"S{i}") for i in range(400)]
+    spine = table(spark, "security_id long, market_cap_usd double, sector_id string, name string, symbol string", *rows)
+    whole = sorted(facets.peers(spine).collect())
+    monkeypatch.setattr(facets, "BLOCK_LEVELS", 16)
+    assert sorted(facets.peers(spine).collect()) == whole and len(whole) == 2000
+    beside = scans.blocks_with_halo(spine, ["sector_id"], ["market_cap_usd"], 6, 16)
+    assert beside.groupBy("_block").count().agg(F.max("count"), F.count("*")).first()[:] == (28, 25) and beside.where("_own").count() == 400
+
+
+def test_bars_are_laid_out_for_their_readers(spark, tmp_path):
+    bar = "security_id long, grain string, date date, close double"
+    days = [DAY - dt.timedelta(40 * k) for k in range(30)]
+    stores.create_bars(table(spark, bar, *[(i, g, d, float(i)) for i in range(5) for g in ("daily", "weekly") for d in days]), "laid_out", str(tmp_path / "bars"), 4)
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "bars").rglob("*.parquet")}
+    before = files()
+    stores.upsert_bars(table(spark, bar, (1, "daily", days[0], 9.0), (1, "daily", days[0], 8.0), (7, "daily", DAY - dt.timedelta(1), 7.0)), "laid_out", 4)
+    # only what the new bars are in has been written
+    assert {p.split("/grain=")[1].rsplit("/", 1)[0] for p in set(before) ^ set(files())} == {f"daily/year={DAY.year}"}
+    rows = {(r.security_id, r.grain, r.date): r.close for r in spark.table("laid_out").collect()}
+    assert len(rows) == 301 and rows[1, "daily", days[0]] == 9.0 and rows[7, "daily", DAY - dt.timedelta(1)] == 7.0
+    stores.prune_bars(spark, "laid_out", DAY, 400, buckets=4)
+    left = spark.table("laid_out").groupBy("grain").agg(F.count("*"), F.min("date")).collect()
+    assert sorted(tuple(r) for r in left) == [("daily", 56, days[10]), ("weekly", 150, days[29])]
+    assert {r.security_id: (r.date, r.close) for r in stores.latest_bars(spark, "laid_out").collect()}[1] == (days[0], 9.0)
+    plan = stores.latest_bars(spark, "laid_out")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "grain" in plan.split("PartitionFilters")[1][:80]
+    spark.sql("drop table laid_out")
