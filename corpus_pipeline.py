@@ -32,7 +32,8 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no language model claims go, so those with a null text or one without letters; lang becomes the predicted language.
 
-    Null and repeated ids make no difference: each row is judged by itself. An empty table stays empty.
+    Null and repeated ids make no difference: each row is judged by itself, its whole text however long; of languages
+    with equal scores the first by name is predicted. An empty table stays empty.
     """
     into = unused("language", docs.columns)
     known = langid.predict(docs, langid.train(docs), into=into).where(~F.col(f"{into}.rejected"))
@@ -44,7 +45,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     next stage reduces to one, count as one page here: else they would lose all their lines and none be left.
 
     Rows with a null source or text, or an empty text, stay as they are, whatever their id. Columns n_lines and
-    n_dropped of the input stay.
+    n_dropped of the input stay. A very long text is cut into all its lines; an empty table stays empty.
     """
     kept = docs.select("*", *[F.col(c).alias(unused(c, docs.columns)) for c in ("n_lines", "n_dropped") if c in docs.columns])
     out = lines.drop_boilerplate(kept, min_pages=LEAST_PAGES, copies=False)
@@ -57,20 +58,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each component of near-duplicates the document of least id stays.
 
     Rows with a null id stay, as they have none to be removed by, and so do documents without words, which are
-    near to none. Rows that repeat an id are one document and stay or go together.
+    near to none. Rows that repeat an id are one document and stay or go together. Whole texts count, however
+    long; an empty table stays empty.
     """
     classes = jaccard.near_duplicates(docs)
     return _without(docs, classes.where("doc_id <> component_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go; of repeated ids all rows, if one of them holds one. Rows with a null id or text, and empty texts, stay."""
+    """Documents that hold a benchmark item go; of repeated ids all rows, if one of them holds one.
+
+    Rows with a null id or text, and empty texts, stay. Whole texts are searched, however long; without documents or items nothing goes.
+    """
     leaks = decontaminate.contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _without(docs, leaks)
 
 
 def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed by token counts into batches of optimal length buckets: a row for each row, null ids and texts (no tokens) too."""
+    """What is left, packed by token counts into batches of optimal length buckets: a row for each row, null ids and texts (no tokens) too.
+
+    A text longer than a batch is one by itself; rows of equal length go in the order of a hash; an empty table gives no rows.
+    """
     return packing.pack(docs, length=token_counts.counts(F.col("text"), tokenizer_file("piece_bpe_32k.model"))["n_tokens"])
 
 

@@ -24,7 +24,8 @@ def answer_swaps(conversations: DataFrame) -> DataFrame:
     and 2c + 1 the same with that turn's text taken from the last answer of the adjacent conversation (c xor 1).
 
     A conversation without an assistant turn makes no pair; where the adjacent one has none, 2c + 1 ends before
-    its answer. Rows with a null conv_id or turn are left out, and other columns are not read.
+    its answer. Rows with a null conv_id or turn are left out, and other columns are not read. Repeated rows stay as often
+    as they come, a text of any length is a value as any other, and an empty table gives no turns.
     """
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     turns = turns.where("conv_id is not null and turn is not null")

@@ -213,7 +213,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     Returns doc_id, n_shingles, component_id, a row for each row of ``docs``: component_id is the least id
     reachable by links, its own included. Words are runs of characters other than ASCII white space, A-Z
     lower-cased. With fewer than n words the sequence of all is the one shingle; without words or text the
-    set is empty and links with nothing. Rows that repeat an id are one document of that component; a row
+    set is empty and links with nothing. Texts of any length count whole, an empty table gives no rows, and other columns
+    are not read, whatever their names. Rows that repeat an id are one document of that component; a row
     with a null id takes no part: its component_id is null, and n_shingles too unless another row has its text.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -1,42 +1,5 @@
-"""Places in a total order, and the rows beside each other in one, without sorting a group in one task."""
+"""Places in a total order, without sorting a group in one task: those of the main library."""
 
-from __future__ import annotations
+from tapeworks.functions.scans import numbered
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
-from tapeworks.functions.scratch import stored
-
-#: monotonically_increasing_id() has the partition above these bits and the row below them.
-_BITS = 33
-
-
-def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """``rows`` with _pos (place in the group from 0), _size (rows of the group), and for a ``group`` also _group (its
-    place among the groups) and _groups (how many there are). Nulls come first.
-
-    Rows are dealt in ranges of (group, order) and stored, so a group of any size is in as many tasks as its rows
-    fill; a place is that within the range plus the rows of the ranges before, which are few: one for each range
-    and group in it. ``order`` should be total; rows that it leaves equal take places in any order.
-    """
-    keys = [*group, *order]
-    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
-    ranged = stored(ranged, "ranges").withColumn("_range", F.shiftright("_id", _BITS)).withColumn("_row", F.col("_id").bitwiseAND((1 << _BITS) - 1))
-    parts = ranged.groupBy(*group, "_range").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-    within = Window.partitionBy(*group)
-    before = F.coalesce(F.sum("_n").over(within.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.withColumn("_before", before).withColumn("_size", F.sum("_n").over(within))
-    added = ["_size"]
-    if group:
-        parts = stored(parts, "parts")
-        groups = numbered(parts.select(*group).distinct(), [], group)
-        groups = groups.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group)], F.col("_pos").alias("_group"), F.col("_size").alias("_groups"))
-        same = [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)]
-        parts = parts.join(groups, same).drop(*[f"_k{i}" for i in range(len(group))])
-        added += ["_group", "_groups"]
-    parts = parts.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group)], F.col("_range").alias("_r"), "_first", "_before", *added)
-    same = [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)]
-    out = ranged.join(parts, [F.col("_range") == F.col("_r"), *same])
-    return out.select(*rows.columns, (F.col("_row") - F.col("_first") + F.col("_before")).alias("_pos"), *added)
+__all__ = ["numbered"]

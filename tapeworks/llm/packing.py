@@ -64,7 +64,8 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 65_536, id_col: str =
     batch holds floor(budget / bucket_len) documents, one at least, so a document longer than the budget is a
     batch of its own, whole. Within a bucket rows go in the order of a hash of their id and length, and
     batches are numbered from 0. A row's rank is its rank among its block plus the sizes of earlier blocks,
-    so no bucket, however full, is sorted in one task. The driver sees one count for each length bin.
+    so no bucket, however full, is sorted in one task. The driver sees one count for each length bin. Other columns are
+    not read, whatever their names, and an empty table gives no rows.
     """
     length = word_count(F.col("text")) if length is None else F.coalesce(length.cast("long"), F.lit(0))
     rows = docs.select(F.col(id_col).alias("doc_id"), length.alias("n_tokens"))

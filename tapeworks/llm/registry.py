@@ -22,14 +22,17 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and tokens of every document."""
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of every document."""
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of every document, by models learned from those that aren't held out; rejected: no model claims the text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = langid.train(docs.where(~held_out))
@@ -38,32 +41,39 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items that they hold."""
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each pair of a conversation and the same with another's last answer."""
     turns = chat.answer_swaps(_table(spark, sf_dir, "conversations"))
     return chat.preference_rows(turns, chat.adjacent_pairs(turns))
 
 
 def op6_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to files and read back."""
     docs = _table(spark, sf_dir, "documents")
     return token_files.read_token_files(token_files.write_token_files(docs, token_files.new_folder(spark), tokenizer_file("word_bpe_49k.json")))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without windows of 13 words that an earlier one has."""
     return substring.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the boilerplate lines of its source."""
     return lines.drop_boilerplate(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of near copies it is in."""
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in batches of like lengths. Lengths, in the column n_tokens, are words here, and token counts in the pipeline."""
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
