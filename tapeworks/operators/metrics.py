@@ -18,7 +18,7 @@ DERIVED_PRIORITY = 50
 def ttm(metrics: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Sums of four consecutive quarters of flow metrics: four rows that span 370 days at most. catalogue: metric_code, is_flow."""
     year = Window.partitionBy("security_id", "metric_code").orderBy("as_of").rowsBetween(-3, 0)
-    rows = metrics.where(F.col("period_type") == "quarter").join(F.broadcast(catalogue.where("is_flow").select("metric_code")), "metric_code", "left_semi")
+    rows = metrics.where(F.col("period_type") == "quarter").join(catalogue.where("is_flow").select("metric_code"), "metric_code", "left_semi")
     rows = rows.select("*", F.sum("value").over(year).alias("total"), F.count("*").over(year).alias("n"), F.min("as_of").over(year).alias("first"))
     full = rows.where((F.col("n") == 4) & (F.datediff("as_of", "first") <= 370))
     return full.select("security_id", "metric_code", F.lit("ttm").alias("period_type"), "as_of", F.col("total").alias("value"), "currency_code", F.lit("derived").alias("source_code"))
@@ -160,7 +160,7 @@ def pending_metrics(statements: DataFrame, derived: DataFrame) -> DataFrame:
 def pending_ttm(metrics: DataFrame, derived: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Series of flow metrics whose newest quarter was fetched after their newest trailing sum."""
     key = ["security_id", "metric_code"]
-    rows = metrics.where(F.col("period_type") == "quarter").join(F.broadcast(catalogue.where("is_flow").select("metric_code")), "metric_code", "left_semi")
+    rows = metrics.where(F.col("period_type") == "quarter").join(catalogue.where("is_flow").select("metric_code"), "metric_code", "left_semi")
     quarters = rows.groupBy(*key).agg(F.max("fetched_at").alias("q"), F.count("*").alias("n"))
     done = derived.groupBy(*key).agg(F.max("fetched_at").alias("d"))
     return quarters.where("n >= 4").join(done, key, "left").where("d is null or q > d").select(*key)

@@ -125,7 +125,7 @@ def stream_periods(metrics: DataFrame, sources: DataFrame, path: str, checkpoint
     later than ``delay`` are lost. metrics: METRIC_KEY, source_code, value, currency_code; as_of is the event time.
     """
     key = ["security_id", "metric_code", "period_type"]
-    rows = metrics.withColumn("at", F.col("as_of").cast("timestamp")).withWatermark("at", delay).join(F.broadcast(sources), "source_code", "left")
+    rows = metrics.withColumn("at", F.col("as_of").cast("timestamp")).withWatermark("at", delay).join(sources, "source_code", "left")
     # a session ends a gap after its last row, and a row at that very time would begin another
     session = F.session_window("at", f"{gap_days} days 1 second")
     order = F.struct(F.negative(F.coalesce("priority", F.lit(-1))).alias("p"), F.negative(F.unix_date("as_of")).alias("d"), F.col("source_code").alias("s"))
