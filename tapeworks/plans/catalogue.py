@@ -492,22 +492,29 @@ _BACKLOGS = {
 }
 
 
-def _facts(m: Market) -> dict[str, DataFrame]:
-    """All facts of backlogs; a backlog joins those that it reads."""
-    level = lambda n: m.node.where(F.col("level") == n)
-    done = lambda what: m.done.where(F.col("what") == what)
-    return {
-        "tagged": pending.there(m.node.where("source_code = 'yfinance'"), "tagged"), "drillable": pending.there(m.sql(_DRILL), "drillable", "country_iso2"), "has_profile": pending.there(done("profile_detail"), "has_profile"),
-        "sector": level(1).select("security_id", F.col("node_id").alias("sector_id")).distinct(), "has_industry": pending.there(level(2), "has_industry"),
-        "performance": pending.there(m.sql(_STALE_AFTER).where(F.col("stale_after") > F.lit(ASOF)), "fresh", "served"), "bars": pending.bar_facts(m.held_bar), "has_fundamentals": pending.there(done("fundamentals"), "has_fundamentals"),
-        "statements": pending.statement_facts(m.sql(_PT)), "actions": pending.action_facts(m.held_action), "stats": done("share_stats").groupBy("security_id").agg(F.max("done_at").alias("stats_at")),
-        "us_listed": pending.there(_listings(m).where("exch_code = 'US'"), "us_listed"),
-    }
+_level = lambda m, n: m.node.where(F.col("level") == n)
+_did = lambda m, what: m.done.where(F.col("what") == what)
+#: How each fact that backlogs read is made.
+_FACTS_OF: dict[str, Callable[[Market], DataFrame]] = {
+    "tagged": lambda m: pending.there(m.node.where("source_code = 'yfinance'"), "tagged"),
+    "drillable": lambda m: pending.there(m.sql(_DRILL), "drillable", "country_iso2"),
+    "has_profile": lambda m: pending.there(_did(m, "profile_detail"), "has_profile"),
+    "sector": lambda m: _level(m, 1).select("security_id", F.col("node_id").alias("sector_id")).distinct(),
+    "has_industry": lambda m: pending.there(_level(m, 2), "has_industry"),
+    "performance": lambda m: pending.there(m.sql(_STALE_AFTER).where(F.col("stale_after") > F.lit(ASOF)), "fresh", "served"),
+    "bars": lambda m: pending.bar_facts(m.held_bar),
+    "has_fundamentals": lambda m: pending.there(_did(m, "fundamentals"), "has_fundamentals"),
+    "statements": lambda m: pending.statement_facts(m.sql(_PT)),
+    "actions": lambda m: pending.action_facts(m.held_action),
+    "stats": lambda m: _did(m, "share_stats").groupBy("security_id").agg(F.max("done_at").alias("stats_at")),
+    "us_listed": lambda m: pending.there(_listings(m).where("exch_code = 'US'"), "us_listed"),
+}
 
 
 def _backlog(m: Market, name: str) -> DataFrame:
     symbols = identity.security_symbol(m.security, _listings(m), m.provider_symbol, m.identifier)
-    return pending.pending(name, pending.entities(m.security, m.identifier, m.provider_symbol, symbols), m.mark, m.asked, funds.max_weight(m.holding), ASOF, _facts(m))
+    facts = {f: _FACTS_OF[f](m) for f in pending.INSTANCES[name].facts}
+    return pending.pending(name, pending.entities(m.security, m.identifier, m.provider_symbol, symbols), m.mark, m.asked, funds.max_weight(m.holding), ASOF, facts)
 
 
 for _name, (_columns, _where) in _BACKLOGS.items():
