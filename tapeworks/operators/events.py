@@ -47,9 +47,10 @@ def earnings_surprise(calendar: DataFrame, metrics: DataFrame, asof: dt.date) ->
     Meeting the consensus is a beat. surprise_pct is over the consensus's size, null where that is 0.
     """
     eps = metrics.where("metric_code = 'eps_diluted' and period_type = 'quarter'").select("security_id", F.col("as_of").alias("period_end_date"), F.col("value").alias("actual"))
-    month = F.to_date("period_ending", "yyyy-MM")
-    rows = calendar.where(F.col("eps_consensus").isNotNull() & (F.col("report_date") <= F.lit(asof))).withColumn("month", month).join(eps, "security_id")
-    rows = rows.where((F.col("period_end_date") >= F.date_sub("month", 7)) & (F.col("period_end_date") < F.date_add(F.add_months("month", 1), 7)))
+    # the months that a quarter's end is within a week of, two at most: an equal join, so a security's reports don't meet all of its quarters
+    near = F.array_distinct(F.transform(F.array(F.lit(-7), F.lit(7)), lambda d: F.trunc(F.date_add("period_end_date", d), "month")))
+    eps = eps.select("*", F.explode(near).alias("month"))
+    rows = calendar.where(F.col("eps_consensus").isNotNull() & (F.col("report_date") <= F.lit(asof))).withColumn("month", F.to_date("period_ending", "yyyy-MM")).join(eps, ["security_id", "month"])
     diff = F.col("actual") - F.col("eps_consensus")
     pct = F.round((100 * ratio(diff, F.abs("eps_consensus"))).cast("decimal(28,10)"), 2).cast("double")
     return rows.select(

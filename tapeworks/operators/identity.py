@@ -10,14 +10,29 @@ from tapeworks.functions.common import top1
 from tapeworks.functions.scratch import stored
 
 
-def _ids(kinds: list[tuple[str, str]]) -> Column:
-    return F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(kind).alias("kind"), F.col(c).alias("value")) for k, (kind, c) in enumerate(kinds)])
+#: Identifiers of a holding, the most telling first.
+KINDS = ("isin", "cusip", "figi")
 
 
-def _identifiers(holdings: DataFrame) -> DataFrame:
-    """(holding_id, rank, kind, value) of the valid identifiers of each holding, cleaned, the most telling first."""
-    rows = holdings.select("holding_id", F.inline(_ids([("isin", "isin"), ("cusip", "cusip"), ("figi", "figi")])))
-    return rows.where(rules.valid_identifier(F.col("kind"), F.col("value"))).withColumn("value", rules.identifier(F.col("value")))
+def _valid_ids() -> Column:
+    """The valid identifiers of a holding, cleaned: an array of (rank, kind, value)."""
+    own = [F.when(rules.valid_identifier(F.lit(k), F.col(k)), F.struct(F.lit(n).alias("rank"), F.lit(k).alias("kind"), rules.identifier(F.col(k)).alias("value"))) for n, k in enumerate(KINDS)]
+    return F.array_compact(F.array(*own))
+
+
+def _sets(holdings: DataFrame) -> DataFrame:
+    """(holding_id, set_id, ids) of the holdings that have a valid identifier; set_id is a hash of ids.
+
+    Many holdings of a security file the same identifiers. What is found out about a set is found out once, and meets holdings
+    by set_id only in the end, so a security with a third of all holdings is one row until then.
+    """
+    rows = holdings.select("holding_id", _valid_ids().alias("ids")).where(F.size("ids") > 0)
+    return stored(rows.select("holding_id", F.md5(F.to_json("ids")).alias("set_id"), "ids"), "identifier_sets")
+
+
+def _identifiers(held: DataFrame) -> DataFrame:
+    """(set_id, rank, kind, value) of each set once."""
+    return stored(held.dropDuplicates(["set_id"]).select("set_id", F.inline("ids")), "identifiers")
 
 
 def resolve_securities(holdings: DataFrame, known: DataFrame) -> DataFrame:
@@ -27,15 +42,16 @@ def resolve_securities(holdings: DataFrame, known: DataFrame) -> DataFrame:
     holding with identifiers of two known securities merges neither. The others are new, and those that share an
     identifier, directly or through others, are one security, whatever their order; its id is a hash of
     the component's best identifier, so a batch that is run again makes the same ids. Holdings without a valid identifier
-    are left out; skipped_holdings() counts them.
+    are left out; skipped_holdings() counts them. Rows that repeat a holding give one row; a holding_id has one set of identifiers.
 
     known: kind, value, security_id. new_identifiers() has what later batches must know.
     """
-    rows = stored(_identifiers(holdings), "identifiers")
+    held = _sets(holdings)
+    rows = _identifiers(held)
     found = _known(rows, known)
-    first = top1(found, ["holding_id"], F.asc("rank"), F.asc("security_id")).select("holding_id", F.col("security_id").cast("string").alias("security_id"), F.lit(True).alias("matched"))
-    made = _new_securities(rows, found)
-    return first.unionByName(made.select("holding_id", "security_id", F.lit(False).alias("matched")).distinct())
+    first = top1(found, ["set_id"], F.asc("rank"), F.asc("security_id")).select("set_id", F.col("security_id").cast("string").alias("security_id"), F.lit(True).alias("matched"))
+    made = _new_securities(rows, found).select("set_id", "security_id", F.lit(False).alias("matched")).distinct()
+    return held.select("holding_id", "set_id").distinct().join(first.unionByName(made), "set_id").select("holding_id", "security_id", "matched")
 
 
 def _known(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -43,24 +59,24 @@ def _known(rows: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _new_securities(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(holding_id, kind, value, security_id): identifiers of the holdings that have no known one, with the id of their component."""
-    new = stored(rows.join(found.select("holding_id").distinct(), "holding_id", "left_anti"), "new_holdings")
-    groups = _components(new.select("holding_id", "kind", "value").distinct())
-    both = new.join(groups, "holding_id")
+    """(set_id, kind, value, security_id): identifiers of the sets that have no known one, with the id of their component."""
+    new = stored(rows.join(found.select("set_id").distinct(), "set_id", "left_anti"), "new_sets")
+    groups = _components(new.select(F.col("set_id").alias("node"), "kind", "value"))
+    both = new.join(groups.withColumnRenamed("node", "set_id"), "set_id")
     ids = both.groupBy("group_id").agg(F.min(F.struct("rank", "kind", "value")).alias("best"))
     ids = ids.select("group_id", F.sha2(F.concat_ws(":", "best.kind", "best.value"), 256).alias("security_id"))
-    return both.join(ids, "group_id").select("holding_id", "kind", "value", "security_id")
+    return both.join(ids, "group_id").select("set_id", "kind", "value", "security_id")
 
 
 def new_identifiers(holdings: DataFrame, known: DataFrame) -> DataFrame:
     """(kind, value, security_id) of the securities that resolve_securities() makes: registered, they are found by later batches."""
-    rows = stored(_identifiers(holdings), "identifiers")
+    rows = _identifiers(_sets(holdings))
     return _new_securities(rows, _known(rows, known)).select("kind", "value", "security_id").distinct()
 
 
 def skipped_holdings(holdings: DataFrame) -> DataFrame:
     """Holdings without a valid identifier: what resolution leaves out."""
-    return holdings.join(_identifiers(holdings).select("holding_id").distinct(), "holding_id", "left_anti")
+    return holdings.where(F.size(_valid_ids()) == 0)
 
 
 def resolve_issuers(holdings: DataFrame, known: DataFrame) -> DataFrame:
@@ -233,24 +249,28 @@ def rekey(rows: DataFrame, renames: DataFrame) -> DataFrame:
 
 def shared_identifier_groups(holdings: DataFrame) -> DataFrame:
     """(holding_id, group_id): holdings that share any valid identifier, directly or through others, and their least id."""
-    return _components(stored(_identifiers(holdings).select("holding_id", "kind", "value").distinct(), "identifiers"))
+    held = _sets(holdings)
+    nodes = stored(held.groupBy("set_id").agg(F.min("holding_id").alias("node"), F.first("ids").alias("ids")), "identifiers")
+    groups = _components(nodes.select("node", F.inline("ids")).select("node", "kind", "value"))
+    groups = nodes.select("set_id", "node").join(groups, "node")
+    return held.select("holding_id", "set_id").distinct().join(groups, "set_id").select("holding_id", "group_id")
 
 
 def _components(rows: DataFrame) -> DataFrame:
-    """(holding_id, group_id) of stored rows (holding_id, kind, value).
+    """(node, group_id) of rows (node, kind, value) that are read from a store: the least node of those that share values, directly or through others.
 
-    Each round a holding takes the least label among those that share an identifier with it, and rounds end
+    Each round a node takes the least label among those that share an identifier with it, and rounds end
     when no label changes, which halves the way each time; labels are written to the shared folder between rounds. An
-    identifier's least label is an aggregate, so one that many holdings share costs each task one row.
+    identifier's least label is an aggregate, so one that many nodes share costs each task one row.
     """
-    labels = stored(rows.select("holding_id", F.col("holding_id").alias("group_id")).distinct(), "labels")
+    labels = stored(rows.select("node", F.col("node").alias("group_id")).distinct(), "labels")
     while True:
-        least = rows.join(labels, "holding_id").groupBy("kind", "value").agg(F.min("group_id").alias("least"))
-        new = rows.join(least, ["kind", "value"]).groupBy("holding_id").agg(F.min("least").alias("group_id"))
-        # a label's own holding has a label too, which may be less: following it halves the way
-        jump = new.select(F.col("holding_id").alias("group_id"), F.col("group_id").alias("further"))
-        new = stored(new.join(jump, "group_id", "left").select("holding_id", F.coalesce("further", "group_id").alias("group_id")), "labels")
-        changed = not new.join(labels, ["holding_id", "group_id"], "left_anti").isEmpty()
+        least = rows.join(labels, "node").groupBy("kind", "value").agg(F.min("group_id").alias("least"))
+        new = rows.join(least, ["kind", "value"]).groupBy("node").agg(F.min("least").alias("group_id"))
+        # a label's own node has a label too, which may be less: following it halves the way
+        jump = new.select(F.col("node").alias("group_id"), F.col("group_id").alias("further"))
+        new = stored(new.join(jump, "group_id", "left").select("node", F.coalesce("further", "group_id").alias("group_id")), "labels")
+        changed = not new.join(labels, ["node", "group_id"], "left_anti").isEmpty()
         labels = new
         if not changed:
             return labels

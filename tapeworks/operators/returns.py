@@ -34,16 +34,20 @@ def corporate_actions(bars: DataFrame) -> DataFrame:
     return bars.select("series_id", F.col("date").alias("ex_date"), F.inline(F.array_compact(F.array(split, paid))))
 
 
-def _with_previous(bars: DataFrame) -> DataFrame:
-    by_date = Window.partitionBy("series_id").orderBy("date")
-    bars = bars.withColumn("prev", F.lag("close").over(by_date)).withColumn("prev_date", F.lag("date").over(by_date))
+def _with_previous(bars: DataFrame, segments: bool = False) -> DataFrame:
+    """Bars with prev and prev_date of the bar before, and broke, their date if they jumped from it; ``segments`` scans a series in ranges of its dates."""
+    if segments:
+        bars = scanned(bars, ["series_id"], ["date"], previous=["close", "date"]).withColumnsRenamed({"previous_close": "prev", "previous_date": "prev_date"})
+    else:
+        by_date = Window.partitionBy("series_id").orderBy("date")
+        bars = bars.withColumn("prev", F.lag("close").over(by_date)).withColumn("prev_date", F.lag("date").over(by_date))
     jump = (F.col("close") > BREAK_RATIO * F.col("prev")) | (F.col("prev") > BREAK_RATIO * F.col("close"))
     return bars.withColumn("broke", F.when(jump, F.col("date")))
 
 
-def comparable_from(bars: DataFrame) -> DataFrame:
-    """(series_id, comparable_from): the date of the last bar that jumped, or of the first bar."""
-    rows = _with_previous(bars)
+def comparable_from(bars: DataFrame, segments: bool = False) -> DataFrame:
+    """(series_id, comparable_from): the date of the last bar that jumped, or of the first bar; segments: as in total_returns()."""
+    rows = _with_previous(bars, segments)
     return rows.groupBy("series_id").agg(F.coalesce(F.max("broke"), F.min("date")).alias("comparable_from"))
 
 
@@ -59,16 +63,13 @@ def _percent(x: Column) -> Column:
 
 
 def _returns(rows: DataFrame, level: str, asof: dt.date, must_move: bool) -> DataFrame:
-    """rows: series_id, date, close, prev_date, broke and ``level``. One aggregation finds all anchors."""
+    """rows: series_id, date, close, prev, prev_date, broke, ``level`` and prev_level, its value at the bar before. One aggregation finds all anchors."""
     day = F.lit(asof)
     rows = rows.where(F.col("date") <= day)
     newest = F.struct("date", F.col(level).alias("v"), "close", "prev_date")
     at = {p: F.max(F.when(F.col("date") <= d, F.struct("date", F.col(level).alias("v"), "close"))) for p, d in _anchors(asof).items()}
-    if "prev_level" not in rows.columns:
-        by_date = Window.partitionBy("series_id").orderBy("date")
-        rows = rows.withColumn("prev_level", F.lag(level).over(by_date)).withColumn("prev_close", F.lag("close").over(by_date))
     # the newest date at which the close changed: an anchor before it has been moved from
-    rows = rows.withColumn("changed", F.when(F.col("close") != F.col("prev_close"), F.col("date")))
+    rows = rows.withColumn("changed", F.when(F.col("close") != F.col("prev"), F.col("date")))
     agg = rows.groupBy("series_id").agg(
         F.max(newest).alias("last"), F.max(F.struct("date", F.col("prev_date").alias("d"), F.col("prev_level").alias("v"))).alias("before"),
         F.max("broke").alias("broke"), F.max("changed").alias("changed"), F.count("*").alias("n"), *[a.alias(p) for p, a in at.items()],
@@ -87,10 +88,11 @@ def _returns(rows: DataFrame, level: str, asof: dt.date, must_move: bool) -> Dat
     return out.select("series_id", "period", _percent(F.col("last.v") / F.col("v") - 1).alias("pct"), F.col("last.date").alias("as_of"))
 
 
-def price_returns(bars: DataFrame, asof: dt.date) -> DataFrame:
+def price_returns(bars: DataFrame, asof: dt.date, segments: bool = False) -> DataFrame:
     """series_id, period, change_pct, as_of. A period is left out if its anchor is missing, lies before a break,
-    or if no close since differs from the anchor's; a series if it has fewer than two bars or none of late."""
-    return _returns(_with_previous(bars), "close", asof, True).withColumnRenamed("pct", "change_pct")
+    or if no close since differs from the anchor's; a series if it has fewer than two bars or none of late. segments: as in total_returns()."""
+    rows = _with_previous(bars, segments).withColumn("prev_level", F.col("prev"))
+    return _returns(rows, "close", asof, True).withColumnRenamed("pct", "change_pct")
 
 
 def total_returns(bars: DataFrame, asof: dt.date, segments: bool = False) -> DataFrame:
@@ -98,18 +100,17 @@ def total_returns(bars: DataFrame, asof: dt.date, segments: bool = False) -> Dat
 
     With ``segments`` a series is scanned in ranges of its dates, for series that have a large share of all bars.
     """
-    if segments:
-        rows = scanned(bars, ["series_id"], ["date"], previous=["close", "date"]).withColumnsRenamed({"previous_close": "prev", "previous_date": "prev_date"})
-        rows = rows.withColumn("broke", F.when((F.col("close") > BREAK_RATIO * F.col("prev")) | (F.col("prev") > BREAK_RATIO * F.col("close")), F.col("date")))
-    else:
-        rows = _with_previous(bars)
+    rows = _with_previous(bars, segments)
     step = F.when(F.col("prev").isNotNull(), F.log((F.col("close") + F.coalesce("dividend", F.lit(0.0))) / F.col("prev"))).otherwise(F.lit(0.0))
+    rows = rows.withColumn("step", step)
     if segments:
-        rows = scanned(rows.withColumn("step", step), ["series_id"], ["date"], total=["step"])
-        rows = rows.withColumn("level", F.exp("total_step")).withColumn("prev_level", F.when(F.col("prev").isNotNull(), F.exp(F.col("total_step") - F.col("step")))).withColumn("prev_close", F.col("prev"))
+        rows = scanned(rows, ["series_id"], ["date"], total=["step"]).withColumn("level", F.exp("total_step"))
+        before = F.exp(F.col("total_step") - F.col("step"))
     else:
-        running = Window.partitionBy("series_id").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("level", F.exp(F.sum(step).over(running)))
+        by_date = Window.partitionBy("series_id").orderBy("date")
+        rows = rows.withColumn("level", F.exp(F.sum("step").over(by_date.rowsBetween(Window.unboundedPreceding, 0))))
+        before = F.lag("level").over(by_date)
+    rows = rows.withColumn("prev_level", F.when(F.col("prev").isNotNull(), before))
     return _returns(rows, "level", asof, False).withColumnRenamed("pct", "total_return_pct")
 
 

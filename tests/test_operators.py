@@ -1,6 +1,7 @@
 """Small literal cases, each chosen so that a tempting wrong formula gives another answer."""
 
 import datetime as dt
+import hashlib
 import math
 from decimal import Decimal as D
 
@@ -130,6 +131,23 @@ def test_surprise_matches_the_right_quarter(spark):
     assert "c" not in got and got["z"].surprise_pct is None
 
 
+def test_a_quarter_may_end_a_week_around_its_month(spark):
+    cal = table(spark, "symbol string, report_date date, security_id string, period_ending string, eps_consensus decimal(28,4)", *[("A", DAY, i, p, D("1")) for i, p in (("a", "2026-06"), ("a", "2026-05"), ("a", None), (None, "2026-06"), ("b", "2026-12"))])
+    ends = ["2026-05-24", "2026-05-25", "2026-06-07", "2026-06-08", "2026-06-30", "2026-07-07", "2026-07-08"]
+    m = table(spark, METRIC, *[(i, "eps_diluted", "quarter", day(x), D(1), "USD", "sec") for i, x in [("a", x) for x in ends] + [("b", "2026-11-24"), ("b", "2027-01-07"), ("b", "2027-01-08"), (None, "2026-06-30")]])
+    got = {(r.security_id, r.period_ending, str(r.period_end_date)) for r in events.earnings_surprise(cal, m, DAY).collect()}
+    assert got == {("a", "2026-06", x) for x in ends[1:6]} | {("a", "2026-05", x) for x in ends[:3]} | {("b", "2026-12", "2026-11-24"), ("b", "2026-12", "2027-01-07")}
+
+
+def test_the_first_of_a_key_is_found_before_the_shuffle(spark):
+    # so a key with a third of all rows sends one row from each task
+    rows = table(spark, "k long, v long", *[(1, k) for k in range(50)])
+    plan = common.top1(rows, ["k"], F.desc("v"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial") and "WindowGroupLimit" in text
+    assert [tuple(r) for r in plan.collect()] == [(1, 49)]
+
+
 def test_next_earnings_prefers_upcoming(spark):
     d1 = dt.timedelta(1)
     cal = table(spark, "symbol string, report_date date, security_id string, period_ending string, eps_consensus double, eps_previous double, num_estimates int, reporting_time string, as_of date", *[(*r, 0.5, 3, "amc", DAY) for r in (("A", DAY - 2 * d1, "a", "x", 1.0), ("A", DAY + 30 * d1, "a", "x", 2.0), ("B", DAY - 9 * d1, "b", "x", 3.0), ("B", DAY - 5 * d1, "b", "x", 4.0), ("N", DAY, None, "x", 5.0))])
@@ -323,6 +341,43 @@ def test_scalar_rules(spark):
     assert [r[0] for r in rows.select(rules.is_ceo(F.col("t"))).collect()] == [True, True, False, None]
 
 
+HELD = "holding_id long, isin string, cusip string, figi string"
+ISIN_A, ISIN_B, ISIN_C = "US0378331005", "US5949181045", "DE0007164600"
+
+
+def test_holdings_become_securities(spark):
+    held = table(
+        spark, HELD,
+        (1, ISIN_A, None, None), (2, f" {ISIN_A.lower()} ", "037833100", None), (3, None, "037833100", None),  # known by ISIN, and by a CUSIP that isn't
+        (4, ISIN_A, "594918104", None),  # bridges two known securities and merges neither
+        (5, ISIN_C, None, "BBG000000001"), (6, None, "716460000", "BBG000000001"), (7, None, "716460000", None),  # a chain of new ones
+        (8, "N/A", "000000000", None), (9, None, None, None), (10, None, "999", ""), *[(k, ISIN_C, None, "BBG000000001") for k in range(20, 60)], (5, ISIN_C, None, "BBG000000001"),
+    )
+    known = table(spark, "kind string, value string, security_id long", ("isin", ISIN_A, 7), ("cusip", "594918104", 8), ("isin", ISIN_B, 8))
+    rows = identity.resolve_securities(held, known).collect()
+    got = {r.holding_id: (r.security_id, r.matched) for r in rows}
+    assert len(rows) == len(got) and set(got) == {1, 2, 3, 4, 5, 6, 7, *range(20, 60)}
+    assert [got[k] for k in (1, 2, 4)] == [("7", True)] * 3
+    assert len({got[k] for k in (5, 6, 7, *range(20, 60))}) == 1 and not got[5][1] and not got[3][1] and got[3] != got[5]
+    assert got[5][0] == hashlib.sha256(f"isin:{ISIN_C}".encode()).hexdigest()
+    assert sorted(r.holding_id for r in identity.skipped_holdings(held).collect()) == [8, 9, 10]
+    # what a batch registers is found by the next, with the ids that it made
+    new = identity.new_identifiers(held, known)
+    assert {(r.kind, r.value) for r in new.collect()} == {("isin", ISIN_C), ("figi", "BBG000000001"), ("cusip", "716460000"), ("cusip", "037833100")}
+    again = identity.resolve_securities(held, new.unionByName(known.withColumn("security_id", F.col("security_id").cast("string"))))
+    assert {r.holding_id: r.security_id for r in again.collect()} == {k: v[0] for k, v in got.items()}
+    groups = {r.holding_id: r.group_id for r in identity.shared_identifier_groups(held).collect()}
+    assert [groups[k] for k in (1, 2, 3, 4, 5, 6, 7, 59)] == [1, 1, 1, 1, 5, 5, 5, 5] and set(groups) == set(got)
+    empty = table(spark, HELD)
+    assert identity.resolve_securities(empty, known).isEmpty() and identity.shared_identifier_groups(empty).isEmpty()
+
+
+def test_a_long_chain_of_identifiers_is_one_security(spark):
+    held = table(spark, HELD, *[(100 - k, None, f"7{k:08d}", f"BBG{k + 1:09d}") if k % 2 else (100 - k, None, f"7{k + 1:08d}", f"BBG{k:09d}") for k in range(40)])
+    assert {r.group_id for r in identity.shared_identifier_groups(held).collect()} == {61}
+    assert len({r.security_id for r in identity.resolve_securities(held, table(spark, "kind string, value string, security_id long")).collect()}) == 1
+
+
 def test_symbol_repair(spark):
     failed = table(spark, "security_id long, symbol string", (1, "ABC*"), (2, "BRK/A"), (3, "5.HK"), (4, "VOLVB.ST"), (5, "NONE*"))
     there = table(spark, "symbol string", ("ABC",), ("BRK-A",), ("BRKA",), ("0005.HK",), ("VOLV-B.ST",))
@@ -443,8 +498,12 @@ def test_a_scan_in_ranges_equals_one_in_order(spark):
     assert plain == ranged
     bars = [(1 if k % 3 else k % 4 + 2, DAY - dt.timedelta(k // 2 if k % 3 else k), 100.0 + (k * 7) % 13, 1.0 if k % 5 == 0 else None) for k in range(300)]
     bars = table(spark, "series_id long, date date, close double, dividend double", *{(r[0], r[1]): r for r in bars}.values())
-    plain, ranged = (sorted(returns.total_returns(bars, DAY, s).collect()) for s in (False, True))
-    assert plain == ranged and len(plain) > 10
+    for measure in (returns.total_returns, returns.price_returns):
+        plain, ranged = (sorted(measure(bars, DAY, s).collect()) for s in (False, True))
+        assert plain == ranged and len(plain) > 10
+    jumps = bars.withColumn("close", F.when(F.col("date") >= DAY - dt.timedelta(20), F.col("close") * 10).otherwise(F.col("close")))
+    plain, ranged = (sorted(returns.comparable_from(jumps, s).collect()) for s in (False, True))
+    assert plain == ranged and DAY - dt.timedelta(20) in {r.comparable_from for r in plain}
 
 
 def test_neighbours_meet_across_blocks(spark, monkeypatch):
