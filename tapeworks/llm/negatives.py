@@ -24,8 +24,9 @@ from .words import give_back, trimmed
 
 #: Reference directions, and vectors that they are drawn from at most.
 DIRECTIONS, SAMPLE = 8, 1024
-#: Rows of a block, queries of a group, and tasks that share a group's rows.
-BLOCK_ROWS, GROUP_QUERIES, SLICES = 2048, 512, 8
+#: Rows of a block, queries of a group, and tasks that share a group's rows. All blocks move once for each group, so a group has as
+#: many queries as a task holds with their best rows (about 20 MB at 64 dimensions), not as few as would spread them.
+BLOCK_ROWS, GROUP_QUERIES, SLICES = 2048, 4096, 8
 #: Angles are stored as 32-bit floats: two of them and their cosines are off by less than this.
 SLACK = 1e-6
 #: Vectors of this length or more take no part: a score of two might not fit 64 bits.
