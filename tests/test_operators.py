@@ -372,6 +372,23 @@ def test_holdings_become_securities(spark):
     assert identity.resolve_securities(empty, known).isEmpty() and identity.shared_identifier_groups(empty).isEmpty()
 
 
+def test_rows_of_a_holding_are_one_holding(spark):
+    held = table(
+        spark, HELD,
+        (1, ISIN_A, None, None), (1, None, "037833100", None), (2, None, "037833100", None),  # known by one of its rows, so its other one makes nothing known
+        (3, ISIN_C, None, None), (3, None, "716460000", None), (4, None, "716460000", None), (3, ISIN_C, None, None),  # two rows that bridge
+        (5, None, None, None), (5, ISIN_B, None, None), (6, None, None, None), (None, None, "111111118", None), (None, None, "222222228", None),
+    )
+    known = table(spark, "kind string, value string, security_id long", ("isin", ISIN_A, 7))
+    hash_of = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    c, bare = hash_of(f"isin:{ISIN_C}"), ("111111118", "222222228")
+    got = sorted(((r.holding_id or 0, r.security_id, r.matched) for r in identity.resolve_securities(held, known).collect()))
+    assert got == sorted([(1, "7", True), (2, hash_of("cusip:037833100"), False), (3, c, False), (4, c, False), (5, hash_of(f"isin:{ISIN_B}"), False), *[(0, hash_of(f"cusip:{b}"), False) for b in bare]])
+    assert [r.holding_id for r in identity.skipped_holdings(held).collect()] == [6]
+    one = held.where("holding_id is not null and holding_id < 5")
+    assert sorted((r.holding_id, r.group_id) for r in identity.shared_identifier_groups(one).collect()) == [(1, 1), (2, 1), (3, 3), (4, 3)]
+
+
 def test_a_long_chain_of_identifiers_is_one_security(spark):
     held = table(spark, HELD, *[(100 - k, None, f"7{k:08d}", f"BBG{k + 1:09d}") if k % 2 else (100 - k, None, f"7{k + 1:08d}", f"BBG{k:09d}") for k in range(40)])
     assert {r.group_id for r in identity.shared_identifier_groups(held).collect()} == {61}
