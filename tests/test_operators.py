@@ -384,6 +384,8 @@ def test_rows_of_a_holding_are_one_holding(spark):
     c, bare = hash_of(f"isin:{ISIN_C}"), ("111111118", "222222228")
     got = sorted(((r.holding_id or 0, r.security_id, r.matched) for r in identity.resolve_securities(held, known).collect()))
     assert got == sorted([(1, "7", True), (2, hash_of("cusip:037833100"), False), (3, c, False), (4, c, False), (5, hash_of(f"isin:{ISIN_B}"), False), *[(0, hash_of(f"cusip:{b}"), False) for b in bare]])
+    new = {(r.value, r.security_id) for r in identity.new_identifiers(held, known).collect()}
+    assert new == {("037833100", hash_of("cusip:037833100")), (ISIN_C, c), ("716460000", c), (ISIN_B, hash_of(f"isin:{ISIN_B}")), *[(b, hash_of(f"cusip:{b}")) for b in bare]}
     assert [r.holding_id for r in identity.skipped_holdings(held).collect()] == [6]
     one = held.where("holding_id is not null and holding_id < 5")
     assert sorted((r.holding_id, r.group_id) for r in identity.shared_identifier_groups(one).collect()) == [(1, 1), (2, 1), (3, 3), (4, 3)]
