@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks.functions.common import top1
@@ -118,17 +119,54 @@ def read_derived(spark: SparkSession, path: str, sources: DataFrame) -> DataFram
     return top1(rows, METRIC_KEY, F.desc(F.coalesce("priority", F.lit(100))), F.desc("fetched_at"), F.asc("source_code")).drop("priority")
 
 
+PERIOD_KEY = ["security_id", "metric_code", "period_type"]
+
+
+def _joined(spans: DataFrame, sources: DataFrame, gap_days: int) -> DataFrame:
+    """Spans (PERIOD_KEY, first, last, as_of, value, currency_code, source_code) that lie within ``gap_days`` of each other as one, with the best row of any."""
+    by_date = Window.partitionBy(*PERIOD_KEY).orderBy("first")
+    # a span may end before an earlier one does
+    reach = F.max("last").over(by_date.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.when(F.datediff("first", "reach") <= gap_days, 0).otherwise(1)
+    rows = spans.withColumn("reach", reach).withColumn("run", F.sum(starts).over(by_date.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy(*PERIOD_KEY, "run")
+    rows = rows.join(sources, "source_code", "left").withColumn("first", F.min("first").over(run)).withColumn("last", F.max("last").over(run))
+    return top1(rows, [*PERIOD_KEY, "run"], F.desc_nulls_last("priority"), F.desc("as_of"), F.asc("source_code")).select(*spans.columns)
+
+
 def stream_periods(metrics: DataFrame, sources: DataFrame, path: str, checkpoint: str, gap_days: int = 7, delay: str = "30 days") -> StreamingQuery:
     """fiscal_periods() of a stream: rows of a series that follow each other within ``gap_days`` are one period, of which the best source's stays, then the latest.
 
-    A period is written once no row can join it any more: when a row has come that is later by the gap and ``delay``. Rows that come
-    later than ``delay`` are lost. metrics: METRIC_KEY, source_code, value, currency_code; as_of is the event time.
+    A period is written once no row can join it any more: when a row has come that is later by two gaps and ``delay``. Rows that come
+    later than ``delay`` and a gap after a row of an earlier batch are lost. A batch is clustered together with the periods that the batch before left open,
+    of which a row each is kept beside the checkpoint; read_periods() has what is written. metrics: METRIC_KEY, source_code, value, currency_code; as_of is the event time.
     """
-    key = ["security_id", "metric_code", "period_type"]
-    rows = metrics.withColumn("at", F.col("as_of").cast("timestamp")).withWatermark("at", delay).join(sources, "source_code", "left")
-    # a session ends a gap after its last row, and a row at that very time would begin another
-    session = F.session_window("at", f"{gap_days} days 1 second")
-    order = F.struct(F.negative(F.coalesce("priority", F.lit(-1))).alias("p"), F.negative(F.unix_date("as_of")).alias("d"), F.col("source_code").alias("s"))
-    best = F.min_by(F.struct("as_of", "value", "currency_code", "source_code"), order)
-    out = rows.groupBy(*key, session.alias("session")).agg(best.alias("best")).select(*key, "best.*")
-    return out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    spark, columns = metrics.sparkSession, [*METRIC_KEY, "value", "currency_code", "source_code"]
+    schema = T.StructType([*metrics.select(*columns).schema, T.StructField("first", T.DateType()), T.StructField("last", T.DateType())])
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        left = f"{checkpoint}/open/batch={epoch - 1}"
+        before = spark.read.schema(schema).parquet(left) if epoch else spark.createDataFrame([], schema)
+        # the newest row's period is always open
+        past = before.agg(F.max("last").alias("t")).first()["t"]
+        newest = max((t for t in (past, batch.agg(F.max("as_of").alias("t")).first()["t"]) if t is not None), default=None)
+        mark = lambda t, gaps: F.lit(t).cast("timestamp") - F.expr(f"interval {delay}") - F.expr(f"interval {gaps * gap_days} days")
+        rows = batch.where("as_of is not null").select(*columns, F.col("as_of").alias("first"), F.col("as_of").alias("last"))
+        if past is not None:
+            rows = rows.where(F.col("as_of") >= mark(past, 1))
+        spans, is_open, seen = before.unionByName(rows), F.col("last") >= mark(newest, 2), Observation()
+        closed, left_open = spans.where("false"), spans.where("false")
+        if newest is not None:
+            closed = _joined(spans, sources, gap_days).observe(seen, F.min(F.when(is_open, F.col("first"))).alias("first")).where(~is_open)
+        closed.select(*columns).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+        if newest is not None:
+            # no open period begins earlier than that, and closed ones whose end is there are closed there too
+            left_open = _joined(spans.where(F.col("first") >= F.lit(seen.get["first"])), sources, gap_days).where(is_open)
+        left_open.write.mode("overwrite").parquet(f"{checkpoint}/open/batch={epoch}")
+
+    return metrics.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_periods(spark: SparkSession, path: str) -> DataFrame:
+    """The periods that stream_periods() has written."""
+    return spark.read.parquet(path).drop("batch")

@@ -129,6 +129,24 @@ def test_periods_of_a_stream_meet_late_rows(spark, tmp_path):
     assert sorted((r.as_of, r.value) for r in spark.read.parquet(out).collect()) == [(dt.date(2024, 10, 4), 3.0), (dt.date(2024, 12, 24), 5.0)]
 
 
+def test_a_row_that_is_not_lost_joins_its_period(spark, tmp_path):
+    schema = "security_id long, metric_code string, period_type string, as_of date, source_code string, value double, currency_code string"
+    row = lambda d, source, v, i=1: (i, "revenue", "annual", dt.date.fromisoformat(d), source, v, "USD")
+    # of the rows after 2024-10-09 one is 36 days late and joins a period, one is later and lost; the last lies within a period whose rows came out of order
+    batches = [[], [row("2024-09-01", "yfinance", 1.0), row("2024-01-05", "sec", 8.0)], [row("2024-10-09", "yfinance", 2.0)], [row("2024-09-03", "sec", 3.0), row("2024-08-27", "sec", 9.0)], [row("2024-10-15", "yfinance", 4.0), row("2024-10-03", "yfinance", 5.0)], [row("2024-10-10", "sec", 6.0), row("2024-10-10", "sec", 7.0, 2)]]
+    sources = spark.createDataFrame([("sec", 250), ("yfinance", 100)], "source_code string, priority int")
+    out, state = str(tmp_path / "out"), str(tmp_path / "cp")
+    read = feed(spark, tmp_path / "in", schema, *batches)
+    streams.stream_periods(read(), sources, out, state).awaitTermination()
+    assert [(str(r.as_of), r.value) for r in spark.read.parquet(out).collect()] == [("2024-01-05", 8.0)]
+    # one row is kept of each open period
+    kept = spark.read.parquet(f"{state}/open/batch=5").collect()
+    assert sorted((r["security_id"], str(r["first"]), str(r["last"]), r["value"]) for r in kept) == [(1, "2024-09-01", "2024-09-03", 3.0), (1, "2024-10-03", "2024-10-15", 6.0), (2, "2024-10-10", "2024-10-10", 7.0)]
+    spark.createDataFrame([row("2100-01-01", "sec", 0.0, 3)], schema).write.mode("append").parquet(str(tmp_path / "in"))
+    streams.stream_periods(read(), sources, out, state).awaitTermination()
+    assert sorted((r.security_id, str(r.as_of), r.value) for r in spark.read.parquet(out).collect()) == [(1, "2024-01-05", 8.0), (1, "2024-09-03", 3.0), (1, "2024-10-10", 6.0), (2, "2024-10-10", 7.0)]
+
+
 def test_bars_of_one_time_do_not_depend_on_their_order(spark, tmp_path):
     schema, noon = "series_id long, ts timestamp, close double", dt.datetime(2026, 8, 1, 12)
     for name, closes in (("up", (5.0, 6.0, 7.0, 7.0)), ("down", (7.0, 6.0, 5.0, 7.0))):
